@@ -237,3 +237,283 @@ def q_accumulate_feed(spark, sf_dir):
     old = TK.newest(p.filter(F.col("processed_at") < cut), 200)
     fresh = p.filter(F.col("processed_at") >= cut)
     return TK.accumulate_feed(old, fresh, 200)
+
+
+# ===================================================== front end (SRC, PRJ, SNK)
+from sentiflow.functions import scoring as SC  # noqa: E402
+from sentiflow.operators import health as H  # noqa: E402
+from sentiflow.operators import keywords as KW  # noqa: E402
+from sentiflow.operators import merge as M  # noqa: E402
+from sentiflow.operators import quality as Q  # noqa: E402
+from sentiflow.sources import fixtures as FX  # noqa: E402
+from sentiflow.sources import json_codec as J  # noqa: E402
+from sentiflow.sources import normalize as N  # noqa: E402
+from sentiflow.sources import tables as TB  # noqa: E402
+
+PAYLOAD_FIELDS = ["id", "text", "author", "author_followers", "lang", "created_at", "hashtags", "retweet_count", "like_count", "source"]
+
+
+@register("decode_json")
+def q_decode_json(spark, sf_dir):
+    good = FX.events_to_payload_json(table(spark, sf_dir, "events")).select("key", "value")
+    conv = table(spark, sf_dir, "conversations")
+    bad = conv.select(F.concat_ws("-", F.lit("c"), "conv_id", "turn").alias("key"), F.col("text").alias("value"))
+    return J.decode_json(good.unionByName(bad), keep=["key"])
+
+
+@register("encode_json")
+def q_encode_json(spark, sf_dir):
+    p = posts(spark, sf_dir)
+    payload = p.select(
+        F.col("tweet_id").alias("id"), "text", "author", "author_followers", "lang",
+        F.date_format("tweet_created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("created_at"),
+        "hashtags", "retweet_count", "like_count", "source",
+    )
+    return J.encode_json(payload, "id")
+
+
+@register("envelope_routes")
+def q_envelope_routes(spark, sf_dir):
+    conv = table(spark, sf_dir, "conversations")
+    env = FX.conversations_to_envelopes(conv).select("value")
+    raw = conv.select(F.col("text").alias("value"))  # not JSON: dropped
+    return J.route_counts(J.route_envelopes(env.unionByName(raw)))
+
+
+def _ws_raw(spark, sf_dir):
+    """Websocket-shaped raw posts derived from events, with missing/empty/null fields by event type."""
+    p = posts(spark, sf_dir).withColumn("_etype", F.split("text", " ").getItem(0))
+    raw = F.struct(
+        F.when(F.col("_etype") != "view", F.col("tweet_id")).alias("id"),
+        F.col("tweet_id").alias("id_str"),
+        F.when(F.col("_etype") != "error", F.col("text")).otherwise(F.lit("")).alias("text"),
+        F.col("text").alias("full_text"),
+        F.when(F.col("_etype") != "signup", F.struct(F.col("author").alias("screen_name"), F.col("author_followers").alias("followers_count"))).alias("user"),
+        F.col("lang"),
+        F.date_format("tweet_created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("created_at"),
+        F.when(F.size("hashtags") > 0, F.struct(F.transform("hashtags", lambda h: F.struct(h.alias("text"))).alias("hashtags"))).alias("entities"),
+        F.col("retweet_count"),
+        F.col("like_count").alias("favorite_count"),
+    )
+    return p, p.select("tweet_id", F.to_json(raw).alias("value"))
+
+
+@register("normalize_posts")
+def q_normalize_posts(spark, sf_dir):
+    p, raw = _ws_raw(spark, sf_dir)
+    return N.normalize_posts(raw, "ws", as_of(p), keep=["tweet_id"])
+
+
+@register("parse_created_at")
+def q_parse_created_at(spark, sf_dir):
+    p = posts(spark, sf_dir).filter(F.col("tweet_created_at").isNotNull())
+    legacy = F.startswith(F.col("text"), F.lit("click"))
+    raw = F.when(legacy, F.date_format("tweet_created_at", "EEE MMM dd HH:mm:ss '+0000' yyyy")).otherwise(
+        F.date_format("tweet_created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    )
+    s = p.select("tweet_id", raw.alias("raw"))
+    return s.select("tweet_id", "raw", Q.parse_created_at("raw").alias("tweet_created_at"))
+
+
+@register("apply_defaults")
+def q_apply_defaults(spark, sf_dir):
+    p = posts(spark, sf_dir)
+    slim = p.select("tweet_id", "text", "author", "tweet_created_at", "compound_score", "sentiment")
+    return Q.apply_defaults(slim, as_of(p))
+
+
+def _dirty_posts(spark, sf_dir):
+    p = posts(spark, sf_dir)
+    k = F.col("retweet_count")
+    kind = F.split("text", " ").getItem(0)
+    dirty = p.select(
+        F.when((kind == "view") & (k < 5), F.lit(None).cast("string")).otherwise(F.col("tweet_id")).alias("tweet_id"),
+        "text",
+        F.when((kind == "signup") & (k < 10), F.lit(None).cast("string")).otherwise(F.col("author")).alias("author"),
+        "compound_score",
+        F.when((kind == "error") & (k < 5), F.lit("mixed")).otherwise(F.col("sentiment")).alias("sentiment"),
+        "processed_at",
+    )
+    again = p.filter(k == 1).select(
+        "tweet_id", "text", "author", "compound_score", "sentiment", (F.col("processed_at") + X.interval("1 minute")).alias("processed_at")
+    )
+    return dirty.unionByName(again)
+
+
+@register("quarantine")
+def q_quarantine(spark, sf_dir):
+    _, rejected = Q.quarantine(_dirty_posts(spark, sf_dir))
+    return rejected.select("tweet_id", "author", "sentiment", "processed_at", "reasons")
+
+
+@register("quarantine_valid")
+def q_quarantine_valid(spark, sf_dir):
+    valid, _ = Q.quarantine(_dirty_posts(spark, sf_dir))
+    return valid.groupBy("sentiment").agg(F.count(F.lit(1)).alias("n"), F.max("processed_at").alias("latest"))
+
+
+@register("table_counts")
+def q_table_counts(spark, sf_dir):
+    return TB.table_counts({t: table(spark, sf_dir, t) for t in TB.TEST_TABLES})
+
+
+@register("first_nonempty_source")
+def q_first_nonempty_source(spark, sf_dir):
+    p = posts(spark, sf_dir).select("tweet_id", "hashtags")
+    live = FL.tag_overlap(p, ["nosuchtag"])
+    cookie = FL.tag_overlap(p, ["click"])
+    return TB.first_nonempty([("live", live), ("twitter", cookie), ("mock", p)]).select("tweet_id", "source_used")
+
+
+# ================================================================ scoring
+
+
+def _en_docs(spark, sf_dir):
+    return FL.filter_text_lang(table(spark, sf_dir, "documents"), ["en"]).select("doc_id", "text")
+
+
+@register("corpus_lexicon")
+def q_corpus_lexicon(spark, sf_dir):
+    return SC.corpus_lexicon(_en_docs(spark, sf_dir), 500)
+
+
+@register("lexicon_score")
+def q_lexicon_score(spark, sf_dir):
+    docs = _en_docs(spark, sf_dir)
+    return SC.lexicon_score(docs, SC.corpus_lexicon(docs, 500), "doc_id")
+
+
+@register("score_and_label")
+def q_score_and_label(spark, sf_dir):
+    docs = _en_docs(spark, sf_dir)
+    s = SC.lexicon_score(docs, SC.corpus_lexicon(docs, 500), "doc_id")
+    return s.select("doc_id", "compound_score", X.label_expr("compound_score").alias("sentiment"))
+
+
+@register("lexicon_score_udf")
+def q_lexicon_score_udf(spark, sf_dir):
+    docs = _en_docs(spark, sf_dir)
+    score = SC.lexicon_score_udf(spark, SC.corpus_lexicon(docs, 500))
+    return docs.select("doc_id", score("text").alias("compound_score"))
+
+
+# ================================================================= merges
+
+
+def _base_and_batch(spark, sf_dir):
+    """Base = posts before t2; batch = posts from t1 re-scored (+1 h) plus a second,
+    later copy (+2 h, score 0) of the overlap [t1, t2), so the batch has conflicts,
+    new keys and in-batch duplicates."""
+    p = posts(spark, sf_dir)
+    t = as_of(p)
+    t1, t2 = t - X.interval("15 days"), t - X.interval("10 days")
+    base = p.filter(F.col("processed_at") < t2)
+    neg = F.lit(0.0) - F.col("compound_score")
+    upd = p.filter(F.col("processed_at") >= t1).withColumns(
+        {"compound_score": neg, "sentiment": X.label_expr(neg), "processed_at": F.col("processed_at") + X.interval("1 hour")}
+    )
+    again = (
+        p.filter((F.col("processed_at") >= t1) & (F.col("processed_at") < t2))
+        .withColumn("compound_score", F.lit(0.0))
+        .withColumn("sentiment", F.lit("neutral"))
+        .withColumn("processed_at", F.col("processed_at") + X.interval("2 hours"))
+    )
+    return p, base, upd.unionByName(again), t2
+
+
+@register("upsert_partial")
+def q_upsert_partial(spark, sf_dir):
+    _, base, batch, _ = _base_and_batch(spark, sf_dir)
+    return M.upsert_partial(base, batch)
+
+
+@register("insert_if_absent")
+def q_insert_if_absent(spark, sf_dir):
+    _, base, batch, _ = _base_and_batch(spark, sf_dir)
+    return M.insert_if_absent(base, batch)
+
+
+@register("rolling_upsert")
+def q_rolling_upsert(spark, sf_dir):
+    p, base, _, t2 = _base_and_batch(spark, sf_dir)
+    old = snapshot_series(base, "5 minutes", "1 minute")
+    recent = p.filter(F.col("processed_at") >= t2 - X.interval("1 day"))
+    new = snapshot_series(recent, "5 minutes", "1 minute").withColumn("computed_at", F.col("computed_at") + X.interval("1 minute"))
+    return M.snapshot_upsert(old, new)
+
+
+@register("refresh_per_minute")
+def q_refresh_per_minute(spark, sf_dir):
+    p, base, _, t2 = _base_and_batch(spark, sf_dir)
+    stored = M.series_partials(base)
+    delta = p.filter(F.col("processed_at") >= t2)
+    return M.finish_series(M.refresh_series(stored, delta))
+
+
+# =============================================================== keywords
+
+TRACKED = ["click", "error", "#Purchase", "k3", "nosuchkey"]
+BACKUPS = ["signup", "view", "click"]
+
+
+@register("keyword_activity")
+def q_keyword_activity(spark, sf_dir):
+    return KW.keyword_activity(posts(spark, sf_dir), KW.keyword_dim(spark, TRACKED))
+
+
+def _silent(spark, sf_dir):
+    p = posts(spark, sf_dir)
+    kw = KW.keyword_dim(spark, TRACKED)
+    act = KW.keyword_activity(p, kw)
+    started = p.select(F.min("processed_at")).scalar()
+    return KW.silent_keywords(act, kw, as_of(p), 60, connected_at=started)
+
+
+@register("silent_keywords")
+def q_silent_keywords(spark, sf_dir):
+    return _silent(spark, sf_dir)
+
+
+@register("rotation_plan")
+def q_rotation_plan(spark, sf_dir):
+    return KW.rotation_plan(_silent(spark, sf_dir), KW.keyword_dim(spark, BACKUPS), cursor=0)
+
+
+# ================================================================= health
+
+
+@register("freshness")
+def q_freshness(spark, sf_dir):
+    p = posts(spark, sf_dir)
+    return H.freshness(p, as_of(p), by=["author"], stale_seconds=3600)
+
+
+def _offsets(spark, sf_dir):
+    """Per topic partition (keyed by event type) offsets: high = rows, committed = rows older than 6 h."""
+    p = posts(spark, sf_dir)
+    t = as_of(p)
+    part = F.split("text", " ").getItem(0)
+    return p.groupBy(part.alias("partition")).agg(
+        F.lit(0).cast("bigint").alias("low"),
+        F.nullif(F.count_if(F.col("processed_at") < t - X.interval("6 hours")), F.lit(0)).alias("committed"),
+        F.count(F.lit(1)).alias("high"),
+    )
+
+
+@register("backlog_by_partition")
+def q_backlog_by_partition(spark, sf_dir):
+    return H.partition_lag(_offsets(spark, sf_dir))
+
+
+@register("backlog_total")
+def q_backlog_total(spark, sf_dir):
+    return H.backlog(_offsets(spark, sf_dir))
+
+
+@register("batch_throughput")
+def q_batch_throughput(spark, sf_dir):
+    p = posts(spark, sf_dir)
+    start = p.select(F.min("processed_at")).scalar()
+    batch = F.floor(F.timestamp_diff("MICROSECOND", start, F.col("processed_at")) / F.lit(3_600_000_000)).cast("bigint")
+    progress = p.groupBy(batch.alias("batch_id")).agg(F.count(F.lit(1)).alias("num_input_rows"))
+    return H.batch_throughput(progress, block_size=64)

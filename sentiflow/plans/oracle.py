@@ -262,3 +262,244 @@ sql(
        WHERE o.tweet_id NOT IN (SELECT tweet_id FROM posts WHERE processed_at >= {ASOF} - INTERVAL 1 HOUR))
      ORDER BY processed_at DESC, tweet_id DESC LIMIT 200""",
 )
+
+
+# ===================================================== front end (SRC, PRJ, SNK)
+ISO = "'%Y-%m-%dT%H:%M:%S.%f+00:00'"
+ETYPE = "split_part(text, ' ', 1)"
+
+sql(
+    "decode_json",
+    f"""SELECT tweet_id AS key, tweet_id AS id, text, author, author_followers, lang,
+       strftime(tweet_created_at, {ISO}) AS created_at, hashtags, retweet_count, like_count, source,
+       CAST(NULL AS VARCHAR) AS _corrupt_record
+     FROM posts
+     UNION ALL
+     SELECT 'c-' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR), NULL, NULL, NULL, NULL, NULL, NULL,
+       NULL, NULL, NULL, NULL, text
+     FROM conversations""",
+)
+sql(
+    "encode_json",
+    f"""SELECT tweet_id AS key,
+       CAST(to_json(struct_pack(id := tweet_id, text := text, author := author, author_followers := author_followers,
+         lang := lang, created_at := strftime(tweet_created_at, {ISO}), hashtags := hashtags,
+         retweet_count := retweet_count, like_count := like_count, source := source)) AS VARCHAR) AS value
+     FROM posts""",
+)
+sql(
+    "envelope_routes",
+    """SELECT route, count(*) AS n, count(*) FILTER (WHERE rate_limited) AS rate_limited FROM (
+       SELECT CASE WHEN role = 'user' AND text <> '' THEN 'publish' WHEN role = 'user' THEN 'empty'
+                   WHEN role = 'system' THEN 'error' ELSE 'ignored' END AS route,
+              COALESCE(role = 'system' AND contains(lower(text), 'rate limit'), false) AS rate_limited
+       FROM conversations
+       UNION ALL SELECT 'dropped', false FROM conversations)
+     GROUP BY route""",
+    posts=False,
+)
+sql(
+    "normalize_posts",
+    f"""SELECT tweet_id, tweet_id AS id, text,
+       CASE WHEN {ETYPE} = 'signup' THEN 'unknown' ELSE author END AS author,
+       CASE WHEN {ETYPE} = 'signup' THEN CAST(0 AS BIGINT) ELSE author_followers END AS author_followers,
+       lang,
+       COALESCE(strftime(tweet_created_at, {ISO}), strftime({ASOF}, {ISO})) AS created_at,
+       hashtags, retweet_count, like_count, 'twitterapi.io' AS source
+     FROM posts""",
+)
+sql(
+    "parse_created_at",
+    f"""SELECT tweet_id,
+       CASE WHEN starts_with(text, 'click') THEN strftime(tweet_created_at, '%a %b %d %H:%M:%S +0000 %Y')
+            ELSE strftime(tweet_created_at, {ISO}) END AS raw,
+       CASE WHEN starts_with(text, 'click') THEN date_trunc('second', tweet_created_at)
+            ELSE tweet_created_at END AS tweet_created_at
+     FROM posts WHERE tweet_created_at IS NOT NULL""",
+)
+sql(
+    "apply_defaults",
+    f"""SELECT tweet_id, text, author, tweet_created_at, compound_score, sentiment,
+       CAST(0 AS BIGINT) AS author_followers, 'en' AS lang, CAST([] AS VARCHAR[]) AS hashtags, 0 AS hashtag_count,
+       CAST(0 AS BIGINT) AS retweet_count, CAST(0 AS BIGINT) AS like_count, 'twitterapi.io' AS source,
+       {ASOF} AS processed_at
+     FROM posts""",
+)
+DIRTY = f""",
+dirty AS (
+  SELECT CASE WHEN {ETYPE} = 'view' AND retweet_count < 5 THEN NULL ELSE tweet_id END AS tweet_id, text,
+         CASE WHEN {ETYPE} = 'signup' AND retweet_count < 10 THEN NULL ELSE author END AS author,
+         compound_score,
+         CASE WHEN {ETYPE} = 'error' AND retweet_count < 5 THEN 'mixed' ELSE sentiment END AS sentiment,
+         processed_at
+  FROM posts
+  UNION ALL
+  SELECT tweet_id, text, author, compound_score, sentiment, processed_at + INTERVAL 1 MINUTE FROM posts WHERE retweet_count = 1
+),
+checked AS (
+  SELECT *, list_filter([
+      CASE WHEN tweet_id IS NULL THEN 'null_tweet_id' END, CASE WHEN text IS NULL THEN 'null_text' END,
+      CASE WHEN author IS NULL THEN 'null_author' END, CASE WHEN compound_score IS NULL THEN 'null_compound_score' END,
+      CASE WHEN sentiment IS NULL THEN 'null_sentiment' END,
+      CASE WHEN sentiment IS NOT NULL AND sentiment NOT IN ('positive', 'negative', 'neutral') THEN 'bad_sentiment' END
+    ], lambda x: x IS NOT NULL) AS r
+  FROM dirty
+),
+ranked AS (
+  SELECT *, CASE WHEN len(r) = 0 THEN row_number() OVER (PARTITION BY tweet_id, len(r) = 0 ORDER BY processed_at) END AS rn
+  FROM checked
+)
+"""
+ORACLE["quarantine"] = with_posts("").rstrip() + DIRTY + """
+SELECT tweet_id, author, sentiment, processed_at,
+       CASE WHEN rn > 1 THEN list_concat(r, ['duplicate_key']) ELSE r END AS reasons
+FROM ranked WHERE len(r) > 0 OR rn > 1"""
+ORACLE["quarantine_valid"] = with_posts("").rstrip() + DIRTY + """
+SELECT sentiment, count(*) AS n, max(processed_at) AS latest FROM ranked WHERE len(r) = 0 AND rn = 1 GROUP BY sentiment"""
+
+_TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+sql("table_counts", "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _TABLES), posts=False)
+sql(
+    "first_nonempty_source",
+    """SELECT tweet_id, source_used FROM (
+       SELECT tweet_id, 0 AS pr, 'live' AS source_used FROM posts WHERE list_has_any(hashtags, ['nosuchtag'])
+       UNION ALL SELECT tweet_id, 1, 'twitter' FROM posts WHERE list_has_any(hashtags, ['click'])
+       UNION ALL SELECT tweet_id, 2, 'mock' FROM posts) u
+     WHERE pr = (SELECT min(pr) FROM (
+       SELECT 0 AS pr FROM posts WHERE list_has_any(hashtags, ['nosuchtag'])
+       UNION ALL SELECT 1 FROM posts WHERE list_has_any(hashtags, ['click'])
+       UNION ALL SELECT 2 FROM posts))""",
+)
+
+# ================================================================ scoring
+LEX = """WITH toks AS (
+  SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS token
+  FROM documents WHERE text IS NOT NULL AND text <> '' AND lang IN ('en')
+),
+lex AS (
+  SELECT token, CAST((length(token) * 7 + ascii(token)) % 9 - 4 AS DOUBLE) AS valence
+  FROM (SELECT token, count(*) AS freq FROM toks WHERE token <> '' GROUP BY token ORDER BY freq DESC, token LIMIT 500)
+),
+sums AS (
+  SELECT t.doc_id, COALESCE(sum(l.valence), 0) AS s, count(l.valence) AS matched_tokens
+  FROM toks t LEFT JOIN lex l USING (token) GROUP BY t.doc_id
+),
+scored AS (SELECT doc_id, round(s / sqrt(s * s + 15), 4) AS compound_score, matched_tokens FROM sums)
+"""
+ORACLE["corpus_lexicon"] = LEX + "SELECT token, valence FROM lex"
+ORACLE["lexicon_score"] = LEX + "SELECT * FROM scored"
+ORACLE["score_and_label"] = LEX + """SELECT doc_id, compound_score,
+  CASE WHEN compound_score >= 0.05 THEN 'positive' WHEN compound_score <= -0.05 THEN 'negative' ELSE 'neutral' END AS sentiment
+FROM scored"""
+ORACLE["lexicon_score_udf"] = LEX + "SELECT doc_id, compound_score FROM scored"
+
+# ================================================================= merges
+LABEL_NEG = """CASE WHEN 0.0 - compound_score >= 0.05 THEN 'positive' WHEN 0.0 - compound_score <= -0.05 THEN 'negative'
+                    ELSE 'neutral' END"""
+MERGE_CTE = f""",
+b AS (SELECT t - INTERVAL 15 DAY AS t1, t - INTERVAL 10 DAY AS t2 FROM as_of),
+base AS (SELECT * FROM posts WHERE processed_at < (SELECT t2 FROM b)),
+batch AS (
+  SELECT * REPLACE (CAST(0.0 - compound_score AS DOUBLE) AS compound_score, {LABEL_NEG} AS sentiment,
+                    processed_at + INTERVAL 1 HOUR AS processed_at)
+  FROM posts WHERE processed_at >= (SELECT t1 FROM b)
+  UNION ALL
+  SELECT * REPLACE (CAST(0.0 AS DOUBLE) AS compound_score, 'neutral' AS sentiment, processed_at + INTERVAL 2 HOUR AS processed_at)
+  FROM posts WHERE processed_at >= (SELECT t1 FROM b) AND processed_at < (SELECT t2 FROM b)
+),
+u AS (SELECT *, 0 AS _src FROM base UNION ALL SELECT *, 1 AS _src FROM batch)
+"""
+ORACLE["upsert_partial"] = with_posts("").rstrip() + MERGE_CTE + """,
+i AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY _src, processed_at) = 1),
+m AS (SELECT tweet_id, compound_score, sentiment, processed_at FROM u
+      QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY _src DESC, processed_at DESC) = 1)
+SELECT i.* EXCLUDE (compound_score, sentiment, processed_at, _src), m.compound_score, m.sentiment, m.processed_at
+FROM i JOIN m USING (tweet_id)"""
+ORACLE["insert_if_absent"] = with_posts("").rstrip() + MERGE_CTE + """,
+f AS (SELECT * FROM batch QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY processed_at) = 1)
+SELECT * FROM base UNION ALL SELECT * FROM f WHERE tweet_id NOT IN (SELECT tweet_id FROM base)"""
+
+
+def sliding_from(src: str, width_min: int, slide_min: int, computed_shift: str = "") -> str:
+    n = width_min // slide_min
+    return f"""(
+  SELECT ws AS window_start, ws + INTERVAL {width_min} MINUTE AS window_end, sentiment,
+         count(*) AS tweet_count, {avg4('compound_score')} AS avg_compound,
+         ws + INTERVAL {width_min} MINUTE {computed_shift} AS computed_at
+  FROM (SELECT time_bucket(INTERVAL {slide_min} MINUTE, processed_at) - to_minutes({slide_min} * i) AS ws,
+               sentiment, compound_score
+        FROM {src}, range(0, {n}) r(i))
+  GROUP BY ws, sentiment)"""
+
+
+ORACLE["rolling_upsert"] = with_posts("").rstrip() + MERGE_CTE + f""",
+old AS {sliding_from('base', 5, 1)},
+new AS {sliding_from("(SELECT * FROM posts WHERE processed_at >= (SELECT t2 FROM b) - INTERVAL 1 DAY)", 5, 1, '+ INTERVAL 1 MINUTE')},
+su AS (SELECT *, 0 AS _src FROM old UNION ALL SELECT *, 1 AS _src FROM new)
+SELECT window_start, window_end, sentiment, tweet_count, avg_compound, computed_at FROM su
+QUALIFY row_number() OVER (PARTITION BY window_end, sentiment ORDER BY computed_at DESC, _src DESC) = 1"""
+ORACLE["refresh_per_minute"] = ORACLE["per_minute_series"]
+
+# =============================================================== keywords
+KW_VALUES = "(VALUES ('click', 0), ('error', 1), ('#Purchase', 2), ('k3', 3), ('nosuchkey', 4)) t(keyword, position)"
+NEEDLE = "regexp_replace(lower(kw.keyword), '^#+', '')"
+ACT = f""",
+kw AS (SELECT keyword, CAST(position AS INTEGER) AS position FROM {KW_VALUES}),
+act AS (
+  SELECT kw.keyword, max(p.processed_at) AS last_seen, count(*) AS matches
+  FROM kw JOIN posts p
+    ON list_contains(list_transform(p.hashtags, lambda h: lower(h)), {NEEDLE}) OR contains(lower(p.text), {NEEDLE})
+  GROUP BY kw.keyword
+),
+st AS (
+  SELECT kw.keyword, kw.position, CAST(COALESCE(a.matches, 0) AS BIGINT) AS matches,
+         greatest(COALESCE(a.last_seen, s.m), s.m) AS last_seen,
+         CAST(floor(date_diff('microsecond', greatest(COALESCE(a.last_seen, s.m), s.m), (SELECT t FROM as_of)) / 1000000) AS BIGINT)
+           AS idle_seconds
+  FROM kw LEFT JOIN act a USING (keyword), (SELECT min(processed_at) AS m FROM posts) s
+)
+"""
+ORACLE["keyword_activity"] = with_posts("").rstrip() + ACT + "SELECT * FROM act"
+ORACLE["silent_keywords"] = with_posts("").rstrip() + ACT + "SELECT *, idle_seconds >= 60 AS silent FROM st"
+ORACLE["rotation_plan"] = with_posts("").rstrip() + ACT + """,
+ss AS (SELECT *, idle_seconds >= 60 AS silent FROM st),
+bk AS (SELECT * FROM (VALUES ('signup', 0), ('view', 1), ('click', 2)) t(candidate, bpos)),
+el AS (SELECT candidate, row_number() OVER (ORDER BY ((bpos - 0) % 3 + 3) % 3) - 1 AS r
+       FROM bk WHERE candidate NOT IN (SELECT keyword FROM ss)),
+ne AS (SELECT count(*) AS n FROM el),
+sl AS (SELECT position, row_number() OVER (ORDER BY position) - 1 AS j FROM ss WHERE silent),
+sw AS (SELECT sl.position, el.candidate AS replacement
+       FROM sl CROSS JOIN ne LEFT JOIN el ON ne.n > 0 AND el.r = sl.j % ne.n)
+SELECT ss.position, ss.keyword, sw.replacement, COALESCE(sw.replacement, ss.keyword) AS new_keyword
+FROM ss LEFT JOIN sw USING (position)"""
+
+# ================================================================= health
+sql(
+    "freshness",
+    f"""SELECT author, max(processed_at) AS last_activity,
+       CAST(date_diff('microsecond', max(processed_at), {ASOF}) AS DOUBLE) / 1000000 AS age_seconds,
+       COALESCE(CAST(date_diff('microsecond', max(processed_at), {ASOF}) AS DOUBLE) / 1000000 < 3600, false) AS healthy
+     FROM posts GROUP BY author""",
+)
+OFFSETS = f""",
+off AS (
+  SELECT {ETYPE} AS "partition", CAST(0 AS BIGINT) AS low,
+         NULLIF(count(*) FILTER (WHERE processed_at < {ASOF} - INTERVAL 6 HOUR), 0) AS committed,
+         count(*) AS high
+  FROM posts GROUP BY 1
+),
+lagged AS (
+  SELECT *, CAST(greatest(0, high - CASE WHEN committed IS NULL OR committed < 0 THEN low ELSE committed END) AS BIGINT) AS lag
+  FROM off
+)
+"""
+ORACLE["backlog_by_partition"] = with_posts("").rstrip() + OFFSETS + "SELECT * FROM lagged"
+ORACLE["backlog_total"] = with_posts("").rstrip() + OFFSETS + """SELECT count(*) AS partitions,
+  CAST(sum(lag) AS BIGINT) AS total_lag, CAST(sum(lag) AS BIGINT) < 5000 AS healthy FROM lagged"""
+sql(
+    "batch_throughput",
+    """SELECT batch_id, num_input_rows, CAST(sum(num_input_rows) OVER (ORDER BY batch_id) AS BIGINT) AS cumulative_rows
+     FROM (SELECT CAST(floor(date_diff('microsecond', (SELECT min(processed_at) FROM posts), processed_at) / 3600000000) AS BIGINT)
+                    AS batch_id, count(*) AS num_input_rows
+           FROM posts GROUP BY 1)""",
+)

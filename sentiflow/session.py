@@ -36,7 +36,11 @@ def build_session(
     On a cluster pass ``master=None`` and let spark-submit decide; size
     ``shuffle_partitions`` to the data (AQE coalesces small ones).
     """
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (
+        SparkSession.builder.appName(app_name)
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+    )
     if master:
         builder = builder.master(master)
     for key, value in {**SCALE_CONF, **RESULT_CONF}.items():
