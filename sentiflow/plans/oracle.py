@@ -503,3 +503,18 @@ sql(
                     AS batch_id, count(*) AS num_input_rows
            FROM posts GROUP BY 1)""",
 )
+
+# ============================================================== streaming
+# Windowed streams emit a window once the watermark (max event time - 10 min) passes its end.
+WM = f"({ASOF} - INTERVAL 10 MINUTE)"
+sql("stream_ingest", "SELECT * FROM posts")
+sql("stream_dedup", "SELECT tweet_id, processed_at FROM posts")
+ORACLE["sliding_window_sentiment"] = (
+    with_posts("").rstrip() + f""", snaps AS {sliding_from('posts', 5, 1)}
+SELECT * FROM snaps WHERE window_end <= {WM}"""
+)
+sql(
+    "stream_per_minute",
+    f"""SELECT * FROM ({series_sql("minute", avg8("compound_score"))}) s
+     WHERE bucket + INTERVAL 1 MINUTE <= {WM}""",
+)
