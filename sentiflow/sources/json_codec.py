@@ -30,8 +30,9 @@ def decode_json(
     """Parse a (binary or string) JSON column with a fixed schema and flatten it.
 
     Malformed records become all-NULL rows; with ``corrupt_col`` the raw text
-    of such records is kept in that column (NULL for good records). Field-level
-    type errors (e.g. a string in a bigint field) null only that field.
+    of such records is kept in that column (NULL for good records). A
+    field-level type error (e.g. a string in a bigint field) nulls only that
+    field, keeps the siblings, and also flags the raw record in ``corrupt_col``.
     """
     keep = keep or []
     text = F.col(value_col).cast("string")
