@@ -11,16 +11,23 @@ from pyspark.sql import functions as F
 from sentiflow.schema import NEGATIVE_THRESHOLD, POSITIVE_THRESHOLD, SENTIMENT_CLASSES
 
 
+def ts_literal(value: _dt.datetime | str | None) -> Column:
+    """A ``timestamp_ntz`` literal built from ISO text, independent of the driver's time zone."""
+    if value is None:
+        return F.lit(None).cast("timestamp_ntz")
+    if isinstance(value, _dt.datetime):
+        value = value.replace(tzinfo=None).isoformat(sep=" ")
+    return F.lit(value).cast("timestamp_ntz")
+
+
 def as_column(value) -> Column:
     """Literal, datetime, SQL string in ``expr:`` form or Column -> Column."""
     if isinstance(value, Column):
         return value
     if isinstance(value, str) and value.startswith("expr:"):
         return F.expr(value[5:])
-    if isinstance(value, str):
-        return F.lit(value).cast("timestamp_ntz")
-    if isinstance(value, _dt.datetime):
-        return F.lit(value.replace(tzinfo=None)).cast("timestamp_ntz")
+    if isinstance(value, (str, _dt.datetime)):
+        return ts_literal(value)
     return F.lit(value)
 
 

@@ -50,11 +50,17 @@ def lexicon_score(
     token_col: str = "token",
     valence_col: str = "valence",
     broadcast_bound: int = MAX_BROADCAST_LEXICON,
+    max_rows: int | None = None,
 ) -> DataFrame:
-    """``(id, compound_score, matched_tokens)`` for every row of ``df`` (NULL text scores 0.0)."""
+    """``(id, compound_score, matched_tokens)`` for every row of ``df`` (NULL text scores 0.0).
+
+    ``max_rows`` is a known upper bound of the lexicon's size (e.g. a top-N
+    lexicon); without it the size is checked with a count job.
+    """
     lex = lexicon.select(F.col(token_col).alias("_tok"), F.col(valence_col).cast("decimal(18,6)").alias("_val"))
-    # Size check (one small aggregate job) before choosing a broadcast join.
-    small = lexicon.count() <= broadcast_bound
+    # Size check before choosing a broadcast join.
+    size = max_rows if max_rows is not None else lexicon.count()
+    small = size <= broadcast_bound
     lex = F.broadcast(lex) if small else lex
     exploded = df.select(F.col(id_col), F.explode_outer(tokens(text_col)).alias("_tok"))
     joined = exploded.join(lex, "_tok", "left")
@@ -91,11 +97,14 @@ def round_half_up(x: float, digits: int) -> float:
 
 
 def lexicon_score_udf(spark, lexicon: DataFrame, token_col: str = "token", valence_col: str = "valence", bound: int = 200_000):
-    """Build a row-local scoring ``pandas_udf`` from a lexicon table of checked size."""
-    n = lexicon.count()
-    if n > bound:
-        raise ValueError(f"lexicon has {n} entries, above the broadcast bound {bound}; use lexicon_score()")
-    rows = lexicon.select(token_col, F.col(valence_col).cast("double")).collect()
+    """Build a row-local scoring ``pandas_udf`` from a lexicon table of checked size.
+
+    At most ``bound + 1`` rows are fetched, so an oversized lexicon is refused
+    without pulling it to the driver.
+    """
+    rows = lexicon.select(token_col, F.col(valence_col).cast("double")).limit(bound + 1).collect()
+    if len(rows) > bound:
+        raise ValueError(f"lexicon has more than {bound} entries; use lexicon_score()")
     bc = spark.sparkContext.broadcast({r[0]: r[1] for r in rows})
 
     @F.pandas_udf(T.DoubleType())

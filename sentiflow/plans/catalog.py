@@ -380,13 +380,13 @@ def q_corpus_lexicon(spark, sf_dir):
 @register("lexicon_score")
 def q_lexicon_score(spark, sf_dir):
     docs = _en_docs(spark, sf_dir)
-    return SC.lexicon_score(docs, SC.corpus_lexicon(docs, 500), "doc_id")
+    return SC.lexicon_score(docs, SC.corpus_lexicon(docs, 500), "doc_id", max_rows=500)
 
 
 @register("score_and_label")
 def q_score_and_label(spark, sf_dir):
     docs = _en_docs(spark, sf_dir)
-    s = SC.lexicon_score(docs, SC.corpus_lexicon(docs, 500), "doc_id")
+    s = SC.lexicon_score(docs, SC.corpus_lexicon(docs, 500), "doc_id", max_rows=500)
     return s.select("doc_id", "compound_score", X.label_expr("compound_score").alias("sentiment"))
 
 

@@ -18,6 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sentiflow.functions.expressions import ts_literal
 from sentiflow.operators.aggregates import rolling_snapshot
 from sentiflow.operators.merge import current_from_log, snapshot_upsert
 from sentiflow.operators.quality import quarantine
@@ -74,7 +75,7 @@ class PostsLogSink:
         spark = posts.sparkSession
         log = spark.read.parquet(f"{self.root}/posts_log")
         if self.as_of == "max":
-            clock = F.lit(valid.agg(F.max("processed_at")).first()[0]).cast("timestamp_ntz")
+            clock = ts_literal(valid.agg(F.max("processed_at")).first()[0])
         else:
             clock = F.current_timestamp().cast("timestamp_ntz")
         # Only versions inside the window are merged (batch_id prunes partitions, the time
