@@ -517,3 +517,11 @@ def q_batch_throughput(spark, sf_dir):
     batch = F.floor(F.timestamp_diff("MICROSECOND", start, F.col("processed_at")) / F.lit(3_600_000_000)).cast("bigint")
     progress = p.groupBy(batch.alias("batch_id")).agg(F.count(F.lit(1)).alias("num_input_rows"))
     return H.batch_throughput(progress, block_size=64)
+
+
+@register("rule_score")
+def q_rule_score(spark, sf_dir):
+    from sentiflow.functions.rules import rule_score
+
+    docs = _en_docs(spark, sf_dir)
+    return rule_score(docs, SC.corpus_lexicon(docs, 500), "doc_id", max_rows=500)

@@ -1,4 +1,3 @@
-import datetime as dt
 import json
 
 from pyspark.sql import functions as F
@@ -77,4 +76,3 @@ def test_first_nonempty_and_ensure_column(spark):
     d = TB.ensure_column(b, "y", F.lit(1))
     assert TB.ensure_column(d, "y", F.lit(2)).first()["y"] == 1
     assert TB.column_status(d, ["y", "z"]) == [("y", "EXISTS"), ("z", "MISSING")]
-    assert dt.datetime  # keep import used
