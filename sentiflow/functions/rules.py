@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentiflow.functions.scoring import MAX_BROADCAST_LEXICON
+from sentiflow.functions.scoring import MAX_BROADCAST_LEXICON, pin_lexicon
 
 
 # Fixed values (public rule set; configurable): constants and word lists.
@@ -91,14 +91,17 @@ def rule_score(
     id_col: str,
     text_col: str = "text",
     params: RuleParams = DEFAULT_PARAMS,
-    max_rows: int | None = None,
     broadcast_bound: int = MAX_BROADCAST_LEXICON,
 ) -> DataFrame:
-    """``(id, compound_score)`` for every row of ``df`` with the full rule set."""
+    """``(id, compound_score)`` for every row of ``df`` with the full rule set.
+
+    The lexicon feeds four joins; one size-checked fetch pins it so it is
+    neither recomputed per join nor broadcast above ``broadcast_bound`` rows.
+    """
     p = params
-    size = max_rows if max_rows is not None else lexicon.count()
+    lexicon, small = pin_lexicon(lexicon.select("token", "valence"), broadcast_bound)
     lex = lexicon.select(F.lower("token").alias("token"), F.col("valence").cast("double").alias("valence"))
-    bc = F.broadcast if size <= broadcast_bound else (lambda d: d)
+    bc = F.broadcast if small else (lambda d: d)
 
     text = F.coalesce(F.col(text_col), F.lit(""))
 
@@ -119,54 +122,66 @@ def rule_score(
         (F.exists("_w", _is_caps) & F.exists("_w", lambda w: ~_is_caps(w))).alias("_mixed"),
     )
 
-    # posexplode positions are 0-based; element_at is 1-based, so word k back is element_at(arr, pos + 1 - k).
-    tok = base.select("_id", "_w", "_lw", "_mixed", F.posexplode("_lw").alias("_pos", "_lwi"))
-    tok = tok.select(
-        "_id", "_mixed", "_pos", "_lwi",
-        F.array_position("_lw", "but").alias("_but"),
-        F.element_at("_w", F.col("_pos") + 1).alias("_wi"),
-        F.when(F.col("_pos") + 2 <= F.size("_lw"), F.element_at("_lw", F.col("_pos") + 2)).alias("_next"),
-        *[F.when(F.col("_pos") >= k, F.element_at("_lw", F.col("_pos") + 1 - k)).alias(f"_p{k}") for k in (1, 2, 3)],
-        *[F.when(F.col("_pos") >= k, F.element_at("_w", F.col("_pos") + 1 - k)).alias(f"_o{k}") for k in (1, 2, 3)],
+    # Neighbour words as whole shifted arrays (slice/concat), zipped and exploded once:
+    # linear per text even where the optimizer inlines the word arrays into each use.
+    n = F.size("_lw")
+
+    def back(arr: str, k: int) -> Column:
+        pad = F.array_repeat(F.lit(None).cast("string"), F.least(F.lit(k), n))
+        return F.concat(pad, F.slice(arr, 1, F.greatest(n - F.lit(k), F.lit(0))))
+
+    shifted = base.select(
+        "_id", "_mixed", F.array_position("_lw", "but").alias("_but"),
+        F.col("_lw").alias("_lwi"), F.col("_w").alias("_wi"),
+        F.concat(F.slice("_lw", 2, F.greatest(n - F.lit(1), F.lit(0))), F.array(F.lit(None).cast("string"))).alias("_next"),
+        *[back("_lw", k).alias(f"_p{k}") for k in (1, 2, 3)],
+        *[back("_w", k).alias(f"_o{k}") for k in (1, 2, 3)],
     )
+    zipped = F.arrays_zip(*[F.col(c) for c in ("_lwi", "_wi", "_next", "_p1", "_p2", "_p3", "_o1", "_o2", "_o3")])
+    tok = shifted.select("_id", "_mixed", "_but", F.posexplode(zipped).alias("_pos", "_c")).select(
+        "_id", "_mixed", "_but", "_pos", "_c.*"
+    ).filter(F.col("_lwi").isNotNull())
     hit = tok.join(bc(lex.withColumnRenamed("token", "_lwi")), "_lwi", "inner")
     for k in (1, 2, 3):
         flag = lex.select(F.col("token").alias(f"_p{k}"), F.lit(True).alias(f"_in{k}"))
         hit = hit.join(bc(flag), f"_p{k}", "left")
 
+    # Adjusted valence = (valence + caps + boosters) * negation and contrast factors. Each
+    # rule is its own term, so the expression stays linear in size (no nested re-use).
     v = F.col("valence")
     sign = F.signum(v)
-    caps = F.when(_is_caps(F.col("_wi")) & F.col("_mixed"), sign * F.lit(p.caps_increment)).otherwise(F.lit(0.0))
-    adjusted = v + caps
+    zero, one = F.lit(0.0), F.lit(1.0)
+    caps = F.when(_is_caps(F.col("_wi")) & F.col("_mixed"), sign * F.lit(p.caps_increment)).otherwise(zero)
     damp = {1: 1.0, 2: 0.95, 3: 0.9}
+    boost_terms = []
     for k in (1, 2, 3):
         pk, ok = F.col(f"_p{k}"), F.col(f"_o{k}")
-        scalar = _booster(pk, p) * sign
-        scalar = scalar + F.when(_is_caps(ok) & F.col("_mixed"), sign * F.lit(p.caps_increment)).otherwise(F.lit(0.0))
+        scalar = _booster(pk, p) * sign + F.when(_is_caps(ok) & F.col("_mixed"), sign * F.lit(p.caps_increment)).otherwise(zero)
         applies = pk.isNotNull() & F.col(f"_in{k}").isNull() & _booster(pk, p).isNotNull()
-        adjusted = adjusted + F.when(applies, scalar * F.lit(damp[k])).otherwise(F.lit(0.0))
+        boost_terms.append(F.when(applies, scalar * F.lit(damp[k])).otherwise(zero))
     p1, p2, p3 = F.col("_p1"), F.col("_p2"), F.col("_p3")
     so_this = ["so", "this"]
     neg = F.lit(p.negation_scalar)
-    adjusted = F.when(_negated(p1, p) & F.col("_in1").isNull(), adjusted * neg).otherwise(adjusted)
-    adjusted = (
-        F.when((p2 == "never") & p1.isin(so_this), adjusted * F.lit(p.never_so_scalar))
-        .when(_negated(p2, p) & F.col("_in2").isNull(), adjusted * neg)
-        .otherwise(adjusted)
+    f1 = F.when(_negated(p1, p) & F.col("_in1").isNull(), neg).otherwise(one)
+    f2 = (
+        F.when((p2 == "never") & p1.isin(so_this), F.lit(p.never_so_scalar))
+        .when(_negated(p2, p) & F.col("_in2").isNull(), neg)
+        .otherwise(one)
     )
-    adjusted = (
-        F.when((p3 == "never") & (p2.isin(so_this) | p1.isin(so_this)), adjusted * F.lit(p.never_so_scalar))
-        .when(_negated(p3, p) & F.col("_in3").isNull(), adjusted * neg)
-        .otherwise(adjusted)
+    f3 = (
+        F.when((p3 == "never") & (p2.isin(so_this) | p1.isin(so_this)), F.lit(p.never_so_scalar))
+        .when(_negated(p3, p) & F.col("_in3").isNull(), neg)
+        .otherwise(one)
     )
     least = (p1 == "least") & F.col("_in1").isNull() & ~F.coalesce(p2.isin(["at", "very"]), F.lit(False))
-    adjusted = F.when(least, adjusted * neg).otherwise(adjusted)
+    f_least = F.when(least, neg).otherwise(one)
     position = F.col("_pos") + 1
-    adjusted = (
-        F.when((F.col("_but") > 0) & (position < F.col("_but")), adjusted * F.lit(p.but_before))
-        .when((F.col("_but") > 0) & (position > F.col("_but")), adjusted * F.lit(p.but_after))
-        .otherwise(adjusted)
+    f_but = (
+        F.when((F.col("_but") > 0) & (position < F.col("_but")), F.lit(p.but_before))
+        .when((F.col("_but") > 0) & (position > F.col("_but")), F.lit(p.but_after))
+        .otherwise(one)
     )
+    adjusted = (v + caps + boost_terms[0] + boost_terms[1] + boost_terms[2]) * f1 * f2 * f3 * f_least * f_but
     # A booster word, or "kind" in "kind of", carries no valence of its own.
     silent = F.col("_lwi").isin(list(p.boosters_up) + list(p.boosters_down)) | ((F.col("_lwi") == "kind") & (F.col("_next") == "of"))
     contrib = hit.select(F.col("_id"), F.when(silent, F.lit(0.0)).otherwise(adjusted).alias("_v"),

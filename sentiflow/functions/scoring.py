@@ -42,6 +42,19 @@ def compound_from_sum(s: Column) -> Column:
     return F.round(sd / F.sqrt(sd * sd + F.lit(ALPHA)), 4)
 
 
+def pin_lexicon(lexicon: DataFrame, bound: int = MAX_BROADCAST_LEXICON) -> tuple[DataFrame, bool]:
+    """Fetch a lexicon of at most ``bound`` rows once and pin it as a local relation.
+
+    Returns ``(lexicon, small)``. A pinned lexicon is broadcast without being
+    recomputed per join; at most ``bound + 1`` rows are fetched, so an
+    oversized lexicon stays distributed (``small=False``) and is shuffle-joined.
+    """
+    rows = lexicon.limit(bound + 1).collect()
+    if len(rows) > bound:
+        return lexicon, False
+    return lexicon.sparkSession.createDataFrame(rows, lexicon.schema), True
+
+
 def lexicon_score(
     df: DataFrame,
     lexicon: DataFrame,

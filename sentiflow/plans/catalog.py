@@ -524,4 +524,62 @@ def q_rule_score(spark, sf_dir):
     from sentiflow.functions.rules import rule_score
 
     docs = _en_docs(spark, sf_dir)
-    return rule_score(docs, SC.corpus_lexicon(docs, 500), "doc_id", max_rows=500)
+    return rule_score(docs, SC.corpus_lexicon(docs, 500), "doc_id")
+
+
+def _rest_raw(spark, sf_dir):
+    """REST-shaped raw posts derived from events: empty ids, author object vs user object,
+    zero follower counts, both date spellings, hashtag objects mixed with plain strings."""
+    p = posts(spark, sf_dir).withColumn("_etype", F.split("text", " ").getItem(0))
+    et = F.col("_etype")
+    iso = F.date_format("tweet_created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    # First tag as an object {text}, second as a plain string (variant values keep both JSON shapes).
+    tags = F.when(
+        F.size("hashtags") > 0,
+        F.array(
+            F.parse_json(F.to_json(F.struct(F.element_at("hashtags", 1).alias("text")))),
+            F.parse_json(F.concat(F.lit('"'), F.element_at("hashtags", 2), F.lit('"'))),
+        ),
+    )
+    raw = F.struct(
+        F.when(et == "view", F.lit("")).otherwise(F.col("tweet_id")).alias("id"),
+        F.col("tweet_id").alias("id_str"),
+        F.col("text"),
+        F.when(et != "signup", F.struct(F.col("author").alias("userName"),
+                                        F.when(et == "purchase", F.lit(0).cast("bigint")).otherwise(F.col("author_followers")).alias("followers"))).alias("author"),
+        F.when(et != "signup", F.struct(F.col("author").alias("screen_name"), F.col("author_followers").alias("followers_count"))).alias("user"),
+        F.col("lang"),
+        F.when(et != "click", iso).alias("createdAt"),
+        F.when(et == "click", iso).alias("created_at"),
+        F.when(tags.isNotNull(), F.struct(tags.alias("hashtags"))).alias("entities"),
+        F.when(et == "error", F.col("retweet_count")).alias("retweetCount"),
+        F.when(et != "error", F.col("retweet_count")).alias("retweet_count"),
+        F.when(et == "view", F.col("like_count")).alias("likeCount"),
+        F.when(et != "view", F.col("like_count")).alias("favorite_count"),
+    )
+    return p, p.select("tweet_id", F.to_json(raw).alias("value"))
+
+
+@register("normalize_rest")
+def q_normalize_rest(spark, sf_dir):
+    p, raw = _rest_raw(spark, sf_dir)
+    return N.normalize_posts(raw, "rest", as_of(p), keep=["tweet_id"])
+
+
+@register("normalize_scrape")
+def q_normalize_scrape(spark, sf_dir):
+    p = posts(spark, sf_dir).withColumn("_etype", F.split("text", " ").getItem(0))
+    et = F.col("_etype")
+    raw = F.struct(
+        F.col("tweet_id").alias("id"),
+        F.col("text"),
+        F.when(et == "signup", F.lit("")).otherwise(F.col("author")).alias("username"),
+        F.col("author_followers").alias("followersCount"),
+        F.when(et != "error", F.col("lang")).alias("lang"),
+        F.date_format("tweet_created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("timeParsed"),
+        F.when(F.size("hashtags") > 0, F.col("hashtags")).alias("hashtags"),
+        F.col("retweet_count").alias("retweetCount"),
+        F.col("like_count").alias("likeCount"),
+    )
+    raw_df = p.select("tweet_id", F.to_json(raw).alias("value"))
+    return N.normalize_posts(raw_df, "scrape", as_of(p), keep=["tweet_id"])

@@ -518,3 +518,15 @@ sql(
     f"""SELECT * FROM ({series_sql("minute", avg8("compound_score"))}) s
      WHERE bucket + INTERVAL 1 MINUTE <= {WM}""",
 )
+
+# REST shape: same expected payload as the websocket shape.
+ORACLE["normalize_rest"] = ORACLE["normalize_posts"]
+sql(
+    "normalize_scrape",
+    f"""SELECT tweet_id, tweet_id AS id, text,
+       CASE WHEN {ETYPE} = 'signup' THEN 'unknown' ELSE author END AS author,
+       author_followers, lang,
+       COALESCE(strftime(tweet_created_at, {ISO}), strftime({ASOF}, {ISO})) AS created_at,
+       hashtags, retweet_count, like_count, 'twitter' AS source
+     FROM posts""",
+)
