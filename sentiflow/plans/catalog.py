@@ -583,3 +583,11 @@ def q_normalize_scrape(spark, sf_dir):
     )
     raw_df = p.select("tweet_id", F.to_json(raw).alias("value"))
     return N.normalize_posts(raw_df, "scrape", as_of(p), keep=["tweet_id"])
+
+
+@register("stats_bundle_json")
+def q_stats_bundle_json(spark, sf_dir):
+    from sentiflow.plans.bundles import bundle_json, stats_bundle
+
+    p = posts(spark, sf_dir)
+    return bundle_json(stats_bundle(p, snapshot_series(p, "5 minutes", "1 minute"), as_of(p), 60))

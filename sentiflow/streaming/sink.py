@@ -101,3 +101,31 @@ def current_snapshots(spark: SparkSession, root: str) -> DataFrame:
     snaps = spark.read.parquet(f"{root.rstrip('/')}/snapshots").drop("batch_id")
     empty = snaps.limit(0)
     return snapshot_upsert(empty, snaps)
+
+
+def publish_json(df: DataFrame, key_col: str = "id", fmt: str = "kafka", path: str | None = None, **options) -> None:
+    """Keyed JSON publish (batch): ``key`` = id string, ``value`` = JSON with non-ASCII kept.
+
+    ``fmt="kafka"`` needs the Kafka connector and options such as
+    ``kafka.bootstrap.servers``, ``topic``, ``kafka.acks=all``,
+    ``kafka.compression.type=snappy``, ``kafka.linger.ms=20``; any other format
+    (``json``, ``text``, ``parquet``) writes the same ``(key, value)`` rows to ``path``.
+    """
+    from sentiflow.sources.json_codec import encode_json
+
+    out = encode_json(df, key_col)
+    writer = out.write.format(fmt).options(**options)
+    if fmt == "kafka":
+        writer.save()
+    else:
+        writer.mode("append").save(path)
+
+
+def publish_json_stream(df: DataFrame, checkpoint: str, key_col: str = "id", fmt: str = "kafka", path: str | None = None, **options):
+    """Streaming twin of :func:`publish_json`; returns the started query."""
+    from sentiflow.sources.json_codec import encode_json
+
+    w = encode_json(df, key_col).writeStream.format(fmt).option("checkpointLocation", checkpoint).options(**options)
+    if path:
+        w = w.option("path", path)
+    return w.start()
