@@ -591,3 +591,20 @@ def q_stats_bundle_json(spark, sf_dir):
 
     p = posts(spark, sf_dir)
     return bundle_json(stats_bundle(p, snapshot_series(p, "5 minutes", "1 minute"), as_of(p), 60))
+
+
+@register("parse_tag_list")
+def q_parse_tag_list(spark, sf_dir):
+    """Request-parameter parsing over strings built from every event: tag lists with
+    '#', blanks and empty items, and limit strings with junk suffixes or none."""
+    ev = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    raw_tags = F.concat(F.lit(" #"), F.col("event_type"), F.lit(" ,k"), (k % 10).cast("string"), F.lit(",, ##x,#"))
+    raw_limit = F.when(F.col("event_type") == "view", F.lit("abc")).otherwise(
+        F.concat((k * 3).cast("string"), F.when(F.col("event_type") == "click", F.lit("px")).otherwise(F.lit("")))
+    )
+    return ev.select(
+        F.col("event_id"),
+        X.parse_tag_list(raw_tags).alias("tags"),
+        X.clamp_int(raw_limit, 50, 200).alias("limit_value"),
+    )

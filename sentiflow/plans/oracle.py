@@ -530,3 +530,15 @@ sql(
        hashtags, retweet_count, like_count, 'twitter' AS source
      FROM posts""",
 )
+
+sql(
+    "parse_tag_list",
+    """SELECT event_id,
+       list_filter(list_transform(string_split(' #' || event_type || ' ,k' || CAST(k % 10 AS VARCHAR) || ',, ##x,#', ','),
+                                  lambda x: regexp_replace(trim(x), '^#', '')), lambda x: x <> '') AS tags,
+       least(COALESCE(TRY_CAST(regexp_extract(trim(
+               CASE WHEN event_type = 'view' THEN 'abc'
+                    ELSE CAST(k * 3 AS VARCHAR) || CASE WHEN event_type = 'click' THEN 'px' ELSE '' END END),
+             '^[+-]?[0-9]+', 0) AS INTEGER), 50), 200) AS limit_value
+     FROM ev""",
+)

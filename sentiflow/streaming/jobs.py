@@ -115,8 +115,16 @@ def stream_per_bucket(df: DataFrame, unit: str = "1 minute", ts_col: str = "proc
     )
 
 
-def keyword_match_stream(posts: DataFrame, keywords: DataFrame) -> DataFrame:
-    """Stream-static join of posts with a small, static keyword table -> ``(keyword, processed_at)``."""
+def keyword_match_stream(posts: DataFrame, keywords: DataFrame, bound: int = 10_000) -> DataFrame:
+    """Stream-static join of posts with a small, static keyword table -> ``(keyword, processed_at)``.
+
+    The match predicate is not an equi-join, so the keyword side must be broadcast;
+    its size is checked and a larger table is refused (use the batch
+    ``keyword_activity`` shuffle path per micro-batch instead).
+    """
+    n = keywords.limit(bound + 1).count()
+    if n > bound:
+        raise ValueError(f"keyword table has more than {bound} rows; too large to broadcast into a stream")
     kw = keywords.select("keyword", keyword_needle("keyword").alias("needle"))
     return posts.join(F.broadcast(kw), keyword_hits(F.col("needle"), "hashtags", "text")).select("keyword", "processed_at")
 
