@@ -111,13 +111,8 @@ def rule_score(
         return F.when(F.length(stripped) <= 2, t).otherwise(stripped)
 
     words = F.filter(F.transform(F.split(F.trim(text), r"\s+"), strip_word), lambda t: F.length(t) > 1)
-    base = df.select(
-        F.col(id_col).alias("_id"),
-        words.alias("_w"),
-        F.least(F.length(text) - F.length(F.regexp_replace(text, "!", "")), F.lit(p.exclamation_max)).alias("_excl"),
-        (F.length(text) - F.length(F.regexp_replace(text, r"\?", ""))).alias("_ques"),
-    ).select(
-        "_id", "_w", "_excl", "_ques",
+    base = df.select(F.col(id_col).alias("_id"), words.alias("_w")).select(
+        "_id", "_w",
         F.transform("_w", lambda w: F.lower(w)).alias("_lw"),
         (F.exists("_w", _is_caps) & F.exists("_w", lambda w: ~_is_caps(w))).alias("_mixed"),
     )
@@ -187,7 +182,13 @@ def rule_score(
     contrib = hit.select(F.col("_id"), F.when(silent, F.lit(0.0)).otherwise(adjusted).alias("_v"),
                          F.lit(None).cast("int").alias("_excl"), F.lit(None).cast("int").alias("_ques"))
 
-    zero = base.select("_id", F.lit(0.0).alias("_v"), "_excl", "_ques")
+    # One zero row per text (texts without lexicon words still get a score); needs no word split.
+    zero = df.select(
+        F.col(id_col).alias("_id"),
+        F.lit(0.0).alias("_v"),
+        F.least(F.length(text) - F.length(F.regexp_replace(text, "!", "")), F.lit(p.exclamation_max)).alias("_excl"),
+        (F.length(text) - F.length(F.regexp_replace(text, r"\?", ""))).alias("_ques"),
+    )
     agg = zero.unionByName(contrib).groupBy("_id").agg(
         F.sum(F.col("_v").cast("decimal(20,9)")).cast("double").alias("_s"),
         F.max("_excl").alias("_excl"),

@@ -94,29 +94,25 @@ def violations(key: str = "tweet_id") -> Column:
 def quarantine(df: DataFrame, key: str = "tweet_id", order: str = "processed_at") -> tuple[DataFrame, DataFrame]:
     """Split rows into ``(valid, rejected)``; rejected rows carry a ``reasons`` array.
 
-    Row-level checks (NOT NULL, class enum) are projections. Key uniqueness
-    is a ``groupBy(key)`` count joined back (partial aggregation keeps a hot
-    key cheap); the first row per key (smallest ``order``, then smallest row
-    content) stays valid and later copies get ``duplicate_key``.
+    Row-level checks (NOT NULL, class enum) are projections. Key uniqueness:
+    among rows passing them, the first row per key (smallest ``order``, then
+    smallest row content) is the valid one, taken by ``groupBy(key)`` with a
+    map-side partial ``min``; every other row -- including exact copies of
+    the winner -- is a ``duplicate_key`` reject, found with ``exceptAll``
+    (a multiset difference, also partially aggregated). A key or a record
+    repeated across a third of the rows collapses map-side in both steps, and
+    no join back to the input is needed.
     """
+    cols = df.columns
     checked = df.withColumn("reasons", violations(key))
-    ranked = checked.withColumn(
-        "_first",
-        F.struct(*[F.col(c) for c in [order] + [x for x in df.columns if x != order]]),
-    )
-    firsts = (
-        ranked.filter(F.size("reasons") == 0)
-        .groupBy(key)
-        .agg(F.min("_first").alias("_winner"))
-    )
-    joined = ranked.join(firsts, key, "left")
-    dup = F.when((F.size("reasons") == 0) & (F.col("_first") != F.col("_winner")), F.array(F.lit("duplicate_key"))).otherwise(
-        F.array().cast("array<string>")
-    )
-    tagged = joined.withColumn("reasons", F.concat("reasons", dup)).drop("_first", "_winner")
-    valid = tagged.filter(F.size("reasons") == 0).drop("reasons")
-    rejected = tagged.filter(F.size("reasons") > 0)
-    return valid.select(*df.columns), rejected.select(*df.columns, "reasons")
+    bad = checked.filter(F.size("reasons") > 0)
+    ok = checked.filter(F.size("reasons") == 0).drop("reasons")
+    first = F.struct(*[F.col(c) for c in [order] + [x for x in cols if x != order]])
+    winners = ok.groupBy(key).agg(F.min(first).alias("_w"))
+    valid = winners.select(*[F.col(f"_w.{c}").alias(c) for c in [order] + [x for x in cols if x != order]]).select(*cols)
+    dups = ok.select(*cols).exceptAll(valid).withColumn("reasons", F.array(F.lit("duplicate_key")))
+    rejected = bad.select(*cols, "reasons").unionByName(dups)
+    return valid, rejected
 
 
 def project_canonical(df: DataFrame) -> DataFrame:

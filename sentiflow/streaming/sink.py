@@ -69,10 +69,18 @@ class PostsLogSink:
 
     def _write(self, posts: DataFrame, batch_id: int) -> None:
         valid, rejected = quarantine(posts)
+        # The valid rows feed two writes and the clock; keep them once.
+        valid = valid.persist()
+        try:
+            self._write_split(valid, rejected, batch_id)
+        finally:
+            valid.unpersist()
+
+    def _write_split(self, valid: DataFrame, rejected: DataFrame, batch_id: int) -> None:
         bid = F.lit(int(batch_id)).cast("bigint")
         _write_partition(valid.withColumn("batch_id", bid), f"{self.root}/posts_log")
         _write_partition(rejected.withColumn("batch_id", bid), f"{self.root}/rejects")
-        spark = posts.sparkSession
+        spark = valid.sparkSession
         log = spark.read.parquet(f"{self.root}/posts_log")
         if self.as_of == "max":
             clock = ts_literal(valid.agg(F.max("processed_at")).first()[0])

@@ -121,3 +121,11 @@ def test_parse_created_at_formats(spark):
     assert got[1] == dt.datetime(2025, 1, 2, 3, 4, 5)
     assert got[2] == dt.datetime(2018, 10, 10, 20, 19, 24)
     assert got[3] is None and got[4] is None
+
+
+def test_quarantine_exact_copies(spark):
+    row = dict(tweet_id="same", text="x", processed_at=AS_OF)
+    df = make_posts(spark, [row, row, row, dict(tweet_id="other")])
+    valid, rejected = Q.quarantine(df)
+    assert sorted(r["tweet_id"] for r in valid.collect()) == ["other", "same"]
+    assert [tuple(r["reasons"]) for r in rejected.collect()] == [("duplicate_key",), ("duplicate_key",)]
