@@ -96,23 +96,28 @@ def quarantine(df: DataFrame, key: str = "tweet_id", order: str = "processed_at"
 
     Row-level checks (NOT NULL, class enum) are projections. Key uniqueness:
     among rows passing them, the first row per key (smallest ``order``, then
-    smallest row content) is the valid one, taken by ``groupBy(key)`` with a
-    map-side partial ``min``; every other row -- including exact copies of
-    the winner -- is a ``duplicate_key`` reject, found with ``exceptAll``
-    (a multiset difference, also partially aggregated). A key or a record
-    repeated across a third of the rows collapses map-side in both steps, and
-    no join back to the input is needed.
+    smallest row content) is the valid one. One ``groupBy(key)`` (map-side
+    partial ``min`` and ``count``) yields the winner and the row count per
+    key. Only keys that occur more than once are joined back (AQE broadcasts
+    that side when few keys repeat); their rows minus one winner copy per key
+    (``exceptAll``, a partially aggregated multiset difference over those rows
+    only) are the ``duplicate_key`` rejects, exact copies of the winner
+    included. A key repeated across a third of the rows collapses map-side and
+    streams through the join without being held in one task.
     """
     cols = df.columns
+    ordered = [order] + [c for c in cols if c != order]
     checked = df.withColumn("reasons", violations(key))
-    bad = checked.filter(F.size("reasons") > 0)
-    ok = checked.filter(F.size("reasons") == 0).drop("reasons")
-    first = F.struct(*[F.col(c) for c in [order] + [x for x in cols if x != order]])
-    winners = ok.groupBy(key).agg(F.min(first).alias("_w"))
-    valid = winners.select(*[F.col(f"_w.{c}").alias(c) for c in [order] + [x for x in cols if x != order]]).select(*cols)
-    dups = ok.select(*cols).exceptAll(valid).withColumn("reasons", F.array(F.lit("duplicate_key")))
-    rejected = bad.select(*cols, "reasons").unionByName(dups)
-    return valid, rejected
+    bad = checked.filter(F.size("reasons") > 0).select(*cols, "reasons")
+    ok = checked.filter(F.size("reasons") == 0).select(*cols)
+    per_key = ok.groupBy(key).agg(F.min(F.struct(*[F.col(c) for c in ordered])).alias("_w"), F.count(F.lit(1)).alias("_n"))
+    valid = per_key.select(*[F.col(f"_w.{c}").alias(c) for c in ordered]).select(*cols)
+    # Rows of keys that repeat, minus one winner copy per key (a multiset difference).
+    repeated_keys = per_key.filter(F.col("_n") > 1)
+    repeated_rows = ok.join(repeated_keys.select(key), key).select(*cols)
+    winners = repeated_keys.select(*[F.col(f"_w.{c}").alias(c) for c in ordered]).select(*cols)
+    dups = repeated_rows.exceptAll(winners).withColumn("reasons", F.array(F.lit("duplicate_key")))
+    return valid, bad.unionByName(dups)
 
 
 def project_canonical(df: DataFrame) -> DataFrame:
