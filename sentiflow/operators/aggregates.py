@@ -151,13 +151,14 @@ def rolling_avg(posts: DataFrame, as_of, width: str = "1 hour") -> DataFrame:
 def series_pivot(series: DataFrame, value_col: str = "tweet_count") -> DataFrame:
     """``(bucket, sentiment, n)`` rows -> ``(bucket, positive, negative, neutral)``, missing = 0.
 
-    The pivot values are fixed, so Spark does not run a distinct-values job.
+    Conditional aggregation over the fixed class list: one aggregate (partial +
+    final) instead of the two phases ``pivot`` plans, and no distinct-values job.
     """
-    return (
-        series.groupBy("bucket")
-        .pivot("sentiment", list(SENTIMENT_CLASSES))
-        .agg(F.sum(value_col))
-        .select("bucket", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in SENTIMENT_CLASSES])
+    return series.groupBy("bucket").agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("sentiment") == c, F.col(value_col))), F.lit(0)).cast("bigint").alias(c)
+            for c in SENTIMENT_CLASSES
+        ]
     )
 
 

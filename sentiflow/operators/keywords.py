@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentiflow.functions.expressions import as_column, keyword_hits, keyword_needle
+from sentiflow.sources.tables import pin_bounded
 
 # Keyword dimensions above this many rows are matched by the shuffle path.
 MAX_BROADCAST_KEYWORDS = 10_000
@@ -17,8 +18,15 @@ NGRAM = 3
 
 
 def keyword_dim(spark, keywords: list[str]) -> DataFrame:
-    """``(keyword, position)`` rows for an ordered keyword list (a parameter, trimmed)."""
-    return spark.createDataFrame([(k.strip(), i) for i, k in enumerate(keywords)], "keyword string, position int")
+    """``(keyword, position)`` rows for an ordered keyword list (a parameter, trimmed).
+
+    A keyword with nothing left after removing ``#`` would match every post; it is refused.
+    """
+    cleaned = [k.strip() for k in keywords]
+    empty = [k for k in cleaned if not k.lstrip("#")]
+    if empty:
+        raise ValueError(f"empty keywords are not allowed: {empty!r}")
+    return spark.createDataFrame([(k, i) for i, k in enumerate(cleaned)], "keyword string, position int")
 
 
 def keyword_matches(posts: DataFrame, keywords: DataFrame, bound: int = MAX_BROADCAST_KEYWORDS) -> DataFrame:
@@ -29,9 +37,9 @@ def keyword_matches(posts: DataFrame, keywords: DataFrame, bound: int = MAX_BROA
     posts). Larger sets use an exact shuffle path: tag matches by an equi-join
     on the exploded lower-cased tags, text matches by an equi-join on the
     needle's leading n-gram against the text's n-grams, verified with
-    ``substring``.
+    ``substring``. Keywords with an empty needle match nothing (see ``keyword_dim``).
     """
-    kw = keywords.select("keyword", keyword_needle("keyword").alias("needle"))
+    kw = keywords.select("keyword", keyword_needle("keyword").alias("needle")).filter(F.length("needle") > 0)
     if keywords.count() <= bound:
         p = posts.select("tweet_id", "processed_at", "hashtags", "text")
         hits = p.join(F.broadcast(kw), keyword_hits(F.col("needle"), "hashtags", "text"), "inner")
@@ -43,7 +51,7 @@ def _keyword_matches_shuffled(posts: DataFrame, kw: DataFrame) -> DataFrame:
     tag_rows = posts.select("tweet_id", "processed_at", F.explode(F.transform("hashtags", lambda h: F.lower(h))).alias("needle"))
     tag_hits = tag_rows.join(kw, "needle").select("keyword", "tweet_id", "processed_at")
     lowered = posts.select("tweet_id", "processed_at", F.lower("text").alias("ltext"))
-    kwg = kw.filter(F.length("needle") > 0).withColumn("n", F.least(F.length("needle"), F.lit(NGRAM)))
+    kwg = kw.withColumn("n", F.least(F.length("needle"), F.lit(NGRAM)))
     kwg = kwg.withColumn("gram", F.substring("needle", 1, NGRAM))
     parts = []
     for n in range(1, NGRAM + 1):
@@ -54,10 +62,8 @@ def _keyword_matches_shuffled(posts: DataFrame, kw: DataFrame) -> DataFrame:
         cand = grams.join(kwg.filter(F.col("n") == n), "gram")
         ok = F.substring(F.col("ltext"), F.col("pos"), F.length("needle")) == F.col("needle")
         parts.append(cand.filter(ok).select("keyword", "tweet_id", "processed_at"))
-    # Empty needles match every text (a substring of anything).
-    empty = lowered.join(F.broadcast(kw.filter(F.length("needle") == 0)), F.lit(True)).select("keyword", "tweet_id", "processed_at")
     out = tag_hits
-    for p in parts + [empty]:
+    for p in parts:
         out = out.unionByName(p)
     return out.distinct()
 
@@ -73,16 +79,14 @@ def silent_keywords(activity: DataFrame, keywords: DataFrame, as_of, idle_second
     now = as_column(as_of)
     seed = now if connected_at is None else as_column(connected_at)
     joined = keywords.join(activity, "keyword", "left")
-    last = F.greatest(F.coalesce(F.col("last_seen"), seed), seed)
-    idle = F.timestamp_diff("SECOND", last, now)
-    return joined.select(
+    last = joined.select(
         "keyword",
         "position",
         F.coalesce("matches", F.lit(0)).cast("bigint").alias("matches"),
-        last.cast("timestamp_ntz").alias("last_seen"),
-        idle.alias("idle_seconds"),
-        (idle >= F.lit(idle_seconds)).alias("silent"),
+        F.greatest(F.coalesce(F.col("last_seen"), seed), seed).cast("timestamp_ntz").alias("last_seen"),
     )
+    idle = F.timestamp_diff("SECOND", F.col("last_seen"), now)
+    return last.select("*", idle.alias("idle_seconds")).withColumn("silent", F.col("idle_seconds") >= F.lit(idle_seconds))
 
 
 def rotation_plan(status: DataFrame, backups: DataFrame, cursor: int = 0) -> DataFrame:
@@ -90,24 +94,28 @@ def rotation_plan(status: DataFrame, backups: DataFrame, cursor: int = 0) -> Dat
     in cyclic order from ``cursor``; eligible = not in the sweep-start active set. When no backup
     is eligible the keyword is kept. Output ``(position, keyword, replacement, new_keyword)``.
 
-    Both sides are keyword lists (bounded configuration), so the global
-    ``row_number`` windows run over a few rows.
+    Both sides are keyword lists (bounded configuration, pinned after a size
+    check), so the global ``row_number`` windows run over a few rows and the
+    joins broadcast them.
     """
+    # Both inputs are keyword lists; pin them once (size-checked) since each is used several times.
+    status = pin_bounded(status.select("keyword", "position", "silent"), MAX_BROADCAST_KEYWORDS, "keyword status")
+    backups = pin_bounded(backups.select("keyword", "position"), MAX_BROADCAST_KEYWORDS, "backup keywords")
     n_backups = backups.count()
     active = status.select(F.col("keyword").alias("candidate"))
     eligible = (
         backups.select(F.col("keyword").alias("candidate"), F.col("position").alias("bpos"))
-        .join(active, "candidate", "left_anti")
+        .join(F.broadcast(active), "candidate", "left_anti")
         .withColumn("cyc", F.pmod(F.col("bpos") - F.lit(cursor), F.lit(max(n_backups, 1))))
         .withColumn("r", F.row_number().over(Window.orderBy("cyc")) - 1)
     )
     n_eligible = eligible.select(F.count(F.lit(1))).scalar()
     silent = status.filter("silent").withColumn("j", F.row_number().over(Window.orderBy("position")) - 1)
     silent = silent.withColumn("r", F.when(n_eligible > 0, F.pmod(F.col("j"), n_eligible)))
-    plan = silent.join(eligible.select("r", "candidate"), "r", "left")
+    plan = silent.join(F.broadcast(eligible.select("r", "candidate")), "r", "left")
     swaps = plan.select("position", F.col("candidate").alias("replacement"))
     return (
-        status.join(swaps, "position", "left")
+        status.join(F.broadcast(swaps), "position", "left")
         .select(
             "position",
             "keyword",

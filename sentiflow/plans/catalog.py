@@ -465,7 +465,7 @@ def _silent(spark, sf_dir):
     p = posts(spark, sf_dir)
     kw = KW.keyword_dim(spark, TRACKED)
     act = KW.keyword_activity(p, kw)
-    started = p.select(F.min("processed_at")).scalar()
+    started = X.ts_literal(p.select(F.min("processed_at")).first()[0])
     return KW.silent_keywords(act, kw, as_of(p), 60, connected_at=started)
 
 
@@ -513,7 +513,7 @@ def q_backlog_total(spark, sf_dir):
 @register("batch_throughput")
 def q_batch_throughput(spark, sf_dir):
     p = posts(spark, sf_dir)
-    start = p.select(F.min("processed_at")).scalar()
+    start = X.ts_literal(p.select(F.min("processed_at")).first()[0])
     batch = F.floor(F.timestamp_diff("MICROSECOND", start, F.col("processed_at")) / F.lit(3_600_000_000)).cast("bigint")
     progress = p.groupBy(batch.alias("batch_id")).agg(F.count(F.lit(1)).alias("num_input_rows"))
     return H.batch_throughput(progress, block_size=64)

@@ -61,3 +61,16 @@ def first_nonempty(sources: list[tuple[str, DataFrame]]) -> DataFrame:
 
 def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
+
+
+def pin_bounded(df: DataFrame, bound: int, what: str = "dimension") -> DataFrame:
+    """Fetch a small dimension once (at most ``bound + 1`` rows) and pin it as a local relation.
+
+    For bounded configuration-sized frames (keyword lists, per-keyword status)
+    that a plan uses several times: the pinned copy is not recomputed per use.
+    Larger frames are refused rather than pulled to the driver.
+    """
+    rows = df.limit(bound + 1).collect()
+    if len(rows) > bound:
+        raise ValueError(f"{what} has more than {bound} rows")
+    return df.sparkSession.createDataFrame(rows, df.schema)
