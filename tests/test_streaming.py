@@ -53,3 +53,31 @@ def test_dedup_keeps_blank_ids(spark):
     q.awaitTermination()
     out = spark.read.parquet(f"{run}/out").collect()
     assert sorted("<null>" if r["tweet_id"] is None else r["tweet_id"] for r in out) == ["", "", "<null>", "a"]
+
+
+def test_silent_keyword_stream_timer(spark):
+    """A keyword matched early and then silent while the watermark passes
+    ``last_seen + idle`` yields one silence episode; a keyword that keeps matching yields none."""
+    import datetime as dt
+
+    from conftest import make_posts
+    from sentiflow.operators.keywords import keyword_dim
+
+    run = tempfile.mkdtemp(prefix="sentiflow-test-")
+    t0 = dt.datetime(2024, 1, 1, 0, 0, 0)
+    batches = [
+        [dict(tweet_id="a1", text="alpha one", processed_at=t0), dict(tweet_id="b1", text="beta", processed_at=t0 + dt.timedelta(minutes=10))],
+        [dict(tweet_id="b2", text="beta", processed_at=t0 + dt.timedelta(hours=3))],
+        [dict(tweet_id="b3", text="beta", processed_at=t0 + dt.timedelta(hours=6))],
+    ]
+    schema = make_posts(spark, batches[0]).schema
+    kw = keyword_dim(spark, ["alpha", "beta"])
+    # New input files arrive between restarts of one query (same checkpoint, so state carries over).
+    for rows in batches:
+        make_posts(spark, rows).coalesce(1).write.mode("append").parquet(f"{run}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{run}/in")
+        out = SJ.silent_keyword_stream(SJ.keyword_match_stream(stream, kw), idle_seconds=3600)
+        SJ.run_stream(out, checkpoint=f"{run}/ckpt", trigger="available_now", fmt="parquet", path=f"{run}/out").awaitTermination()
+    got = [tuple(r) for r in spark.read.parquet(f"{run}/out").collect()]
+    assert ("alpha", t0, t0 + dt.timedelta(hours=1)) in got
+    assert all(k != "beta" or last < t0 + dt.timedelta(hours=3) for k, last, _ in got)
