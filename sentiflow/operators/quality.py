@@ -91,9 +91,15 @@ def violations(key: str = "tweet_id") -> Column:
     return F.array_compact(F.array(*reasons))
 
 
-def quarantine(df: DataFrame, key: str = "tweet_id", order: str = "processed_at") -> tuple[DataFrame, DataFrame]:
+def quarantine(
+    df: DataFrame, key: str = "tweet_id", order: str = "processed_at", check_unique: bool = True
+) -> tuple[DataFrame, DataFrame]:
     """Split rows into ``(valid, rejected)``; rejected rows carry a ``reasons`` array.
 
+    ``check_unique=False`` applies only the row-level checks (a projection and
+    a filter, no shuffle) -- for upsert targets, where repeated keys are merged
+    rather than rejected.
+
     Row-level checks (NOT NULL, class enum) are projections. Key uniqueness:
     among rows passing them, the first row per key (smallest ``order``, then
     smallest row content) is the valid one. One ``groupBy(key)`` (map-side
@@ -110,6 +116,8 @@ def quarantine(df: DataFrame, key: str = "tweet_id", order: str = "processed_at"
     checked = df.withColumn("reasons", violations(key))
     bad = checked.filter(F.size("reasons") > 0).select(*cols, "reasons")
     ok = checked.filter(F.size("reasons") == 0).select(*cols)
+    if not check_unique:
+        return ok, bad
     per_key = ok.groupBy(key).agg(F.min(F.struct(*[F.col(c) for c in ordered])).alias("_w"), F.count(F.lit(1)).alias("_n"))
     valid = per_key.select(*[F.col(f"_w.{c}").alias(c) for c in ordered]).select(*cols)
     # Rows of keys that repeat, minus one winner copy per key (a multiset difference).

@@ -85,7 +85,7 @@ def q_stream_per_minute(spark, sf_dir):
 @register("stream_silent_keywords")
 def q_stream_silent_keywords(spark, sf_dir):
     # Finer replay (one file per trigger) so silences can span micro-batch boundaries.
-    run, stream = _replay(spark, sf_dir, files=12, per_trigger=1)
+    run, stream = _replay(spark, sf_dir, files=8, per_trigger=1)
     # Two rare phrases join the tracked keywords so some silences outlast a micro-batch.
     matches = SJ.keyword_match_stream(stream, keyword_dim(spark, TRACKED + ["purchase k99", "view k42"]))
     out = _drain(SJ.silent_keyword_stream(matches, idle_seconds=3600), run, "silence")

@@ -81,3 +81,22 @@ def test_silent_keyword_stream_timer(spark):
     got = [tuple(r) for r in spark.read.parquet(f"{run}/out").collect()]
     assert ("alpha", t0, t0 + dt.timedelta(hours=1)) in got
     assert all(k != "beta" or last < t0 + dt.timedelta(hours=3) for k, last, _ in got)
+
+
+def test_sink_merges_repeated_keys(spark):
+    """A key delivered twice in one micro-batch and again later is an upsert, not a reject."""
+    import datetime as dt
+
+    from conftest import AS_OF, make_posts
+
+    root = tempfile.mkdtemp(prefix="sentiflow-test-")
+    h = dt.timedelta(hours=1)
+    sink = PostsLogSink(root)
+    sink(make_posts(spark, [dict(tweet_id="k", text="first", compound_score=0.5, sentiment="positive", processed_at=AS_OF),
+                            dict(tweet_id="k", text="second", compound_score=-0.5, sentiment="negative", processed_at=AS_OF + h),
+                            dict(tweet_id="bad", author=None)]), 0)
+    sink(make_posts(spark, [dict(tweet_id="k", text="third", compound_score=0.0, sentiment="neutral", processed_at=AS_OF + 2 * h)]), 1)
+    (r,) = current_posts(spark, root).collect()
+    assert (r["text"], r["compound_score"], r["processed_at"]) == ("first", 0.0, AS_OF + 2 * h)
+    rejects = spark.read.parquet(f"{root}/rejects").collect()
+    assert [(x["tweet_id"], list(x["reasons"])) for x in rejects] == [("bad", ["null_author"])]
