@@ -46,13 +46,21 @@ def column_status(df: DataFrame, names: list[str]) -> list[tuple[str, str]]:
     return [(n, "EXISTS" if n in present else "MISSING") for n in names]
 
 
-def first_nonempty(sources: list[tuple[str, DataFrame]]) -> DataFrame:
+def first_nonempty(sources: list[tuple[str, DataFrame]], short_circuit: bool = False) -> DataFrame:
     """Rows of the first source (by list order) that has any rows, tagged with its name.
 
-    Declarative form: union all sources with a priority, then keep rows whose
-    priority equals the global minimum priority (a scalar subquery), so no
-    source is probed from the driver and nothing is collected.
+    Declarative form (default): union all sources with a priority, then keep
+    rows whose priority equals the global minimum priority (a scalar
+    subquery); one plan, nothing collected. ``short_circuit=True`` probes the
+    sources in order with ``isEmpty()`` (a one-row job each) and plans only
+    the winner, so expensive later sources are never evaluated.
     """
+    if short_circuit:
+        for name, df in sources:
+            if not df.isEmpty():
+                return df.select("*", F.lit(name).alias("source_used"))
+        name, df = sources[-1]
+        return df.select("*", F.lit(name).alias("source_used"))
     tagged = [df.select("*", F.lit(i).alias("_priority"), F.lit(name).alias("source_used")) for i, (name, df) in enumerate(sources)]
     union = reduce(DataFrame.unionByName, tagged)
     winner = union.select(F.min("_priority")).scalar()

@@ -49,11 +49,14 @@ class PostsLogSink:
         transform: Callable[[DataFrame], DataFrame] | None = None,
         snapshot_width: str = "5 minutes",
         as_of: str = "max",
+        snapshot_every: int = 1,
     ):
         self.root = root.rstrip("/")
         self.transform = transform
         self.snapshot_width = snapshot_width
         self.as_of = as_of
+        # Refresh cadence of the derived snapshot: every N-th micro-batch (1 = every batch).
+        self.snapshot_every = max(int(snapshot_every), 1)
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         posts = (self.transform(batch_df) if self.transform else batch_df).select(*CANONICAL_COLUMNS)
@@ -82,6 +85,8 @@ class PostsLogSink:
         bid = F.lit(int(batch_id)).cast("bigint")
         _write_partition(valid.withColumn("batch_id", bid), f"{self.root}/posts_log")
         _write_partition(rejected.withColumn("batch_id", bid), f"{self.root}/rejects")
+        if int(batch_id) % self.snapshot_every:
+            return
         spark = valid.sparkSession
         log = spark.read.parquet(f"{self.root}/posts_log")
         if self.as_of == "max":

@@ -10,6 +10,16 @@ from sentiflow.schema import POST_PAYLOAD_SCHEMA
 from sentiflow.sources.json_codec import decode_json
 
 
+# Kafka source defaults of the ingest job (start at the latest offsets, tolerate
+# retention gaps, one consumer group).
+KAFKA_DEFAULTS = {"startingOffsets": "latest", "failOnDataLoss": "false", "kafka.group.id": "spark-sentiment-consumer"}
+
+
+def kafka_options(bootstrap_servers: str, topic: str = "tweets", **overrides) -> dict[str, str]:
+    """Options for ``read_posts_stream(fmt="kafka")``: one subscribed topic plus the defaults above."""
+    return {"kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic, **KAFKA_DEFAULTS, **overrides}
+
+
 def read_posts_stream(spark: SparkSession, fmt: str = "kafka", schema: T.StructType | None = None, path: str | None = None, **options) -> DataFrame:
     """Unbounded posts source.
 

@@ -76,3 +76,17 @@ def test_first_nonempty_and_ensure_column(spark):
     d = TB.ensure_column(b, "y", F.lit(1))
     assert TB.ensure_column(d, "y", F.lit(2)).first()["y"] == 1
     assert TB.column_status(d, ["y", "z"]) == [("y", "EXISTS"), ("z", "MISSING")]
+
+
+def test_first_nonempty_short_circuit(spark):
+    a = spark.createDataFrame([], "x int")
+    b = spark.createDataFrame([(1,)], "x int")
+    out = TB.first_nonempty([("a", a), ("b", b), ("c", b)], short_circuit=True).collect()
+    assert [(r["x"], r["source_used"]) for r in out] == [(1, "b")]
+
+
+def test_kafka_options_defaults():
+    from sentiflow.streaming.sources import kafka_options
+
+    o = kafka_options("broker:9092")
+    assert o["subscribe"] == "tweets" and o["startingOffsets"] == "latest" and o["failOnDataLoss"] == "false"
