@@ -12,8 +12,8 @@ Plan shape (no per-row Python, one shuffle):
   words per text (row-local array ops)
   -> posexplode, inner broadcast join with the lexicon (keeps only
      sentiment-bearing words; the lexicon's size is checked first)
-  -> three left broadcast joins give whether each preceding word is itself a
-     lexicon word (boosters only apply to non-lexicon words)
+  -> whether each preceding word is itself a lexicon word (rules apply only to
+     non-lexicon modifiers) from the few rule words the lexicon holds
   -> per-word adjusted valence by CASE expressions over the neighbours
   -> union with one zero row per text (texts without lexicon words) and a
      partially aggregated ``groupBy(id)`` sum with the punctuation counts.
@@ -66,6 +66,9 @@ class RuleParams:
 
 DEFAULT_PARAMS = RuleParams()
 
+# Bound on lexicon entries that are also rule words (boosters, negations, "n't" forms).
+_MAX_RULE_WORDS = 100_000
+
 # Punctuation stripped from both ends of a whitespace token.
 _EDGE_PUNCT = r"^[\p{Punct}]+|[\p{Punct}]+$"
 
@@ -95,8 +98,8 @@ def rule_score(
 ) -> DataFrame:
     """``(id, compound_score)`` for every row of ``df`` with the full rule set.
 
-    The lexicon feeds four joins; one size-checked fetch pins it so it is
-    neither recomputed per join nor broadcast above ``broadcast_bound`` rows.
+    One size-checked fetch pins the lexicon, so it is neither recomputed per
+    use nor broadcast above ``broadcast_bound`` rows.
     """
     p = params
     lexicon, small = pin_lexicon(lexicon.select("token", "valence"), broadcast_bound)
@@ -137,9 +140,16 @@ def rule_score(
         "_id", "_mixed", "_but", "_pos", "_c.*"
     ).filter(F.col("_lwi").isNotNull())
     hit = tok.join(bc(lex.withColumnRenamed("token", "_lwi")), "_lwi", "inner")
+    # Whether a preceding word is itself a lexicon word only matters when that word is a
+    # booster, a negation or "least" (every rule below tests both), so it is decided with
+    # the few such words the lexicon holds, fetched once, instead of three more joins.
+    rule_words = sorted(set(p.boosters_up) | set(p.boosters_down) | set(p.negations) | {"least"})
+    special = lex.filter(F.col("token").isin(rule_words) | F.col("token").contains("n't")).select("token")
+    in_lexicon = [r[0] for r in special.limit(_MAX_RULE_WORDS + 1).collect()]
+    if len(in_lexicon) > _MAX_RULE_WORDS:
+        raise ValueError("too many rule words in the lexicon")
     for k in (1, 2, 3):
-        flag = lex.select(F.col("token").alias(f"_p{k}"), F.lit(True).alias(f"_in{k}"))
-        hit = hit.join(bc(flag), f"_p{k}", "left")
+        hit = hit.withColumn(f"_in{k}", F.when(F.col(f"_p{k}").isin(in_lexicon), F.lit(True)))
 
     # Adjusted valence = (valence + caps + boosters) * negation and contrast factors. Each
     # rule is its own term, so the expression stays linear in size (no nested re-use).
