@@ -137,7 +137,9 @@ def silent_keyword_stream(matches: DataFrame, idle_seconds: int = 60, watermark:
     """One row per silence episode: a keyword whose last match is ``idle_seconds`` old by event time.
 
     Keyed state holds only the keyword's last match time; an event-time timer
-    at ``last_seen + idle`` fires once the watermark passes it.
+    at ``last_seen + idle`` fires once the watermark passes it. The group
+    function folds the key's rows batch by batch (Arrow chunks), so a keyword
+    matching a large share of posts costs one task time, not memory.
     """
     idle_ms = int(idle_seconds) * 1000
     idle_td = pd.Timedelta(seconds=int(idle_seconds))
