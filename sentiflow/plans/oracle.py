@@ -542,3 +542,84 @@ sql(
              '^[+-]?[0-9]+', 0) AS INTEGER), 50), 200) AS limit_value
      FROM ev""",
 )
+
+
+# ====================================================== rule scorer (SEN-01)
+def _rule_sql() -> str:
+    from sentiflow.functions.rules import DEFAULT_PARAMS as P
+
+    def lst(words):
+        return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
+
+    def d(x):
+        return f"CAST({x!r} AS DOUBLE)"
+
+    up, down, negs = lst(P.boosters_up), lst(P.boosters_down), lst(P.negations)
+    boost = lambda w: f"(CASE WHEN {w} IN ({up}) THEN {d(P.booster_increment)} WHEN {w} IN ({down}) THEN {d(P.booster_decrement)} END)"
+    caps = lambda w: f"(upper({w}) = {w} AND lower({w}) <> {w})"
+    negated = lambda w: f"COALESCE({w} IN ({negs}) OR contains({w}, 'n''t'), false)"
+    inlex = lambda w: f"COALESCE({w} IN (SELECT token FROM lex), false)"
+    damp = {1: 1.0, 2: 0.95, 3: 0.9}
+    terms = []
+    for k in (1, 2, 3):
+        p, o = f"p{k}", f"o{k}"
+        scalar = f"({boost(p)} * sg + CASE WHEN {caps(o)} AND mixed THEN sg * {d(P.caps_increment)} ELSE {d(0.0)} END)"
+        terms.append(
+            f"CASE WHEN {p} IS NOT NULL AND NOT {inlex(p)} AND {boost(p)} IS NOT NULL THEN {scalar} * {d(damp[k])} ELSE {d(0.0)} END"
+        )
+    neg, one = d(P.negation_scalar), d(1.0)
+    f1 = f"CASE WHEN {negated('p1')} AND NOT {inlex('p1')} THEN {neg} ELSE {one} END"
+    f2 = (f"CASE WHEN p2 = 'never' AND p1 IN ('so', 'this') THEN {d(P.never_so_scalar)} "
+          f"WHEN {negated('p2')} AND NOT {inlex('p2')} THEN {neg} ELSE {one} END")
+    f3 = (f"CASE WHEN p3 = 'never' AND (p2 IN ('so', 'this') OR p1 IN ('so', 'this')) THEN {d(P.never_so_scalar)} "
+          f"WHEN {negated('p3')} AND NOT {inlex('p3')} THEN {neg} ELSE {one} END")
+    fl = f"CASE WHEN p1 = 'least' AND NOT {inlex('p1')} AND NOT COALESCE(p2 IN ('at', 'very'), false) THEN {neg} ELSE {one} END"
+    fb = f"CASE WHEN but > 0 AND i < but THEN {d(P.but_before)} WHEN but > 0 AND i > but THEN {d(P.but_after)} ELSE {one} END"
+    caps_self = f"CASE WHEN {caps('wi')} AND mixed THEN sg * {d(P.caps_increment)} ELSE {d(0.0)} END"
+    adjusted = f"(valence + {caps_self} + {terms[0]} + {terms[1]} + {terms[2]}) * ({f1}) * ({f2}) * ({f3}) * ({fl}) * ({fb})"
+    silent = f"lwi IN ({up}, {down}) OR (lwi = 'kind' AND nxt = 'of')"
+    punct = "'^[[:punct:]]+|[[:punct:]]+$'"
+    return LEX + f""",
+w AS (
+  SELECT doc_id, COALESCE(text, '') AS text,
+         list_filter(
+           list_transform(regexp_split_to_array(trim(COALESCE(text, '')), '\\s+'),
+             lambda t: CASE WHEN length(regexp_replace(t, {punct}, '', 'g')) <= 2 THEN t
+                            ELSE regexp_replace(t, {punct}, '', 'g') END),
+           lambda t: length(t) > 1) AS ws
+  FROM documents WHERE text IS NOT NULL AND text <> '' AND lang IN ('en')
+),
+fl AS (
+  SELECT doc_id, text, ws, list_transform(ws, lambda x: lower(x)) AS lws,
+         COALESCE(list_bool_or(list_transform(ws, lambda x: {caps('x')})), false)
+           AND COALESCE(list_bool_or(list_transform(ws, lambda x: NOT {caps('x')})), false) AS mixed
+  FROM w
+),
+ex AS (
+  SELECT doc_id, mixed, COALESCE(list_position(lws, 'but'), 0) AS but, i, lws[i] AS lwi, ws[i] AS wi,
+         CASE WHEN i + 1 <= len(lws) THEN lws[i + 1] END AS nxt,
+         CASE WHEN i > 1 THEN lws[i - 1] END AS p1, CASE WHEN i > 2 THEN lws[i - 2] END AS p2,
+         CASE WHEN i > 3 THEN lws[i - 3] END AS p3,
+         CASE WHEN i > 1 THEN ws[i - 1] END AS o1, CASE WHEN i > 2 THEN ws[i - 2] END AS o2,
+         CASE WHEN i > 3 THEN ws[i - 3] END AS o3
+  FROM (SELECT *, unnest(range(1, len(lws) + 1)) AS i FROM fl)
+),
+hit AS (SELECT ex.*, lex.valence, CAST(sign(lex.valence) AS DOUBLE) AS sg FROM ex JOIN lex ON ex.lwi = lex.token),
+adj AS (SELECT doc_id, CASE WHEN {silent} THEN {d(0.0)} ELSE {adjusted} END AS v FROM hit),
+rsum AS (SELECT doc_id, CAST(sum(CAST(v AS DECIMAL(20, 9))) AS DOUBLE) AS s FROM adj GROUP BY doc_id),
+tot AS (
+  SELECT w.doc_id, COALESCE(rsum.s, {d(0.0)}) AS s,
+         least(length(w.text) - length(replace(w.text, '!', '')), {P.exclamation_max}) AS excl,
+         length(w.text) - length(replace(w.text, '?', '')) AS ques
+  FROM w LEFT JOIN rsum USING (doc_id)
+),
+ep AS (
+  SELECT doc_id, s, excl * {d(P.exclamation_step)} + CASE WHEN ques > 3 THEN {d(P.question_max_value)}
+         WHEN ques > 1 THEN ques * {d(P.question_step)} ELSE {d(0.0)} END AS ep FROM tot
+),
+fin AS (SELECT doc_id, CASE WHEN s > 0 THEN s + ep WHEN s < 0 THEN s - ep ELSE s END AS total FROM ep)
+SELECT doc_id, greatest({d(-1.0)}, least({d(1.0)}, round(total / sqrt(total * total + {d(P.alpha)}), 4))) AS compound_score
+FROM fin"""
+
+
+ORACLE["rule_score"] = _rule_sql()
