@@ -100,3 +100,15 @@ def test_sink_merges_repeated_keys(spark):
     assert (r["text"], r["compound_score"], r["processed_at"]) == ("first", 0.0, AS_OF + 2 * h)
     rejects = spark.read.parquet(f"{root}/rejects").collect()
     assert [(x["tweet_id"], list(x["reasons"])) for x in rejects] == [("bad", ["null_author"])]
+
+
+def test_processing_time_trigger_and_graceful_stop(spark):
+    run = tempfile.mkdtemp(prefix="sentiflow-test-")
+    p = load_posts(spark, SF_SMALL)
+    p.write.parquet(f"{run}/in")
+    stream = spark.readStream.schema(p.schema).parquet(f"{run}/in")
+    q = SJ.run_stream(stream.select("tweet_id"), checkpoint=f"{run}/ckpt", trigger="1 second", fmt="parquet", path=f"{run}/out")
+    assert q.isActive
+    SJ.stop_gracefully(q)
+    assert not q.isActive
+    assert spark.read.parquet(f"{run}/out").count() == p.count()
