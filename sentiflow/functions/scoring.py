@@ -30,6 +30,8 @@ TOKEN_SPLIT = "[^a-z]+"
 
 # A lexicon above this many entries is joined by shuffle instead of broadcast.
 MAX_BROADCAST_LEXICON = 2_000_000
+# A lexicon up to this many entries may be fetched once and pinned as a local relation.
+MAX_PINNED_LEXICON = 200_000
 
 
 def tokens(text: Column | str) -> Column:
@@ -42,17 +44,18 @@ def compound_from_sum(s: Column) -> Column:
     return F.round(sd / F.sqrt(sd * sd + F.lit(ALPHA)), 4)
 
 
-def pin_lexicon(lexicon: DataFrame, bound: int = MAX_BROADCAST_LEXICON) -> tuple[DataFrame, bool]:
-    """Fetch a lexicon of at most ``bound`` rows once and pin it as a local relation.
+def pin_lexicon(lexicon: DataFrame, bound: int = MAX_BROADCAST_LEXICON, pin_bound: int = MAX_PINNED_LEXICON) -> tuple[DataFrame, bool]:
+    """Return ``(lexicon, broadcastable)``.
 
-    Returns ``(lexicon, small)``. A pinned lexicon is broadcast without being
-    recomputed per join; at most ``bound + 1`` rows are fetched, so an
-    oversized lexicon stays distributed (``small=False``) and is shuffle-joined.
+    A lexicon of at most ``pin_bound`` rows is fetched once (at most
+    ``pin_bound + 1`` rows travel) and pinned as a local relation, so it is not
+    recomputed per use. A larger one stays distributed; its size is counted
+    and it is broadcast only up to ``bound`` rows, otherwise shuffle-joined.
     """
-    rows = lexicon.limit(bound + 1).collect()
-    if len(rows) > bound:
-        return lexicon, False
-    return lexicon.sparkSession.createDataFrame(rows, lexicon.schema), True
+    rows = lexicon.limit(pin_bound + 1).collect()
+    if len(rows) <= pin_bound:
+        return lexicon.sparkSession.createDataFrame(rows, lexicon.schema), len(rows) <= bound
+    return lexicon, lexicon.count() <= bound
 
 
 def lexicon_score(

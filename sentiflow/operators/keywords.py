@@ -53,8 +53,10 @@ def _keyword_matches_shuffled(posts: DataFrame, kw: DataFrame) -> DataFrame:
     lowered = posts.select("tweet_id", "processed_at", F.lower("text").alias("ltext"))
     kwg = kw.withColumn("n", F.least(F.length("needle"), F.lit(NGRAM)))
     kwg = kwg.withColumn("gram", F.substring("needle", 1, NGRAM))
+    # Only n-gram lengths some keyword needs (at most NGRAM values) are generated.
+    lengths = sorted(r[0] for r in kwg.select("n").distinct().collect())
     parts = []
-    for n in range(1, NGRAM + 1):
+    for n in lengths:
         grams = lowered.select(
             "tweet_id", "processed_at", "ltext",
             F.posexplode(F.sequence(F.lit(1), F.greatest(F.length("ltext") - F.lit(n - 1), F.lit(1)))).alias("_i", "pos"),

@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 
 from sentiflow.schema import MUTABLE_COLUMNS
 
-VERSION = "_ver"
-
-
 def _version(order: Sequence[str], cols: Sequence[str]) -> Column:
     """Version struct: explicit order columns first, then all other columns as a deterministic tie-break."""
     return F.struct(*[F.col(c) for c in order], *[F.col(c) for c in cols if c not in order])

@@ -68,12 +68,11 @@ def shared_checkpoint_dir(spark: SparkSession) -> str:
     The setting is read from the session; only when it is unset (local tests)
     is a fresh scratch folder created and registered.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
     local = tempfile.mkdtemp(prefix="sentiflow-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
     return spark.sparkContext.getCheckpointDir() or local
 
 

@@ -55,3 +55,10 @@ def test_lag_seconds_keeps_fraction(spark):
     df = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:01.5' AS p, timestamp_ntz'2024-01-01 00:00:00' AS c, CAST(NULL AS timestamp_ntz) AS n")
     r = df.select(X.lag_seconds("p", "c"), X.lag_seconds("p", "n")).first()
     assert r[0] == 1.5 and r[1] is None
+
+
+def test_shared_checkpoint_dir_reads_session(spark):
+    from sentiflow.session import scratch_path, shared_checkpoint_dir
+
+    base = shared_checkpoint_dir(spark)
+    assert base and scratch_path(spark, "x").startswith(base.rstrip("/"))
