@@ -107,8 +107,53 @@ def current_posts_from(log: DataFrame) -> DataFrame:
     return current_from_log(log, "tweet_id", ["batch_id", "processed_at"], MUTABLE_COLUMNS).select(*CANONICAL_COLUMNS)
 
 
+def _fs(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def base_version(spark: SparkSession, root: str) -> int | None:
+    """The newest compacted base (its last merged batch id), or None."""
+    fs, base = _fs(spark, f"{root.rstrip('/')}/base")
+    if not fs.exists(base):
+        return None
+    done = [s.getPath().getName() for s in fs.listStatus(base) if s.isDirectory()]
+    versions = [int(n.split("=", 1)[1]) for n in done if n.startswith("upto=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/base/{n}/_SUCCESS"))]
+    return max(versions) if versions else None
+
+
+def posts_versions(spark: SparkSession, root: str) -> DataFrame:
+    """All versions still needed: the newest compacted base (as batch -1) plus newer log batches."""
+    root = root.rstrip("/")
+    log = spark.read.parquet(f"{root}/posts_log")
+    upto = base_version(spark, root)
+    if upto is None:
+        return log
+    base = spark.read.parquet(f"{root}/base/upto={upto}").withColumn("batch_id", F.lit(-1).cast("bigint"))
+    return base.unionByName(log.filter(F.col("batch_id") > F.lit(upto)))
+
+
 def current_posts(spark: SparkSession, root: str) -> DataFrame:
-    return current_posts_from(spark.read.parquet(f"{root.rstrip('/')}/posts_log"))
+    return current_posts_from(posts_versions(spark, root))
+
+
+def compact_log(spark: SparkSession, root: str) -> int | None:
+    """Merge everything up to the newest logged batch into a new base version.
+
+    The merged view is written to a new folder ``base/upto=N`` (nothing read is
+    overwritten, and the folder only counts once its ``_SUCCESS`` marker
+    exists), so readers and a concurrent stream keep working, and later reads
+    merge only the base plus batches after N. Writing the base also cuts the
+    lineage of the merge. Returns N (None when the log is empty).
+    """
+    root = root.rstrip("/")
+    log = spark.read.parquet(f"{root}/posts_log")
+    upto = log.agg(F.max("batch_id")).first()[0]
+    if upto is None or upto == base_version(spark, root):
+        return upto
+    versions = posts_versions(spark, root).filter(F.col("batch_id") <= F.lit(int(upto)))
+    current_posts_from(versions).write.mode("overwrite").parquet(f"{root}/base/upto={int(upto)}")
+    return int(upto)
 
 
 def current_snapshots(spark: SparkSession, root: str) -> DataFrame:

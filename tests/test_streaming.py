@@ -112,3 +112,26 @@ def test_processing_time_trigger_and_graceful_stop(spark):
     SJ.stop_gracefully(q)
     assert not q.isActive
     assert spark.read.parquet(f"{run}/out").count() == p.count()
+
+
+def test_compaction_keeps_current_view(spark):
+    import datetime as dt
+
+    from conftest import AS_OF, make_posts
+    from sentiflow.streaming.sink import compact_log
+
+    h = dt.timedelta(hours=1)
+    batches = [
+        [dict(tweet_id="a", text="a0", compound_score=0.5, sentiment="positive", processed_at=AS_OF), dict(tweet_id="b", text="b0")],
+        [dict(tweet_id="a", text="a1", compound_score=-0.5, sentiment="negative", processed_at=AS_OF + h)],
+        [dict(tweet_id="a", text="a2", compound_score=0.0, sentiment="neutral", processed_at=AS_OF + 2 * h), dict(tweet_id="c", text="c0")],
+    ]
+    plain, compacted = tempfile.mkdtemp(prefix="sentiflow-test-"), tempfile.mkdtemp(prefix="sentiflow-test-")
+    for i, rows in enumerate(batches):
+        PostsLogSink(plain)(make_posts(spark, rows), i)
+        PostsLogSink(compacted)(make_posts(spark, rows), i)
+        if i == 1:
+            assert compact_log(spark, compacted) == 1
+    assert _rows(current_posts(spark, compacted)) == _rows(current_posts(spark, plain))
+    assert compact_log(spark, compacted) == 2
+    assert _rows(current_posts(spark, compacted)) == _rows(current_posts(spark, plain))
