@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,13 +83,21 @@ def apply_defaults(df: DataFrame, as_of=None) -> DataFrame:
     return out
 
 
+def _checks() -> list[tuple[Column, str]]:
+    checks = [(F.col(c).isNull(), f"null_{c}") for c in NOT_NULL_COLUMNS]
+    checks.append((F.col("sentiment").isNotNull() & ~F.col("sentiment").isin(list(SENTIMENT_CLASSES)), "bad_sentiment"))
+    return checks
+
+
+def violated() -> Column:
+    """True when a row breaks any row-level constraint (a plain boolean, no array built)."""
+    return reduce(lambda a, b: a | b, [cond for cond, _ in _checks()])
+
+
 def violations(key: str = "tweet_id") -> Column:
     """Array of constraint-violation reasons for one row (empty when valid)."""
-    reasons = [F.when(F.col(c).isNull(), F.lit(f"null_{c}")) for c in NOT_NULL_COLUMNS]
-    reasons.append(
-        F.when(F.col("sentiment").isNotNull() & ~F.col("sentiment").isin(list(SENTIMENT_CLASSES)), F.lit("bad_sentiment"))
-    )
-    return F.array_compact(F.array(*reasons))
+    empty = F.array().cast("array<string>")
+    return F.concat(*[F.when(cond, F.array(F.lit(reason))).otherwise(empty) for cond, reason in _checks()])
 
 
 def quarantine(
@@ -113,9 +122,9 @@ def quarantine(
     """
     cols = df.columns
     ordered = [order] + [c for c in cols if c != order]
-    checked = df.withColumn("reasons", violations(key))
-    bad = checked.filter(F.size("reasons") > 0).select(*cols, "reasons")
-    ok = checked.filter(F.size("reasons") == 0).select(*cols)
+    # The reasons array is built only for failing rows; valid rows pass a boolean filter.
+    bad = df.filter(violated()).select(*cols, violations(key).alias("reasons"))
+    ok = df.filter(~violated()).select(*cols)
     if not check_unique:
         return ok, bad
     per_key = ok.groupBy(key).agg(F.min(F.struct(*[F.col(c) for c in ordered])).alias("_w"), F.count(F.lit(1)).alias("_n"))
