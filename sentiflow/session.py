@@ -54,6 +54,18 @@ def build_session(
     return spark
 
 
+def recommended_shuffle_partitions(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 * 1024) -> int:
+    """Initial shuffle partition count for a job reading ``input_bytes`` on ``total_cores``.
+
+    Enough partitions that each holds about ``target_partition_bytes`` of
+    shuffle input (so tasks fit executor memory without spilling), and at
+    least two waves of tasks; AQE then coalesces small ones and splits skewed
+    ones at run time. E.g. 100 TB on 1000 executors x 8 cores -> 409,600.
+    """
+    by_size = -(-int(input_bytes) // int(target_partition_bytes))
+    return max(by_size, 2 * int(total_cores), 1)
+
+
 def ensure_session_defaults(spark: SparkSession) -> SparkSession:
     """Apply the result-affecting settings to a session created elsewhere."""
     for key, value in RESULT_CONF.items():

@@ -62,3 +62,10 @@ def test_shared_checkpoint_dir_reads_session(spark):
 
     base = shared_checkpoint_dir(spark)
     assert base and scratch_path(spark, "x").startswith(base.rstrip("/"))
+
+
+def test_recommended_shuffle_partitions():
+    from sentiflow.session import recommended_shuffle_partitions
+
+    assert recommended_shuffle_partitions(100 * 1024**4, 8000) == 409_600
+    assert recommended_shuffle_partitions(10, 8) == 16
