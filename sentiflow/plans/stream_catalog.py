@@ -22,19 +22,33 @@ from sentiflow.streaming.sources import write_replay_files
 REPLAY_FILES = 8
 TRIGGER_FILES = 2
 
+# Replay inputs already written in this process: (sf_dir, duplicate_tail, files) -> folder.
+_REPLAY_INPUTS: dict[tuple, str] = {}
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+
 
 def _replay(
     spark: SparkSession, sf_dir: str, duplicate_tail: str | None = None, files: int = REPLAY_FILES, per_trigger: int = TRIGGER_FILES
 ) -> tuple[str, DataFrame]:
-    """Write the posts as ordered replay files; returns (run folder, streaming posts DataFrame)."""
+    """Ordered replay files of the posts (written once per process and table folder) and a
+    fresh run folder for this query's checkpoint and output; returns (run folder, stream)."""
     run = scratch_path(spark, f"sentiflow-runs/{uuid.uuid4().hex}")
     p = posts(spark, sf_dir)
     if duplicate_tail:
         # Re-deliver every post of the newest period once more (identical copies).
         newest = p.select(F.max("processed_at")).scalar()
         p = p.unionByName(p.filter(F.col("processed_at") >= newest - F.expr(f"INTERVAL {duplicate_tail}")))
-    write_replay_files(p, f"{run}/input", "processed_at", files, spark, fmt="parquet", tiebreak="tweet_id")
-    stream = spark.readStream.schema(p.schema).option("maxFilesPerTrigger", per_trigger).parquet(f"{run}/input")
+    key = (sf_dir, duplicate_tail, files)
+    source = _REPLAY_INPUTS.get(key)
+    if source is None or not _exists(spark, f"{source}/_SUCCESS"):
+        source = f"{run}/input"
+        write_replay_files(p, source, "processed_at", files, spark, fmt="parquet", tiebreak="tweet_id")
+        _REPLAY_INPUTS[key] = source
+    stream = spark.readStream.schema(p.schema).option("maxFilesPerTrigger", per_trigger).parquet(source)
     return run, stream
 
 
