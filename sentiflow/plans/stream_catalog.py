@@ -16,7 +16,7 @@ from sentiflow.plans.catalog import TRACKED, register
 from sentiflow.plans.inputs import posts
 from sentiflow.session import scratch_path
 from sentiflow.streaming import jobs as SJ
-from sentiflow.streaming.sink import PostsLogSink, current_posts, current_snapshots
+from sentiflow.streaming.sink import PostsLogSink, compact_log, current_posts, current_snapshots
 from sentiflow.streaming.sources import write_replay_files
 
 REPLAY_FILES = 8
@@ -61,9 +61,12 @@ def _drain(df: DataFrame, run: str, name: str, output_mode: str = "append") -> s
 
 @register("stream_ingest")
 def q_stream_ingest(spark, sf_dir):
+    """Replay through the log sink, compact the log once it is drained, and read the
+    current posts through the compacted base (equals the merged log)."""
     run, stream = _replay(spark, sf_dir)
     q = SJ.run_stream(stream, sink=PostsLogSink(f"{run}/store"), checkpoint=f"{run}/_ckpt_ingest", trigger="available_now")
     q.awaitTermination()
+    compact_log(spark, f"{run}/store")
     return current_posts(spark, f"{run}/store")
 
 
