@@ -107,3 +107,33 @@ def q_stream_silent_keywords(spark, sf_dir):
     matches = SJ.keyword_match_stream(stream, keyword_dim(spark, TRACKED + ["purchase k99", "view k42"]))
     out = _drain(SJ.silent_keyword_stream(matches, idle_seconds=3600), run, "silence")
     return spark.read.parquet(out)
+
+
+@register("stream_ingest_documents")
+def q_stream_ingest_documents(spark, sf_dir):
+    """The ingest job end to end: every document as a raw JSON message -> decode -> keep
+    non-empty English texts -> score (row-local lexicon scorer) -> label -> keyed log."""
+    from sentiflow.functions.scoring import corpus_lexicon
+    from sentiflow.operators.filters import filter_text_lang
+    from sentiflow.plans.inputs import table
+    from sentiflow.streaming.app import ingest_transform
+
+    docs = table(spark, sf_dir, "documents")
+    payload = F.struct(
+        F.col("doc_id").cast("string").alias("id"), "text", F.col("source").alias("author"),
+        F.col("n_chars").alias("author_followers"), "lang", F.array().cast("array<string>").alias("hashtags"),
+        F.lit(0).cast("bigint").alias("retweet_count"), F.lit(0).cast("bigint").alias("like_count"), "source",
+    )
+    raw = docs.select("doc_id", F.to_json(payload).alias("value"))
+    run = scratch_path(spark, f"sentiflow-runs/{uuid.uuid4().hex}")
+    key = ("documents", sf_dir)
+    source = _REPLAY_INPUTS.get(key)
+    if source is None or not _exists(spark, f"{source}/_SUCCESS"):
+        source = f"{run}/input"
+        write_replay_files(raw, source, "doc_id", REPLAY_FILES, spark, fmt="parquet")
+        _REPLAY_INPUTS[key] = source
+    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", TRIGGER_FILES).parquet(source)
+    lexicon = corpus_lexicon(filter_text_lang(docs, ["en"]), 500)
+    sink = PostsLogSink(f"{run}/store", transform=ingest_transform(spark, lexicon))
+    SJ.run_stream(stream, sink=sink, checkpoint=f"{run}/_ckpt", trigger="available_now").awaitTermination()
+    return current_posts(spark, f"{run}/store").select("tweet_id", "lang", "compound_score", "sentiment")
