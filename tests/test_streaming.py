@@ -135,3 +135,27 @@ def test_compaction_keeps_current_view(spark):
     assert _rows(current_posts(spark, compacted)) == _rows(current_posts(spark, plain))
     assert compact_log(spark, compacted) == 2
     assert _rows(current_posts(spark, compacted)) == _rows(current_posts(spark, plain))
+
+
+def test_start_ingest_from_json_files(spark):
+    import json
+
+    from sentiflow.streaming.app import start_ingest
+
+    run = tempfile.mkdtemp(prefix="sentiflow-test-")
+    msgs = [
+        {"id": "1", "text": "good great day", "author": "a", "lang": "en", "hashtags": ["x"]},
+        {"id": "2", "text": "awful", "author": "b", "lang": "en"},
+        {"id": "3", "text": "", "author": "c", "lang": "en"},
+        {"id": "4", "text": "bueno", "author": "d", "lang": "es"},
+        {"id": "5", "text": "bad", "author": None, "lang": "en"},
+    ]
+    spark.createDataFrame([(json.dumps(m),) for m in msgs], "value string").coalesce(1).write.json(f"{run}/in")
+    lex = spark.createDataFrame([("good", 1.9), ("great", 3.1), ("awful", -3.4), ("bad", -2.5)], "token string, valence double")
+    raw = spark.readStream.schema("value string").json(f"{run}/in")
+    q = start_ingest(spark, raw, lex, f"{run}/out", f"{run}/ckpt", trigger="1 second")
+    SJ.stop_gracefully(q)
+    got = {r["tweet_id"]: r["sentiment"] for r in current_posts(spark, f"{run}/out").collect()}
+    assert got == {"1": "positive", "2": "negative"}
+    rejects = spark.read.parquet(f"{run}/out/rejects").collect()
+    assert [(r["tweet_id"], list(r["reasons"])) for r in rejects] == [("5", ["null_author"])]
