@@ -608,3 +608,15 @@ def q_parse_tag_list(spark, sf_dir):
         X.parse_tag_list(raw_tags).alias("tags"),
         X.clamp_int(raw_limit, 50, 200).alias("limit_value"),
     )
+
+
+@register("tag_index_search")
+def q_tag_index_search(spark, sf_dir):
+    import uuid
+
+    from sentiflow.operators.tag_index import build_tag_index, tag_search
+    from sentiflow.session import scratch_path
+
+    p = posts(spark, sf_dir)
+    index = build_tag_index(p, scratch_path(spark, f"sentiflow-runs/{uuid.uuid4().hex}/tag_index"), files=16)
+    return tag_search(spark, p, index, SEARCH_TAGS).select("tweet_id", "hashtags")

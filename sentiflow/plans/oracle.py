@@ -627,3 +627,5 @@ ORACLE["rule_score"] = _rule_sql()
 ORACLE["stream_ingest_documents"] = LEX + """SELECT CAST(doc_id AS VARCHAR) AS tweet_id, 'en' AS lang, compound_score,
   CASE WHEN compound_score >= 0.05 THEN 'positive' WHEN compound_score <= -0.05 THEN 'negative' ELSE 'neutral' END AS sentiment
 FROM scored"""
+
+ORACLE["tag_index_search"] = ORACLE["tag_overlap"]
