@@ -21,9 +21,17 @@ def filter_text_lang(df: DataFrame, langs: Iterable[str] = ("en",), text_col: st
     return df.filter(cond)
 
 
-def trailing_window(df: DataFrame, as_of, width: str, ts_col: str = "processed_at") -> DataFrame:
-    """``ts >= as_of - width``: closed lower bound, no upper bound (as the reference)."""
-    return df.filter(F.col(ts_col) >= as_column(as_of) - interval(width))
+def trailing_window(df: DataFrame, as_of, width: str, ts_col: str = "processed_at", date_col: str | None = None) -> DataFrame:
+    """``ts >= as_of - width``: closed lower bound, no upper bound (as the reference).
+
+    With ``date_col`` (a date partition column of ``ts``) the implied bound
+    ``date_col >= to_date(as_of - width)`` is added so whole partitions are pruned.
+    """
+    lower = as_column(as_of) - interval(width)
+    cond = F.col(ts_col) >= lower
+    if date_col:
+        cond = cond & (F.col(date_col) >= F.to_date(lower))
+    return df.filter(cond)
 
 
 def tag_overlap_predicate(tags: Iterable[str], tags_col: str = "hashtags", case_insensitive: bool = False) -> Column:

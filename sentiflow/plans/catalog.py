@@ -620,3 +620,16 @@ def q_tag_index_search(spark, sf_dir):
     p = posts(spark, sf_dir)
     index = build_tag_index(p, scratch_path(spark, f"sentiflow-runs/{uuid.uuid4().hex}/tag_index"), files=16)
     return tag_search(spark, p, index, SEARCH_TAGS).select("tweet_id", "hashtags")
+
+
+@register("trailing_window_partitioned")
+def q_trailing_window_partitioned(spark, sf_dir):
+    """FLT-03 over a date-partitioned, time-sorted posts table: the bound prunes partitions."""
+    import uuid
+
+    from sentiflow.session import scratch_path
+
+    p = posts(spark, sf_dir)
+    path = TB.write_posts_table(p, scratch_path(spark, f"sentiflow-runs/{uuid.uuid4().hex}/posts"), files=16)
+    stored = spark.read.parquet(path)
+    return FL.trailing_window(stored, as_of(stored), "24 hours", date_col="dt").select("tweet_id", "processed_at", "sentiment")

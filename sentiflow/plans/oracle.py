@@ -629,3 +629,5 @@ ORACLE["stream_ingest_documents"] = LEX + """SELECT CAST(doc_id AS VARCHAR) AS t
 FROM scored"""
 
 ORACLE["tag_index_search"] = ORACLE["tag_overlap"]
+
+ORACLE["trailing_window_partitioned"] = ORACLE["trailing_window"]

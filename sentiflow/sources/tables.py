@@ -82,3 +82,22 @@ def pin_bounded(df: DataFrame, bound: int, what: str = "dimension") -> DataFrame
     if len(rows) > bound:
         raise ValueError(f"{what} has more than {bound} rows")
     return df.sparkSession.createDataFrame(rows, df.schema)
+
+
+def write_posts_table(posts: DataFrame, path: str, files: int = 64, ts_col: str = "processed_at", date_col: str = "dt") -> str:
+    """Write posts partitioned by date and sorted by time within each file.
+
+    Date folders let a time bound prune whole partitions; time-sorted files give
+    tight row-group min/max for the rest. Rows are range-partitioned by
+    ``(date, time)`` first, so one hot day is spread over several tasks and
+    files instead of one.
+    """
+    dated = posts.withColumn(date_col, F.to_date(ts_col))
+    (
+        dated.repartitionByRange(files, date_col, ts_col)
+        .sortWithinPartitions(ts_col)
+        .write.mode("overwrite")
+        .partitionBy(date_col)
+        .parquet(path)
+    )
+    return path
