@@ -33,6 +33,24 @@ def recent_posts(posts: DataFrame, n: int = 100) -> DataFrame:
     return newest(posts.select(*RECENT_COLUMNS), n)
 
 
+def parse_tags_param(raw: str | None) -> list[str]:
+    """Request tag list: split on commas, trim, strip one leading ``#``, drop empties
+    (the same rules as the column form ``parse_tag_list``)."""
+    out = []
+    for part in (raw or "").split(","):
+        t = part.strip(" ")
+        if t.startswith("#"):
+            t = t[1:]
+        if t:
+            out.append(t)
+    return out
+
+
+def filtered_feed(posts: DataFrame, tags_param: str | None, label: str | None, limit_param) -> dict[str, DataFrame]:
+    """The filtered feed endpoint: optional tags and class, newest first, 10 columns, plus counts."""
+    return search_posts(posts, parse_tags_param(tags_param), label, limit_param, FEED_COLUMNS)
+
+
 def clamp_limit(limit, default: int = 50, maximum: int = 200) -> int:
     """Request ``limit``: integer prefix parse, default 50, at most 200."""
     if limit is None:

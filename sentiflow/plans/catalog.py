@@ -633,3 +633,9 @@ def q_trailing_window_partitioned(spark, sf_dir):
     path = TB.write_posts_table(p, scratch_path(spark, f"sentiflow-runs/{uuid.uuid4().hex}/posts"), files=16)
     stored = spark.read.parquet(path)
     return FL.trailing_window(stored, as_of(stored), "24 hours", date_col="dt").select("tweet_id", "processed_at", "sentiment")
+
+
+@register("filtered_feed")
+def q_filtered_feed(spark, sf_dir):
+    """Feed endpoint with raw request parameters: tags '#click, k3,', class 'negative', limit '500' (-> 200)."""
+    return TK.filtered_feed(posts(spark, sf_dir), "#click, k3,", "negative", "500")["data"]

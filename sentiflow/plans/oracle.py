@@ -631,3 +631,10 @@ FROM scored"""
 ORACLE["tag_index_search"] = ORACLE["tag_overlap"]
 
 ORACLE["trailing_window_partitioned"] = ORACLE["trailing_window"]
+
+sql(
+    "filtered_feed",
+    """SELECT tweet_id, text, author, author_followers, hashtags, compound_score, sentiment, retweet_count, like_count,
+       processed_at FROM posts WHERE list_has_any(hashtags, ['click', 'k3']) AND sentiment = 'negative'
+     ORDER BY processed_at DESC, tweet_id DESC LIMIT 200""",
+)

@@ -69,3 +69,11 @@ def test_recommended_shuffle_partitions():
 
     assert recommended_shuffle_partitions(100 * 1024**4, 8000) == 409_600
     assert recommended_shuffle_partitions(10, 8) == 16
+
+
+def test_parse_tags_param_matches_column_form(spark):
+    from sentiflow.operators.topk import parse_tags_param
+
+    raws = ["#a, b,,#c ,  ", "##x", "", None, " #k3,click "]
+    df = spark.createDataFrame([(r,) for r in raws], "raw string")
+    assert [r[0] for r in df.select(X.parse_tag_list("raw")).collect()] == [parse_tags_param(r) for r in raws]
