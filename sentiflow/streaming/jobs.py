@@ -133,22 +133,28 @@ SILENCE_SCHEMA = "keyword string, last_seen timestamp, silent_at timestamp"
 SILENCE_STATE = "last_seen timestamp"
 
 
-def silent_keyword_stream(matches: DataFrame, idle_seconds: int = 60, watermark: str = "10 minutes") -> DataFrame:
-    """One row per silence episode: a keyword whose last match is ``idle_seconds`` old by event time.
-
-    Keyed state holds only the keyword's last match time; an event-time timer
-    at ``last_seen + idle`` fires once the watermark passes it. The group
+def silent_keyword_stream(matches: DataFrame, idle_seconds: int = 60, watermark: str = "10 minutes", clock: str = "event") -> DataFrame:
+    """One row per silence episode of a keyword.
+
+    ``clock="event"``: an event-time timer at ``last_seen + idle`` fires once the
+    watermark passes it (replayable, the registered form). ``clock="processing"``:
+    the reference's wall-clock rule -- a processing-time timer ``idle`` seconds
+    after the keyword's last match in a micro-batch, firing in a later
+    (possibly empty) micro-batch; ``silent_at`` is then the wall-clock time of
+    detection. Keyed state holds only the keyword's last match time. The group
     function folds the key's rows batch by batch (Arrow chunks), so a keyword
     matching a large share of posts costs one task time, not memory.
     """
     idle_ms = int(idle_seconds) * 1000
     idle_td = pd.Timedelta(seconds=int(idle_seconds))
+    processing = clock == "processing"
 
     def on_group(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             (last,) = state.get
             state.remove()
-            yield pd.DataFrame({"keyword": [key[0]], "last_seen": [last], "silent_at": [last + idle_td]})
+            silent_at = pd.Timestamp(state.getCurrentProcessingTimeMs(), unit="ms") if processing else last + idle_td
+            yield pd.DataFrame({"keyword": [key[0]], "last_seen": [last], "silent_at": [silent_at]})
             return
         newest = None
         for pdf in pdfs:
@@ -158,11 +164,14 @@ def silent_keyword_stream(matches: DataFrame, idle_seconds: int = 60, watermark:
             (prev,) = state.get
             newest = max(newest, prev)
         state.update((newest,))
-        state.setTimeoutTimestamp(int(pd.Timestamp(newest).value // 1_000_000) + idle_ms)
-
-    episodes = (
-        _event_time(matches, "processed_at", watermark)
-        .groupBy("keyword")
-        .applyInPandasWithState(on_group, SILENCE_SCHEMA, SILENCE_STATE, "append", GroupStateTimeout.EventTimeTimeout)
-    )
+        if processing:
+            state.setTimeoutDuration(idle_ms)
+        else:
+            state.setTimeoutTimestamp(int(pd.Timestamp(newest).value // 1_000_000) + idle_ms)
+
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if processing else GroupStateTimeout.EventTimeTimeout
+    source = matches if processing else _event_time(matches, "processed_at", watermark)
+    if processing and dict(source.dtypes).get("processed_at") == "timestamp_ntz":
+        source = source.withColumn("processed_at", F.col("processed_at").cast("timestamp"))
+    episodes = source.groupBy("keyword").applyInPandasWithState(on_group, SILENCE_SCHEMA, SILENCE_STATE, "append", timeout)
     return episodes.select("keyword", F.col("last_seen").cast("timestamp_ntz"), F.col("silent_at").cast("timestamp_ntz"))

@@ -159,3 +159,27 @@ def test_start_ingest_from_json_files(spark):
     assert got == {"1": "positive", "2": "negative"}
     rejects = spark.read.parquet(f"{run}/out/rejects").collect()
     assert [(r["tweet_id"], list(r["reasons"])) for r in rejects] == [("5", ["null_author"])]
+
+
+def test_silent_keyword_stream_processing_time(spark):
+    """Wall-clock idle rule: a keyword that stops matching is reported once `idle` seconds pass,
+    in a later micro-batch that carries no data."""
+    import time
+
+    from conftest import AS_OF, make_posts
+    from sentiflow.operators.keywords import keyword_dim
+
+    run = tempfile.mkdtemp(prefix="sentiflow-test-")
+    make_posts(spark, [dict(tweet_id="a", text="alpha", processed_at=AS_OF)]).write.parquet(f"{run}/in")
+    schema = make_posts(spark, [dict(tweet_id="a")]).schema
+    stream = spark.readStream.schema(schema).parquet(f"{run}/in")
+    out = SJ.silent_keyword_stream(SJ.keyword_match_stream(stream, keyword_dim(spark, ["alpha", "beta"])), idle_seconds=2, clock="processing")
+    q = SJ.run_stream(out, checkpoint=f"{run}/ckpt", trigger="1 second", fmt="memory", query_name="silence_pt")
+    deadline = time.time() + 60
+    rows = []
+    while time.time() < deadline and not rows:
+        time.sleep(2)
+        rows = spark.sql("SELECT * FROM silence_pt").collect()
+    q.stop()
+    assert [(r["keyword"], r["last_seen"]) for r in rows] == [("alpha", AS_OF)]
+    assert rows[0]["silent_at"] is not None
