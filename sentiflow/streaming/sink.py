@@ -13,6 +13,7 @@ collected to the driver; the only driver-side action is the empty-batch check.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,6 +58,9 @@ class PostsLogSink:
         self.as_of = as_of
         # Refresh cadence of the derived snapshot: every N-th micro-batch (1 = every batch).
         self.snapshot_every = max(int(snapshot_every), 1)
+        # batch_id -> newest processed_at of its valid rows, for the batches that can still
+        # overlap a snapshot window (rebuilt from the manifest after a restart).
+        self._recent: dict[int, dt.datetime] | None = None
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         posts = (self.transform(batch_df) if self.transform else batch_df).select(*CANONICAL_COLUMNS)
@@ -82,25 +86,65 @@ class PostsLogSink:
             valid.unpersist()
 
     def _write_split(self, valid: DataFrame, rejected: DataFrame, batch_id: int) -> None:
-        bid = F.lit(int(batch_id)).cast("bigint")
+        spark = valid.sparkSession
+        batch_id = int(batch_id)
+        bid = F.lit(batch_id).cast("bigint")
+        newest, rows = valid.agg(F.max("processed_at"), F.count(F.lit(1))).first()
         _write_partition(valid.withColumn("batch_id", bid), f"{self.root}/posts_log")
         _write_partition(rejected.withColumn("batch_id", bid), f"{self.root}/rejects")
-        if int(batch_id) % self.snapshot_every:
+        manifest = spark.createDataFrame([(batch_id, newest, rows)], "batch_id long, newest timestamp_ntz, rows long")
+        _write_partition(manifest, f"{self.root}/manifest")
+        recent = self._recent_batches(spark)
+        if rows:
+            recent[batch_id] = newest
+        if batch_id % self.snapshot_every:
             return
-        spark = valid.sparkSession
-        log = spark.read.parquet(f"{self.root}/posts_log")
-        if self.as_of == "max":
-            clock = ts_literal(valid.agg(F.max("processed_at")).first()[0])
+        now = newest if self.as_of == "max" else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        if now is None:
+            return
+        lower = now - _width(self.snapshot_width)
+        # Only batches that can hold rows inside the window are read (explicit partition
+        # paths: no listing of the whole log); versions inside the window are then merged.
+        # Exact while processed_at does not decrease across a post's versions, which holds
+        # when it is the processing time.
+        needed = sorted(b for b, mx in recent.items() if b <= batch_id and mx is not None and mx >= lower)
+        for b in [b for b, mx in recent.items() if mx is not None and mx < lower - _width(self.snapshot_width)]:
+            del recent[b]
+        clock = ts_literal(now)
+        if needed:
+            log = spark.read.option("basePath", f"{self.root}/posts_log").parquet(
+                *[f"{self.root}/posts_log/batch_id={b}" for b in needed]
+            )
+            window = log.filter(F.col("processed_at") >= ts_literal(lower))
         else:
-            clock = F.current_timestamp().cast("timestamp_ntz")
-        # Only versions inside the window are merged (batch_id prunes partitions, the time
-        # bound reaches the parquet scan). Exact while processed_at does not decrease across
-        # a post's versions, which holds when it is the processing time.
-        lower = clock - F.expr(f"INTERVAL {self.snapshot_width}")
-        recent = log.filter((F.col("batch_id") <= F.lit(int(batch_id))) & (F.col("processed_at") >= lower))
-        snap = rolling_snapshot(current_posts_from(recent), clock, self.snapshot_width)
+            window = valid.limit(0).withColumn("batch_id", bid)
+        snap = rolling_snapshot(current_posts_from(window), clock, self.snapshot_width)
         _write_partition(snap.withColumn("batch_id", bid), f"{self.root}/snapshots")
 
+    def _recent_batches(self, spark: SparkSession) -> dict[int, dt.datetime]:
+        if self._recent is None:
+            self._recent = {}
+            path = f"{self.root}/manifest"
+            if _exists(spark, path):
+                for r in spark.read.parquet(path).collect():
+                    if r["rows"]:
+                        self._recent[int(r["batch_id"])] = r["newest"]
+        return self._recent
+
+
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def _width(spec: str) -> dt.timedelta:
+    """``'5 minutes'`` -> timedelta (units: seconds, minutes, hours, days)."""
+    amount, unit = spec.split()
+    return dt.timedelta(seconds=float(amount) * _UNIT_SECONDS[unit.lower().rstrip("s")])
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+
 
 def current_posts_from(log: DataFrame) -> DataFrame:
     """Merge-on-read of the posts log: first-written immutables, latest mutables per ``tweet_id``."""
