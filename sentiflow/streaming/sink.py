@@ -2,6 +2,7 @@
 
 Layout under ``root``:
   posts_log/batch_id=N/     valid posts of micro-batch N (append-only log of versions)
+  manifest/batch_N.json     newest processed_at and row count of batch N (driver-written metadata)
   rejects/batch_id=N/       rows breaking a row-level constraint, with reasons
   snapshots/batch_id=N/     rolling window snapshot computed after batch N
 
@@ -92,8 +93,7 @@ class PostsLogSink:
         newest, rows = valid.agg(F.max("processed_at"), F.count(F.lit(1))).first()
         _write_partition(valid.withColumn("batch_id", bid), f"{self.root}/posts_log")
         _write_partition(rejected.withColumn("batch_id", bid), f"{self.root}/rejects")
-        manifest = spark.createDataFrame([(batch_id, newest, rows)], "batch_id long, newest timestamp_ntz, rows long")
-        _write_partition(manifest, f"{self.root}/manifest")
+        _write_manifest(spark, f"{self.root}/manifest", batch_id, newest, rows)
         recent = self._recent_batches(spark)
         if rows:
             recent[batch_id] = newest
@@ -126,9 +126,9 @@ class PostsLogSink:
             self._recent = {}
             path = f"{self.root}/manifest"
             if _exists(spark, path):
-                for r in spark.read.parquet(path).collect():
-                    if r["rows"]:
-                        self._recent[int(r["batch_id"])] = r["newest"]
+                entries = spark.read.schema("batch_id long, newest timestamp_ntz, rows long").json(path)
+                for r in entries.filter(F.col("rows") > 0).collect():
+                    self._recent[int(r["batch_id"])] = r["newest"]
         return self._recent
 
 
@@ -141,6 +141,21 @@ def _width(spec: str) -> dt.timedelta:
     return dt.timedelta(seconds=float(amount) * _UNIT_SECONDS[unit.lower().rstrip("s")])
 
 
+def _write_manifest(spark: SparkSession, folder: str, batch_id: int, newest, rows: int) -> None:
+    """One small JSON file per batch, written by the driver through the Hadoop FileSystem
+    API (metadata, like a commit log entry; a replayed batch overwrites its own file)."""
+    import json
+
+    line = json.dumps({"batch_id": batch_id, "newest": newest.isoformat(sep=" ") if newest else None, "rows": rows})
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{folder}/batch_{batch_id}.json")
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        out.write(bytearray((line + "\n").encode("utf-8")))
+    finally:
+        out.close()
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
