@@ -126,7 +126,8 @@ class PostsLogSink:
             self._recent = {}
             path = f"{self.root}/manifest"
             if _exists(spark, path):
-                entries = spark.read.schema("batch_id long, newest timestamp_ntz, rows long").json(path)
+                entries = spark.read.schema("batch_id long, newest string, rows long").json(path)
+                entries = entries.withColumn("newest", F.col("newest").cast("timestamp_ntz"))
                 for r in entries.filter(F.col("rows") > 0).collect():
                     self._recent[int(r["batch_id"])] = r["newest"]
         return self._recent

@@ -200,16 +200,17 @@ def test_snapshots_match_full_log_recompute(spark):
     for hi in cuts:
         batches.append(p.filter((F.col("processed_at") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("processed_at") < F.lit(hi).cast("timestamp_ntz"))))
         lo = hi
-    sink = PostsLogSink(root, snapshot_width="2 days")
+    # A 10-day window spans earlier batches, also right after the restart.
+    sink = PostsLogSink(root, snapshot_width="10 days")
     for i, b in enumerate(batches):
         if i == 3:
-            sink = PostsLogSink(root, snapshot_width="2 days")  # restart: recent batches come from the manifest
+            sink = PostsLogSink(root, snapshot_width="10 days")  # restart: recent batches come from the manifest
         sink(b, i)
     log = spark.read.parquet(f"{root}/posts_log")
     got = spark.read.parquet(f"{root}/snapshots")
     for i, b in enumerate(batches):
         clock = b.agg(F.max("processed_at")).first()[0]
         upto = log.filter(F.col("batch_id") <= i)
-        expected = rolling_snapshot(current_posts_from(upto), ts_literal(clock), "2 days")
+        expected = rolling_snapshot(current_posts_from(upto), ts_literal(clock), "10 days")
         mine = got.filter(F.col("batch_id") == i).drop("batch_id")
         assert sorted(tuple(r) for r in mine.collect()) == sorted(tuple(r) for r in expected.collect()), i
