@@ -84,17 +84,20 @@ def pin_bounded(df: DataFrame, bound: int, what: str = "dimension") -> DataFrame
     return df.sparkSession.createDataFrame(rows, df.schema)
 
 
-def write_posts_table(posts: DataFrame, path: str, files: int = 64, ts_col: str = "processed_at", date_col: str = "dt") -> str:
+def write_posts_table(
+    posts: DataFrame, path: str, files: int = 64, ts_col: str = "processed_at", date_col: str = "dt", key: str = "tweet_id"
+) -> str:
     """Write posts partitioned by date and sorted by time within each file.
 
     Date folders let a time bound prune whole partitions; time-sorted files give
     tight row-group min/max for the rest. Rows are range-partitioned by
-    ``(date, time)`` first, so one hot day is spread over several tasks and
-    files instead of one.
+    ``(date, time, key)`` first, so one hot day -- even a burst of rows with the
+    same timestamp -- is spread over several tasks and files instead of one.
     """
     dated = posts.withColumn(date_col, F.to_date(ts_col))
+    keys = [date_col, ts_col] + ([key] if key in posts.columns else [])
     (
-        dated.repartitionByRange(files, date_col, ts_col)
+        dated.repartitionByRange(files, *keys)
         .sortWithinPartitions(ts_col)
         .write.mode("overwrite")
         .partitionBy(date_col)
