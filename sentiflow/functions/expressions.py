@@ -73,14 +73,17 @@ def pct(part: Column, total: Column, digits: int) -> Column:
 
 
 def count_class(label: str, col: str = "sentiment") -> Column:
+    """Number of rows of one class (``count_if``)."""
     return F.count_if(F.col(col) == F.lit(label))
 
 
 def class_count_columns(col: str = "sentiment", suffix: str = "") -> list[Column]:
+    """One count column per class, named after the class."""
     return [count_class(c, col).alias(f"{c}{suffix}") for c in SENTIMENT_CLASSES]
 
 
 def minute_bucket(ts: Column | str, unit: str = "minute") -> Column:
+    """``date_trunc(unit, ts)`` kept as ``timestamp_ntz``."""
     c = F.col(ts) if isinstance(ts, str) else ts
     return F.date_trunc(unit, c).cast("timestamp_ntz")
 

@@ -35,11 +35,13 @@ MAX_PINNED_LEXICON = 200_000
 
 
 def tokens(text: Column | str) -> Column:
+    """Lower-cased text split on runs of non-letters."""
     c = F.col(text) if isinstance(text, str) else text
     return F.split(F.lower(c), TOKEN_SPLIT)
 
 
 def compound_from_sum(s: Column) -> Column:
+    """``s / sqrt(s^2 + alpha)`` rounded to 4 places."""
     sd = s.cast("double")
     return F.round(sd / F.sqrt(sd * sd + F.lit(ALPHA)), 4)
 

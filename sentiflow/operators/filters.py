@@ -35,6 +35,7 @@ def trailing_window(df: DataFrame, as_of, width: str, ts_col: str = "processed_a
 
 
 def tag_overlap_predicate(tags: Iterable[str], tags_col: str = "hashtags", case_insensitive: bool = False) -> Column:
+    """True when the tag array shares an element with ``tags`` (NULL for NULL arrays)."""
     tags = list(tags)
     if case_insensitive:
         wanted = F.array(*[F.lit(t.lower()) for t in tags])
@@ -48,6 +49,7 @@ def tag_overlap(df: DataFrame, tags: Iterable[str], tags_col: str = "hashtags",
 
 
 def validate_class(label: str | None) -> str | None:
+    """Return the label, or raise ``ValueError`` for anything but the three classes."""
     if label is not None and label not in SENTIMENT_CLASSES:
         raise ValueError(f"Invalid sentiment filter: {label!r}")
     return label

@@ -47,6 +47,7 @@ def backlog(offsets: DataFrame, threshold: int = MAX_BACKLOG, by: list[str] | No
 
 
 def partition_lag(offsets: DataFrame) -> DataFrame:
+    """Per-partition ``lag`` column (``max(0, high - committed)``, missing committed counts from ``low``)."""
     committed = F.when(F.col("committed").isNull() | (F.col("committed") < 0), F.col("low")).otherwise(F.col("committed"))
     return offsets.withColumn("lag", F.greatest(F.lit(0), F.col("high") - committed).cast("bigint"))
 

@@ -103,6 +103,7 @@ def series_partials(posts: DataFrame, unit: str = "minute") -> DataFrame:
 
 
 def merge_partials(*parts: DataFrame) -> DataFrame:
+    """Sum partial aggregates per (bucket, class); partially aggregated before the shuffle."""
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
@@ -116,6 +117,7 @@ def merge_partials(*parts: DataFrame) -> DataFrame:
 
 
 def finish_series(partials: DataFrame, digits: int = 8) -> DataFrame:
+    """Partials -> the per-bucket series with the exact average."""
     # Bounded precisions keep 14 fractional digits in the decimal quotient before rounding.
     quotient = F.col("score_sum").cast("decimal(28,4)") / F.nullif(F.col("score_n"), F.lit(0)).cast("decimal(12,0)")
     avg = F.round(quotient, digits).cast("double")

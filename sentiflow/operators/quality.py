@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sentiflow.functions.expressions import as_column, label_expr, lag_seconds
 from sentiflow.operators.filters import filter_text_lang
-from sentiflow.schema import CANONICAL_COLUMNS, COLUMN_DEFAULTS, NOT_NULL_COLUMNS, SENTIMENT_CLASSES
+from sentiflow.schema import COLUMN_DEFAULTS, NOT_NULL_COLUMNS, SENTIMENT_CLASSES
 
 # Fixed value: the legacy API date layout after the weekday, e.g. "Oct 10 20:19:24 +0000 2018".
 LEGACY_DATE_PATTERN = "MMM dd HH:mm:ss Z yyyy"
@@ -136,6 +136,3 @@ def quarantine(
     dups = repeated_rows.exceptAll(winners).withColumn("reasons", F.array(F.lit("duplicate_key")))
     return valid, bad.unionByName(dups)
 
-
-def project_canonical(df: DataFrame) -> DataFrame:
-    return df.select(*CANONICAL_COLUMNS)

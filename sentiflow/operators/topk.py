@@ -13,7 +13,6 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentiflow.functions.expressions import clamp_int
 from sentiflow.operators.aggregates import class_counts
 from sentiflow.operators.filters import search_predicate
 
@@ -25,6 +24,7 @@ FEED_COLUMNS = RECENT_COLUMNS[:-1]
 
 
 def newest(df: DataFrame, n: int, ts_col: str = "processed_at", key: str = "tweet_id") -> DataFrame:
+    """The ``n`` newest rows, key as tie-break (a per-task top-n, then a merge)."""
     return df.orderBy(F.desc(ts_col), F.desc(key)).limit(n)
 
 
@@ -108,6 +108,3 @@ def accumulate_feed(old: DataFrame, fresh: DataFrame, cap: int = 200, key: str =
     merged = fresh.unionByName(old.join(fresh.select(key), key, "left_anti"))
     return newest(merged, cap, key=key)
 
-
-def tag_filter_limit(limit_col: str = "limit") -> F.Column:
-    return clamp_int(limit_col, 50, 200)

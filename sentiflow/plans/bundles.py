@@ -22,6 +22,7 @@ MEMBER_ROW_BOUNDS = {"summary": 1, "timeSeries": 1440 * 3, "rolling": 3, "hashta
 
 
 def stats_bundle(posts: DataFrame, snapshots: DataFrame, as_of, minutes: int = 60) -> dict[str, DataFrame]:
+    """Summary, recent per-minute series, latest rolling snapshots and top hashtags."""
     minutes = min(int(minutes), 1440)
     return {
         "summary": kpi_summary(posts),
@@ -32,6 +33,7 @@ def stats_bundle(posts: DataFrame, snapshots: DataFrame, as_of, minutes: int = 6
 
 
 def search_bundle(posts: DataFrame, tags, label=None, limit=50) -> dict[str, DataFrame]:
+    """Newest matching posts, their count, and class counts of all matches."""
     res = search_posts(posts, tags, label, clamp_limit(limit), RECENT_COLUMNS)
     data = res["data"]
     return {"data": data, "count": data.agg(F.count(F.lit(1)).alias("count")), "summary": res["summary"]}

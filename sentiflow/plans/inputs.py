@@ -14,11 +14,13 @@ from sentiflow.sources.tables import load_table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table (session time zone pinned to UTC first)."""
     ensure_session_defaults(spark)
     return load_table(spark, sf_dir, name)
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The canonical posts table derived from ``events``."""
     return events_to_posts(table(spark, sf_dir, "events"))
 
 

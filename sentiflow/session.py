@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -93,9 +92,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = shared_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
 
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

@@ -82,4 +82,5 @@ def split_routes(routed: DataFrame) -> dict[str, DataFrame]:
 
 
 def route_counts(routed: DataFrame) -> DataFrame:
+    """Messages and rate-limit errors per route."""
     return routed.groupBy("route").agg(F.count(F.lit(1)).alias("n"), F.count_if("rate_limited").alias("rate_limited"))

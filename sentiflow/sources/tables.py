@@ -6,7 +6,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 TEST_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -67,10 +66,6 @@ def first_nonempty(sources: list[tuple[str, DataFrame]], short_circuit: bool = F
     return union.filter(F.col("_priority") == winner).drop("_priority")
 
 
-def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def pin_bounded(df: DataFrame, bound: int, what: str = "dimension") -> DataFrame:
     """Fetch a small dimension once (at most ``bound + 1`` rows) and pin it as a local relation.
 

@@ -48,6 +48,7 @@ def start_ingest(spark: SparkSession, raw_stream: DataFrame, lexicon: DataFrame,
 
 
 def main(argv: list[str] | None = None) -> None:
+    """Command-line entry point (see the module docstring)."""
     from sentiflow.session import build_session
 
     ap = argparse.ArgumentParser(description="Raw JSON posts -> scored, labelled, keyed posts log")

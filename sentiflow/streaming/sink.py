@@ -194,6 +194,7 @@ def posts_versions(spark: SparkSession, root: str) -> DataFrame:
 
 
 def current_posts(spark: SparkSession, root: str) -> DataFrame:
+    """The current posts table of a sink folder (compacted base plus newer log batches, merged)."""
     return current_posts_from(posts_versions(spark, root))
 
 
