@@ -250,3 +250,46 @@ def publish_json_stream(df: DataFrame, checkpoint: str, key_col: str = "id", fmt
     if path:
         w = w.option("path", path)
     return w.start()
+
+
+class FeedSink:
+    """``foreachBatch`` form of the client poll loop: keep the newest ``cap`` posts.
+
+    Each micro-batch merges its posts into the previous feed (``accumulate_feed``:
+    fresh rows first, older rows not re-delivered, newest ``cap`` kept) and writes
+    the result as a new version folder ``feed/v=N``. Nothing read is overwritten,
+    and a replayed batch rewrites only its own version. The feed is bounded by
+    ``cap``, so each batch reads and writes at most ``cap`` old rows.
+    """
+
+    def __init__(self, root: str, cap: int = 200):
+        self.root = root.rstrip("/")
+        self.cap = cap
+
+    def _previous(self, spark: SparkSession, batch_id: int) -> str | None:
+        folder = f"{self.root}/feed"
+        if not _exists(spark, folder):
+            return None
+        jvm = spark._jvm
+        fs = jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+        done = []
+        for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(folder)):
+            name = st.getPath().getName()
+            if name.startswith("v=") and int(name[2:]) < batch_id and _exists(spark, f"{folder}/{name}/_SUCCESS"):
+                done.append(int(name[2:]))
+        return f"{folder}/v={max(done)}" if done else None
+
+    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        from sentiflow.operators.topk import RECENT_COLUMNS, accumulate_feed, newest
+
+        spark = batch_df.sparkSession
+        fresh = batch_df.select(*RECENT_COLUMNS)
+        prev = self._previous(spark, int(batch_id))
+        merged = accumulate_feed(spark.read.parquet(prev), fresh, self.cap) if prev else newest(fresh, self.cap)
+        merged.write.mode("overwrite").parquet(f"{self.root}/feed/v={int(batch_id)}")
+
+
+def current_feed(spark: SparkSession, root: str) -> DataFrame | None:
+    """The newest completed feed version of a ``FeedSink`` folder."""
+    path = FeedSink(root)._previous(spark, 1 << 62)
+    return spark.read.parquet(path) if path else None

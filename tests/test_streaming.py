@@ -214,3 +214,16 @@ def test_snapshots_match_full_log_recompute(spark):
         expected = rolling_snapshot(current_posts_from(upto), ts_literal(clock), "10 days")
         mine = got.filter(F.col("batch_id") == i).drop("batch_id")
         assert sorted(tuple(r) for r in mine.collect()) == sorted(tuple(r) for r in expected.collect()), i
+
+
+def test_feed_sink_keeps_newest(spark):
+    """Poll-delta loop as a stream: after all batches the feed is the newest 200 posts overall."""
+    from sentiflow.operators.topk import recent_posts
+    from sentiflow.streaming.sink import FeedSink, current_feed
+
+    run = tempfile.mkdtemp(prefix="sentiflow-test-")
+    p = load_posts(spark, SF_SMALL)
+    write_replay_files(p, f"{run}/in", "processed_at", 4, spark, fmt="parquet", tiebreak="tweet_id")
+    stream = spark.readStream.schema(p.schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/in")
+    SJ.run_stream(stream, sink=FeedSink(f"{run}/out", cap=200), checkpoint=f"{run}/ckpt", trigger="available_now").awaitTermination()
+    assert _rows(current_feed(spark, f"{run}/out")) == _rows(recent_posts(p, 200))
