@@ -37,5 +37,8 @@ from sentiflow.session import build_session, ensure_session_defaults, recommende
 from sentiflow.sources.json_codec import decode_json, encode_json, route_envelopes
 from sentiflow.sources.normalize import normalize_posts
 from sentiflow.sources.tables import first_nonempty, read_posts, table_counts, write_posts_table
+from sentiflow.streaming.app import ingest_transform, start_ingest
+from sentiflow.streaming.jobs import dedup_stream, run_stream, silent_keyword_stream, sliding_window_sentiment, stream_per_bucket
+from sentiflow.streaming.sink import FeedSink, PostsLogSink, compact_log, current_feed, current_posts, current_snapshots
 
 __all__ = [name for name in dir() if not name.startswith("_")]
