@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from sentiflow.llm import language_id, url_filter
+from sentiflow.llm import decontamination, language_id, url_filter
 
 QUERIES = {
+    "op2_decontamination": decontamination.op2_decontamination,
     "op4_language_id": language_id.op4_language_id,
     "op5_url_filter": url_filter.op5_url_filter,
 }
 ORACLE = {
+    "op2_decontamination": decontamination.ORACLE_SQL,
     "op5_url_filter": url_filter.ORACLE_SQL,
 }
