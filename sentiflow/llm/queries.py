@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from sentiflow.llm import decontamination, language_id, suffix_dedup, url_filter
+from sentiflow.llm import decontamination, language_id, near_dedup, suffix_dedup, url_filter
 
 QUERIES = {
     "op2_decontamination": decontamination.op2_decontamination,
     "op4_language_id": language_id.op4_language_id,
     "op5_url_filter": url_filter.op5_url_filter,
+    "op8_bagminhash": near_dedup.op8_bagminhash,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 ORACLE = {

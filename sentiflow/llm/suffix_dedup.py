@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sentiflow.llm.common import by_size, read_table, utf8_column, written
+from sentiflow.llm.hashing import PrefixHashes, mixed
 
 LENGTH = 100
 GRAM = 32
@@ -47,41 +48,6 @@ WANTED = [("h", np.uint64), ("doc", np.int64), ("place", np.int64), ("before", n
 FOUND, REPEATS, ASKED = 0, 1, 2
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijective scramble of 64-bit numbers."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class PrefixHashes:
-    """Polynomial hashes modulo 2**64 of all stretches of some bytes, from one running sum."""
-
-    BASE = 0x9E3779B97F4A7C15
-    _powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
-
-    def __init__(self, data: np.ndarray):
-        power, self.inverse = self._tables(len(data) + 1)
-        value = mixed(np.arange(1, 257, dtype=np.uint64))[data]
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(value * power[: len(data)], out=self.sums[1:])
-
-    @classmethod
-    def _tables(cls, n: int):
-        if len(cls._powers[0]) < n:
-            size = max(n, SLICE_BYTES + 1)
-            made = []
-            for base in (cls.BASE, pow(cls.BASE, -1, 1 << 64)):
-                steps = np.full(size, base, np.uint64)
-                steps[0] = 1
-                made.append(np.multiply.accumulate(steps))
-            cls._powers = tuple(made)
-        return cls._powers
-
-    def of(self, start, size) -> np.ndarray:
-        return (self.sums[start + size] - self.sums[start]) * self.inverse[start]
-
-
 def window_min(values: np.ndarray, width: int) -> np.ndarray:
     """Least of each ``width`` neighbours."""
     size = 1
