@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from sentiflow.llm import decontamination, language_id, near_dedup, suffix_dedup, url_filter
+from sentiflow.llm import decontamination, hmm, language_id, near_dedup, suffix_dedup, url_filter
 
 QUERIES = {
+    "op1_hidden_markov_lm": hmm.op1_hidden_markov_lm,
     "op2_decontamination": decontamination.op2_decontamination,
     "op4_language_id": language_id.op4_language_id,
     "op5_url_filter": url_filter.op5_url_filter,
