@@ -311,6 +311,7 @@ def find_contamination(
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, all columns as they are."""
     marked = mark_contamination(docs, benchmark, text_col, window=window)
+    inputs = len(docs.columns)
 
     def clean(batches):
         for batch in batches:
@@ -319,7 +320,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
                 own = int(np.unpackbits(np.frombuffer(flags, np.uint8), count=words).sum()) if flags else 0
                 keep.append(own == 0 or 20 * own < words)
             kept = batch.filter(pa.array(keep, pa.bool_()))
-            yield kept.select(range(len(docs.columns)))
+            yield pa.RecordBatch.from_arrays(kept.columns[:inputs], names=kept.schema.names[:inputs])
 
     return marked.mapInArrow(clean, docs.schema)
 

@@ -296,11 +296,11 @@ def sanitise(
     inner = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_doc"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_key"))
     held = inner.join(marks, inner["_doc"].eqNullSafe(marks["_id"]) & (inner["_key"] == marks["_hash"]), "left")
 
-    @F.udf("string")
-    def replace(text, base, terms):
-        spans = [(s["start"], s["end"], f"[{KINDS[s['kind']].upper()}]") for s in base]
+    @F.udf("string", useArrow=True)
+    def replace(text, base, terms):  # sees every row, also those without marks
+        spans = [(s["start"], s["end"], f"[{KINDS[s['kind']].upper()}]") for s in base or ()]
         spans += [(s["start"], s["end"], "" if s["removed"] else "[TERM]") for s in terms or ()]
-        return redacted(text, spans)
+        return redacted(text, spans) if spans else text
 
     held = held.withColumn("_new", F.when(F.col("base").isNotNull(), replace(F.col("_row")[text_col], "base", "terms")).otherwise(F.col("_row")[text_col]))
     columns = []

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sentiflow.llm import decontamination, hmm, language_id, near_dedup, neighbours, pii, suffix_dedup, url_filter
+from sentiflow.llm import decontamination, hmm, language_id, licenses, mixing, near_dedup, neighbours, pii, suffix_dedup, url_filter
 
 QUERIES = {
     "op1_hidden_markov_lm": hmm.op1_hidden_markov_lm,
@@ -10,8 +10,10 @@ QUERIES = {
     "op3_pii": pii.op3_pii,
     "op4_language_id": language_id.op4_language_id,
     "op5_url_filter": url_filter.op5_url_filter,
+    "op6_license_scan": licenses.op6_license_scan,
     "op7_learned_partitions": neighbours.op7_learned_partitions,
     "op8_bagminhash": near_dedup.op8_bagminhash,
+    "op9_temperature_mixing": mixing.op9_temperature_mixing,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 ORACLE = {
