@@ -103,14 +103,14 @@ def all_of(conditions: list[Column]) -> Column:
 def parse_tag_list(raw: Column | str) -> Column:
     """``'#a, b,,#c'`` -> ``['a','b','c']``: split on commas, trim, strip one ``#``, drop empties."""
     c = F.col(raw) if isinstance(raw, str) else raw
-    parts = F.transform(F.split(F.coalesce(c, F.lit("")), ","), lambda x: F.regexp_replace(F.trim(x), "^#", ""))
+    parts = F.transform(F.split(F.coalesce(c, F.lit("")), ","), lambda x: F.regexp_replace(F.regexp_replace(x, r"^\s+|\s+$", ""), "^#", ""))
     return F.filter(parts, lambda x: x != F.lit(""))
 
 
 def clamp_int(raw: Column | str, default: int, maximum: int) -> Column:
     """``min(parseInt(raw) or default, maximum)`` for request parameters."""
     c = F.col(raw) if isinstance(raw, str) else raw
-    leading = F.regexp_extract(F.trim(c), r"^[+-]?[0-9]+", 0)
+    leading = F.regexp_extract(c, r"^\s*([+-]?[0-9]+)", 1)
     number = F.when(leading == F.lit(""), F.lit(None)).otherwise(leading.try_cast("int"))
     return F.least(F.coalesce(number, F.lit(default)), F.lit(maximum))
 

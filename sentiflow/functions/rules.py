@@ -10,8 +10,8 @@ normalised by ``s / sqrt(s^2 + alpha)``.
 
 Plan shape (no per-row Python, one shuffle):
   words per text (row-local array ops)
-  -> posexplode, inner broadcast join with the lexicon (keeps only
-     sentiment-bearing words; the lexicon's size is checked first)
+  -> posexplode, inner join with the lexicon (keeps only
+     sentiment-bearing words; Spark picks the join by size)
   -> whether each preceding word is itself a lexicon word (rules apply only to
      non-lexicon modifiers) from the few rule words the lexicon holds
   -> per-word adjusted valence by CASE expressions over the neighbours
@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentiflow.functions.scoring import MAX_BROADCAST_LEXICON, pin_lexicon
+from sentiflow.functions.scoring import text_key, with_scores
 
 
 # Fixed values (public rule set; configurable): constants and word lists.
@@ -66,9 +66,6 @@ class RuleParams:
 
 DEFAULT_PARAMS = RuleParams()
 
-# Bound on lexicon entries that are also rule words (boosters, negations, "n't" forms).
-_MAX_RULE_WORDS = 100_000
-
 # Punctuation stripped from both ends of a whitespace token.
 _EDGE_PUNCT = r"^[\p{Punct}]+|[\p{Punct}]+$"
 
@@ -94,17 +91,14 @@ def rule_score(
     id_col: str,
     text_col: str = "text",
     params: RuleParams = DEFAULT_PARAMS,
-    broadcast_bound: int = MAX_BROADCAST_LEXICON,
 ) -> DataFrame:
     """``(id, compound_score)`` for every row of ``df`` with the full rule set.
 
-    One size-checked fetch pins the lexicon, so it is neither recomputed per
-    use nor broadcast above ``broadcast_bound`` rows.
+    Rows that share id and text are one group that is given out as often as it has rows. Spark picks
+    the lexicon join by size.
     """
     p = params
-    lexicon, small = pin_lexicon(lexicon.select("token", "valence"), broadcast_bound)
     lex = lexicon.select(F.lower("token").alias("token"), F.col("valence").cast("double").alias("valence"))
-    bc = F.broadcast if small else (lambda d: d)
 
     text = F.coalesce(F.col(text_col), F.lit(""))
 
@@ -114,7 +108,8 @@ def rule_score(
         return F.when(F.length(stripped) <= 2, t).otherwise(stripped)
 
     words = F.filter(F.transform(F.split(F.trim(text), r"\s+"), strip_word), lambda t: F.length(t) > 1)
-    base = df.select(F.col(id_col).alias("_id"), words.alias("_w")).select(
+    row_key = F.struct(F.col(id_col).alias("id"), *text_key(text_col)).alias("_id")
+    base = df.select(row_key, words.alias("_w")).select(
         "_id", "_w",
         F.transform("_w", lambda w: F.lower(w)).alias("_lw"),
         (F.exists("_w", _is_caps) & F.exists("_w", lambda w: ~_is_caps(w))).alias("_mixed"),
@@ -139,17 +134,14 @@ def rule_score(
     tok = shifted.select("_id", "_mixed", "_but", F.posexplode(zipped).alias("_pos", "_c")).select(
         "_id", "_mixed", "_but", "_pos", "_c.*"
     ).filter(F.col("_lwi").isNotNull())
-    hit = tok.join(bc(lex.withColumnRenamed("token", "_lwi")), "_lwi", "inner")
+    hit = tok.join(lex.withColumnRenamed("token", "_lwi"), "_lwi", "inner")
     # Whether a preceding word is itself a lexicon word only matters when that word is a
-    # booster, a negation or "least" (every rule below tests both), so it is decided with
-    # the few such words the lexicon holds, fetched once, instead of three more joins.
+    # booster, a negation or "least" (every rule below tests both), so the three joins are
+    # with the few such words that the lexicon holds.
     rule_words = sorted(set(p.boosters_up) | set(p.boosters_down) | set(p.negations) | {"least"})
-    special = lex.filter(F.col("token").isin(rule_words) | F.col("token").contains("n't")).select("token")
-    in_lexicon = [r[0] for r in special.limit(_MAX_RULE_WORDS + 1).collect()]
-    if len(in_lexicon) > _MAX_RULE_WORDS:
-        raise ValueError("too many rule words in the lexicon")
+    special = lex.filter(F.col("token").isin(rule_words) | F.col("token").contains("n't")).select("token").distinct()
     for k in (1, 2, 3):
-        hit = hit.withColumn(f"_in{k}", F.when(F.col(f"_p{k}").isin(in_lexicon), F.lit(True)))
+        hit = hit.join(special.select(F.col("token").alias(f"_p{k}"), F.lit(True).alias(f"_in{k}")), f"_p{k}", "left")
 
     # Adjusted valence = (valence + caps + boosters) * negation and contrast factors. Each
     # rule is its own term, so the expression stays linear in size (no nested re-use).
@@ -190,17 +182,19 @@ def rule_score(
     # A booster word, or "kind" in "kind of", carries no valence of its own.
     silent = F.col("_lwi").isin(list(p.boosters_up) + list(p.boosters_down)) | ((F.col("_lwi") == "kind") & (F.col("_next") == "of"))
     contrib = hit.select(F.col("_id"), F.when(silent, F.lit(0.0)).otherwise(adjusted).alias("_v"),
-                         F.lit(None).cast("int").alias("_excl"), F.lit(None).cast("int").alias("_ques"))
+                         F.lit(None).cast("int").alias("_excl"), F.lit(None).cast("int").alias("_ques"), F.lit(0).alias("_row"))
 
     # One zero row per text (texts without lexicon words still get a score); needs no word split.
     zero = df.select(
-        F.col(id_col).alias("_id"),
+        row_key,
         F.lit(0.0).alias("_v"),
         F.least(F.length(text) - F.length(F.regexp_replace(text, "!", "")), F.lit(p.exclamation_max)).alias("_excl"),
         (F.length(text) - F.length(F.regexp_replace(text, r"\?", ""))).alias("_ques"),
+        F.lit(1).alias("_row"),
     )
     agg = zero.unionByName(contrib).groupBy("_id").agg(
-        F.sum(F.col("_v").cast("decimal(20,9)")).cast("double").alias("_s"),
+        F.sum("_row").cast("int").alias("_rows"),
+        (F.sum(F.col("_v").cast("decimal(20,9)")).cast("decimal(28,9)") / F.sum("_row").cast("decimal(9,0)")).cast("double").alias("_s"),
         F.max("_excl").alias("_excl"),
         F.max("_ques").alias("_ques"),
     )
@@ -212,4 +206,10 @@ def rule_score(
     total = F.when(s > 0, s + ep).when(s < 0, s - ep).otherwise(s)
     compound = F.round(total / F.sqrt(total * total + F.lit(p.alpha)), 4)
     compound = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), compound))
-    return agg.select(F.col("_id").alias(id_col), compound.alias("compound_score"))
+    one = agg.select(F.col("_id.id").alias(id_col), compound.alias("compound_score"), "_rows")
+    return one.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_rows")))).drop("_copy", "_rows")
+
+
+def with_rule_score(df: DataFrame, lexicon: DataFrame, text_col: str = "text", params: RuleParams = DEFAULT_PARAMS) -> DataFrame:
+    """``df`` with the full-rule score of each row's text."""
+    return with_scores(df, lambda texts: rule_score(texts, lexicon, "_text_key", "text", params), text_col)

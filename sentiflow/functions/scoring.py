@@ -1,15 +1,14 @@
 """Lexicon sentiment scoring (SEN-01..04).
 
-Two interchangeable forms of the same score:
+Forms of the same score:
 
-* ``lexicon_score`` -- relational: tokenise, ``explode``, join the lexicon
-  (broadcast only after its row count is checked against a bound, otherwise a
-  shuffle join that AQE splits when a token is hot), then ``sum`` per document
-  with a map-side partial aggregate. Pure JVM, oracle-checked.
-* ``lexicon_score_udf`` -- row-local iterator ``pandas_udf`` over Arrow
-  batches with the (size-checked) lexicon broadcast once per executor. No
-  shuffle, so it can add a score column in place, e.g. inside a stream.
+* ``lexicon_score`` -- relational: tokenise, ``explode``, join the lexicon (Spark picks
+  the join by size, AQE splits hot tokens), then sum per text with a map-side partial
+  aggregate. Pure JVM, oracle-checked.
+* ``with_lexicon_score`` -- the same as a column added to the rows, for the ingest job.
+* ``lexicon_score_udf`` -- row-local Arrow UDFs over blocks of the lexicon, no shuffle.
 
+Every input row gets a score, rows that share an id or have none included.
 compound = s / sqrt(s^2 + alpha), s = sum of token valences (exact decimal
 sum), rounded to 4 places; texts without lexicon tokens score 0.0.
 """
@@ -17,7 +16,8 @@ sum), rounded to 4 places; texts without lexicon tokens score 0.0.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -28,10 +28,8 @@ from pyspark.sql import types as T
 ALPHA = 15.0
 TOKEN_SPLIT = "[^a-z]+"
 
-# A lexicon above this many entries is joined by shuffle instead of broadcast.
-MAX_BROADCAST_LEXICON = 2_000_000
-# A lexicon up to this many entries may be fetched once and pinned as a local relation.
-MAX_PINNED_LEXICON = 200_000
+# Entries of the lexicon that one scoring UDF holds; a larger lexicon takes several.
+BLOCK_ENTRIES = 200_000
 
 
 def tokens(text: Column | str) -> Column:
@@ -46,18 +44,10 @@ def compound_from_sum(s: Column) -> Column:
     return F.round(sd / F.sqrt(sd * sd + F.lit(ALPHA)), 4)
 
 
-def pin_lexicon(lexicon: DataFrame, bound: int = MAX_BROADCAST_LEXICON, pin_bound: int = MAX_PINNED_LEXICON) -> tuple[DataFrame, bool]:
-    """Return ``(lexicon, broadcastable)``.
-
-    A lexicon of at most ``pin_bound`` rows is fetched once (at most
-    ``pin_bound + 1`` rows travel) and pinned as a local relation, so it is not
-    recomputed per use. A larger one stays distributed; its size is counted
-    and it is broadcast only up to ``bound`` rows, otherwise shuffle-joined.
-    """
-    rows = lexicon.limit(pin_bound + 1).collect()
-    if len(rows) <= pin_bound:
-        return lexicon.sparkSession.createDataFrame(rows, lexicon.schema), len(rows) <= bound
-    return lexicon, lexicon.count() <= bound
+def text_key(text_col: str = "text") -> list[Column]:
+    """Columns that stand for a text in a grouping: two hashes of it (128 bits)."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return [F.xxhash64(text).alias("_h1"), F.xxhash64(F.lit(1), text).alias("_h2")]
 
 
 def lexicon_score(
@@ -67,81 +57,86 @@ def lexicon_score(
     text_col: str = "text",
     token_col: str = "token",
     valence_col: str = "valence",
-    broadcast_bound: int = MAX_BROADCAST_LEXICON,
-    max_rows: int | None = None,
 ) -> DataFrame:
     """``(id, compound_score, matched_tokens)`` for every row of ``df`` (NULL text scores 0.0).
 
-    ``max_rows`` is a known upper bound of the lexicon's size (e.g. a top-N
-    lexicon); without it the size is checked with a count job.
+    Rows are grouped by id and text; equal rows are one group that counts its rows (each has one first
+    token) and is given out as often.
     """
     lex = lexicon.select(F.col(token_col).alias("_tok"), F.col(valence_col).cast("decimal(18,6)").alias("_val"))
-    # Size check before choosing a broadcast join.
-    size = max_rows if max_rows is not None else lexicon.count()
-    small = size <= broadcast_bound
-    lex = F.broadcast(lex) if small else lex
-    exploded = df.select(F.col(id_col), F.explode_outer(tokens(text_col)).alias("_tok"))
-    joined = exploded.join(lex, "_tok", "left")
-    sums = joined.groupBy(id_col).agg(
+    words = tokens(F.coalesce(F.col(text_col), F.lit("")))  # an empty text has one empty token
+    exploded = df.select(F.col(id_col).alias("_id"), *text_key(text_col), F.posexplode(words).alias("_pos", "_tok"))
+    sums = exploded.join(lex, "_tok", "left").groupBy("_id", "_h1", "_h2").agg(
         F.coalesce(F.sum("_val"), F.lit(0).cast("decimal(18,6)")).alias("_s"),
-        F.count("_val").alias("matched_tokens"),
+        F.count("_val").alias("_hits"),
+        F.count_if(F.col("_pos") == 0).alias("_rows"),
     )
-    return sums.select(id_col, compound_from_sum(F.col("_s")).alias("compound_score"), "matched_tokens")
-
+    one = sums.select(
+        F.col("_id").alias(id_col),
+        compound_from_sum(F.col("_s") / F.col("_rows").cast("decimal(18,0)")).alias("compound_score"),
+        (F.col("_hits") / F.col("_rows")).cast("bigint").alias("matched_tokens"),
+        F.col("_rows").cast("int").alias("_rows"),
+    )
+    return one.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_rows")))).drop("_copy", "_rows")
 
-def _score_texts(texts: pd.Series, lex: dict[str, float]) -> pd.Series:
-    import re
 
-    splitter = re.compile(TOKEN_SPLIT)
-    out = []
-    for t in texts:
-        if t is None or t == "":
-            out.append(0.0)
-            continue
-        s = 0.0
-        for tok in splitter.split(t.lower()):
-            v = lex.get(tok)
-            if v is not None:
-                s += v
-        out.append(0.0 if s == 0 else round_half_up(s / math.sqrt(s * s + ALPHA), 4))
-    return pd.Series(out, dtype="float64")
+def with_scores(df: DataFrame, scorer: Callable[[DataFrame], DataFrame], text_col: str = "text") -> DataFrame:
+    """``df`` with ``compound_score`` from a relational ``scorer`` of ``(_text_key, text)``, row by row.
 
+    Each distinct text is scored once and joined back by its key.
+    """
+    key = F.concat_ws("-", *[k.cast("string") for k in text_key(text_col)]).alias("_text_key")
+    texts = df.select(key, F.col(text_col).alias("text")).dropDuplicates(["_text_key"])
+    scores = scorer(texts).select("_text_key", "compound_score")
+    return df.withColumn("_text_key", key).join(scores, "_text_key", "left").drop("_text_key")
 
-def round_half_up(x: float, digits: int) -> float:
-    """Round like Spark's ``round`` on doubles (shortest decimal form, HALF_UP)."""
-    from decimal import ROUND_HALF_UP, Decimal
 
-    return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
+def with_lexicon_score(df: DataFrame, lexicon: DataFrame, text_col: str = "text") -> DataFrame:
+    """``df`` with the plain valence-sum score of each row's text."""
+    return with_scores(df, lambda texts: lexicon_score(texts, lexicon, "_text_key"), text_col)
 
 
-def lexicon_score_udf(spark, lexicon: DataFrame, token_col: str = "token", valence_col: str = "valence", bound: int = 200_000):
-    """Build a row-local scoring ``pandas_udf`` from a lexicon table of checked size.
+def lexicon_score_udf(spark, lexicon: DataFrame, token_col: str = "token", valence_col: str = "valence", block: int = BLOCK_ENTRIES):
+    """A row-local scorer: a function from a text column to a score column.
 
-    At most ``bound + 1`` rows are fetched, so an oversized lexicon is refused
-    without pulling it to the driver.
+    The lexicon is streamed in blocks of ``block`` entries, each broadcast for a UDF of its
+    own that sums the valences it knows; the sums add up, so a lexicon of any size is used whole.
     """
-    rows = lexicon.select(token_col, F.col(valence_col).cast("double")).limit(bound + 1).collect()
-    if len(rows) > bound:
-        raise ValueError(f"lexicon has more than {bound} entries; use lexicon_score()")
-    bc = spark.sparkContext.broadcast({r[0]: r[1] for r in rows})
-
-    @F.pandas_udf(T.DoubleType())
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        lex = bc.value
-        for texts in batches:
-            yield _score_texts(texts, lex)
+    splitter = re.compile(TOKEN_SPLIT)
+    blocks, own = [], {}
+    for token, valence in lexicon.select(token_col, F.col(valence_col).cast("double")).toLocalIterator():
+        own[token] = valence
+        if len(own) >= block:
+            blocks.append(spark.sparkContext.broadcast(own))
+            own = {}
+    blocks.append(spark.sparkContext.broadcast(own))
+
+    def summer(shared):
+        @F.pandas_udf(T.DoubleType())
+        def valence_sum(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            get = shared.value.get
+            for texts in batches:
+                yield pd.Series([math.fsum(filter(None, map(get, splitter.split(t.lower())))) if t else 0.0 for t in texts], dtype="float64")
+
+        return valence_sum
+
+    sums = [summer(b) for b in blocks]
+
+    def score(text: Column | str) -> Column:
+        total = sums[0](text)
+        for more in sums[1:]:
+            total = total + more(text)
+        return compound_from_sum(total)
 
     return score
 
 
-def corpus_lexicon(documents: DataFrame, n: int = 500, text_col: str = "text") -> DataFrame:
-    """Test lexicon from a corpus: the ``n`` most frequent tokens (ties by token),
+def corpus_lexicon(documents: DataFrame, n: int | None = None, text_col: str = "text") -> DataFrame:
+    """Test lexicon from a corpus: all its tokens, or the ``n`` most frequent (ties by token),
     valence a fixed function of the token: ``(length*7 + ascii(first char)) % 9 - 4``."""
-    counts = (
-        documents.select(F.explode(tokens(text_col)).alias("token"))
-        .filter(F.col("token") != "")
-        .groupBy("token")
-        .agg(F.count(F.lit(1)).alias("freq"))
-    )
-    top = counts.orderBy(F.desc("freq"), F.asc("token")).limit(n)
-    return top.select("token", ((F.length("token") * 7 + F.ascii("token")) % 9 - 4).cast("double").alias("valence"))
+    found = documents.select(F.explode(tokens(text_col)).alias("token")).filter(F.col("token") != "")
+    if n is None:
+        found = found.distinct()
+    else:
+        found = found.groupBy("token").agg(F.count(F.lit(1)).alias("freq")).orderBy(F.desc("freq"), F.asc("token")).limit(n)
+    return found.select("token", ((F.length("token") * 7 + F.ascii("token")) % 9 - 4).cast("double").alias("valence"))

@@ -60,8 +60,7 @@ def per_bucket_series(posts: DataFrame, unit: str = "minute", digits: int | None
 
 
 def time_series_recent(posts: DataFrame, as_of, minutes: int = 60) -> DataFrame:
-    """Per-minute series over the trailing ``minutes`` window, average rounded to 4."""
-    minutes = min(int(minutes), 1440)
+    """Per-minute series over the trailing ``minutes`` window, average rounded to 4 (requests: ``requests.minutes_param``)."""
     recent = trailing_window(posts, as_of, f"{minutes} minutes")
     return per_bucket_series(recent, "minute", 4).orderBy("bucket", "sentiment")
 

@@ -6,14 +6,12 @@ equals a lower-cased hashtag or is a substring of the lower-cased text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentiflow.functions.expressions import as_column, keyword_hits, keyword_needle
-from sentiflow.sources.tables import pin_bounded
 
-# Keyword dimensions above this many rows are matched by the shuffle path.
-MAX_BROADCAST_KEYWORDS = 10_000
+# Length of the text grams that bring keywords and posts together.
 NGRAM = 3
 
 
@@ -29,50 +27,38 @@ def keyword_dim(spark, keywords: list[str]) -> DataFrame:
     return spark.createDataFrame([(k, i) for i, k in enumerate(cleaned)], "keyword string, position int")
 
 
-def keyword_matches(posts: DataFrame, keywords: DataFrame, bound: int = MAX_BROADCAST_KEYWORDS) -> DataFrame:
-    """Distinct ``(keyword, tweet_id, processed_at)`` match rows.
+def keyword_matches(posts: DataFrame, keywords: DataFrame) -> DataFrame:
+    """``(keyword, tweet_id, processed_at)``: one row for each distinct keyword and each post row that it matches.
 
-    Small keyword sets (row count checked against ``bound``) are broadcast and
-    tested with the match predicate (a broadcast nested-loop join streaming the
-    posts). Larger sets use an exact shuffle path: tag matches by an equi-join
-    on the exploded lower-cased tags, text matches by an equi-join on the
-    needle's leading n-gram against the text's n-grams, verified with
-    ``substring``. Keywords with an empty needle match nothing (see ``keyword_dim``).
+    The same equi-joins at any size. Posts are reduced to (content hash, gram): their distinct
+    lower-cased tags, and the distinct ``NGRAM``-character grams of their text (also the shorter ones some keyword
+    needs). Joined with the keywords' tags and leading grams they give candidates, which are
+    joined back to the posts and verified with the match predicate. Texts are not multiplied: the
+    exploded side holds hashes and grams only. Keywords with an empty needle match nothing (see ``keyword_dim``).
     """
-    kw = keywords.select("keyword", keyword_needle("keyword").alias("needle")).filter(F.length("needle") > 0)
-    if keywords.count() <= bound:
-        p = posts.select("tweet_id", "processed_at", "hashtags", "text")
-        hits = p.join(F.broadcast(kw), keyword_hits(F.col("needle"), "hashtags", "text"), "inner")
-        return hits.select("keyword", "tweet_id", "processed_at")
-    return _keyword_matches_shuffled(posts, kw)
-
-
-def _keyword_matches_shuffled(posts: DataFrame, kw: DataFrame) -> DataFrame:
-    tag_rows = posts.select("tweet_id", "processed_at", F.explode(F.transform("hashtags", lambda h: F.lower(h))).alias("needle"))
-    tag_hits = tag_rows.join(kw, "needle").select("keyword", "tweet_id", "processed_at")
-    lowered = posts.select("tweet_id", "processed_at", F.lower("text").alias("ltext"))
-    kwg = kw.withColumn("n", F.least(F.length("needle"), F.lit(NGRAM)))
-    kwg = kwg.withColumn("gram", F.substring("needle", 1, NGRAM))
-    # Only n-gram lengths some keyword needs (at most NGRAM values) are generated.
-    lengths = sorted(r[0] for r in kwg.select("n").distinct().collect())
-    parts = []
-    for n in lengths:
-        grams = lowered.select(
-            "tweet_id", "processed_at", "ltext",
-            F.posexplode(F.sequence(F.lit(1), F.greatest(F.length("ltext") - F.lit(n - 1), F.lit(1)))).alias("_i", "pos"),
-        ).withColumn("gram", F.substring("ltext", F.col("pos"), n))
-        cand = grams.join(kwg.filter(F.col("n") == n), "gram")
-        ok = F.substring(F.col("ltext"), F.col("pos"), F.length("needle")) == F.col("needle")
-        parts.append(cand.filter(ok).select("keyword", "tweet_id", "processed_at"))
-    out = tag_hits
-    for p in parts:
-        out = out.unionByName(p)
-    return out.distinct()
-
-
-def keyword_activity(posts: DataFrame, keywords: DataFrame, bound: int = MAX_BROADCAST_KEYWORDS) -> DataFrame:
+    kw = keywords.select("keyword").distinct().withColumn("needle", keyword_needle("keyword")).filter(F.length("needle") > 0)
+    content = F.xxhash64("tweet_id", "processed_at", "hashtags", "text")
+    p = posts.select("tweet_id", "processed_at", "hashtags", "text", content.alias("_p"))
+    lowered = F.lower(F.coalesce(F.col("text"), F.lit("")))
+
+    def grams(n: int):
+        starts = F.sequence(F.lit(1), F.greatest(F.length(lowered) - F.lit(n - 1), F.lit(1)))
+        return F.transform(starts, lambda i: F.concat(F.lit(" "), F.substring(lowered, i, F.lit(n))))
+
+    tags = F.transform(F.coalesce("hashtags", F.array().cast("array<string>")), lambda h: F.concat(F.lit("#"), F.lower(h)))
+    needed = kw.select(F.collect_set(F.least(F.length("needle"), F.lit(NGRAM)))).first()[0]  # at most NGRAM lengths
+    keyed = p.select("_p", F.explode(F.array_distinct(F.concat(tags, *map(grams, sorted(needed))))).alias("gram"))
+    asked = kw.select("keyword", "needle", F.concat(F.lit("#"), "needle").alias("gram")).unionByName(
+        kw.select("keyword", "needle", F.concat(F.lit(" "), F.substring("needle", 1, NGRAM)).alias("gram"))
+    )
+    candidates = keyed.join(asked, "gram").select("_p", "keyword", "needle").distinct()
+    found = p.join(candidates, "_p").filter(keyword_hits(F.col("needle"), "hashtags", "text"))
+    return found.select("keyword", "tweet_id", "processed_at")
+
+
+def keyword_activity(posts: DataFrame, keywords: DataFrame) -> DataFrame:
     """Per keyword: last matching ``processed_at`` and number of matching posts (absent when none)."""
-    m = keyword_matches(posts, keywords, bound)
+    m = keyword_matches(posts, keywords)
     return m.groupBy("keyword").agg(F.max("processed_at").alias("last_seen"), F.count(F.lit(1)).alias("matches"))
 
 
@@ -91,37 +77,33 @@ def silent_keywords(activity: DataFrame, keywords: DataFrame, as_of, idle_second
     return last.select("*", idle.alias("idle_seconds")).withColumn("silent", F.col("idle_seconds") >= F.lit(idle_seconds))
 
 
+def rotate(keywords: list[str], silent: list[bool], backups: list[str], cursor: int = 0) -> tuple[list[str], int]:
+    """One sweep over the tracked list: each silent keyword in turn takes the next backup that is not tracked at that moment.
+
+    A keyword that was swapped out is free again for later ones; with no free backup the keyword stays. The cursor
+    moves on past every backup looked at.
+    """
+    active = list(keywords)
+    for i, idle in enumerate(silent):
+        for _ in range(len(backups) if idle else 0):
+            candidate = backups[cursor % len(backups)]
+            cursor += 1
+            if candidate not in active:
+                active[i] = candidate
+                break
+    return active, cursor
+
+
 def rotation_plan(status: DataFrame, backups: DataFrame, cursor: int = 0) -> DataFrame:
-    """Swap plan for one sweep: the j-th silent keyword (list order) gets the j-th eligible backup
-    in cyclic order from ``cursor``; eligible = not in the sweep-start active set. When no backup
-    is eligible the keyword is kept. Output ``(position, keyword, replacement, new_keyword)``.
+    """Swap plan for one sweep: ``(position, keyword, replacement, new_keyword)`` of every tracked keyword.
 
-    Both sides are keyword lists (bounded configuration, pinned after a size
-    check), so the global ``row_number`` windows run over a few rows and the
-    joins broadcast them.
+    The sweep changes the list that it checks, so it runs in list order on the driver over the tracked
+    and backup lists, which are configuration (``keyword_dim`` takes them as Python lists); the statuses that decide it
+    are computed by Spark.
     """
-    # Both inputs are keyword lists; pin them once (size-checked) since each is used several times.
-    status = pin_bounded(status.select("keyword", "position", "silent"), MAX_BROADCAST_KEYWORDS, "keyword status")
-    backups = pin_bounded(backups.select("keyword", "position"), MAX_BROADCAST_KEYWORDS, "backup keywords")
-    n_backups = backups.count()
-    active = status.select(F.col("keyword").alias("candidate"))
-    eligible = (
-        backups.select(F.col("keyword").alias("candidate"), F.col("position").alias("bpos"))
-        .join(F.broadcast(active), "candidate", "left_anti")
-        .withColumn("cyc", F.pmod(F.col("bpos") - F.lit(cursor), F.lit(max(n_backups, 1))))
-        .withColumn("r", F.row_number().over(Window.orderBy("cyc")) - 1)
-    )
-    n_eligible = eligible.select(F.count(F.lit(1))).scalar()
-    silent = status.filter("silent").withColumn("j", F.row_number().over(Window.orderBy("position")) - 1)
-    silent = silent.withColumn("r", F.when(n_eligible > 0, F.pmod(F.col("j"), n_eligible)))
-    plan = silent.join(F.broadcast(eligible.select("r", "candidate")), "r", "left")
-    swaps = plan.select("position", F.col("candidate").alias("replacement"))
-    return (
-        status.join(F.broadcast(swaps), "position", "left")
-        .select(
-            "position",
-            "keyword",
-            "replacement",
-            F.coalesce("replacement", "keyword").alias("new_keyword"),
-        )
-    )
+    spark = status.sparkSession
+    rows = status.select("position", "keyword", F.coalesce("silent", F.lit(False)).alias("silent")).orderBy("position").collect()
+    pool = [r["keyword"] for r in backups.orderBy("position").collect()]
+    active, _ = rotate([r["keyword"] for r in rows], [r["silent"] for r in rows], pool, cursor)
+    plan = [(r["position"], r["keyword"], None if new == r["keyword"] else new, new) for r, new in zip(rows, active)]
+    return spark.createDataFrame(plan, "position int, keyword string, replacement string, new_keyword string")

@@ -4,7 +4,13 @@ Storage model: an append-only log of versions (e.g. ``posts_log/batch_id=N``)
 and a merge-on-read "current" view. Each merge is one ``groupBy(key)`` whose
 aggregates are ``min_by`` / ``max_by`` over a version struct, so the map side
 collapses every key -- a key repeated across a third of the rows included --
-before the shuffle, and no sort or join is needed.
+before the shuffle and no join is needed. The payload travels once per half
+(immutable, mutable) and is compared by the order columns and one 64-bit hash;
+Spark plans these struct-valued aggregates as SortAggregate, which sorts by key
+on both sides of the shuffle.
+
+Derived tables are kept as mergeable partial sums. A batch that re-scores posts
+retracts what their previous versions contributed (``refresh_partials``).
 """
 
 from __future__ import annotations
@@ -17,8 +23,8 @@ from pyspark.sql import functions as F
 from sentiflow.schema import MUTABLE_COLUMNS
 
 def _version(order: Sequence[str], cols: Sequence[str]) -> Column:
-    """Version struct: explicit order columns first, then all other columns as a deterministic tie-break."""
-    return F.struct(*[F.col(c) for c in order], *[F.col(c) for c in cols if c not in order])
+    """Version struct: the order columns, then one hash of all other columns as a deterministic tie-break."""
+    return F.struct(*[F.col(c) for c in order], F.xxhash64(F.lit(0), *[F.col(c) for c in cols if c not in order]).alias("_tie"))
 
 
 def upsert_partial(
@@ -102,31 +108,78 @@ def series_partials(posts: DataFrame, unit: str = "minute") -> DataFrame:
     )
 
 
-def merge_partials(*parts: DataFrame) -> DataFrame:
-    """Sum partial aggregates per (bucket, class); partially aggregated before the shuffle."""
+def hashtag_partials(posts: DataFrame, unit: str = "minute") -> DataFrame:
+    """Mergeable partial sums per (bucket, hashtag, class)."""
+    tags = posts.select(
+        F.date_trunc(unit, "processed_at").cast("timestamp_ntz").alias("bucket"), F.explode("hashtags").alias("hashtag"), "sentiment", "compound_score"
+    )
+    return tags.groupBy("bucket", "hashtag", "sentiment").agg(
+        F.count(F.lit(1)).alias("mention_count"),
+        F.sum(F.col("compound_score").cast("decimal(18,4)")).alias("score_sum"),
+        F.count("compound_score").alias("score_n"),
+    )
+
+
+SERIES_KEYS = ("bucket", "sentiment")
+HASHTAG_KEYS = ("bucket", "hashtag", "sentiment")
+
+
+def merge_partials(*parts: DataFrame, keys: Sequence[str] = SERIES_KEYS) -> DataFrame:
+    """Sum partial sums per key (partially aggregated before the shuffle); keys that come to no rows go."""
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    return u.groupBy("bucket", "sentiment").agg(
-        F.sum("tweet_count").alias("tweet_count"),
-        F.sum("score_sum").alias("score_sum"),
-        F.sum("score_n").alias("score_n"),
-        F.sum("total_retweets").alias("total_retweets"),
-        F.sum("total_likes").alias("total_likes"),
-    )
+    values = [c for c in parts[0].columns if c not in keys]
+    merged = u.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in values])
+    return merged.filter(F.col(values[0]) != 0)
+
+
+def retracted(partials: DataFrame, keys: Sequence[str] = SERIES_KEYS) -> DataFrame:
+    """The same partial sums with the opposite sign."""
+    return partials.select(*[F.col(c) if c in keys else F.negative(F.col(c)).alias(c) for c in partials.columns])
 
 
 def finish_series(partials: DataFrame, digits: int = 8) -> DataFrame:
     """Partials -> the per-bucket series with the exact average."""
-    # Bounded precisions keep 14 fractional digits in the decimal quotient before rounding.
-    quotient = F.col("score_sum").cast("decimal(28,4)") / F.nullif(F.col("score_n"), F.lit(0)).cast("decimal(12,0)")
-    avg = F.round(quotient, digits).cast("double")
     return partials.select(
-        "bucket", "sentiment", F.col("tweet_count").cast("bigint").alias("tweet_count"), avg.alias("avg_compound"),
+        "bucket", "sentiment", F.col("tweet_count").cast("bigint").alias("tweet_count"), _average(digits).alias("avg_compound"),
         F.col("total_retweets").cast("bigint").alias("total_retweets"), F.col("total_likes").cast("bigint").alias("total_likes"),
     )
 
 
+def finish_hashtags(partials: DataFrame, digits: int = 4) -> DataFrame:
+    """Partials -> mentions and exact average per hashtag over all buckets given."""
+    tags = partials.groupBy("hashtag").agg(
+        F.sum("mention_count").cast("bigint").alias("mention_count"), F.sum("score_sum").alias("score_sum"), F.sum("score_n").alias("score_n")
+    )
+    return tags.select("hashtag", "mention_count", _average(digits).alias("avg_score"))
+
+
+def _average(digits: int) -> Column:
+    # Bounded precisions keep 14 fractional digits in the decimal quotient before rounding.
+    quotient = F.col("score_sum").cast("decimal(28,4)") / F.nullif(F.col("score_n"), F.lit(0)).cast("decimal(12,0)")
+    return F.round(quotient, digits).cast("double")
+
+
+def touched(target: DataFrame, batch: DataFrame, key: str = "tweet_id") -> DataFrame:
+    """The target's rows whose key occurs in the batch (the smaller side's keys are matched)."""
+    return target.join(batch.select(key).distinct(), key, "left_semi")
+
+
+def refresh_partials(
+    stored: DataFrame, before: DataFrame, batch: DataFrame, partials=series_partials, keys: Sequence[str] = SERIES_KEYS,
+    key: str = "tweet_id", mutable: Sequence[str] = MUTABLE_COLUMNS,
+) -> DataFrame:
+    """Incremental refresh after an upsert of ``batch`` into the current posts ``before``; equals a full recompute.
+
+    Only posts named by the batch are looked at: what their previous versions
+    contributed is retracted, what their merged versions contribute is added.
+    """
+    old = touched(before, batch, key)
+    new = upsert_partial(old, batch, key, mutable)
+    return merge_partials(stored, retracted(partials(old), keys), partials(new), keys=keys)
+
+
 def refresh_series(stored_partials: DataFrame, delta_posts: DataFrame, unit: str = "minute") -> DataFrame:
-    """Incremental refresh: merge the stored partials with the delta's partials (equals a full recompute)."""
+    """Refresh by posts that are all new (no post of the delta was counted before); re-scored posts need ``refresh_partials``."""
     return merge_partials(stored_partials, series_partials(delta_posts, unit))

@@ -111,28 +111,42 @@ def quarantine(
 
     Row-level checks (NOT NULL, class enum) are projections. Key uniqueness:
     among rows passing them, the first row per key (smallest ``order``, then
-    smallest row content) is the valid one. One ``groupBy(key)`` (map-side
-    partial ``min`` and ``count``) yields the winner and the row count per
-    key. Only keys that occur more than once are joined back (AQE broadcasts
-    that side when few keys repeat); their rows minus one winner copy per key
-    (``exceptAll``, a partially aggregated multiset difference over those rows
-    only) are the ``duplicate_key`` rejects, exact copies of the winner
-    included. A key repeated across a third of the rows collapses map-side and
-    streams through the join without being held in one task.
+    smallest hash of the row) is the valid one. Keys are counted first (``groupBy(key)`` over
+    the key column alone); rows of keys that occur once pass
+    as they are. Only the rows of repeated keys are ranked: the winner's (order,
+    hash) is a partially aggregated ``min``, and of the rows that equal it one copy is kept
+    through a row count. A key repeated across a third of the rows streams through a join
+    that AQE can split; no task holds its rows.
     """
     cols = df.columns
-    ordered = [order] + [c for c in cols if c != order]
     # The reasons array is built only for failing rows; valid rows pass a boolean filter.
     bad = df.filter(violated()).select(*cols, violations(key).alias("reasons"))
     ok = df.filter(~violated()).select(*cols)
     if not check_unique:
         return ok, bad
-    per_key = ok.groupBy(key).agg(F.min(F.struct(*[F.col(c) for c in ordered])).alias("_w"), F.count(F.lit(1)).alias("_n"))
-    valid = per_key.select(*[F.col(f"_w.{c}").alias(c) for c in ordered]).select(*cols)
-    # Rows of keys that repeat, minus one winner copy per key (a multiset difference).
-    repeated_keys = per_key.filter(F.col("_n") > 1)
-    repeated_rows = ok.join(repeated_keys.select(key), key).select(*cols)
-    winners = repeated_keys.select(*[F.col(f"_w.{c}").alias(c) for c in ordered]).select(*cols)
-    dups = repeated_rows.exceptAll(winners).withColumn("reasons", F.array(F.lit("duplicate_key")))
+    tie = F.struct(F.col(order), F.xxhash64(*[F.col(c) for c in cols]).alias("h"))
+    ranked = ok.withColumn("_t", tie)
+    repeated = ranked.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_first")).filter(F.col("_n") > 1)
+    marked = ranked.join(repeated.select(key, "_first"), key, "left")
+    single = marked.filter(F.col("_first").isNull())
+    # Copies equal to the winner are one group per key; the first copy stays, the others are rejected like all later rows.
+    equal = marked.filter(F.col("_t") == F.col("_first")).groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    valid = single.select(*cols).unionByName(equal.select(*cols))
+    copies = equal.filter(F.col("_n") > 1).withColumn("_c", F.explode(F.sequence(F.lit(2), F.col("_n").cast("int")))).select(*cols)
+    later = marked.filter(F.col("_t") != F.col("_first")).select(*cols)
+    dups = later.unionByName(copies).withColumn("reasons", F.array(F.lit("duplicate_key")))
     return valid, bad.unionByName(dups)
 
+
+def snapshot_violations(snapshots: DataFrame) -> DataFrame:
+    """Snapshot rows that break a constraint, with reasons: NOT NULL columns, the class enum, unique (window_end, sentiment)."""
+    needed = ("window_start", "window_end", "sentiment", "tweet_count", "avg_compound", "computed_at")
+    empty = F.array().cast("array<string>")
+    checks = [(F.col(c).isNull(), f"null_{c}") for c in needed]
+    checks.append((F.col("sentiment").isNotNull() & ~F.col("sentiment").isin(list(SENTIMENT_CLASSES)), "bad_sentiment"))
+    keyed = snapshots.groupBy(F.col("window_end").alias("_e"), F.col("sentiment").alias("_s"))
+    repeated = keyed.agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    same = F.col("window_end").eqNullSafe(F.col("_e")) & F.col("sentiment").eqNullSafe(F.col("_s"))
+    marked = snapshots.join(repeated, same, "left").drop("_e", "_s")
+    reasons = F.concat(*[F.when(cond, F.array(F.lit(why))).otherwise(empty) for cond, why in [*checks, (F.col("_n") > 1, "duplicate_key")]])
+    return marked.withColumn("reasons", reasons).filter(F.size("reasons") > 0).drop("_n")

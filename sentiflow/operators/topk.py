@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sentiflow.operators.aggregates import class_counts
 from sentiflow.operators.filters import search_predicate
+from sentiflow.requests import limit_param, tags_param
 
 RECENT_COLUMNS = (
     "tweet_id", "text", "author", "author_followers", "hashtags", "compound_score",
@@ -33,17 +34,8 @@ def recent_posts(posts: DataFrame, n: int = 100) -> DataFrame:
     return newest(posts.select(*RECENT_COLUMNS), n)
 
 
-def parse_tags_param(raw: str | None) -> list[str]:
-    """Request tag list: split on commas, trim, strip one leading ``#``, drop empties
-    (the same rules as the column form ``parse_tag_list``)."""
-    out = []
-    for part in (raw or "").split(","):
-        t = part.strip(" ")
-        if t.startswith("#"):
-            t = t[1:]
-        if t:
-            out.append(t)
-    return out
+parse_tags_param = tags_param
+clamp_limit = limit_param
 
 
 def filtered_feed(posts: DataFrame, tags_param: str | None, label: str | None, limit_param) -> dict[str, DataFrame]:
@@ -51,24 +43,6 @@ def filtered_feed(posts: DataFrame, tags_param: str | None, label: str | None, l
     return search_posts(posts, parse_tags_param(tags_param), label, limit_param, FEED_COLUMNS)
 
 
-def clamp_limit(limit, default: int = 50, maximum: int = 200) -> int:
-    """Request ``limit``: integer prefix parse, default 50, at most 200."""
-    if limit is None:
-        return default
-    text = str(limit).strip()
-    digits = ""
-    for i, ch in enumerate(text):
-        if ch.isdigit() or (i == 0 and ch in "+-"):
-            digits += ch
-        else:
-            break
-    try:
-        value = int(digits)
-    except ValueError:
-        value = default
-    return min(value, maximum)
-
-
 def search_posts(
     posts: DataFrame,
     tags: Iterable[str] | None = None,
@@ -99,8 +73,19 @@ def feed_cards(posts: DataFrame) -> DataFrame:
 
 
 def new_since(incoming: DataFrame, seen: DataFrame, key: str = "tweet_id") -> DataFrame:
-    """Rows of ``incoming`` whose key has not been seen (left anti join)."""
-    return incoming.join(seen.select(key), key, "left_anti")
+    """Rows of ``incoming`` whose key has not been seen.
+
+    ``seen`` may be all history: it is first cut to the incoming keys (a semi join, so
+    only matches are kept), and the anti join then compares two small sides.
+    """
+    known = seen.select(key).join(incoming.select(key).distinct(), key, "left_semi").distinct()
+    return incoming.join(known, key, "left_anti")
+
+
+def explorer_rows(posts: DataFrame, label: str | None = None) -> DataFrame:
+    """The explorer's five columns, newest first, with an optional class slicer."""
+    rows = posts if label is None else posts.filter(F.col("sentiment") == label)
+    return rows.select("processed_at", "author", "text", "sentiment", "compound_score").orderBy(F.desc("processed_at"), "author", "text")
 
 
 def accumulate_feed(old: DataFrame, fresh: DataFrame, cap: int = 200, key: str = "tweet_id") -> DataFrame:

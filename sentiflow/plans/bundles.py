@@ -10,20 +10,44 @@ four endpoint queries of the reference ran as separate snapshots).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sentiflow.operators.aggregates import kpi_summary, time_series_recent, top_hashtags
 from sentiflow.operators.latest import rolling_latest
-from sentiflow.operators.topk import RECENT_COLUMNS, clamp_limit, search_posts
+from sentiflow.operators.topk import RECENT_COLUMNS, search_posts
+from sentiflow.requests import limit_param, minutes_param, search_tags
 
 # Row bounds of each bundle member (what makes rendering them as JSON safe).
 MEMBER_ROW_BOUNDS = {"summary": 1, "timeSeries": 1440 * 3, "rolling": 3, "hashtags": 20, "data": 200, "counts": 1}
 
 
+# Order of each member's array: column names, descending with a minus.
+MEMBER_ORDER = {
+    "timeSeries": ("bucket", "sentiment"),
+    "rolling": ("sentiment",),
+    "hashtags": ("-mention_count", "hashtag"),
+    "data": ("-processed_at", "-tweet_id"),
+}
+
+
+def _rank(df: DataFrame, key: str) -> Column:
+    """A number or string that sorts ascending in the member's order."""
+    name = key.lstrip("-")
+    if not key.startswith("-"):
+        return F.col(name).alias(f"o_{name}")
+    kind = df.schema[name].dataType
+    value = F.unix_micros(F.col(name).cast("timestamp")) if isinstance(kind, (T.TimestampNTZType, T.TimestampType)) else F.col(name)
+    if isinstance(kind, T.StringType):  # complement each character's code, shorter strings last
+        value = F.concat_ws("", F.transform(F.split(F.col(name), ""), lambda c: F.lpad((F.lit(1114111) - F.ascii(c)).cast("string"), 7, "0")), F.lit("~"))
+        return value.alias(f"o_{name}")
+    return (-value).alias(f"o_{name}")
+
+
 def stats_bundle(posts: DataFrame, snapshots: DataFrame, as_of, minutes: int = 60) -> dict[str, DataFrame]:
     """Summary, recent per-minute series, latest rolling snapshots and top hashtags."""
-    minutes = min(int(minutes), 1440)
+    minutes = minutes_param(minutes)
     return {
         "summary": kpi_summary(posts),
         "timeSeries": time_series_recent(posts, as_of, minutes),
@@ -34,7 +58,7 @@ def stats_bundle(posts: DataFrame, snapshots: DataFrame, as_of, minutes: int = 6
 
 def search_bundle(posts: DataFrame, tags, label=None, limit=50) -> dict[str, DataFrame]:
     """Newest matching posts, their count, and class counts of all matches."""
-    res = search_posts(posts, tags, label, clamp_limit(limit), RECENT_COLUMNS)
+    res = search_posts(posts, search_tags(tags), label, limit_param(limit), RECENT_COLUMNS)
     data = res["data"]
     return {"data": data, "count": data.agg(F.count(F.lit(1)).alias("count")), "summary": res["summary"]}
 
@@ -46,10 +70,12 @@ def bundle_json(bundle: dict[str, DataFrame]) -> DataFrame:
     aggregates, top-k, newest-N, a clamped minute range), which is what makes
     gathering each one into a single row safe; unbounded frames do not belong here.
     """
-    parts = [
-        df.agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("json")).select(F.lit(name).alias("member"), "json")
-        for name, df in bundle.items()
-    ]
+    parts = []
+    for name, df in bundle.items():
+        keys = [k for k in MEMBER_ORDER.get(name, ()) if k.lstrip("-") in df.columns]
+        rows = F.collect_list(F.struct(F.struct(*[_rank(df, k) for k in keys] or [F.lit(0).alias("k0")]).alias("order"), F.struct(*df.columns).alias("row")))
+        listed = F.transform(F.sort_array(rows), lambda x: x["row"])
+        parts.append(df.agg(F.to_json(listed).alias("json")).select(F.lit(name).alias("member"), "json"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

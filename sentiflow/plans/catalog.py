@@ -374,26 +374,26 @@ def _en_docs(spark, sf_dir):
 
 @register("corpus_lexicon")
 def q_corpus_lexicon(spark, sf_dir):
-    return SC.corpus_lexicon(_en_docs(spark, sf_dir), 500)
+    return SC.corpus_lexicon(_en_docs(spark, sf_dir))
 
 
 @register("lexicon_score")
 def q_lexicon_score(spark, sf_dir):
     docs = _en_docs(spark, sf_dir)
-    return SC.lexicon_score(docs, SC.corpus_lexicon(docs, 500), "doc_id", max_rows=500)
+    return SC.lexicon_score(docs, SC.corpus_lexicon(docs), "doc_id")
 
 
 @register("score_and_label")
 def q_score_and_label(spark, sf_dir):
     docs = _en_docs(spark, sf_dir)
-    s = SC.lexicon_score(docs, SC.corpus_lexicon(docs, 500), "doc_id", max_rows=500)
+    s = SC.lexicon_score(docs, SC.corpus_lexicon(docs), "doc_id")
     return s.select("doc_id", "compound_score", X.label_expr("compound_score").alias("sentiment"))
 
 
 @register("lexicon_score_udf")
 def q_lexicon_score_udf(spark, sf_dir):
     docs = _en_docs(spark, sf_dir)
-    score = SC.lexicon_score_udf(spark, SC.corpus_lexicon(docs, 500))
+    score = SC.lexicon_score_udf(spark, SC.corpus_lexicon(docs))
     return docs.select("doc_id", score("text").alias("compound_score"))
 
 
@@ -444,10 +444,43 @@ def q_rolling_upsert(spark, sf_dir):
 
 @register("refresh_per_minute")
 def q_refresh_per_minute(spark, sf_dir):
-    p, base, _, t2 = _base_and_batch(spark, sf_dir)
-    stored = M.series_partials(base)
-    delta = p.filter(F.col("processed_at") >= t2)
-    return M.finish_series(M.refresh_series(stored, delta))
+    """Stored partials of the base, refreshed by a batch that re-scores posts and adds new ones."""
+    _, base, batch, _ = _base_and_batch(spark, sf_dir)
+    return M.finish_series(M.refresh_partials(M.series_partials(base), base, batch))
+
+
+@register("refresh_top_hashtags")
+def q_refresh_top_hashtags(spark, sf_dir):
+    _, base, batch, _ = _base_and_batch(spark, sf_dir)
+    tags = M.refresh_partials(M.hashtag_partials(base), base, batch, M.hashtag_partials, M.HASHTAG_KEYS)
+    return M.finish_hashtags(tags).orderBy(F.desc("mention_count"), "hashtag").limit(20)
+
+
+@register("explorer_rows")
+def q_explorer_rows(spark, sf_dir):
+    return TK.explorer_rows(posts(spark, sf_dir), "negative")
+
+
+@register("bound_query")
+def q_bound_query(spark, sf_dir):
+    text = """SELECT sentiment, count(*) AS n, max(processed_at) AS latest FROM bound_posts
+              WHERE source = :source AND like_count >= :likes GROUP BY sentiment"""
+    return TB.bound_query(spark, text, {"bound_posts": posts(spark, sf_dir)}, {"source": "events", "likes": 100})
+
+
+@register("snapshot_violations")
+def q_snapshot_violations(spark, sf_dir):
+    """Snapshots with a class out of the enum, a missing count and a repeated key put in."""
+    snaps = snapshot_series(posts(spark, sf_dir), "1 hour", "1 hour")
+    hour = F.hour("window_end")
+    dirty = snaps.withColumns(
+        {
+            "sentiment": F.when((hour == 3) & (F.col("sentiment") == "neutral"), F.lit("mixed")).otherwise(F.col("sentiment")),
+            "tweet_count": F.when(hour == 5, F.lit(None)).otherwise(F.col("tweet_count")),
+        }
+    )
+    again = snaps.filter(hour == 7)
+    return Q.snapshot_violations(dirty.unionByName(again)).select("window_end", "sentiment", "tweet_count", "reasons")
 
 
 # =============================================================== keywords
@@ -524,7 +557,7 @@ def q_rule_score(spark, sf_dir):
     from sentiflow.functions.rules import rule_score
 
     docs = _en_docs(spark, sf_dir)
-    return rule_score(docs, SC.corpus_lexicon(docs, 500), "doc_id")
+    return rule_score(docs, SC.corpus_lexicon(docs), "doc_id")
 
 
 def _rest_raw(spark, sf_dir):

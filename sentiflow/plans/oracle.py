@@ -378,7 +378,7 @@ LEX = """WITH toks AS (
 ),
 lex AS (
   SELECT token, CAST((length(token) * 7 + ascii(token)) % 9 - 4 AS DOUBLE) AS valence
-  FROM (SELECT token, count(*) AS freq FROM toks WHERE token <> '' GROUP BY token ORDER BY freq DESC, token LIMIT 500)
+  FROM (SELECT token, count(*) AS freq FROM toks WHERE token <> '' GROUP BY token)
 ),
 sums AS (
   SELECT t.doc_id, COALESCE(sum(l.valence), 0) AS s, count(l.valence) AS matched_tokens
@@ -438,7 +438,35 @@ new AS {sliding_from("(SELECT * FROM posts WHERE processed_at >= (SELECT t2 FROM
 su AS (SELECT *, 0 AS _src FROM old UNION ALL SELECT *, 1 AS _src FROM new)
 SELECT window_start, window_end, sentiment, tweet_count, avg_compound, computed_at FROM su
 QUALIFY row_number() OVER (PARTITION BY window_end, sentiment ORDER BY computed_at DESC, _src DESC) = 1"""
-ORACLE["refresh_per_minute"] = ORACLE["per_minute_series"]
+UPSERTED = MERGE_CTE + """,
+i AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY _src, processed_at) = 1),
+m AS (SELECT tweet_id, compound_score, sentiment, processed_at FROM u
+      QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY _src DESC, processed_at DESC) = 1),
+merged AS (SELECT i.* EXCLUDE (compound_score, sentiment, processed_at, _src), m.compound_score, m.sentiment, m.processed_at
+           FROM i JOIN m USING (tweet_id))
+"""
+ORACLE["refresh_per_minute"] = with_posts("").rstrip() + UPSERTED + series_sql("minute", avg8("compound_score")).replace("FROM posts", "FROM merged")
+ORACLE["refresh_top_hashtags"] = with_posts("").rstrip() + UPSERTED + f"""SELECT hashtag, count(*) AS mention_count, {avg4('compound_score')} AS avg_score
+FROM (SELECT unnest(hashtags) AS hashtag, compound_score FROM merged) GROUP BY 1 ORDER BY mention_count DESC, hashtag LIMIT 20"""
+sql("explorer_rows", "SELECT processed_at, author, text, sentiment, compound_score FROM posts WHERE sentiment = 'negative'")
+sql(
+    "bound_query",
+    "SELECT sentiment, count(*) AS n, max(processed_at) AS latest FROM posts WHERE source = 'events' AND like_count >= 100 GROUP BY 1",
+)
+ORACLE["snapshot_violations"] = with_posts("").rstrip() + f""", snaps AS {sliding_from('posts', 60, 60)},
+dirty AS (
+  SELECT * REPLACE (CASE WHEN hour(window_end) = 3 AND sentiment = 'neutral' THEN 'mixed' ELSE sentiment END AS sentiment,
+                    CASE WHEN hour(window_end) = 5 THEN NULL ELSE tweet_count END AS tweet_count) FROM snaps
+  UNION ALL SELECT * FROM snaps WHERE hour(window_end) = 7
+),
+checked AS (
+  SELECT window_end, sentiment, tweet_count, list_filter([
+      CASE WHEN tweet_count IS NULL THEN 'null_tweet_count' END,
+      CASE WHEN sentiment NOT IN ('positive', 'negative', 'neutral') THEN 'bad_sentiment' END,
+      CASE WHEN count(*) OVER (PARTITION BY window_end, sentiment) > 1 THEN 'duplicate_key' END
+    ], lambda x: x IS NOT NULL) AS reasons FROM dirty
+)
+SELECT * FROM checked WHERE len(reasons) > 0"""
 
 # =============================================================== keywords
 KW_VALUES = "(VALUES ('click', 0), ('error', 1), ('#Purchase', 2), ('k3', 3), ('nosuchkey', 4)) t(keyword, position)"
@@ -461,17 +489,27 @@ st AS (
 """
 ORACLE["keyword_activity"] = with_posts("").rstrip() + ACT + "SELECT * FROM act"
 ORACLE["silent_keywords"] = with_posts("").rstrip() + ACT + "SELECT *, idle_seconds >= 60 AS silent FROM st"
+# The sweep as a recursion over list positions: the tracked list changes as it goes.
 ORACLE["rotation_plan"] = with_posts("").rstrip() + ACT + """,
 ss AS (SELECT *, idle_seconds >= 60 AS silent FROM st),
-bk AS (SELECT * FROM (VALUES ('signup', 0), ('view', 1), ('click', 2)) t(candidate, bpos)),
-el AS (SELECT candidate, row_number() OVER (ORDER BY ((bpos - 0) % 3 + 3) % 3) - 1 AS r
-       FROM bk WHERE candidate NOT IN (SELECT keyword FROM ss)),
-ne AS (SELECT count(*) AS n FROM el),
-sl AS (SELECT position, row_number() OVER (ORDER BY position) - 1 AS j FROM ss WHERE silent),
-sw AS (SELECT sl.position, el.candidate AS replacement
-       FROM sl CROSS JOIN ne LEFT JOIN el ON ne.n > 0 AND el.r = sl.j % ne.n)
-SELECT ss.position, ss.keyword, sw.replacement, COALESCE(sw.replacement, ss.keyword) AS new_keyword
-FROM ss LEFT JOIN sw USING (position)"""
+bk AS (SELECT ['signup', 'view', 'click'] AS pool)
+SELECT position, keyword, CASE WHEN new_keyword <> keyword THEN new_keyword END AS replacement, new_keyword FROM (
+  WITH RECURSIVE sweep AS (
+    SELECT 0 AS step, (SELECT list(keyword ORDER BY position) FROM ss) AS active, CAST(0 AS BIGINT) AS cur
+    UNION ALL
+    SELECT step + 1,
+           CASE WHEN taken IS NULL THEN active ELSE list_concat(list_concat(active[:step], [pool[(cur + taken) % len(pool) + 1]]), active[step + 2:]) END,
+           cur + CASE WHEN NOT silent THEN 0 WHEN taken IS NULL THEN len(pool) ELSE taken + 1 END
+    FROM (
+      SELECT s.step, s.active, s.cur, bk.pool, ss.silent,
+             CASE WHEN ss.silent THEN list_min(list_filter(range(0, len(bk.pool)),
+               lambda i: NOT list_contains(s.active, bk.pool[(s.cur + i) % len(bk.pool) + 1]))) END AS taken
+      FROM sweep s JOIN ss ON ss.position = s.step, bk
+    )
+  )
+  SELECT ss.position, ss.keyword, f.active[ss.position + 1] AS new_keyword
+  FROM ss, (SELECT active FROM sweep ORDER BY step DESC LIMIT 1) f
+)"""
 
 # ================================================================= health
 sql(
@@ -505,19 +543,23 @@ sql(
 )
 
 # ============================================================== streaming
-# Windowed streams emit a window once the watermark (max event time - 10 min) passes its end.
-WM = f"({ASOF} - INTERVAL 10 MINUTE)"
 sql("stream_ingest", "SELECT * FROM posts")
 sql("stream_dedup", "SELECT tweet_id, processed_at FROM posts")
-ORACLE["sliding_window_sentiment"] = (
-    with_posts("").rstrip() + f""", snaps AS {sliding_from('posts', 5, 1)}
-SELECT * FROM snaps WHERE window_end <= {WM}"""
-)
-sql(
-    "stream_per_minute",
-    f"""SELECT * FROM ({series_sql("minute", avg8("compound_score"))}) s
-     WHERE bucket + INTERVAL 1 MINUTE <= {WM}""",
+ORACLE["sliding_window_sentiment"] = ORACLE["snapshot_series"]
+ORACLE["stream_per_minute"] = ORACLE["per_minute_series"]
+ORACLE["stream_silent_keywords"] = with_posts("").rstrip() + """,
+kw AS (SELECT unnest(['click', 'error', '#Purchase', 'k3', 'nosuchkey', 'purchase k99', 'view k42']) AS keyword),
+hits AS (
+  SELECT DISTINCT kw.keyword, p.processed_at FROM kw JOIN posts p
+    ON list_contains(list_transform(p.hashtags, lambda h: lower(h)), regexp_replace(lower(kw.keyword), '^#+', ''))
+    OR contains(lower(p.text), regexp_replace(lower(kw.keyword), '^#+', ''))
+),
+gaps AS (
+  SELECT keyword, processed_at AS last_seen,
+         COALESCE(lead(processed_at) OVER (PARTITION BY keyword ORDER BY processed_at), (SELECT t FROM as_of)) AS after
+  FROM hits
 )
+SELECT keyword, last_seen, last_seen + INTERVAL 3600 SECOND AS silent_at FROM gaps WHERE after >= last_seen + INTERVAL 3600 SECOND"""
 
 # REST shape: same expected payload as the websocket shape.
 ORACLE["normalize_rest"] = ORACLE["normalize_posts"]
@@ -624,9 +666,10 @@ FROM fin"""
 
 ORACLE["rule_score"] = _rule_sql()
 
-ORACLE["stream_ingest_documents"] = LEX + """SELECT CAST(doc_id AS VARCHAR) AS tweet_id, 'en' AS lang, compound_score,
-  CASE WHEN compound_score >= 0.05 THEN 'positive' WHEN compound_score <= -0.05 THEN 'negative' ELSE 'neutral' END AS sentiment
-FROM scored"""
+ORACLE["stream_ingest_documents"] = (
+    "SELECT CAST(doc_id AS VARCHAR) AS tweet_id, 'en' AS lang, compound_score, CASE WHEN compound_score >= 0.05 THEN 'positive' "
+    f"WHEN compound_score <= -0.05 THEN 'negative' ELSE 'neutral' END AS sentiment FROM ({ORACLE['rule_score']})"
+)
 
 ORACLE["tag_index_search"] = ORACLE["tag_overlap"]
 

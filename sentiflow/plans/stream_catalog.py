@@ -32,9 +32,10 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def _replay(
-    spark: SparkSession, sf_dir: str, duplicate_tail: str | None = None, files: int = REPLAY_FILES, per_trigger: int = TRIGGER_FILES
+    spark: SparkSession, sf_dir: str, duplicate_tail: str | None = None, files: int = REPLAY_FILES, per_trigger: int = TRIGGER_FILES,
+    shuffled: bool = False,
 ) -> tuple[str, DataFrame]:
-    """Ordered replay files of the posts (written once per process and table folder) and a
+    """Replay files of the posts, in time order or (``shuffled``) in the order of a hash, so that rows come late, written once per process and table folder, and a
     fresh run folder for this query's checkpoint and output; returns (run folder, stream)."""
     run = scratch_path(spark, f"sentiflow-runs/{uuid.uuid4().hex}")
     p = posts(spark, sf_dir)
@@ -42,23 +43,20 @@ def _replay(
         # Re-deliver every post of the newest period once more (identical copies).
         newest = p.select(F.max("processed_at")).scalar()
         p = p.unionByName(p.filter(F.col("processed_at") >= newest - F.expr(f"INTERVAL {duplicate_tail}")))
-    key = (sf_dir, duplicate_tail, files)
+    key = (sf_dir, duplicate_tail, files, shuffled)
     source = _REPLAY_INPUTS.get(key)
     if source is None or not _exists(spark, f"{source}/_SUCCESS"):
         source = f"{run}/input"
-        write_replay_files(p, source, "processed_at", files, spark, fmt="parquet", tiebreak="tweet_id")
+        schema = p.schema
+        if shuffled:
+            p = p.withColumn("_order", F.xxhash64("tweet_id", "processed_at"))
+        write_replay_files(p, source, "_order" if shuffled else "processed_at", files, spark, fmt="parquet", tiebreak="tweet_id")
+        p = p.select(*schema.names)
         _REPLAY_INPUTS[key] = source
     stream = spark.readStream.schema(p.schema).option("maxFilesPerTrigger", per_trigger).parquet(source)
     return run, stream
 
 
-def _drain(df: DataFrame, run: str, name: str, output_mode: str = "append") -> str:
-    out = f"{run}/{name}"
-    q = SJ.run_stream(df, checkpoint=f"{run}/_ckpt_{name}", trigger="available_now", output_mode=output_mode, fmt="parquet", path=out)
-    q.awaitTermination()
-    return out
-
-
 @register("stream_ingest")
 def q_stream_ingest(spark, sf_dir):
     """Replay through the log sink, compact the log once it is drained, and read the
@@ -80,39 +78,48 @@ def q_stream_snapshots(spark, sf_dir):
 
 @register("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
-    run, stream = _replay(spark, sf_dir, duplicate_tail="3 days")
-    out = _drain(SJ.dedup_stream(stream).select("tweet_id", "processed_at"), run, "dedup")
-    return spark.read.parquet(out)
+    """The newest three days come twice, and files come out of time order."""
+    run, stream = _replay(spark, sf_dir, duplicate_tail="3 days", shuffled=True)
+    SJ.dedup_stream(stream, run, f"{run}/_ckpt_dedup").awaitTermination()
+    return SJ.deduplicated(spark, run).select("tweet_id", "processed_at")
+
+
+def _series(spark, sf_dir) -> str:
+    run, stream = _replay(spark, sf_dir, shuffled=True)
+    SJ.series_stream(stream, run, f"{run}/_ckpt_series").awaitTermination()
+    return run
 
 
 @register("sliding_window_sentiment")
 def q_sliding_window_sentiment(spark, sf_dir):
-    run, stream = _replay(spark, sf_dir)
-    out = _drain(SJ.sliding_window_sentiment(stream, "5 minutes", "1 minute"), run, "sliding")
-    return spark.read.parquet(out)
+    return SJ.sliding_window_sentiment(spark, _series(spark, sf_dir), 5)
 
 
 @register("stream_per_minute")
 def q_stream_per_minute(spark, sf_dir):
-    run, stream = _replay(spark, sf_dir)
-    out = _drain(SJ.stream_per_bucket(stream, "1 minute"), run, "per_minute")
-    return spark.read.parquet(out)
+    return SJ.stream_per_bucket(spark, _series(spark, sf_dir))
+
+
+STREAM_KEYWORDS = TRACKED + ["purchase k99", "view k42"]
 
 
 @register("stream_silent_keywords")
 def q_stream_silent_keywords(spark, sf_dir):
-    # Finer replay (one file per trigger) so silences can span micro-batch boundaries.
-    run, stream = _replay(spark, sf_dir, files=8, per_trigger=1)
-    # Two rare phrases join the tracked keywords so some silences outlast a micro-batch.
-    matches = SJ.keyword_match_stream(stream, keyword_dim(spark, TRACKED + ["purchase k99", "view k42"]))
-    out = _drain(SJ.silent_keyword_stream(matches, idle_seconds=3600), run, "silence")
-    return spark.read.parquet(out)
+    run, stream = _replay(spark, sf_dir, shuffled=True)
+    SJ.activity_stream(stream, keyword_dim(spark, STREAM_KEYWORDS), run, f"{run}/_ckpt_silence", 3600).awaitTermination()
+    return SJ.silent_keyword_stream(spark, run, 3600)
+
+
+def written_lexicon(spark: SparkSession, run: str, lexicon: DataFrame) -> DataFrame:
+    """The lexicon as a table: a stream joins it in every micro-batch."""
+    lexicon.write.parquet(f"{run}/lexicon")
+    return spark.read.parquet(f"{run}/lexicon")
 
 
 @register("stream_ingest_documents")
 def q_stream_ingest_documents(spark, sf_dir):
     """The ingest job end to end: every document as a raw JSON message -> decode -> keep
-    non-empty English texts -> score (row-local lexicon scorer) -> label -> keyed log."""
+    non-empty English texts -> score (full rules) -> label -> keyed log."""
     from sentiflow.functions.scoring import corpus_lexicon
     from sentiflow.operators.filters import filter_text_lang
     from sentiflow.plans.inputs import table
@@ -133,7 +140,7 @@ def q_stream_ingest_documents(spark, sf_dir):
         write_replay_files(raw, source, "doc_id", REPLAY_FILES, spark, fmt="parquet")
         _REPLAY_INPUTS[key] = source
     stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", TRIGGER_FILES).parquet(source)
-    lexicon = corpus_lexicon(filter_text_lang(docs, ["en"]), 500)
+    lexicon = written_lexicon(spark, run, corpus_lexicon(filter_text_lang(docs, ["en"])))
     sink = PostsLogSink(f"{run}/store", transform=ingest_transform(spark, lexicon))
     SJ.run_stream(stream, sink=sink, checkpoint=f"{run}/_ckpt", trigger="available_now").awaitTermination()
     return current_posts(spark, f"{run}/store").select("tweet_id", "lang", "compound_score", "sentiment")

@@ -78,12 +78,15 @@ def ensure_session_defaults(spark: SparkSession) -> SparkSession:
 def shared_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    The setting is read from the session; only when it is unset (local tests)
-    is a fresh scratch folder created and registered.
+    The setting is read from the session; only when it is unset and the master is
+    local (tests) is a fresh scratch folder created and registered. Elsewhere
+    executors could not share such a folder, so an unset folder is an error.
     """
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="sentiflow-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir() or local

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+log = logging.getLogger(__name__)
+
 TEST_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -45,25 +49,35 @@ def column_status(df: DataFrame, names: list[str]) -> list[tuple[str, str]]:
     return [(n, "EXISTS" if n in present else "MISSING") for n in names]
 
 
-def first_nonempty(sources: list[tuple[str, DataFrame]], short_circuit: bool = False) -> DataFrame:
-    """Rows of the first source (by list order) that has any rows, tagged with its name.
+def first_nonempty(sources: list[tuple[str, DataFrame | Callable[[], DataFrame]]]) -> DataFrame:
+    """Rows of the first source (by list order) that answers with any rows, tagged with its name.
 
-    Declarative form (default): union all sources with a priority, then keep
-    rows whose priority equals the global minimum priority (a scalar
-    subquery); one plan, nothing collected. ``short_circuit=True`` probes the
-    sources in order with ``isEmpty()`` (a one-row job each) and plans only
-    the winner, so expensive later sources are never evaluated.
+    A source is a DataFrame or a function that makes one. Each is probed for one row;
+    one that fails is logged and passed over, as an empty one is. Only the winner
+    is planned, so the others are neither read whole nor evaluated again. If none has rows the last that
+    answered is returned; if all fail, the last failure is raised.
     """
-    if short_circuit:
-        for name, df in sources:
-            if not df.isEmpty():
-                return df.select("*", F.lit(name).alias("source_used"))
-        name, df = sources[-1]
-        return df.select("*", F.lit(name).alias("source_used"))
-    tagged = [df.select("*", F.lit(i).alias("_priority"), F.lit(name).alias("source_used")) for i, (name, df) in enumerate(sources)]
-    union = reduce(DataFrame.unionByName, tagged)
-    winner = union.select(F.min("_priority")).scalar()
-    return union.filter(F.col("_priority") == winner).drop("_priority")
+    answer, failure = None, None
+    for name, source in sources:
+        try:
+            df = source() if callable(source) else source
+            tagged = df.select("*", F.lit(name).alias("source_used"))
+            if tagged.take(1):  # a whole row, so that a source that fails in any column is passed over
+                return tagged
+            answer = tagged
+        except Exception as exc:  # noqa: BLE001  any source may fail in its own way
+            log.warning("source %s failed: %s", name, str(exc).splitlines()[0] if str(exc) else type(exc).__name__)
+            failure = exc
+    if answer is None:
+        raise failure or ValueError("no source was given")
+    return answer
+
+
+def bound_query(spark: SparkSession, text: str, tables: dict[str, DataFrame], params: dict | list | None = None) -> DataFrame:
+    """A parameterised query over named tables: ``:name`` or ``?`` markers are bound, never spliced into the text."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+    return spark.sql(text, args=params or {})
 
 
 def pin_bounded(df: DataFrame, bound: int, what: str = "dimension") -> DataFrame:

@@ -17,7 +17,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentiflow.functions.scoring import lexicon_score_udf
+from sentiflow.functions.rules import with_rule_score
+from sentiflow.functions.scoring import with_lexicon_score
 from sentiflow.operators.quality import canonical_posts
 from sentiflow.sources.json_codec import decode_json
 from sentiflow.streaming.jobs import run_stream
@@ -25,25 +26,31 @@ from sentiflow.streaming.sink import PostsLogSink
 from sentiflow.streaming.sources import kafka_options, read_posts_stream
 
 
-def ingest_transform(spark: SparkSession, lexicon: DataFrame, langs=("en",), processed_at=None) -> Callable[[DataFrame], DataFrame]:
-    """Micro-batch transform: decode the ``value`` JSON, keep non-empty texts in ``langs``,
-    score each text once with the row-local lexicon scorer and label it.
+# Scorers of the ingest job by name.
+SCORERS = {"rules": with_rule_score, "lexicon": with_lexicon_score}
 
-    The lexicon's size is checked when the scorer is built (it is broadcast to the
-    executors once); the transform itself is row-local, so it adds no shuffle.
+
+def ingest_transform(
+    spark: SparkSession, lexicon: DataFrame, langs=("en",), processed_at=None, scorer: str = "rules"
+) -> Callable[[DataFrame], DataFrame]:
+    """Micro-batch transform: decode the ``value`` JSON, keep non-empty texts in ``langs``, score each and label it.
+
+    ``scorer`` is ``"rules"`` (the full rule set) or ``"lexicon"`` (the plain valence sum); both are relational.
     """
-    score = lexicon_score_udf(spark, lexicon)
+    add_score = SCORERS[scorer]
 
     def transform(raw: DataFrame) -> DataFrame:
         payload = decode_json(raw, value_col="value")
-        return canonical_posts(payload, lambda df: df.withColumn("compound_score", score("text")), processed_at, langs)
+        return canonical_posts(payload, lambda df: add_score(df, lexicon), processed_at, langs)
 
     return transform
 
 
-def start_ingest(spark: SparkSession, raw_stream: DataFrame, lexicon: DataFrame, root: str, checkpoint: str, trigger: str = "10 seconds"):
+def start_ingest(
+    spark: SparkSession, raw_stream: DataFrame, lexicon: DataFrame, root: str, checkpoint: str, trigger: str = "10 seconds", scorer: str = "rules"
+):
     """Start the ingest stream; returns the running query."""
-    sink = PostsLogSink(root, transform=ingest_transform(spark, lexicon), as_of="now")
+    sink = PostsLogSink(root, transform=ingest_transform(spark, lexicon, scorer=scorer), as_of="now")
     return run_stream(raw_stream.select(F.col("value").cast("string").alias("value")), sink=sink, checkpoint=checkpoint, trigger=trigger)
 
 
@@ -59,6 +66,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--root", required=True, help="output folder (shared storage)")
     ap.add_argument("--checkpoint", required=True, help="checkpoint folder (shared storage)")
     ap.add_argument("--trigger", default="10 seconds")
+    ap.add_argument("--scorer", choices=sorted(SCORERS), default="rules")
     args = ap.parse_args(argv)
     spark = build_session()
     if args.bootstrap:
@@ -67,7 +75,7 @@ def main(argv: list[str] | None = None) -> None:
         raw = spark.readStream.schema("value string").json(args.files)
     else:
         ap.error("one of --bootstrap or --files is required")
-    query = start_ingest(spark, raw, spark.read.parquet(args.lexicon), args.root, args.checkpoint, args.trigger)
+    query = start_ingest(spark, raw, spark.read.parquet(args.lexicon), args.root, args.checkpoint, args.trigger, args.scorer)
     try:
         query.awaitTermination()
     except KeyboardInterrupt:

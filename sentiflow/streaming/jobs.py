@@ -1,22 +1,24 @@
 """Structured Streaming jobs (STR-01..07, STR-14).
 
-Stateless ingest runs through ``foreachBatch`` (``PostsLogSink``); bounded
-state uses native stateful operators with watermarks; idle detection, which
-has to emit *absence*, uses ``applyInPandasWithState`` with event-time
-timeouts keyed by keyword.
+All stateful jobs append what a micro-batch adds -- keys, partial sums, first and last
+times -- under its ``batch_id`` through ``foreachBatch`` and merge the batches on read. No row is
+dropped for being late and no window waits to be closed; what is read is what the same batch
+query gives over everything delivered so far.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import contextlib
+import threading
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from sentiflow.functions.expressions import exact_avg, keyword_hits, keyword_needle
+from sentiflow.functions.expressions import as_column
+from sentiflow.operators.keywords import keyword_matches
+from sentiflow.operators.merge import finish_series, merge_partials, series_partials
 
 
 def run_stream(
@@ -55,123 +57,110 @@ def run_stream(
     return w.start()
 
 
-def stop_gracefully(query: StreamingQuery, timeout_s: float = 30.0) -> None:
-    """Let the running micro-batch finish (bounded wait), then stop."""
-    try:
-        query.processAllAvailable() if timeout_s else None
-    finally:
-        query.stop()
+def stop_gracefully(query: StreamingQuery, timeout_s: float = 30.0) -> bool:
+    """Let what is available be processed, for at most ``timeout_s`` seconds, then stop; True if it was done in time.
 
+    A live source may never run dry, so the wait is in a thread of its own; stopping the query ends it.
+    """
 
-def _event_time(df: DataFrame, ts_col: str, watermark: str) -> DataFrame:
-    """Watermark on ``ts_col``; a ``timestamp_ntz`` column is read as UTC ``timestamp`` (session zone UTC)."""
-    if dict(df.dtypes).get(ts_col) == "timestamp_ntz":
-        df = df.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
-    return df.withWatermark(ts_col, watermark)
+    def drain() -> None:
+        with contextlib.suppress(Exception):  # the query was stopped or failed: query.exception() tells
+            query.processAllAvailable()
 
+    waiting = threading.Thread(target=drain, daemon=True)
+    waiting.start()
+    waiting.join(timeout_s)
+    done = not waiting.is_alive()
+    query.stop()
+    return done
 
-def dedup_stream(df: DataFrame, id_col: str = "tweet_id", ts_col: str = "processed_at", within: str = "10 minutes") -> DataFrame:
-    """Drop repeats of an id seen within the watermark delay; blank ids are never deduplicated.
 
-    State is bounded by the watermark (time-bounded, instead of a fixed count of ids).
-    """
-    ntz = dict(df.dtypes).get(ts_col) == "timestamp_ntz"
-    blank = F.col(id_col).isNull() | (F.col(id_col) == "")
-    wm = _event_time(df, ts_col, within)
-    keyed = wm.filter(~blank).dropDuplicatesWithinWatermark([id_col])
-    out = keyed.unionByName(wm.filter(blank))
-    return out.withColumn(ts_col, F.col(ts_col).cast("timestamp_ntz")) if ntz else out
-
-
-def sliding_window_sentiment(df: DataFrame, width: str = "5 minutes", slide: str = "1 minute", ts_col: str = "processed_at", watermark: str = "10 minutes") -> DataFrame:
-    """Event-time sliding windows per class: count and exact average; finalised when the watermark passes."""
-    return (
-        _event_time(df, ts_col, watermark)
-        .groupBy(F.window(ts_col, width, slide).alias("w"), "sentiment")
-        .agg(F.count(F.lit(1)).alias("tweet_count"), exact_avg("compound_score", 4, 4).alias("avg_compound"))
-        .select(
-            F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-            F.col("w.end").cast("timestamp_ntz").alias("window_end"),
-            "sentiment",
-            "tweet_count",
-            "avg_compound",
-            F.col("w.end").cast("timestamp_ntz").alias("computed_at"),
-        )
-    )
+def dedup_stream(df: DataFrame, root: str, checkpoint: str, id_col: str = "tweet_id", ts_col: str = "processed_at", trigger: str | None = "available_now") -> StreamingQuery:
+    """Stream into a keyed log of which ``deduplicated`` gives one row per id, however late a repeat comes."""
+    return run_stream(df, sink=BatchLog(f"{root}/seen", lambda batch: first_per_id(batch, id_col, [ts_col])), checkpoint=checkpoint, trigger=trigger)
 
 
-def stream_per_bucket(df: DataFrame, unit: str = "1 minute", ts_col: str = "processed_at", watermark: str = "10 minutes") -> DataFrame:
-    """Tumbling-window per-bucket x class series maintained by the stream."""
-    return (
-        _event_time(df, ts_col, watermark)
-        .groupBy(F.window(ts_col, unit).alias("w"), "sentiment")
-        .agg(
-            F.count(F.lit(1)).alias("tweet_count"),
-            exact_avg("compound_score", 4, None).alias("avg_compound"),
-            F.sum("retweet_count").cast("bigint").alias("total_retweets"),
-            F.sum("like_count").cast("bigint").alias("total_likes"),
-        )
-        .select(F.col("w.start").cast("timestamp_ntz").alias("bucket"), "sentiment", "tweet_count", "avg_compound", "total_retweets", "total_likes")
-    )
+def deduplicated(spark: SparkSession, root: str, id_col: str = "tweet_id", ts_col: str = "processed_at") -> DataFrame:
+    """The first delivery (micro-batch, then time) of each id; rows without an id are never repeats."""
+    return first_per_id(spark.read.parquet(f"{root}/seen"), id_col, ["batch_id", ts_col]).drop("batch_id")
 
 
-def keyword_match_stream(posts: DataFrame, keywords: DataFrame, bound: int = 10_000) -> DataFrame:
-    """Stream-static join of posts with a small, static keyword table -> ``(keyword, processed_at)``.
+def first_per_id(df: DataFrame, id_col: str, order: list[str]) -> DataFrame:
+    blank = F.col(id_col).isNull() | (F.col(id_col) == "")
+    ranked = F.struct(*order, F.xxhash64(*df.columns).alias("_tie"))
+    rest = [c for c in df.columns if c != id_col]
+    first = df.filter(~blank).groupBy(id_col).agg(F.min_by(F.struct(*rest), ranked).alias("_r"))
+    return first.select(id_col, *[F.col("_r")[c].alias(c) for c in rest]).select(*df.columns).unionByName(df.filter(blank))
 
-    The match predicate is not an equi-join, so the keyword side must be broadcast;
-    its size is checked and a larger table is refused (use the batch
-    ``keyword_activity`` shuffle path per micro-batch instead).
+
+class BatchLog:
+    """``foreachBatch`` function: what ``summarise`` makes of a micro-batch, appended under its ``batch_id``.
+
+    A replayed batch rewrites its own partition. Nothing waits for a watermark, so late rows and
+    open windows are in the log as soon as they arrive; readers merge the batches.
     """
-    n = keywords.limit(bound + 1).count()
-    if n > bound:
-        raise ValueError(f"keyword table has more than {bound} rows; too large to broadcast into a stream")
-    kw = keywords.select("keyword", keyword_needle("keyword").alias("needle"))
-    return posts.join(F.broadcast(kw), keyword_hits(F.col("needle"), "hashtags", "text")).select("keyword", "processed_at")
 
+    def __init__(self, path: str, summarise: Callable[[DataFrame], DataFrame]):
+        self.path, self.summarise = path, summarise
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        rows = self.summarise(batch).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(self.path)
+
+
+def series_stream(df: DataFrame, root: str, checkpoint: str, unit: str = "minute", trigger: str | None = "available_now") -> StreamingQuery:
+    """Stream into mergeable partial sums per (bucket, class); ``stream_per_bucket`` and ``sliding_window_sentiment`` read them."""
+    return run_stream(df, sink=BatchLog(f"{root}/partials", lambda batch: series_partials(batch, unit)), checkpoint=checkpoint, trigger=trigger)
+
+
+def stored_partials(spark: SparkSession, root: str) -> DataFrame:
+    return merge_partials(spark.read.parquet(f"{root}/partials").drop("batch_id"))
+
+
+def stream_per_bucket(spark: SparkSession, root: str) -> DataFrame:
+    """Per-bucket x class series of everything streamed so far."""
+    return finish_series(stored_partials(spark, root))
+
+
+def sliding_window_sentiment(spark: SparkSession, root: str, width_minutes: int = 5) -> DataFrame:
+    """Sliding windows of ``width_minutes`` every minute per class, from the per-minute partial sums."""
+    starts = F.transform(F.sequence(F.lit(0), F.lit(width_minutes - 1)), lambda i: F.col("bucket") - F.make_dt_interval(mins=i))
+    spread = stored_partials(spark, root).withColumn("window_start", F.explode(starts)).drop("bucket")
+    merged = spread.groupBy("window_start", "sentiment").agg(*[F.sum(c).alias(c) for c in ("tweet_count", "score_sum", "score_n", "total_retweets", "total_likes")])
+    series = finish_series(merged.withColumnRenamed("window_start", "bucket"), 4)
+    end = F.col("bucket") + F.expr(f"INTERVAL {int(width_minutes)} MINUTES")
+    return series.select(
+        F.col("bucket").alias("window_start"), end.alias("window_end"), "sentiment", "tweet_count", "avg_compound", end.alias("computed_at")
+    )
+
+
+def activity_stream(
+    df: DataFrame, keywords: DataFrame, root: str, checkpoint: str, idle_seconds: int = 60, trigger: str | None = "available_now"
+) -> StreamingQuery:
+    """Stream into first and last match per (keyword, slice of ``idle_seconds``), and the newest post time of each batch."""
+
+    def summarise(batch: DataFrame) -> DataFrame:
+        second = F.unix_timestamp(F.col("processed_at").cast("timestamp"))
+        matches = keyword_matches(batch, keywords).withColumn("slice", F.floor(second / F.lit(int(idle_seconds))).cast("bigint"))
+        seen = matches.groupBy("keyword", "slice").agg(F.min("processed_at").alias("first"), F.max("processed_at").alias("last"))
+        clock = batch.select(F.lit(None).cast("string").alias("keyword"), F.lit(None).cast("bigint").alias("slice"), "processed_at")
+        clock = clock.groupBy("keyword", "slice").agg(F.min("processed_at").alias("first"), F.max("processed_at").alias("last"))
+        return seen.unionByName(clock)
 
-SILENCE_SCHEMA = "keyword string, last_seen timestamp, silent_at timestamp"
-SILENCE_STATE = "last_seen timestamp"
+    return run_stream(df, sink=BatchLog(f"{root}/activity", summarise), checkpoint=checkpoint, trigger=trigger)
 
 
-def silent_keyword_stream(matches: DataFrame, idle_seconds: int = 60, watermark: str = "10 minutes", clock: str = "event") -> DataFrame:
-    """One row per silence episode of a keyword.
+def silent_keyword_stream(spark: SparkSession, root: str, idle_seconds: int = 60, as_of=None) -> DataFrame:
+    """``(keyword, last_seen, silent_at)``: one row per silence of at least ``idle_seconds`` between matches, or up to now.
 
-    ``clock="event"``: an event-time timer at ``last_seen + idle`` fires once the
-    watermark passes it (replayable, the registered form). ``clock="processing"``:
-    the reference's wall-clock rule -- a processing-time timer ``idle`` seconds
-    after the keyword's last match in a micro-batch, firing in a later
-    (possibly empty) micro-batch; ``silent_at`` is then the wall-clock time of
-    detection. Keyed state holds only the keyword's last match time. The group
-    function folds the key's rows batch by batch (Arrow chunks), so a keyword
-    matching a large share of posts costs one task time, not memory.
+    Gaps that long lie between slices only, so comparing each slice's first match with the slice before is
+    exact, and a keyword costs its slices, not its matches. ``as_of`` is the clock for silences that still
+    last (the newest post streamed, unless given).
     """
-    idle_ms = int(idle_seconds) * 1000
-    idle_td = pd.Timedelta(seconds=int(idle_seconds))
-    processing = clock == "processing"
-
-    def on_group(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            (last,) = state.get
-            state.remove()
-            silent_at = pd.Timestamp(state.getCurrentProcessingTimeMs(), unit="ms") if processing else last + idle_td
-            yield pd.DataFrame({"keyword": [key[0]], "last_seen": [last], "silent_at": [silent_at]})
-            return
-        newest = None
-        for pdf in pdfs:
-            m = pdf["processed_at"].max()
-            newest = m if newest is None or m > newest else newest
-        if state.exists:
-            (prev,) = state.get
-            newest = max(newest, prev)
-        state.update((newest,))
-        if processing:
-            state.setTimeoutDuration(idle_ms)
-        else:
-            state.setTimeoutTimestamp(int(pd.Timestamp(newest).value // 1_000_000) + idle_ms)
-
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if processing else GroupStateTimeout.EventTimeTimeout
-    source = matches if processing else _event_time(matches, "processed_at", watermark)
-    if processing and dict(source.dtypes).get("processed_at") == "timestamp_ntz":
-        source = source.withColumn("processed_at", F.col("processed_at").cast("timestamp"))
-    episodes = source.groupBy("keyword").applyInPandasWithState(on_group, SILENCE_SCHEMA, SILENCE_STATE, "append", timeout)
-    return episodes.select("keyword", F.col("last_seen").cast("timestamp_ntz"), F.col("silent_at").cast("timestamp_ntz"))
+    log = spark.read.parquet(f"{root}/activity")
+    now = log.agg(F.max("last")).first()[0] if as_of is None else as_of
+    slices = log.filter(F.col("keyword").isNotNull()).groupBy("keyword", "slice").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    after = F.coalesce(F.lead("first").over(Window.partitionBy("keyword").orderBy("slice")), as_column(now))
+    idle = F.expr(f"INTERVAL {int(idle_seconds)} SECONDS")
+    ended = slices.withColumn("after", after).filter(F.col("after") >= F.col("last") + idle)
+    return ended.select("keyword", F.col("last").alias("last_seen"), (F.col("last") + idle).alias("silent_at"))

@@ -22,6 +22,7 @@ def test_clamp_limit_python_and_column(spark):
     assert clamp_limit("abc") == 50
     assert clamp_limit("12abc") == 12
     assert clamp_limit(30) == 30
+    assert clamp_limit("-5") == 0
     df = spark.createDataFrame([("500",), ("abc",), ("12abc",), (None,)], "v string")
     assert [r[0] for r in df.select(X.clamp_int("v", 50, 200)).collect()] == [200, 50, 12, 50]
 

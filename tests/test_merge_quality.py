@@ -129,3 +129,36 @@ def test_quarantine_exact_copies(spark):
     valid, rejected = Q.quarantine(df)
     assert sorted(r["tweet_id"] for r in valid.collect()) == ["other", "same"]
     assert [tuple(r["reasons"]) for r in rejected.collect()] == [("duplicate_key",), ("duplicate_key",)]
+
+
+def test_refresh_partials_retracts_rescored_posts(spark):
+    """A post that an upsert re-scores and moves to a later minute leaves its old bucket, in both derived tables."""
+    import datetime as dt
+
+    from conftest import AS_OF, make_posts
+    from sentiflow.operators import merge as M
+
+    base = make_posts(spark, [dict(tweet_id="a", hashtags=["x"], compound_score=0.5, sentiment="positive", processed_at=AS_OF),
+                              dict(tweet_id="b", hashtags=["x", "y"], compound_score=0.3, sentiment="positive", processed_at=AS_OF)])
+    batch = make_posts(spark, [dict(tweet_id="b", hashtags=["z"], compound_score=-0.4, sentiment="negative", processed_at=AS_OF + dt.timedelta(minutes=5)),
+                               dict(tweet_id="c", hashtags=["y"], processed_at=AS_OF)])
+    after = M.upsert_partial(base, batch)
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    series = M.refresh_partials(M.series_partials(base), base, batch)
+    assert rows(M.finish_series(series)) == rows(M.finish_series(M.series_partials(after)))
+    assert [r["tweet_count"] for r in M.finish_series(series).orderBy("bucket", "sentiment").collect()] == [1, 1, 1]
+    tags = M.refresh_partials(M.hashtag_partials(base), base, batch, M.hashtag_partials, M.HASHTAG_KEYS)
+    assert rows(M.finish_hashtags(tags)) == rows(M.finish_hashtags(M.hashtag_partials(after)))
+
+
+def test_snapshot_violations(spark):
+    import datetime as dt
+
+    from conftest import AS_OF
+    from sentiflow.operators.quality import snapshot_violations
+
+    end = AS_OF + dt.timedelta(minutes=5)
+    rows = [(AS_OF, end, "positive", 1, 0.1, end), (AS_OF, end, "positive", 2, 0.2, end), (AS_OF, end, "mixed", 1, 0.1, end), (None, end, "neutral", 1, None, end)]
+    df = spark.createDataFrame(rows, "window_start timestamp_ntz, window_end timestamp_ntz, sentiment string, tweet_count long, avg_compound double, computed_at timestamp_ntz")
+    got = sorted((r["sentiment"], tuple(r["reasons"])) for r in snapshot_violations(df).collect())
+    assert got == [("mixed", ("bad_sentiment",)), ("neutral", ("null_window_start", "null_avg_compound")), ("positive", ("duplicate_key",)), ("positive", ("duplicate_key",))]

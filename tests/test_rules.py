@@ -8,9 +8,17 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from sentiflow.functions.rules import DEFAULT_PARAMS as P
 from sentiflow.functions.rules import rule_score
-from sentiflow.functions.scoring import corpus_lexicon, round_half_up
+from sentiflow.functions.scoring import corpus_lexicon
 from sentiflow.sources.tables import load_table
 
+
+def round_half_up(x, digits):
+    """Like Spark's round: half up on the shortest decimal form."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
+
+
 LEX = {"good": 1.9, "great": 3.1, "bad": -2.5, "awful": -3.4, "love": 3.2, "hate": -2.7}
 
 

@@ -33,29 +33,44 @@ def test_lexicon_score_odd_symmetry(spark):
     assert all(a[k] == -b[k] for k in a)
 
 
-def test_shuffle_join_path_matches_broadcast(spark):
-    docs = load_table(spark, SF_SMALL, "documents").filter("lang = 'en'").select("doc_id", "text")
-    lex = SC.corpus_lexicon(docs, 200)
-    a = sorted(SC.lexicon_score(docs, lex, "doc_id").collect())
-    b = sorted(SC.lexicon_score(docs, lex, "doc_id", broadcast_bound=0).collect())
-    assert a == b
+def test_scores_every_row(spark):
+    """Rows that share an id or have none are scored one by one, by both relational scorers."""
+    from sentiflow.functions.rules import rule_score, with_rule_score
+
+    rows = [("1", "good"), ("1", "bad"), ("1", "bad"), (None, "good"), (None, "great"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    one = {t: v / (v * v + 15) ** 0.5 for t, v in {"good": 1.9, "great": 3.1, "bad": -2.5, None: 0.0}.items()}
+    want = sorted((str(i), round(one[t], 4)) for i, t in rows)
+    assert sorted((str(r[0]), r[1]) for r in SC.lexicon_score(docs, _lexicon(spark), "doc_id").collect()) == want
+    assert sorted((str(r[0]), r[1]) for r in rule_score(docs, _lexicon(spark), "doc_id").collect()) == want
+    for add in (SC.with_lexicon_score, with_rule_score):
+        got = sorted((str(r["doc_id"]), r["compound_score"]) for r in add(docs, _lexicon(spark)).collect())
+        assert got == want
 
 
 def test_udf_scorer_matches_relational(spark):
     docs = load_table(spark, SF_SMALL, "documents").filter("lang = 'en'").select("doc_id", "text")
     lex = SC.corpus_lexicon(docs, 200)
     rel = {r["doc_id"]: r["compound_score"] for r in SC.lexicon_score(docs, lex, "doc_id").collect()}
-    udf = SC.lexicon_score_udf(spark, lex)
-    row = {r["doc_id"]: r["s"] for r in docs.select("doc_id", udf("text").alias("s")).collect()}
-    assert rel == row
+    for block in (200_000, 90):  # a lexicon larger than a block takes several UDFs
+        udf = SC.lexicon_score_udf(spark, lex, block=block)
+        row = {r["doc_id"]: r["s"] for r in docs.select("doc_id", udf("text").alias("s")).collect()}
+        assert rel == row
 
 
-def test_keyword_paths_agree(spark):
+def test_keyword_activity_matches_brute_force(spark):
+    """Post rows count, also repeated ones; a keyword listed twice counts once; needles of any length."""
     p = load_posts(spark, SF_SMALL)
-    kw = KW.keyword_dim(spark, ["click", "#Purchase", "k3", "ew k", "ck", "nosuchkey"])
-    a = sorted(KW.keyword_activity(p, kw).collect())
-    b = sorted(KW.keyword_activity(p, kw, bound=0).collect())
-    assert a == b and len(a) == 5
+    p = p.unionByName(p.limit(50))
+    words = ["click", "#Purchase", "k3", "ew k", "ck", "k", "nosuchkey", "click"]
+    got = {r["keyword"]: (r["matches"], r["last_seen"]) for r in KW.keyword_activity(p, KW.keyword_dim(spark, words)).collect()}
+    rows, want = p.select("text", "hashtags", "processed_at").collect(), {}
+    for w in set(words):
+        needle = w.lower().lstrip("#")
+        hits = [r["processed_at"] for r in rows if needle in [h.lower() for h in r["hashtags"]] or needle in r["text"].lower()]
+        if hits:
+            want[w] = len(hits), max(hits)
+    assert got == want and len(got) == 6
 
 
 def test_rotation_plan_cases(spark):
@@ -64,8 +79,11 @@ def test_rotation_plan_cases(spark):
     )
     backups = KW.keyword_dim(spark, ["b", "x", "y"])
     plan = {r["keyword"]: r["new_keyword"] for r in KW.rotation_plan(status, backups, cursor=2).collect()}
-    # eligible in cyclic order from cursor 2: y, x (b is active); silent a, c, d take y, x, y
-    assert plan == {"a": "y", "b": "b", "c": "x", "d": "y"}
+    # from cursor 2: a takes y, c passes b (tracked) and takes x, and for d none is left that is not tracked
+    assert plan == {"a": "y", "b": "b", "c": "x", "d": "d"}
+    # a swapped out keyword is free again for a later one
+    free = KW.keyword_dim(spark, ["x", "a"])
+    assert [r["new_keyword"] for r in KW.rotation_plan(status, free, 0).orderBy("position").collect()] == ["x", "b", "a", "d"]
     none_left = KW.keyword_dim(spark, ["a", "b"])
     plan2 = {r["keyword"]: r["new_keyword"] for r in KW.rotation_plan(status, none_left, cursor=0).collect()}
     assert plan2 == {"a": "a", "b": "b", "c": "c", "d": "d"}

@@ -78,11 +78,40 @@ def test_first_nonempty_and_ensure_column(spark):
     assert TB.column_status(d, ["y", "z"]) == [("y", "EXISTS"), ("z", "MISSING")]
 
 
-def test_first_nonempty_short_circuit(spark):
-    a = spark.createDataFrame([], "x int")
-    b = spark.createDataFrame([(1,)], "x int")
-    out = TB.first_nonempty([("a", a), ("b", b), ("c", b)], short_circuit=True).collect()
-    assert [(r["x"], r["source_used"]) for r in out] == [(1, "b")]
+def test_first_nonempty_falls_through_failures(spark):
+    import pytest
+
+    def broken():
+        raise OSError("source is down")
+
+    empty, full = spark.createDataFrame([], "x int"), spark.createDataFrame([(1,)], "x int")
+    failing = full.select(F.raise_error(F.lit("no answer")).cast("int").alias("x"))
+    out = TB.first_nonempty([("a", broken), ("b", failing), ("c", empty), ("d", full)]).collect()
+    assert [(r["x"], r["source_used"]) for r in out] == [(1, "d")]
+    assert TB.first_nonempty([("a", broken), ("b", empty)]).count() == 0
+    with pytest.raises(OSError):
+        TB.first_nonempty([("a", broken)])
+
+
+def test_shared_folder_is_required_off_local_masters(spark, monkeypatch):
+    import pytest
+
+    from sentiflow import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_checkpoint_dir(Session())
 
 
 def test_kafka_options_defaults():

@@ -49,38 +49,76 @@ def test_dedup_keeps_blank_ids(spark):
     ).select("tweet_id", F.col("ts").cast("timestamp_ntz").alias("processed_at"))
     df.write.parquet(f"{run}/in")
     stream = spark.readStream.schema(df.schema).parquet(f"{run}/in")
-    q = SJ.run_stream(SJ.dedup_stream(stream), checkpoint=f"{run}/ckpt", trigger="available_now", fmt="parquet", path=f"{run}/out")
-    q.awaitTermination()
-    out = spark.read.parquet(f"{run}/out").collect()
+    SJ.dedup_stream(stream, run, f"{run}/ckpt").awaitTermination()
+    out = SJ.deduplicated(spark, run).collect()
     assert sorted("<null>" if r["tweet_id"] is None else r["tweet_id"] for r in out) == ["", "", "<null>", "a"]
 
 
-def test_silent_keyword_stream_timer(spark):
-    """A keyword matched early and then silent while the watermark passes
-    ``last_seen + idle`` yields one silence episode; a keyword that keeps matching yields none."""
+def _feed(spark, run, batches, start):
+    """Deliver batches one by one to a stream that is started anew each time (same checkpoint)."""
+    from conftest import make_posts
+
+    schema = make_posts(spark, batches[0]).schema
+    for rows in batches:
+        make_posts(spark, rows).coalesce(1).write.mode("append").parquet(f"{run}/in")
+        start(spark.readStream.schema(schema).parquet(f"{run}/in")).awaitTermination()
+
+
+def test_dedup_keeps_late_ids(spark):
+    """An id never seen before is kept however late it comes; a repeat goes however late it comes."""
+    import datetime as dt
+
+    run = tempfile.mkdtemp(prefix="sentiflow-test-")
+    t0 = dt.datetime(2024, 1, 1, 12)
+    batches = [
+        [dict(tweet_id="a", processed_at=t0), dict(tweet_id="a", processed_at=t0 + dt.timedelta(minutes=1))],
+        [dict(tweet_id="late", processed_at=t0 - dt.timedelta(minutes=90)), dict(tweet_id="a", processed_at=t0 + dt.timedelta(days=2))],
+    ]
+    _feed(spark, run, batches, lambda s: SJ.dedup_stream(s, run, f"{run}/ckpt"))
+    got = sorted((r["tweet_id"], r["processed_at"]) for r in SJ.deduplicated(spark, run).collect())
+    assert got == [("a", t0), ("late", t0 - dt.timedelta(minutes=90))]
+
+
+def test_series_streams_hold_late_and_open_windows(spark):
     import datetime as dt
 
     from conftest import make_posts
+    from sentiflow.operators.aggregates import per_bucket_series
+    from sentiflow.operators.windows import snapshot_series
+
+    run = tempfile.mkdtemp(prefix="sentiflow-test-")
+    t0 = dt.datetime(2024, 1, 1, 12, 30, 20)
+    batches = [
+        [dict(tweet_id="a", processed_at=t0, compound_score=0.5, sentiment="positive")],
+        [dict(tweet_id="b", processed_at=t0 - dt.timedelta(hours=2), compound_score=-0.5, sentiment="negative"),
+         dict(tweet_id="c", processed_at=t0 + dt.timedelta(seconds=5), compound_score=0.7, sentiment="positive")],
+    ]
+    _feed(spark, run, batches, lambda s: SJ.series_stream(s, run, f"{run}/ckpt"))
+    everything = make_posts(spark, [r for b in batches for r in b])
+    assert _rows(SJ.stream_per_bucket(spark, run)) == _rows(per_bucket_series(everything, "minute"))
+    assert _rows(SJ.sliding_window_sentiment(spark, run)) == _rows(snapshot_series(everything, "5 minutes", "1 minute"))
+
+
+def test_silent_keyword_stream(spark):
+    """Every silence counts: inside a micro-batch, between batches, and one that late rows close again."""
+    import datetime as dt
+
     from sentiflow.operators.keywords import keyword_dim
 
     run = tempfile.mkdtemp(prefix="sentiflow-test-")
     t0 = dt.datetime(2024, 1, 1, 0, 0, 0)
+    h = dt.timedelta(hours=1)
     batches = [
-        [dict(tweet_id="a1", text="alpha one", processed_at=t0), dict(tweet_id="b1", text="beta", processed_at=t0 + dt.timedelta(minutes=10))],
-        [dict(tweet_id="b2", text="beta", processed_at=t0 + dt.timedelta(hours=3))],
-        [dict(tweet_id="b3", text="beta", processed_at=t0 + dt.timedelta(hours=6))],
+        [dict(tweet_id="a1", text="alpha one", processed_at=t0), dict(tweet_id="b1", text="beta", processed_at=t0 + h / 6)],
+        [dict(tweet_id="b2", text="beta", processed_at=t0 + 3 * h), dict(tweet_id="b3", text="beta", processed_at=t0 + 6 * h)],
+        [dict(tweet_id=f"late{i}", text="beta", processed_at=t0 + 3 * h + i * h / 2) for i in range(1, 6)],
     ]
-    schema = make_posts(spark, batches[0]).schema
     kw = keyword_dim(spark, ["alpha", "beta"])
-    # New input files arrive between restarts of one query (same checkpoint, so state carries over).
-    for rows in batches:
-        make_posts(spark, rows).coalesce(1).write.mode("append").parquet(f"{run}/in")
-        stream = spark.readStream.schema(schema).parquet(f"{run}/in")
-        out = SJ.silent_keyword_stream(SJ.keyword_match_stream(stream, kw), idle_seconds=3600)
-        SJ.run_stream(out, checkpoint=f"{run}/ckpt", trigger="available_now", fmt="parquet", path=f"{run}/out").awaitTermination()
-    got = [tuple(r) for r in spark.read.parquet(f"{run}/out").collect()]
-    assert ("alpha", t0, t0 + dt.timedelta(hours=1)) in got
-    assert all(k != "beta" or last < t0 + dt.timedelta(hours=3) for k, last, _ in got)
+    _feed(spark, run, batches, lambda s: SJ.activity_stream(s, kw, run, f"{run}/ckpt", 3600))
+    got = sorted(tuple(r) for r in SJ.silent_keyword_stream(spark, run, 3600).collect())
+    assert got == [("alpha", t0, t0 + h), ("beta", t0 + h / 6, t0 + h / 6 + h)]
+    later = sorted(tuple(r) for r in SJ.silent_keyword_stream(spark, run, 3600, as_of=t0 + 9 * h).collect())
+    assert later == [*got, ("beta", t0 + 6 * h, t0 + 7 * h)]
 
 
 def test_sink_merges_repeated_keys(spark):
@@ -161,30 +199,6 @@ def test_start_ingest_from_json_files(spark):
     assert [(r["tweet_id"], list(r["reasons"])) for r in rejects] == [("5", ["null_author"])]
 
 
-def test_silent_keyword_stream_processing_time(spark):
-    """Wall-clock idle rule: a keyword that stops matching is reported once `idle` seconds pass,
-    in a later micro-batch that carries no data."""
-    import time
-
-    from conftest import AS_OF, make_posts
-    from sentiflow.operators.keywords import keyword_dim
-
-    run = tempfile.mkdtemp(prefix="sentiflow-test-")
-    make_posts(spark, [dict(tweet_id="a", text="alpha", processed_at=AS_OF)]).write.parquet(f"{run}/in")
-    schema = make_posts(spark, [dict(tweet_id="a")]).schema
-    stream = spark.readStream.schema(schema).parquet(f"{run}/in")
-    out = SJ.silent_keyword_stream(SJ.keyword_match_stream(stream, keyword_dim(spark, ["alpha", "beta"])), idle_seconds=2, clock="processing")
-    q = SJ.run_stream(out, checkpoint=f"{run}/ckpt", trigger="1 second", fmt="memory", query_name="silence_pt")
-    deadline = time.time() + 60
-    rows = []
-    while time.time() < deadline and not rows:
-        time.sleep(2)
-        rows = spark.sql("SELECT * FROM silence_pt").collect()
-    q.stop()
-    assert [(r["keyword"], r["last_seen"]) for r in rows] == [("alpha", AS_OF)]
-    assert rows[0]["silent_at"] is not None
-
-
 def test_snapshots_match_full_log_recompute(spark):
     """Window-bounded snapshot reads (manifest + explicit partitions) equal a brute-force
     recomputation over the whole log, also after the sink restarts."""
