@@ -545,6 +545,7 @@ sql(
 # ============================================================== streaming
 sql("stream_ingest", "SELECT * FROM posts")
 sql("stream_dedup", "SELECT tweet_id, processed_at FROM posts")
+ORACLE["stream_refresh"] = ORACLE["per_minute_series"]
 ORACLE["sliding_window_sentiment"] = ORACLE["snapshot_series"]
 ORACLE["stream_per_minute"] = ORACLE["per_minute_series"]
 ORACLE["stream_silent_keywords"] = with_posts("").rstrip() + """,

@@ -2,9 +2,10 @@
 
 Layout under ``root``:
   posts_log/batch_id=N/     valid posts of micro-batch N (append-only log of versions)
-  manifest/batch_N.json     newest processed_at and row count of batch N (driver-written metadata)
+  manifest/recent-{0,1}.json  newest processed_at of the batches that a snapshot window can still reach (driver-written metadata)
   rejects/batch_id=N/       rows breaking a row-level constraint, with reasons
   snapshots/batch_id=N/     rolling window snapshot computed after batch N
+  series/, hashtags/batch_id=N/  what batch N changes in the derived per-minute and hashtag tables (partial sums)
 
 Every write is a dynamic partition overwrite of ``batch_id=N``, so a replayed
 micro-batch (after an executor or driver failure) rewrites exactly its own
@@ -15,6 +16,7 @@ collected to the driver; the only driver-side action is the empty-batch check.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +24,21 @@ from pyspark.sql import functions as F
 
 from sentiflow.functions.expressions import ts_literal
 from sentiflow.operators.aggregates import rolling_snapshot
-from sentiflow.operators.merge import current_from_log, snapshot_upsert
+from sentiflow.operators.merge import (
+    HASHTAG_KEYS,
+    SERIES_KEYS,
+    current_from_log,
+    finish_hashtags,
+    finish_series,
+    hashtag_partials,
+    merge_partials,
+    retracted,
+    series_partials,
+    snapshot_upsert,
+)
 from sentiflow.operators.quality import quarantine
 from sentiflow.schema import CANONICAL_COLUMNS, MUTABLE_COLUMNS
+from sentiflow.streaming.metrics import write_text
 
 
 def _write_partition(df: DataFrame, path: str) -> None:
@@ -52,6 +66,7 @@ class PostsLogSink:
         snapshot_width: str = "5 minutes",
         as_of: str = "max",
         snapshot_every: int = 1,
+        derived: bool = True,
     ):
         self.root = root.rstrip("/")
         self.transform = transform
@@ -59,8 +74,10 @@ class PostsLogSink:
         self.as_of = as_of
         # Refresh cadence of the derived snapshot: every N-th micro-batch (1 = every batch).
         self.snapshot_every = max(int(snapshot_every), 1)
+        # Whether each batch also refreshes the derived per-minute and hashtag tables.
+        self.derived = derived
         # batch_id -> newest processed_at of its valid rows, for the batches that can still
-        # overlap a snapshot window (rebuilt from the manifest after a restart).
+        # overlap a snapshot window (read from the manifest after a restart).
         self._recent: dict[int, dt.datetime] | None = None
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
@@ -91,16 +108,16 @@ class PostsLogSink:
         batch_id = int(batch_id)
         bid = F.lit(batch_id).cast("bigint")
         newest, rows = valid.agg(F.max("processed_at"), F.count(F.lit(1))).first()
+        if self.derived:
+            self._write_derived(valid, batch_id)
         _write_partition(valid.withColumn("batch_id", bid), f"{self.root}/posts_log")
         _write_partition(rejected.withColumn("batch_id", bid), f"{self.root}/rejects")
-        _write_manifest(spark, f"{self.root}/manifest", batch_id, newest, rows)
         recent = self._recent_batches(spark)
         if rows:
             recent[batch_id] = newest
-        if batch_id % self.snapshot_every:
-            return
         now = newest if self.as_of == "max" else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        if now is None:
+        _write_recent(spark, f"{self.root}/manifest", batch_id, recent)
+        if batch_id % self.snapshot_every or now is None:
             return
         lower = now - _width(self.snapshot_width)
         # Only batches that can hold rows inside the window are read (explicit partition
@@ -121,15 +138,31 @@ class PostsLogSink:
         snap = rolling_snapshot(current_posts_from(window), clock, self.snapshot_width)
         _write_partition(snap.withColumn("batch_id", bid), f"{self.root}/snapshots")
 
+    def _write_derived(self, valid: DataFrame, batch_id: int) -> None:
+        """What this batch changes in the derived tables: its posts' new contributions less those of their previous versions.
+
+        Only the keys of the batch are looked up in the earlier versions. A replayed batch sees the same
+        earlier versions and rewrites its own partition.
+        """
+        spark = valid.sparkSession
+        upto = base_version(spark, self.root)
+        if upto is not None and upto >= batch_id:
+            return  # merged into the base already, so its changes were written before
+        bid = F.lit(batch_id).cast("bigint")
+        mine, old = valid.withColumn("batch_id", bid), None
+        if _exists(spark, f"{self.root}/posts_log"):
+            earlier = posts_versions(spark, self.root).filter(F.col("batch_id") < bid).select(*mine.columns)
+            known = earlier.join(valid.select("tweet_id").distinct(), "tweet_id", "left_semi").select(*mine.columns)
+            old = current_posts_from(known)
+            mine = known.unionByName(mine)
+        new = current_posts_from(mine)
+        for name, partials, keys in (("series", series_partials, SERIES_KEYS), ("hashtags", hashtag_partials, HASHTAG_KEYS)):
+            parts = [partials(new)] if old is None else [partials(new), retracted(partials(old), keys)]
+            _write_partition(merge_partials(*parts, keys=keys).withColumn("batch_id", bid), f"{self.root}/{name}")
+
     def _recent_batches(self, spark: SparkSession) -> dict[int, dt.datetime]:
         if self._recent is None:
-            self._recent = {}
-            path = f"{self.root}/manifest"
-            if _exists(spark, path):
-                entries = spark.read.schema("batch_id long, newest string, rows long").json(path)
-                entries = entries.withColumn("newest", F.col("newest").cast("timestamp_ntz"))
-                for r in entries.filter(F.col("rows") > 0).collect():
-                    self._recent[int(r["batch_id"])] = r["newest"]
+            self._recent = _read_recent(spark, f"{self.root}/manifest")
         return self._recent
 
 
@@ -142,19 +175,31 @@ def _width(spec: str) -> dt.timedelta:
     return dt.timedelta(seconds=float(amount) * _UNIT_SECONDS[unit.lower().rstrip("s")])
 
 
-def _write_manifest(spark: SparkSession, folder: str, batch_id: int, newest, rows: int) -> None:
-    """One small JSON file per batch, written by the driver through the Hadoop FileSystem
-    API (metadata, like a commit log entry; a replayed batch overwrites its own file)."""
-    import json
+def _write_recent(spark: SparkSession, folder: str, batch_id: int, recent: dict[int, dt.datetime]) -> None:
+    """The batches in reach of a window, as one small file: two files take turns, so one of them is always whole."""
+    entries = {str(b): t.isoformat(sep=" ") for b, t in recent.items() if t is not None}
+    write_text(spark, f"{folder}/recent-{batch_id % 2}.json", json.dumps({"batch_id": batch_id, "newest": entries}))
 
-    line = json.dumps({"batch_id": batch_id, "newest": newest.isoformat(sep=" ") if newest else None, "rows": rows})
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{folder}/batch_{batch_id}.json")
-    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+
+def _read_recent(spark: SparkSession, folder: str) -> dict[int, dt.datetime]:
+    """The entries of the newest whole file; its size does not depend on how many batches there were."""
+    best: dict = {"batch_id": -1, "newest": {}}
+    for path in (f"{folder}/recent-0.json", f"{folder}/recent-1.json"):
+        found = _read_json(spark, path)
+        if found and found["batch_id"] > best["batch_id"]:
+            best = found
+    return {int(b): dt.datetime.fromisoformat(t) for b, t in best["newest"].items()}
+
+
+def _read_json(spark: SparkSession, path: str) -> dict | None:
+    """A small metadata file, or None if it is absent or was cut short."""
+    if not _exists(spark, path):
+        return None
+    lines = spark.read.text(path, wholetext=True).head(1)
     try:
-        out.write(bytearray((line + "\n").encode("utf-8")))
-    finally:
-        out.close()
+        return json.loads(lines[0][0]) if lines else None
+    except ValueError:
+        return None
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -198,25 +243,39 @@ def current_posts(spark: SparkSession, root: str) -> DataFrame:
     return current_posts_from(posts_versions(spark, root))
 
 
-def compact_log(spark: SparkSession, root: str) -> int | None:
+def compact_log(spark: SparkSession, root: str, drop_merged: bool = False) -> int | None:
     """Merge everything up to the newest logged batch into a new base version.
 
     The merged view is written to a new folder ``base/upto=N`` (nothing read is
     overwritten, and the folder only counts once its ``_SUCCESS`` marker
     exists), so readers and a concurrent stream keep working, and later reads
     merge only the base plus batches after N. Writing the base also cuts the
-    lineage of the merge. Returns N (None when the log is empty).
+    lineage of the merge. With ``drop_merged`` the older bases and the log's merged
+    batches are deleted afterwards (when no reader that began before still
+    needs them). Returns N (None when the log is empty).
     """
     root = root.rstrip("/")
     log = spark.read.parquet(f"{root}/posts_log")
-    upto = log.agg(F.max("batch_id")).first()[0]
-    if upto is None or upto == base_version(spark, root):
-        return upto
+    upto, last = log.agg(F.max("batch_id")).first()[0], base_version(spark, root)
+    if upto is None or (last is not None and upto <= last):
+        return last
     versions = posts_versions(spark, root).filter(F.col("batch_id") <= F.lit(int(upto)))
     current_posts_from(versions).write.mode("overwrite").parquet(f"{root}/base/upto={int(upto)}")
+    if drop_merged:
+        for name, keep in (("base", "upto"), ("posts_log", "batch_id")):
+            fs, folder = _fs(spark, f"{root}/{name}")
+            for st in fs.listStatus(folder):
+                kind, _, number = st.getPath().getName().partition("=")
+                if kind == keep and (int(number) < upto if name == "base" else _merged(int(number), int(upto), spark, root)):
+                    fs.delete(st.getPath(), True)
     return int(upto)
 
 
+def _merged(batch_id: int, upto: int, spark: SparkSession, root: str) -> bool:
+    """A batch in the base that no snapshot window can reach any more."""
+    return batch_id < upto and batch_id not in _read_recent(spark, f"{root}/manifest")
+
+
 def current_snapshots(spark: SparkSession, root: str) -> DataFrame:
     """Snapshot table with the keyed-upsert semantics: latest computation per (window_end, sentiment)."""
     snaps = spark.read.parquet(f"{root.rstrip('/')}/snapshots").drop("batch_id")
@@ -224,6 +283,17 @@ def current_snapshots(spark: SparkSession, root: str) -> DataFrame:
     return snapshot_upsert(empty, snaps)
 
 
+def current_series(spark: SparkSession, root: str) -> DataFrame:
+    """The per-minute table kept by the sink."""
+    return finish_series(merge_partials(spark.read.parquet(f"{root.rstrip('/')}/series").drop("batch_id")))
+
+
+def current_hashtags(spark: SparkSession, root: str, since=None) -> DataFrame:
+    """Mentions and average score per hashtag kept by the sink, over all minutes or those from ``since`` on."""
+    tags = merge_partials(spark.read.parquet(f"{root.rstrip('/')}/hashtags").drop("batch_id"), keys=HASHTAG_KEYS)
+    return finish_hashtags(tags if since is None else tags.filter(F.col("bucket") >= since))
+
+
 def publish_json(df: DataFrame, key_col: str = "id", fmt: str = "kafka", path: str | None = None, **options) -> None:
     """Keyed JSON publish (batch): ``key`` = id string, ``value`` = JSON with non-ASCII kept.
 
@@ -257,39 +327,40 @@ class FeedSink:
 
     Each micro-batch merges its posts into the previous feed (``accumulate_feed``:
     fresh rows first, older rows not re-delivered, newest ``cap`` kept) and writes
-    the result as a new version folder ``feed/v=N``. Nothing read is overwritten,
-    and a replayed batch rewrites only its own version. The feed is bounded by
-    ``cap``, so each batch reads and writes at most ``cap`` old rows.
+    the result as a new version folder ``feed/v=N``. Pointer files name the newest version
+    and the one it was made from; versions before that are deleted. Nothing read is overwritten, and
+    a replayed batch starts from the same version again. Each batch touches at most ``cap`` old rows and
+    three folders, however many batches there were.
     """
 
     def __init__(self, root: str, cap: int = 200):
         self.root = root.rstrip("/")
         self.cap = cap
 
-    def _previous(self, spark: SparkSession, batch_id: int) -> str | None:
-        folder = f"{self.root}/feed"
-        if not _exists(spark, folder):
-            return None
-        jvm = spark._jvm
-        fs = jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-        done = []
-        for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(folder)):
-            name = st.getPath().getName()
-            if name.startswith("v=") and int(name[2:]) < batch_id and _exists(spark, f"{folder}/{name}/_SUCCESS"):
-                done.append(int(name[2:]))
-        return f"{folder}/v={max(done)}" if done else None
+    def _pointer(self, spark: SparkSession) -> dict:
+        found = [_read_json(spark, f"{self.root}/pointer-{i}.json") for i in (0, 1)]
+        return max((p for p in found if p), key=lambda p: p["version"], default={"version": None, "previous": None})
+
+    def _previous(self, spark: SparkSession, batch_id: int) -> int | None:
+        p = self._pointer(spark)
+        return p["version"] if p["version"] is None or p["version"] < batch_id else p["previous"]
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         from sentiflow.operators.topk import RECENT_COLUMNS, accumulate_feed, newest
 
-        spark = batch_df.sparkSession
+        spark, batch_id = batch_df.sparkSession, int(batch_id)
         fresh = batch_df.select(*RECENT_COLUMNS)
-        prev = self._previous(spark, int(batch_id))
-        merged = accumulate_feed(spark.read.parquet(prev), fresh, self.cap) if prev else newest(fresh, self.cap)
-        merged.write.mode("overwrite").parquet(f"{self.root}/feed/v={int(batch_id)}")
+        prev, before = self._previous(spark, batch_id), self._pointer(spark)
+        old = None if prev is None else spark.read.parquet(f"{self.root}/feed/v={prev}")
+        merged = newest(fresh, self.cap) if old is None else accumulate_feed(old, fresh, self.cap)
+        merged.write.mode("overwrite").parquet(f"{self.root}/feed/v={batch_id}")
+        write_text(spark, f"{self.root}/pointer-{batch_id % 2}.json", json.dumps({"version": batch_id, "previous": prev}))
+        if before["version"] is not None and before["version"] < batch_id and before["previous"] is not None:
+            fs, path = _fs(spark, f"{self.root}/feed/v={before['previous']}")
+            fs.delete(path, True)
 
 
 def current_feed(spark: SparkSession, root: str) -> DataFrame | None:
     """The newest completed feed version of a ``FeedSink`` folder."""
-    path = FeedSink(root)._previous(spark, 1 << 62)
-    return spark.read.parquet(path) if path else None
+    version = FeedSink(root)._pointer(spark)["version"]
+    return None if version is None else spark.read.parquet(f"{root.rstrip('/')}/feed/v={version}")

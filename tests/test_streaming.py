@@ -1,3 +1,4 @@
+import pathlib
 import tempfile
 
 from pyspark.sql import functions as F
@@ -241,3 +242,31 @@ def test_feed_sink_keeps_newest(spark):
     stream = spark.readStream.schema(p.schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/in")
     SJ.run_stream(stream, sink=FeedSink(f"{run}/out", cap=200), checkpoint=f"{run}/ckpt", trigger="available_now").awaitTermination()
     assert _rows(current_feed(spark, f"{run}/out")) == _rows(recent_posts(p, 200))
+    assert sorted(x.name for x in pathlib.Path(f"{run}/out/feed").iterdir()) == ["v=2", "v=3"]  # older versions are gone
+    FeedSink(f"{run}/out", cap=200)(p.filter(F.lit(False)), 3)  # a replay starts from version 2 again
+    assert current_feed(spark, f"{run}/out").count() <= 200
+
+
+def test_sink_refreshes_derived_tables(spark):
+    """After re-scored posts, a replayed batch, a restart and a compaction the derived tables equal a recompute."""
+    import datetime as dt
+
+    from conftest import AS_OF, make_posts
+    from sentiflow.operators import merge as M
+    from sentiflow.streaming.sink import compact_log, current_hashtags, current_series
+
+    root, h = tempfile.mkdtemp(prefix="sentiflow-test-"), dt.timedelta(minutes=7)
+    batches = [
+        [dict(tweet_id=f"p{i}", hashtags=["a", f"t{i % 3}"], compound_score=0.1 * i, sentiment="positive", processed_at=AS_OF + i * h) for i in range(6)],
+        [dict(tweet_id=f"p{i}", hashtags=["b"], compound_score=-0.5, sentiment="negative", processed_at=AS_OF + 9 * h) for i in (1, 4, 7)],
+        [dict(tweet_id="p1", compound_score=0.0, sentiment="neutral", processed_at=AS_OF), dict(tweet_id="p8", hashtags=["t1"])],
+    ]
+    for i, rows in enumerate(batches):
+        PostsLogSink(root)(make_posts(spark, rows), i)
+        if i == 1:
+            PostsLogSink(root)(make_posts(spark, rows), i)  # delivered again
+            compact_log(spark, root, drop_merged=True)
+        now = current_posts(spark, root)
+        assert _rows(current_series(spark, root)) == _rows(M.finish_series(M.series_partials(now)))
+        assert _rows(current_hashtags(spark, root)) == _rows(M.finish_hashtags(M.hashtag_partials(now)))
+    assert len(list(pathlib.Path(f"{root}/manifest").glob("*.json"))) == 2
