@@ -42,7 +42,16 @@ def register(name: str):
 
 @register("canonical_posts")
 def q_canonical_posts(spark, sf_dir):
-    return posts(spark, sf_dir)
+    """Payload rows of every event, with its score at hand, through the canonical projection."""
+    from sentiflow.operators.quality import canonical_posts
+
+    p = posts(spark, sf_dir)
+    payload = p.select(
+        F.col("tweet_id").alias("id"), "text", "author", "author_followers", "lang",
+        F.date_format("tweet_created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("created_at"),
+        "hashtags", "retweet_count", "like_count", "source", "processed_at", F.col("compound_score").alias("given"),
+    )
+    return canonical_posts(payload, lambda df: df.withColumn("compound_score", F.col("given")), F.col("processed_at"), ("en", "es"))
 
 
 @register("processing_lag")
