@@ -30,10 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sentiflow.llm.common import UPPER, by_size, read_table, utf8_column, words_of, written
+from sentiflow.llm.common import UPPER, by_size, read_table, small_batches, utf8_column, words_of, written
 
 WINDOW = 13
-SHARD_BYTES = 12 << 20
+SHARD_BYTES = 4 << 20
 BLOCK_WORDS = 1 << 20
 #: Every so many text positions one suffix position is kept.
 SAMPLE = 8
@@ -261,7 +261,7 @@ def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, b
 def mark_contamination(docs, benchmark, text_col="text", item_col="item_id", item_text_col="text", window=WINDOW, block_words=BLOCK_WORDS):
     """All columns of ``docs`` with _text, _hit (packed flags of words), _items and _words."""
     spark = docs.sparkSession
-    out = docs.select("*", F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    out = small_batches(docs).select("*", F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     out = out.select("*", F.lit(None).cast("binary").alias("_hit"), F.lit(None).cast("array<string>").alias("_items"))
     inputs = len(docs.columns)
     done = None

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sentiflow.llm.common import byte_map, held_out, read_table, written
+from sentiflow.llm.common import byte_map, held_out, read_table, small_batches, written
 from sentiflow.llm.hashing import PrefixHashes, mixed
 
 CHUNK_BYTES = 16 << 20
@@ -251,7 +251,7 @@ def first_model(seeds: list[np.ndarray], base: np.ndarray) -> Model:
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, passes: int = PASSES) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row; log10 probabilities."""
     spark = docs.sparkSession
-    rows = docs.select(
+    rows = small_batches(docs).select(
         F.col(id_col).alias("doc_id"), held_out(F.col(id_col), folds).alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -32,12 +32,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentiflow.llm.common import byte_map, held_out, read_table, written
+from sentiflow.llm.common import by_size, byte_map, held_out, read_table, small_batches, written
 
 ORDER = 3
 #: Bound of the broadcast model, in (language, gram) pairs: 16 bytes each before they are laid out.
 MODEL_GRAMS = 1 << 20
-SLICE_BYTES = 2 << 20
+#: Bytes of text taken at a time: a code length takes eight bytes a byte and language.
+SLICE_BYTES = 1 << 19
 UNKNOWN = "und"
 LETTER_BYTES = byte_map([*range(0x61, 0x7B), *range(0x80, 0x100)])
 LETTER = re.compile(r"[^\W\d_]")
@@ -78,10 +79,10 @@ def count_grams(train: DataFrame, text_col: str = "text", lang_col: str = "lang"
             keys, n = np.unique(context_keys(waiting.pop(lang))[0], return_counts=True)
             sums[lang].append((keys, n))
             size[lang] = 0
-            if len(sums[lang]) >= 8:
+            if len(sums[lang]) >= 16:
                 sums[lang] = [merged(sums[lang])]
 
-        for batch in batches:
+        for batch in by_size(batches, "text", SLICE_BYTES):
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 data = folded(text)
                 if data:
@@ -98,7 +99,7 @@ def count_grams(train: DataFrame, text_col: str = "text", lang_col: str = "lang"
                 names=["lang", "gram", "n"],
             )
 
-    rows = train.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).dropna()
+    rows = small_batches(train).select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).dropna()
     return rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -229,14 +230,14 @@ def identify_languages(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches):
-        for batch in batches:
+        for batch in by_size(batches, "text", SLICE_BYTES):
             langs, score, bits = best_languages(shared.value, batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(langs, pa.string()), pa.array(score), pa.array(bits, from_pandas=True)],
                 names=["doc_id", "held_out", "lang_pred", "score", "code_bits"],
             )
 
-    rows = docs.select(
+    rows = small_batches(docs).select(
         F.col(id_col).alias("doc_id"), held_out(F.col(id_col), folds).alias("held_out"), F.col(text_col).alias("text")
     )
     kind = docs.schema[id_col].dataType.simpleString()
@@ -251,11 +252,11 @@ def keep_identified(docs: DataFrame, model: ContextTrees | None, text_col: str =
     at = docs.columns.index(text_col)
 
     def keep(batches):
-        for batch in batches:
+        for batch in by_size(batches, text_col, SLICE_BYTES):
             langs, score, _ = best_languages(shared.value, batch.column(at).to_pylist())
             yield batch.filter(pa.array([x != UNKNOWN and s >= min_score for x, s in zip(langs, score)], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return small_batches(docs).mapInArrow(keep, docs.schema)
 
 
 def op4_language_id(spark, sf_dir):

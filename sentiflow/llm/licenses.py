@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentiflow.llm.common import by_size, read_table, utf8_column, words_of
+from sentiflow.llm.common import by_size, read_table, small_batches, utf8_column, words_of
 from sentiflow.llm.decontamination import LOWER, WORD
 
 GRAM = 3
@@ -178,7 +178,7 @@ def scan_licenses(
 ) -> DataFrame:
     """(doc_id, license, start, end, n_matched, coverage): a row for each matched stretch, in code points, end exclusive."""
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(F.col(text_col).isNotNull())
+    rows = small_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(F.col(text_col).isNotNull())
 
     def scanner(shared):
         def scan(batches):

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentiflow.llm.common import read_table, written
+from sentiflow.llm.common import by_size, read_table, small_batches, written
 
 KINDS = ("email", "ip", "card", "phone", "term")
 NEAR = 6
@@ -39,6 +39,8 @@ MAP_BITS = 1 << 23
 #: Distinct words a task counts before it sends them on.
 FLUSH_WORDS = 200_000
 NEAR_CHARS = 160
+#: Bytes of text taken at a time.
+SLICE_BYTES = 2 << 20
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -124,7 +126,7 @@ def find_base(rows: DataFrame) -> DataFrame:
     """(doc_id, text_hash, base, pairs) of (doc_id, text_hash, text)."""
 
     def find(batches):
-        for batch in batches:
+        for batch in by_size(batches, "text", SLICE_BYTES):
             base, pairs = [], []
             for text in batch.column("text").to_pylist():
                 spans = base_spans(text)
@@ -166,7 +168,7 @@ def document_counts(rows: DataFrame, terms: DataFrame) -> DataFrame:
 
     def count(batches):
         seen: Counter = Counter()
-        for batch in batches:
+        for batch in by_size(batches, "text", SLICE_BYTES):
             for text in batch.column("text").to_pylist():
                 seen.update(mapped_words(text, shared.value))
             if len(seen) >= FLUSH_WORDS:
@@ -204,7 +206,7 @@ def term_spans(rows: DataFrame, terms: DataFrame, remove: float) -> DataFrame:
     listing = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def find(batches):
-        for batch in batches:
+        for batch in by_size(batches, "text", SLICE_BYTES):
             out = {"doc_id": [], "text_hash": [], "term": [], "at": []}
             for doc, key, text in zip(*(batch.column(k).to_pylist() for k in ("doc_id", "text_hash", "text"))):
                 words = set(mapped_words(text, shared.value))
@@ -241,7 +243,7 @@ def find_personal_data(
 ) -> DataFrame:
     """(doc_id, text_hash, base, terms) of every row; base and terms hold code-point spans, end exclusive."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    rows = small_batches(docs).select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     base = written(find_base(rows), "base")
     terms = disclosing_terms(rows, base, support, generalise)
     base = base.drop("pairs")
