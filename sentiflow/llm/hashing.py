@@ -29,7 +29,7 @@ class PrefixHashes:
     @classmethod
     def _tables(cls, n: int):
         if len(cls._powers[0]) < n:
-            size = max(n, 1 << 22)
+            size = max(n, 1 << 20)
             made = []
             for base in (cls.BASE, pow(cls.BASE, -1, 1 << 64)):
                 steps = np.full(size, base, np.uint64)

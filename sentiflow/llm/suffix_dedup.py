@@ -32,14 +32,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sentiflow.llm.common import by_size, read_table, utf8_column, written
+from sentiflow.llm.common import by_size, read_table, small_batches, utf8_column, written
 from sentiflow.llm.hashing import PrefixHashes, mixed
 
 LENGTH = 100
 GRAM = 32
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 BUCKET_BYTES = 4 << 20
-FLUSH_ANCHORS = 1 << 20
+FLUSH_ANCHORS = 1 << 19
+#: Windows sorted at a time; all windows of one gram stay together.
+SORT_WINDOWS = 1 << 19
 PLACE_BITS = 28
 PACKED = "bucket long, kind int, payload binary"
 ANCHOR = [("h", np.uint64), ("c", np.uint64), ("doc", np.int64), ("place", np.int64), ("before", np.int64), ("after", np.int64)]
@@ -308,6 +310,19 @@ class SuffixOrder:
         return order
 
 
+def gram_groups(want: dict[str, np.ndarray]):
+    """Rows of contexts, gram by gram, for about SORT_WINDOWS windows at a time."""
+    order = np.argsort(want["h"], kind="stable")
+    h = want["h"][order]
+    ends = np.flatnonzero(np.concatenate([h[1:] != h[:-1], [True]])[: len(h)]) + 1
+    windows = np.cumsum((want["before"] - want["after"] + 1)[order])
+    start = done = 0
+    for end in ends.tolist():
+        if windows[end - 1] - done >= SORT_WINDOWS or end == len(order):
+            yield order[start:end]
+            start, done = end, windows[end - 1]
+
+
 def repeated_windows(data: np.ndarray, size: np.ndarray, want: dict[str, np.ndarray], length: int) -> dict[str, np.ndarray]:
     """Runs of windows of the given contexts that equal an earlier one."""
     windows = want["before"] - want["after"] + 1
@@ -345,8 +360,14 @@ def sort_contexts(length: int, buckets: int):
             parts.append(unpack(WANTED, payload[8:head]))
             bodies.append(payload[head:])
         want = {k: np.concatenate([p[k] for p in parts]) for k, _ in WANTED}
-        data = np.frombuffer(b"".join(bodies), np.uint8)
-        runs = repeated_windows(data, want["before"] - want["after"] + length, want, length)
+        data = b"".join(bodies)
+        size = want["before"] - want["after"] + length
+        begin = np.cumsum(size) - size
+        found = []
+        for rows in gram_groups(want):
+            own = np.frombuffer(b"".join([data[a : a + n] for a, n in zip(begin[rows].tolist(), size[rows].tolist())]), np.uint8)
+            found.append(repeated_windows(own, size[rows], {k: v[rows] for k, v in want.items()}, length))
+        runs = merged_runs(*(np.concatenate([np.zeros(0, np.int64), *(f[k] for f in found)]) for k, _ in RUN))
         return pa.Table.from_batches([arrow_rows(packed_rows(RUN, runs, doc_buckets(runs["doc"], buckets), REPEATS))])
 
     return sort
@@ -407,7 +428,7 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans) of every row; spans are byte ranges that go."""
     spark = docs.sparkSession
-    rows, ids = numbered(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+    rows, ids = numbered(small_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(-(-size // BUCKET_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
     held = rows.withColumn("bucket", doc_bucket(F.col("doc"), buckets)).groupBy("bucket")
