@@ -8,11 +8,13 @@ texts agree in a component with probability equal to their weighted Jaccard simi
 drawn up to the time by which all components are expected to be hit, and again with twice that time where
 one is not, so a text costs about ``SIZE`` * ln ``SIZE`` points beyond the first look at each shingle.
 
-Signatures are cut into bands. Texts with equal multisets are one content. In every bucket each content is
-linked to the smallest one, links are verified on the exact multisets, and connected components form. Where a bucket
-then still holds several components, its contents are compared in blocks by signature, and what agrees in
-more than ``LIKELY`` of the components is verified too. So a large bucket costs links, not pairs, unless it holds
-many unrelated texts. A class is a connected component of verified links of similarity ``THRESHOLD`` or more.
+Signatures are cut into bands. Texts with equal multisets are one content. In every bucket a leader, one of
+``LEADERS`` that its group gets over all bands, is linked to the contents whose signatures agree with its own in
+``LIKELY`` of the components; links are verified on the exact multisets, and connected components form. Where a bucket
+still holds several components, they are compared within tasks: cells hold a block of the largest
+component and a group of the others, and return only verified links that join components. So no list of pairs is
+made, and a large bucket costs links but for the members outside its largest component. A class is a connected component of verified
+links of similarity ``THRESHOLD`` or more.
 
 A pair of similarity 0.8 shares no band with probability 3e-6 (24 bands of 4), and falls below ``LIKELY``
 with about 1e-6.
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sentiflow.llm.common import by_size, read_table, utf8_column, written
+from sentiflow.llm.common import by_size, read_table, small_batches, utf8_column, written
 from sentiflow.llm.hashing import mixed, shingle_hashes, word_hashes
 
 SHINGLE = 5
@@ -42,10 +44,14 @@ THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
 SIZE = BANDS * ROWS
 LIKELY = 0.6
-SLICE_BYTES = 4 << 20
-#: Members of a bucket compared in one block, and of a leader verified in one task.
-BLOCK = 256
+SLICE_BYTES = 2 << 20
+#: Different leaders that a group of near-copies gets over all bands.
+LEADERS = 4
+#: Members of a bucket in one block of a cell, and of a leader verified in one task.
+BLOCK = 1024
 SALT = 1000
+#: Size of the broadcast map of texts to fetch.
+MAP_BITS = 1 << 23
 
 
 def multisets(data: np.ndarray, off: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -58,6 +64,15 @@ def multisets(data: np.ndarray, off: np.ndarray, size: int = SHINGLE) -> tuple[n
     return row[new], shingles[new], np.diff(np.concatenate([new, [len(row)]]))
 
 
+def bags(texts: pa.ChunkedArray):
+    """(shingles, multiplicities) of each text, a slice of texts at a time."""
+    for batch in by_size(pa.table({"text": texts}).to_batches(), "text", SLICE_BYTES):
+        data, off = utf8_column(batch.column("text"))
+        row, shingle, weight = multisets(data, off)
+        edges = np.searchsorted(row, np.arange(batch.num_rows + 1)).tolist()
+        yield from ((shingle[a:b].copy(), weight[a:b].copy()) for a, b in zip(edges[:-1], edges[1:]))
+
+
 def uniform(x: np.ndarray) -> np.ndarray:
     """In (0, 1), from 64 random bits."""
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
@@ -145,45 +160,136 @@ def sign(docs: DataFrame) -> DataFrame:
     )
 
 
-def likely_pairs(members: DataFrame) -> DataFrame:
-    """(a, b) of contents in one block whose signatures agree well and whose components differ.
+def cells(left: DataFrame) -> DataFrame:
+    """Members of buckets with several components, dealt out to cells in which every pair that matters meets.
 
-    ``members`` holds (block, content, component, marks) and is dealt out by block, so only neighbours are compared.
+    In each bucket the largest component needs comparing with the others only. Its members are cut into
+    blocks and met by groups of the others (side 0 and 1); the others meet each other in cells of their own.
     """
-
-    def compare(batches):
-        held = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            block = held.column("block").to_numpy()
-            last = int(np.searchsorted(block, block[-1])) if len(block) else 0
-            if last:
-                yield from blocks(held.slice(0, last))
-                held = held.slice(last)
-        if held is not None and held.num_rows:
-            yield from blocks(held)
-
-    def blocks(table):
-        block = table.column("block").to_numpy()
-        content, component = table.column("content").to_pylist(), table.column("component").to_pylist()
-        marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(-1, SIZE)
-        edges = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]]))
+    bucket = ["band", "key"]
+    sizes = left.groupBy(*bucket, "component").count()
+    main = sizes.groupBy(*bucket).agg(
+        F.max_by("component", F.struct("count", "component")).alias("main"),
+        F.ceil(F.max("count") / BLOCK).cast("int").alias("blocks"),
+        F.ceil((F.sum("count") - F.max("count")) / BLOCK).cast("int").alias("groups"),
+    )
+    left = left.join(main, bucket).withColumn("side", F.when(F.col("component") == F.col("main"), 0).otherwise(1))
+    parts = F.when(F.col("side") == 0, F.col("blocks")).otherwise(F.col("groups"))
+    left = left.withColumn("mine", F.pmod(F.xxhash64("content"), parts).cast("int"))
+
+    def each(col, cell):
+        return F.transform(F.sequence(F.lit(0), F.col(col) - 1), cell)
+
+    def cell(kind, a, b):
+        return F.struct(F.lit(kind).alias("kind"), a.alias("a"), b.alias("b"))
+
+    mine = F.col("mine")
+    others = F.concat(each("blocks", lambda i: cell(0, i, mine)), each("groups", lambda j: cell(1, F.least(mine, j), F.greatest(mine, j))))
+    left = left.withColumn("cell", F.explode(F.when(F.col("side") == 0, each("groups", lambda j: cell(0, mine, j))).otherwise(others)))
+    return left.select(F.xxhash64("band", "key", "cell").alias("cell"), "side", "band", "content", "component", "bands", "marks")
+
+
+def by_cell(batches, least: int = 1):
+    """Tables of whole cells from batches sorted by cell; ``least`` rows at least but for the last."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        held = table if held is None else pa.concat_tables([held, table])
+        cell = held.column("cell").to_numpy()
+        last = int(np.searchsorted(cell, cell[-1]))
+        if last >= least:
+            yield held.slice(0, last)
+            held = held.slice(last)
+    if held is not None:
+        yield held
+
+
+def likely(table: pa.Table):
+    """Of each cell (first row, pairs of rows): components differ, signatures agree well, and no earlier band is shared."""
+    cell, side = table.column("cell").to_numpy(), table.column("side").to_numpy()
+    band = table.column("band").to_numpy()
+    _, component = np.unique(np.array(table.column("component").to_pylist(), object), return_inverse=True)
+    marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(-1, SIZE)
+    keys = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    edges = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1], [True]]))
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        if b - a < 2:
+            continue
+        both = side[a:b].min() != side[a:b].max()
         left, right = [], []
-        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            if b - a < 2:
+        for i in range(a, b):
+            if both and side[i] == 0:
                 continue
-            for i in range(a, b - 1):
-                agree = (marks[i + 1 : b] == marks[i]).sum(axis=1)
-                for j in np.flatnonzero(agree >= LIKELY * SIZE).tolist():
-                    j += i + 1
-                    if component[i] != component[j]:
-                        left.append(min(content[i], content[j]))
-                        right.append(max(content[i], content[j]))
+            to = np.arange(a, b)[side[a:b] == 0] if both else np.arange(i + 1, b)
+            to = to[component[to] != component[i]]
+            to = to[(marks[to] == marks[i]).sum(axis=1) >= LIKELY * SIZE]
+            if len(to):
+                here = band[i]
+                to = to[(keys[to, :here] != keys[i, :here]).all(axis=1)]  # a pair counts in its first shared band
+                left.append(np.full(len(to), i))
+                right.append(to)
         if left:
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
+            yield a, np.concatenate(left), np.concatenate(right)
+
 
-    return members.mapInArrow(compare, "a binary, b binary")
+def flag(batches):
+    """Members of cells that have a likely partner there."""
+    for table in by_cell(batches):
+        rows = [np.unique(np.concatenate([left, right])) for _, left, right in likely(table)]
+        if rows:
+            yield from table.take(np.concatenate(rows)).to_batches()
+
+
+def confirm(threshold: float):
+    """Batches of cells with texts -> links between components, checked on the exact multisets, a spanning set a cell."""
+
+    def check(batches):
+        for table in by_cell(batches):
+            names = table.column("content").to_pylist()
+            labels = table.column("component").to_pylist()
+            found = []
+            for _, left, right in likely(table):
+                needed = np.unique(np.concatenate([left, right]))
+                bag = dict(zip(needed.tolist(), bags(table.column("text").take(pa.array(needed)))))
+                parent: dict[bytes, bytes] = {}
+
+                def root(x, parent=parent):
+                    while parent.get(x, x) != x:
+                        x = parent[x]
+                    return x
+
+                for i, j in zip(left.tolist(), right.tolist()):
+                    x, y = root(labels[i]), root(labels[j])
+                    if x != y and weighted_jaccard(bag[i], bag[j]) >= threshold:
+                        parent[x] = y
+                        found.append((names[i], names[j]))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found)], names=["a", "b"])
+
+    return check
+
+
+def asked_texts(asked: DataFrame, contents: DataFrame, docs: DataFrame) -> DataFrame:
+    """``asked`` with the text of each content. A bit map of the texts' hashes lets a scan drop most others before the shuffle."""
+    rep = contents.select("content", F.col("rep")["doc_id"].alias("doc_id"), F.col("rep")["text_hash"].alias("text_hash"))
+    asked = written(asked.join(rep, "content"), "asked")
+    at = F.pmod(F.col("text_hash"), F.lit(MAP_BITS))
+    words = asked.select(F.shiftright(at, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(64)).cast("int")).alias("bit"))
+    got = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bits = np.zeros(MAP_BITS // 64, np.int64)
+    bits[got.column("word").to_numpy()] = got.column("bits").to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(np.unpackbits(bits.view(np.uint8), bitorder="little").astype(bool))
+
+    def drop(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(shared.value[batch.column("text_hash").to_numpy() % MAP_BITS]))
+
+    one = docs.select("doc_id", "text_hash", "text").mapInArrow(drop, docs.select("doc_id", "text_hash", "text").schema)
+    one = one.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
+    # rows that repeat a document give its text again, which changes nothing
+    return asked.join(one, asked["doc_id"].eqNullSafe(one["_id"]) & (asked["text_hash"] == one["_hash"])).drop("_id", "_hash")
 
 
 def verify(links: DataFrame, contents: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
@@ -196,11 +302,7 @@ def verify(links: DataFrame, contents: DataFrame, docs: DataFrame, threshold: fl
         F.col("a").alias("leader"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("a").alias("content"), F.lit(0).alias("role")
     )
     asked = leaders.unionByName(members)
-    rep = contents.select("content", F.col("rep")["doc_id"].alias("doc_id"), F.col("rep")["text_hash"].alias("text_hash"))
-    asked = asked.join(rep, "content")
-    one = docs.select("doc_id", "text_hash", "text")
-    texts = asked.join(one, asked["doc_id"].eqNullSafe(one["doc_id"]) & (asked["text_hash"] == one["text_hash"]))
-    # rows that repeat a document give it twice; the first is enough
+    texts = asked_texts(asked, contents, docs)
     dealt = texts.select("leader", "salt", "role", "content", "text").repartition("leader", "salt").sortWithinPartitions("leader", "salt", "role")
 
     def check(batches):
@@ -232,17 +334,30 @@ def components(links: DataFrame) -> DataFrame:
     both = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = written(both.groupBy(F.col("a").alias("content")).agg(F.least(F.first("a"), F.min("b")).alias("component")), "labels")
     while True:
-        near = both.join(labels.withColumnRenamed("content", "b"), "b").groupBy(F.col("a").alias("content")).agg(F.min("component").alias("near"))
-        moved = labels.join(near, "content").select("content", F.col("component").alias("old"), F.least("component", "near").alias("to"))
+        near = both.join(labels.withColumnRenamed("content", "b"), "b").select(F.col("a").alias("content"), "component", F.lit(None).cast("binary").alias("own"))
+        near = near.unionByName(labels.withColumn("own", F.col("component")))
+        moved = near.groupBy("content").agg(F.min("component").alias("to"), F.min("own").alias("old"))
         to = labels.select(F.col("content").alias("to"), F.col("component").alias("beyond"))
-        after = written(
-            moved.join(to, "to").select("content", "old", F.least("to", "beyond").alias("component")), "labels"
-        )
+        after = written(moved.join(to, "to").select("content", "old", F.least("to", "beyond").alias("component")), "labels")
         if after.where(F.col("old") != F.col("component")).limit(1).count() == 0:
             return after.select("content", "component")
         labels = after.select("content", "component")
 
 
+def joined_by(joined: DataFrame, links: DataFrame) -> DataFrame:
+    """``joined`` (content, component) after further links; only the graph of components is searched again."""
+    of = joined.select("content", F.col("component").alias("known"))
+    ends = links.join(of.toDF("a", "known_a"), "a", "left").join(of.toDF("b", "known_b"), "b", "left")
+    ends = ends.select(F.coalesce("known_a", "a").alias("a"), F.coalesce("known_b", "b").alias("b")).where("a <> b").distinct()
+    ends = written(ends, "edges")
+    if not ends.limit(1).count():
+        return joined
+    top = components(ends).toDF("known", "top")
+    moved = joined.join(top, joined["component"] == top["known"], "left").select("content", F.coalesce("top", "component").alias("component"))
+    fresh = top.join(joined, top["known"] == joined["content"], "left_anti").toDF("content", "component")
+    return written(moved.unionByName(fresh), "joined")
+
+
 def group_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """Of (doc_id, text_hash, text): the signed rows, and (content, component) of every content in a larger class."""
     signed = written(sign(docs), "signed")
@@ -254,28 +369,39 @@ def group_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tupl
         "contents",
     )
     places = contents.select("content", F.posexplode("bands").alias("band", "key"))
-    buckets = places.groupBy("band", "key").agg(F.min("content").alias("leader"), F.count("*").alias("members")).where("members > 1")
+    # a text falls in about ten buckets of its near-copies, and so meets LEADERS of them
+    leader = F.min_by("content", F.xxhash64("content", F.pmod("band", F.lit(LEADERS))))
+    buckets = places.groupBy("band", "key").agg(leader.alias("leader"), F.count("*").alias("members")).where("members > 1").drop("members")
     crowded = written(places.join(buckets, ["band", "key"]), "buckets")
     marks = contents.select("content", "marks")
 
-    stars = crowded.where(F.col("content") != F.col("leader")).select(F.col("leader").alias("a"), F.col("content").alias("b")).distinct()
+    joined = components(verify(starred(crowded, marks), contents, docs, threshold))
+    left = still_mixed(crowded, joined)
+    if left is None:
+        return signed, joined
+
+    # what is left meets in cells
+    dealt = cells(left.join(contents.select("content", "bands", "marks"), "content")).repartition("cell").sortWithinPartitions("cell", "side", "content")
+    flagged = written(dealt.mapInArrow(flag, dealt.schema), "flagged")
+    texts = asked_texts(flagged, contents, docs).dropDuplicates(["cell", "content"])
+    ready = texts.select("cell", "side", "band", "content", "component", "bands", "marks", "text").repartition("cell")
+    more = written(ready.sortWithinPartitions("cell", "side", "content").mapInArrow(confirm(threshold), "a binary, b binary").distinct(), "links")
+    return signed, joined_by(joined, more)
+
+
+def starred(members: DataFrame, marks: DataFrame) -> DataFrame:
+    """Links (a, b) from buckets' leaders to members whose signatures agree well."""
+    stars = members.select(F.col("leader").alias("a"), F.col("content").alias("b")).where("a <> b").distinct()
     stars = stars.join(marks.toDF("a", "marks_a"), "a").join(marks.toDF("b", "marks_b"), "b")
-    links = written(verify(stars.where(agreement("marks_a", "marks_b") >= LIKELY * SIZE).select("a", "b"), contents, docs, threshold), "links")
-    joined = components(links)
-
-    # buckets that still hold several components
-    placed = crowded.join(joined, "content", "left").withColumn("component", F.coalesce("component", "content"))
-    mixed_ = placed.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    left = placed.join(mixed_.select("band", "key"), ["band", "key"]).join(marks, "content")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    left = left.withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int"))
-    left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    block = F.xxhash64("band", "key", F.least("mine", "other"), F.greatest("mine", "other"))
-    left = left.select(block.alias("block"), "content", "component", "marks")
-    more = likely_pairs(left.repartition("block").sortWithinPartitions("block")).distinct()
-    more = more.join(stars.select("a", "b"), ["a", "b"], "left_anti")
-    more = written(verify(more, contents, docs, threshold), "links")
-    return signed, components(links.unionByName(more)) if more.limit(1).count() else joined
+    return stars.where(agreement("marks_a", "marks_b") >= LIKELY * SIZE).select("a", "b")
+
+
+def still_mixed(crowded: DataFrame, joined: DataFrame) -> DataFrame | None:
+    """Members, with components, of the buckets that hold more than one; None if there is no such bucket."""
+    placed = written(crowded.join(joined, "content", "left").withColumn("component", F.coalesce("component", "content")), "placed")
+    several = placed.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    left = written(placed.join(several.select("band", "key"), ["band", "key"]), "mixed")
+    return left if left.limit(1).count() else None
 
 
 def agreement(a: str, b: str) -> F.Column:
@@ -290,7 +416,7 @@ def agreement(a: str, b: str) -> F.Column:
 
 def hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    return small_batches(docs).select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
