@@ -12,9 +12,11 @@ Texts are folded first: Unicode lower case, every run of ASCII characters that a
 blank, and three zero bytes stand before the first byte, so each byte has a full context.
 
 Scale: counting is one pass over the training rows with per-task sums before the shuffle by (language,
-gram); scoring is one pass with a broadcast model and no shuffle. The model holds at most ``MODEL_GRAMS``
-grams: the deepest nodes with the smallest counts go first, which makes the order of the tree variable.
-All rows count towards the statistics.
+gram); the sums of the shorter contexts are made in Spark as well. Every count of every language stays in the
+model. The contexts are ordered by their nearest byte first and cut into ranges of about ``MODEL_GRAMS``
+(gram, language) cells. Scoring is one pass with a broadcast model and no shuffle if there is one range; otherwise
+one pass a range, in which a task codes the bytes whose context is in the range, and the code lengths are
+summed by text. The cut changes no code length.
 
 Defined results: a null text, an empty text or one without a letter is ``und`` with score 0 and no code
 length; with no training rows everything is ``und``; equal code lengths go to the language that sorts
@@ -29,14 +31,17 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentiflow.llm.common import by_size, byte_map, held_out, read_table, small_batches, written
 
 ORDER = 3
-#: Bound of the broadcast model, in (language, gram) pairs: 16 bytes each before they are laid out.
-MODEL_GRAMS = 1 << 20
+#: (gram, language) cells of order 3 that are broadcast at a time; larger models take further passes.
+MODEL_GRAMS = 1 << 22
+MASKS = (0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF)
+#: Beyond every context of three bytes.
+LAST = 1 << 24
 #: Bytes of text taken at a time: a code length takes eight bytes a byte and language.
 SLICE_BYTES = 1 << 19
 UNKNOWN = "und"
@@ -108,20 +113,28 @@ def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return keys, np.bincount(at, np.concatenate([n for _, n in parts]).astype(np.float64), len(keys)).astype(np.int64)
 
 
+def turned(keys):
+    """The three context bytes of order-3 keys (arrays or integer columns), the nearest byte first."""
+    if isinstance(keys, np.ndarray):
+        keys = keys.astype(np.int64)
+        return (keys >> 8 & 0xFF) << 16 | (keys >> 16 & 0xFF) << 8 | keys >> 24
+    byte = [F.shiftright(keys, n).bitwiseAND(F.lit(0xFF)) for n in (8, 16, 24)]
+    return F.shiftleft(byte[0], 16) + F.shiftleft(byte[1], 8) + byte[2]
+
+
 class ContextTrees:
-    """Code lengths in bits of order-3 contexts for several languages; ``grams`` maps a language to (keys, counts)."""
-
-    def __init__(self, grams: dict[str, tuple[np.ndarray, np.ndarray]]):
-        self.langs = sorted(grams)
-        keys = [np.unique(np.concatenate([[0], *(grams[x][0] for x in self.langs)]).astype(np.uint32) & mask)
-                for mask in (0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF)]
-        self.keys = keys
-        n = [np.zeros((len(k), len(self.langs))) for k in keys]
-        for j, lang in enumerate(self.langs):
-            own, count = grams[lang]
-            for k, mask in enumerate((0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF)):
-                at = np.searchsorted(keys[k], own.astype(np.uint32) & mask)
-                n[k][:, j] += np.bincount(at, count, len(keys[k]))
+    """Code lengths in bits under several languages of bytes whose turned context is in [low, high).
+
+    ``nodes`` has by order (language numbers, keys, counts); those of the range and of all shorter contexts of it.
+    """
+
+    def __init__(self, langs: list[str], nodes: list[tuple[np.ndarray, np.ndarray, np.ndarray]], low: int = 0, high: int = LAST):
+        self.langs, self.low, self.high = langs, low, high
+        self.keys = [np.unique(np.append(own, 0).astype(np.uint32)) for _, own, _ in nodes]
+        keys = self.keys
+        n = [np.zeros((len(k), len(langs))) for k in keys]
+        for k, (lang, own, count) in enumerate(nodes):
+            n[k][np.searchsorted(keys[k], own.astype(np.uint32)), lang] = count
         #: By order: contexts and their escape lengths; grams and their lengths.
         self.contexts, self.escape, self.bits = [], [], []
         for k in range(ORDER + 1):
@@ -163,51 +176,101 @@ class ContextTrees:
         return out
 
     def text_bits(self, texts: list[bytes]) -> np.ndarray:
-        """(texts, languages) code lengths in bits."""
+        """(texts, languages) code lengths in bits; bytes out of the range count nothing."""
         keys, starts = context_keys(texts)
+        whole = self.low == 0 and self.high == LAST
+        if not whole:
+            context = turned(keys)
+            inside = np.flatnonzero((context >= self.low) & (context < self.high))
+            places, keys = len(keys), keys[inside]
         distinct_first = self.keys[ORDER]
         at = np.minimum(np.searchsorted(distinct_first, keys), len(distinct_first) - 1)
         bits = self.bits[ORDER][at]
         miss = np.flatnonzero(distinct_first[at] != keys)
         if len(miss):
             bits[miss] = self.lengths(keys[miss])
+        if not whole:
+            spread = np.zeros((places, len(self.langs)))
+            spread[inside] = bits
+            bits = spread
         return np.add.reduceat(bits, starts, axis=0)
 
 
+class LanguageModel:
+    """All counts of all languages, by ranges of turned contexts; one range is brought to the driver at a time.
+
+    ``nodes`` is (k, lang, gram, n, context): the sums of every order ``k``, a shorter context with zeros for what it lacks.
+    """
+
+    def __init__(self, nodes: DataFrame, langs: list[str], ranges: list[tuple[int, int]]):
+        self.nodes, self.langs, self.ranges = nodes, langs, ranges
+        self._held: tuple[int, ContextTrees] | None = None
+
+    def block(self, i: int) -> ContextTrees:
+        if self._held is None or self._held[0] != i:
+            self._held = None
+            low, high = self.ranges[i]
+            least = F.when(F.col("k") == 3, low).when(F.col("k") == 2, low & ~0xFF).when(F.col("k") == 1, low & ~0xFFFF).otherwise(0)
+            got = self.nodes.where((F.col("context") >= least) & (F.col("context") < high)).drop("context").toArrow()
+            number = pc.index_in(got.column("lang"), pa.array(self.langs, pa.string())).to_numpy()
+            order, gram, n = (got.column(c).to_numpy() for c in ("k", "gram", "n"))
+            own = [order == k for k in range(ORDER + 1)]
+            self._held = i, ContextTrees(self.langs, [(number[x], gram[x], n[x]) for x in own], low, high)
+        return self._held[1]
+
+    @property
+    def keys(self) -> list[np.ndarray]:
+        """By order the grams of the block with the most: what a task holds at a time."""
+        return max((self.block(i).keys for i in range(len(self.ranges))), key=lambda keys: len(keys[ORDER]))
+
+    def text_bits(self, texts: list[bytes]) -> np.ndarray:
+        """(texts, languages) code lengths in bits."""
+        return sum(self.block(i).text_bits(texts) for i in range(len(self.ranges)))
+
+
 def fit_language_model(train: DataFrame, text_col: str = "text", lang_col: str = "lang", max_grams: int = MODEL_GRAMS):
-    """A ContextTrees over all rows of ``train``; None if there is nothing to learn from."""
+    """A LanguageModel over all rows of ``train``, in blocks of ``max_grams`` cells; None if there is nothing to learn from."""
     counts = written(count_grams(train, text_col, lang_col), "grams")
-    least, held = 1, 0
-    for n, grams in sorted(counts.groupBy(F.least("n", F.lit(1 << 20)).alias("n")).count().collect(), reverse=True):
-        if held + grams > max_grams:  # the rarest deepest nodes go, so the tree's order varies
-            least = n + 1
-            break
-        held += grams
-    kept = counts.where(F.col("n") >= least).toArrow()
-    if not kept.num_rows:
+    langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    if not langs:
         return None
-    grams = {}
-    for lang in pc.unique(kept.column("lang")).to_pylist():
-        part = kept.filter(pc.equal(kept.column("lang"), lang))
-        grams[lang] = part.column("gram").to_numpy(), part.column("n").to_numpy()
-    return ContextTrees(grams)
-
-
-def best_languages(model: ContextTrees | None, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(language, score, bits of the shortest code; NaN for ``und``) of each text."""
-    langs, score, length = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.full(len(texts), np.nan)
-    if model is None:
-        return langs, score, length
+    nodes = None
+    for k, mask in enumerate(MASKS):
+        kept = (LAST - 1) ^ ((1 << 8 * (ORDER - k)) - 1)  # bytes of the turned context that order k has
+        gram = F.col("gram").bitwiseAND(F.lit(mask))
+        own = counts if k == ORDER else counts.groupBy("lang", gram.alias("gram")).agg(F.sum("n").alias("n"))
+        own = own.select(F.lit(k).alias("k"), "lang", "gram", "n", turned(F.col("gram")).bitwiseAND(F.lit(kept)).alias("context"))
+        nodes = own if nodes is None else nodes.unionByName(own)
+    nodes = written(nodes, "nodes")
+    return LanguageModel(nodes, langs, context_ranges(nodes.where(F.col("k") == ORDER), len(langs), max_grams))
+
+
+def context_ranges(grams: DataFrame, langs: int, most: int) -> list[tuple[int, int]]:
+    """Ranges [low, high) of turned contexts that cover all, of at most ``most`` cells unless one context has more.
+
+    The driver sees 2^16 contexts of two bytes; only one of more than ``most`` cells comes context by context.
+    """
+    pair = F.col("context").bitwiseAND(F.lit(LAST - 256))
+    cells = grams.groupBy("context").agg((F.count_distinct("gram") * langs).alias("cells"))
+    cells = cells.withColumn("together", F.sum("cells").over(Window.partitionBy(pair)))
+    pieces = cells.groupBy(F.when(F.col("together") > most, F.col("context")).otherwise(pair).alias("first")).agg(F.sum("cells").alias("cells"))
+    edges, held = [0], 0
+    for first, own in sorted(pieces.collect()):
+        if held and held + own > most:
+            edges.append(first)
+            held = 0
+        held += own
+    return list(zip(edges, [*edges[1:], LAST]))
+
+
+def coded(model: ContextTrees, texts: list[str | None]) -> list[np.ndarray | None]:
+    """Bits by language of each text; None where there is nothing to code."""
+    out: list[np.ndarray | None] = [None] * len(texts)
     rows, data, size = [], [], 0
 
     def take():
-        bits = model.text_bits(data)
-        best = bits.argmin(axis=1)
-        low = bits.min(axis=1)
-        score[rows] = 1.0 / np.exp2(np.minimum(0.0, low[:, None] - bits)).sum(axis=1)
-        length[rows] = low
-        for i, j in zip(rows, best):
-            langs[i] = model.langs[j]
+        for i, bits in zip(rows, model.text_bits(data)):
+            out[i] = bits
         rows.clear(), data.clear()
 
     for i, text in enumerate(texts):
@@ -220,43 +283,92 @@ def best_languages(model: ContextTrees | None, texts: list[str | None]) -> tuple
                 size = 0
     if rows:
         take()
+    return out
+
+
+def best_languages(known: list[str], lengths: list[np.ndarray | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(language, score, bits of the shortest code; NaN for ``und``) of each text."""
+    langs, score, length = [UNKNOWN] * len(lengths), np.zeros(len(lengths)), np.full(len(lengths), np.nan)
+    rows = [i for i, bits in enumerate(lengths) if bits is not None]
+    if rows:
+        bits = np.stack([lengths[i] for i in rows])
+        low = bits.min(axis=1)
+        score[rows] = 1.0 / np.exp2(np.minimum(0.0, low[:, None] - bits)).sum(axis=1)
+        length[rows] = low
+        for i, j in zip(rows, bits.argmin(axis=1)):
+            langs[i] = known[j]
     return langs, score, length
 
 
+def with_bits(rows: DataFrame, model: LanguageModel, text_col: str) -> DataFrame:
+    """``rows`` and ``_bits``, the code lengths by language summed over all blocks of the model: one pass a block."""
+    numbered = written(rows.withColumn("_row", F.monotonically_increasing_id()), "texts")
+    parts = None
+    for i in range(len(model.ranges)):
+        shared = rows.sparkSession.sparkContext.broadcast(model.block(i))
+
+        def code(batches, shared=shared):
+            for batch in by_size(batches, "text", SLICE_BYTES):
+                bits = coded(shared.value, batch.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(bits, pa.list_(pa.float64()))], names=["_row", "bits"])
+
+        part = small_batches(numbered).select("_row", F.col(text_col).alias("text")).mapInArrow(code, "_row long, bits array<double>")
+        part = written(part.where("bits is not null").select("_row", F.lit(i).alias("block"), "bits"), "bits")
+        shared.destroy()
+        parts = part if parts is None else parts.unionByName(part)
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("block", "bits"))), lambda x: x["bits"])
+    none = F.array_repeat(F.lit(0.0), len(model.langs))
+    total = F.aggregate(ordered, none, lambda a, x: F.zip_with(a, x, lambda u, v: u + v))
+    return numbered.join(parts.groupBy("_row").agg(total.alias("_bits")), "_row", "left").drop("_row")
+
+
+def judged(rows: DataFrame, model: LanguageModel | None, text_col: str, finish, schema) -> DataFrame:
+    """``finish(batch, langs, score, bits)`` of all batches of ``rows``."""
+    known = model.langs if model else []
+    several = model is not None and len(model.ranges) > 1
+    shared = rows.sparkSession.sparkContext.broadcast(model.block(0) if model and not several else None)
+    at = rows.columns.index(text_col)
+
+    def judge(batches):
+        for batch in by_size(batches, text_col, SLICE_BYTES):
+            if several:
+                lengths = [None if x is None else np.array(x) for x in batch.column("_bits").to_pylist()]
+                batch = batch.drop_columns(["_bits"])
+            elif shared.value is not None:
+                lengths = coded(shared.value, batch.column(at).to_pylist())
+            else:
+                lengths = [None] * batch.num_rows
+            yield finish(batch, *best_languages(known, lengths))
+
+    rows = with_bits(rows, model, text_col) if several else rows
+    return small_batches(rows).mapInArrow(judge, schema)
+
+
 def identify_languages(
-    docs: DataFrame, model: ContextTrees | None, id_col: str = "doc_id", text_col: str = "text", folds: int = 4
+    docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id", text_col: str = "text", folds: int = 4
 ) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, code_bits) of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def predict(batches):
-        for batch in by_size(batches, "text", SLICE_BYTES):
-            langs, score, bits = best_languages(shared.value, batch.column(2).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(langs, pa.string()), pa.array(score), pa.array(bits, from_pandas=True)],
-                names=["doc_id", "held_out", "lang_pred", "score", "code_bits"],
-            )
+    def predicted(batch, langs, score, bits):
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(langs, pa.string()), pa.array(score), pa.array(bits, from_pandas=True)],
+            names=["doc_id", "held_out", "lang_pred", "score", "code_bits"],
+        )
 
-    rows = small_batches(docs).select(
+    rows = docs.select(
         F.col(id_col).alias("doc_id"), held_out(F.col(id_col), folds).alias("held_out"), F.col(text_col).alias("text")
     )
     kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(
-        predict, f"doc_id {kind}, held_out boolean, lang_pred string, score double, code_bits double"
-    )
+    return judged(rows, model, "text", predicted, f"doc_id {kind}, held_out boolean, lang_pred string, score double, code_bits double")
 
 
-def keep_identified(docs: DataFrame, model: ContextTrees | None, text_col: str = "text", min_score: float = 0.5) -> DataFrame:
+def keep_identified(docs: DataFrame, model: LanguageModel | None, text_col: str = "text", min_score: float = 0.5) -> DataFrame:
     """The rows of ``docs`` with a language of at least ``min_score``, all columns as they are."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text_col)
 
-    def keep(batches):
-        for batch in by_size(batches, text_col, SLICE_BYTES):
-            langs, score, _ = best_languages(shared.value, batch.column(at).to_pylist())
-            yield batch.filter(pa.array([x != UNKNOWN and s >= min_score for x, s in zip(langs, score)], pa.bool_()))
+    def kept(batch, langs, score, bits):
+        return batch.filter(pa.array([x != UNKNOWN and s >= min_score for x, s in zip(langs, score)], pa.bool_()))
 
-    return small_batches(docs).mapInArrow(keep, docs.schema)
+    return judged(docs, model, text_col, kept, docs.schema)
 
 
 def op4_language_id(spark, sf_dir):

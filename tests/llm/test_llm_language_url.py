@@ -81,6 +81,26 @@ def test_model_bound_prunes_rare_grams(spark):
     assert small.text_bits([L.folded(corpus()[0][1])]).argmin() == 0
 
 
+def test_small_language_keeps_its_grams_beside_a_large_one(spark):
+    """More grams than a block holds: further blocks, the code lengths and predictions of the whole model."""
+    rows = [(i, prose(i, 60, "abcdefgh"), "hot", "s") for i in range(60)] + [(900, "tuv xyz tux vyz", "rare", "s")]
+    docs = frame(spark, rows)
+    model = L.fit_language_model(docs, max_grams=5000)
+    assert 1 < len(model.ranges) < 9 and model.langs == ["hot", "rare"]
+    for text in (rows[0][1], "tuv xyz", "xyz abc é"):
+        want = [brute_bits([t for _, t, la, _ in rows if la == lang], text) for lang in ("hot", "rare")]
+        assert model.text_bits([L.folded(text)])[0] == pytest.approx(want)
+    odd = docs.union(frame(spark, [(901, None, "hot", "s"), (None, "tux", "rare", "s"), (900, "?!", "rare", "s")]))
+    whole = L.fit_language_model(docs)
+    assert len(whole.ranges) == 1
+    got, want = (sorted(L.identify_languages(odd, m).collect(), key=str) for m in (model, whole))
+    assert [r[:3] for r in got] == [r[:3] for r in want] and sum(r["lang_pred"] == "rare" for r in got) == 2
+    for a, b in zip(got, want):
+        assert a["score"] == pytest.approx(b["score"]) and a["code_bits"] == (b["code_bits"] and pytest.approx(b["code_bits"]))
+    kept = L.keep_identified(odd, model)
+    assert kept.columns == odd.columns and kept.count() == 62
+
+
 def brute_rule(rules, host, path):
     fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
     return max(fits, key=lambda r: (len(r.host.split(".")), len(r.path), r.verdict), default=None)
