@@ -1,16 +1,17 @@
 """Personal data: fixed patterns, and terms that reveal the protected values by co-occurrence.
 
 The patterns find e-mail addresses, IP addresses, card and phone numbers. Each distinct value is a protected
-entity. A term (a word of three letters or more) that stands within ``NEAR`` words of an entity may
-disclose it. With document frequencies over the whole corpus, the term's pointwise mutual information with
+entity. A term (a word of three letters or more outside all matches) that stands anywhere in a document of
+an entity may disclose it. With document frequencies over the whole corpus, the term's pointwise mutual information with
 the entity, PMI = log2(n(t,e) D / (n(t) n(e))), is set against the entity's information content
 IC = log2(D / n(e)). The share PMI / IC is the disclosure: 1 if the term occurs with the entity only. Terms
 of support ``SUPPORT`` documents are generalised from ``GENERALISE`` on and removed from ``REMOVE`` on (the term
 occurs with the entity only), at all their occurrences in the corpus.
 
-Scale: pairs are emitted for terms near an entity only, a constant number an occurrence. Which words a pass over the
-texts should look at is told by a broadcast bit map of ``MAP_BITS`` bits; it may let other words through, and an
-exact join on the term settles them, so nothing unbounded is broadcast.
+Scale: documents with an entity write their distinct terms once. Pairs are counted in tasks before the shuffle, and only
+for entities of enough documents and terms that can still reach the threshold: PMI / IC >= g needs
+n(t) <= D (n(e)/D)^g, so common words make no pairs. Which words a pass should look at is told by a broadcast bit map
+of ``MAP_BITS`` bits; it may let other words through, and an exact join settles them, so nothing unbounded is broadcast.
 
 Defined results: a null text is empty; matches that fail their check (part over 255, Luhn, number of
 digits) are dropped without a retry; repeated rows give repeated results; documents are rows, copies count; without
@@ -32,13 +33,11 @@ from pyspark.sql import functions as F
 from sentiflow.llm.common import by_size, read_table, small_batches, written
 
 KINDS = ("email", "ip", "card", "phone", "term")
-NEAR = 6
 SUPPORT = 2
 GENERALISE, REMOVE = 0.97, 1.0 - 1e-9
 MAP_BITS = 1 << 23
-#: Distinct words a task counts before it sends them on.
+#: Distinct words or pairs a task counts before it sends them on.
 FLUSH_WORDS = 200_000
-NEAR_CHARS = 160
 #: Bytes of text taken at a time.
 SLICE_BYTES = 2 << 20
 
@@ -104,14 +103,15 @@ def entity(kind: int, value: str) -> str:
     return f"{KINDS[kind]}:{digits_of(value) if kind >= 2 else value.lower()}"
 
 
-def near_terms(text: str, spans: list[tuple[int, int, int]], start: int, end: int) -> set[str]:
-    """Terms within NEAR words of a span, outside all spans."""
-    taken = [(a, b) for a, _, b in spans]
-    low, high = max(0, start - NEAR_CHARS), min(len(text), end + NEAR_CHARS)
-    before = [m for m in TERM.finditer(text, low, start) if m.start() > low or low == 0][-NEAR:]
-    after = [m for m in TERM.finditer(text, end, high) if m.end() < high or high == len(text)][:NEAR]
-    near = [(a, b) for a, b in taken if b > low and a < high]
-    return {m[0].lower() for m in before + after if not any(a < m.end() and m.start() < b for a, b in near)}
+def free_terms(text: str, spans: list[tuple[int, int, int]]):
+    """Matches of TERM outside all ``spans``, which are in order."""
+    at, reach = 0, 0
+    for m in TERM.finditer(text):
+        while at < len(spans) and spans[at][0] < m.end():
+            reach = max(reach, spans[at][2])
+            at += 1
+        if reach <= m.start():
+            yield m
 
 
 def listed(spans) -> str:
@@ -123,25 +123,25 @@ def as_structs(spans) -> list[dict]:
 
 
 def find_base(rows: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, base, pairs) of (doc_id, text_hash, text)."""
+    """(doc_id, text_hash, base, entities, terms) of (doc_id, text_hash, text); distinct terms of texts with an entity."""
 
     def find(batches):
         for batch in by_size(batches, "text", SLICE_BYTES):
-            base, pairs = [], []
+            base, entities, terms = [], [], []
             for text in batch.column("text").to_pylist():
                 spans = base_spans(text)
                 base.append(as_structs(spans))
-                seen = {(entity(k, text[a:b]), t) for a, k, b in spans for t in {"", *near_terms(text, spans, a, b)}} if spans else ()
-                pairs.append([{"entity": e, "term": t} for e, t in sorted(seen)])
+                entities.append(sorted({entity(k, text[a:b]) for a, k, b in spans}))
+                terms.append(sorted({m[0].lower() for m in free_terms(text, spans)}) if spans else [])
+            names = pa.list_(pa.string())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), pa.array(base, SPAN_ARROW),
-                 pa.array(pairs, pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string())])))],
-                names=["doc_id", "text_hash", "base", "pairs"],
-            )
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(base, SPAN_ARROW), pa.array(entities, names), pa.array(terms, names)],
+                names=["doc_id", "text_hash", "base", "entities", "terms"],
+            )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
-        find, f"doc_id {kind}, text_hash long, base array<{SPAN}>, pairs array<struct<entity:string,term:string>>"
+        find, f"doc_id {kind}, text_hash long, base array<{SPAN}>, entities array<string>, terms array<string>"
     )
 
 
@@ -157,7 +157,10 @@ def bit_map(terms: DataFrame) -> np.ndarray:
 
 def mapped_words(text: str, bits: np.ndarray) -> list[str]:
     """Distinct terms of a text whose bit is set."""
-    words = list(set(TERM.findall(text.lower())))
+    return mapped(list(set(TERM.findall(text.lower()))), bits)
+
+
+def mapped(words: list[str], bits: np.ndarray) -> list[str]:
     at = np.fromiter((zlib.crc32(w.encode()) for w in words), np.int64, len(words)) % MAP_BITS
     return [words[i] for i in np.flatnonzero(bits[at])]
 
@@ -182,19 +185,54 @@ def document_counts(rows: DataFrame, terms: DataFrame) -> DataFrame:
     return rows.select("text").mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
+def pair_counts(found: DataFrame, entities: DataFrame, terms: DataFrame) -> DataFrame:
+    """(entity, term, n): documents that hold each of ``entities`` and ``terms`` together (others may be among them)."""
+    context = found.sparkSession.sparkContext
+    own, words = context.broadcast(bit_map(entities.select(F.col("entity").alias("term")))), context.broadcast(bit_map(terms))
+
+    def counted(seen):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([e for e, _ in seen], pa.string()), pa.array([t for _, t in seen], pa.string()), pa.array(list(seen.values()), pa.int64())],
+            names=["entity", "term", "n"],
+        )
+
+    def count(batches):
+        seen: Counter = Counter()
+        for batch in batches:
+            for names, held in zip(batch.column("entities").to_pylist(), batch.column("terms").to_pylist()):
+                names = mapped(names, own.value)
+                held = mapped(held, words.value) if names else ()
+                for name in names:
+                    seen.update([(name, t) for t in held])
+                    if len(seen) >= FLUSH_WORDS:
+                        yield counted(seen)
+                        seen.clear()
+        yield counted(seen)
+
+    return found.mapInArrow(count, "entity string, term string, n long").groupBy("entity", "term").agg(F.sum("n").alias("n"))
+
+
 def disclosing_terms(rows: DataFrame, base: DataFrame, support: int, generalise: float) -> DataFrame | None:
     """(term, disclosure) of the terms that reveal an entity to ``generalise`` or more; None without candidates."""
-    pairs = base.select(F.explode("pairs").alias("p")).groupBy("p.entity", "p.term").agg(F.count("*").alias("n"))
-    pairs = written(pairs.where(F.col("n") >= support), "pairs")  # the empty term counts the entity itself
-    entities = pairs.where("term = ''").select("entity", F.col("n").alias("n_entity"))
-    pairs = pairs.where("term <> ''")
-    if not pairs.limit(1).count():
-        return None
+    found = small_batches(base.where(F.size("entities") > 0).select("entities", "terms"))
     total = rows.count()
-    joined = pairs.join(entities, "entity").join(document_counts(rows, pairs), "term")
+    entities = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
+    entities = written(entities.where((F.col("n_entity") >= support) & (F.col("n_entity") < total)), "entities")
+    most = entities.agg(F.max("n_entity")).first()[0]
+    if most is None:
+        return None
+    terms = found.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    terms = written(terms.where(F.col("n") >= support).select("term"), "candidates")
+    if not terms.limit(1).count():
+        return None
+    limit = total * (most / total) ** generalise * (1 + 1e-9)
+    terms = terms.join(document_counts(rows, terms), "term").where(F.col("n_term") <= limit)
+    terms = written(terms, "counted")
+    pairs = pair_counts(found, entities, terms).where(F.col("n") >= support)
+    scored = pairs.join(entities, "entity").join(terms, "term")
     content = F.log2(F.lit(float(total)) / F.col("n_entity"))
     pmi = F.log2(F.col("n") * F.lit(float(total)) / (F.col("n_term") * F.col("n_entity")))
-    scored = joined.where(F.col("n_entity") < total).withColumn("disclosure", pmi / content)
+    scored = scored.withColumn("disclosure", pmi / content)
     return written(
         scored.where(F.col("disclosure") >= generalise).groupBy("term").agg(F.max("disclosure").alias("disclosure")), "terms"
     )
@@ -212,15 +250,11 @@ def term_spans(rows: DataFrame, terms: DataFrame, remove: float) -> DataFrame:
                 words = set(mapped_words(text, shared.value))
                 if not words:
                     continue
-                taken, places = base_spans(text), {}
-                i = 0
-                for m in TERM.finditer(text):
+                places = {}
+                for m in free_terms(text, base_spans(text)):
                     word = m[0].lower()
                     if word in words:
-                        while i < len(taken) and taken[i][2] <= m.start():
-                            i += 1
-                        if not any(a < m.end() and m.start() < b for a, _, b in taken[i : i + 5]):
-                            places.setdefault(word, []).append({"start": m.start(), "end": m.end()})
+                        places.setdefault(word, []).append({"start": m.start(), "end": m.end()})
                 for word, own in places.items():
                     for k, v in zip(out, (doc, key, word, own)):
                         out[k].append(v)
@@ -246,7 +280,7 @@ def find_personal_data(
     rows = small_batches(docs).select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     base = written(find_base(rows), "base")
     terms = disclosing_terms(rows, base, support, generalise)
-    base = base.drop("pairs")
+    base = base.drop("entities", "terms")
     if terms is None:
         return base.withColumn("terms", F.lit(None).cast("array<struct<start:long,end:long,removed:boolean>>"))
     spans = term_spans(rows, terms, remove).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})

@@ -72,6 +72,19 @@ def test_terms_that_reveal_an_entity(spark):
     assert "Quill" in strict[101] and "Zorblax" not in strict[101] and not strict[110] and not strict[111]
 
 
+def test_terms_count_anywhere_in_the_document(spark):
+    """Far from the entity, behind long words, and behind the pieces of another entity's spelling."""
+    far = "Zorblax " + prose(90, 40, sizes=(20, 30))
+    rows = [(i, prose(i, 30), "en", "s") for i in range(30)]
+    rows += [(100 + i, f"{far} {prose(70 + i, 9)} q@x.example.com", "en", "s") for i in range(2)]
+    rows += [(200 + i, f"Quill {prose(75 + i, 5)} a.long.first.name@mail{i}.example.com +49 30 1234567{i // 2}", "en", "s") for i in range(2)]
+    docs = frame(spark, rows)
+    texts = {d: t for d, t, _, _ in rows}
+    found = {r["doc_id"]: {texts[r["doc_id"]][s["start"] : s["end"]] for s in r["terms"] or ()} for r in P.find_personal_data(docs).collect()}
+    assert all("Zorblax" in found[d] for d in (100, 101)) and all(found[d] == {"Quill"} for d in (200, 201))
+    assert not any(found[i] for i in range(30))
+
+
 def test_sanitise_replaces_and_keeps_the_rest(spark):
     rows = disclosing() + [(200, "a@b.cd and 1.2.3.4", "en", "s")]
     docs = frame(spark, rows)
