@@ -4,8 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes i
 checkpoint folder and reads it back as the next stage's ``docs``. All stages but the last return the
 columns they were given.
 
-* ``language_id`` learns from the labelled rows of its input and drops rows without a recognised language
-  (no text, no letter, or a best language of posterior below one half).
+* ``language_id`` learns from all labelled rows of its input and drops rows without a recognised language
+  (no text or no letter).
 * ``near_dedup`` keeps one row of each class of near-duplicates, that of the smallest id.
 * ``decontamination`` drops rows that the contamination rule names (a twentieth of the words in benchmark passages).
 * ``personal_data`` replaces personal data and disclosing terms in ``text``; ``n_chars`` follows.
@@ -14,9 +14,7 @@ columns they were given.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from sentiflow.llm.common import held_out, read_table, written
+from sentiflow.llm.common import read_table, written
 from sentiflow.llm.decontamination import drop_contaminated
 from sentiflow.llm.language_id import fit_language_model, keep_identified
 from sentiflow.llm.mixing import mix
@@ -25,7 +23,7 @@ from sentiflow.llm.pii import sanitise
 
 
 def language_id(spark, docs, sf_dir):
-    return keep_identified(docs, fit_language_model(docs.where(~held_out(F.col("doc_id"), 4))))
+    return keep_identified(docs, fit_language_model(docs))
 
 
 def near_dedup(spark, docs, sf_dir):

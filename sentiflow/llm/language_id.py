@@ -362,11 +362,11 @@ def identify_languages(
     return judged(rows, model, "text", predicted, f"doc_id {kind}, held_out boolean, lang_pred string, score double, code_bits double")
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel | None, text_col: str = "text", min_score: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` with a language of at least ``min_score``, all columns as they are."""
+def keep_identified(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not ``und``, all columns as they are; languages that share a short text do not reject it."""
 
     def kept(batch, langs, score, bits):
-        return batch.filter(pa.array([x != UNKNOWN and s >= min_score for x, s in zip(langs, score)], pa.bool_()))
+        return batch.filter(pa.array([x != UNKNOWN for x in langs], pa.bool_()))
 
     return judged(docs, model, text_col, kept, docs.schema)
 

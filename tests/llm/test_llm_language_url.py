@@ -1,9 +1,11 @@
 import math
+import zlib
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from llm_cases import frame, odd_rows, prose
 from sentiflow.llm import language_id as L
 from sentiflow.llm import url_filter as U
@@ -101,6 +103,17 @@ def test_small_language_keeps_its_grams_beside_a_large_one(spark):
     assert kept.columns == odd.columns and kept.count() == 62
 
 
+def test_stage_keeps_short_texts_that_languages_share(spark):
+    """A name that four languages have alike stays; a language of held-out rows only is learned by the stage."""
+    out = [d for d in range(100) if zlib.crc32(str(d).encode()) % 4 == 2][:2]
+    rows = [(1000 + i, "anna", lang, "s") for i, lang in enumerate(("da", "de", "en", "sv"))] + [(out[0], "quux quux", "zz", "s"), (out[1], "?!", "zz", "s")]
+    docs = frame(spark, rows)
+    got = corpus_pipeline.language_id(spark, docs, None)
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted([1000, 1001, 1002, 1003, out[0]])
+    shared = L.identify_languages(docs, L.fit_language_model(docs)).where("doc_id = 1000").first()
+    assert shared["lang_pred"] == "da" and shared["score"] < 0.5
+
+
 def brute_rule(rules, host, path):
     fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
     return max(fits, key=lambda r: (len(r.host.split(".")), len(r.path), r.verdict), default=None)
