@@ -33,10 +33,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def written(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to a fresh folder under the shared checkpoint folder and read it back (cuts the lineage)."""
+    return kept(df, tag)[0]
+
+
+def kept(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+    """As ``written``, with the folder, for ``deleted`` once nothing reads it any more."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm/{tag}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def deleted(spark: SparkSession, path: str) -> None:
+    """Delete a folder of written intermediates."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def crc_fold(id_col: Column, n: int) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sentiflow.llm import decontamination, hmm, language_id, licenses, mixing, near_dedup, neighbours, pii, suffix_dedup, url_filter
+from sentiflow.llm import centroids, decontamination, hmm, language_id, licenses, mixing, near_dedup, neighbours, pii, suffix_dedup, url_filter
 
 QUERIES = {
     "op1_hidden_markov_lm": hmm.op1_hidden_markov_lm,
@@ -15,8 +15,10 @@ QUERIES = {
     "op8_bagminhash": near_dedup.op8_bagminhash,
     "op9_temperature_mixing": mixing.op9_temperature_mixing,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
+    "op11_ns_bounds": centroids.op11_ns_bounds,
 }
 ORACLE = {
     "op2_decontamination": decontamination.ORACLE_SQL,
     "op5_url_filter": url_filter.ORACLE_SQL,
+    "op11_ns_bounds": centroids.ORACLE_SQL,
 }
