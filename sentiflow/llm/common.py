@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -27,6 +28,18 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int = BATCH_ROWS):
+    """Arrow batches of at most ``rows`` rows for what is written inside the block; the session's setting comes back after it."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sentiflow.llm import centroids, decontamination, hmm, language_id, licenses, mixing, near_dedup, neighbours, pii, suffix_dedup, url_filter
+from sentiflow.llm import centroids, decontamination, hmm, language_id, licenses, mixing, near_dedup, neighbours, pii, suffix_dedup, url_filter, warc
 
 QUERIES = {
     "op1_hidden_markov_lm": hmm.op1_hidden_markov_lm,
@@ -16,9 +16,11 @@ QUERIES = {
     "op9_temperature_mixing": mixing.op9_temperature_mixing,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
     "op11_ns_bounds": centroids.op11_ns_bounds,
+    "op12_warc": warc.op12_warc,
 }
 ORACLE = {
     "op2_decontamination": decontamination.ORACLE_SQL,
     "op5_url_filter": url_filter.ORACLE_SQL,
     "op11_ns_bounds": centroids.ORACLE_SQL,
+    "op12_warc": warc.ORACLE_SQL,
 }
