@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sentiflow.llm import centroids, decontamination, hmm, language_id, licenses, mixing, near_dedup, neighbours, pii, suffix_dedup, url_filter, warc
+from sentiflow.llm import centroids, decontamination, divergence, hmm, language_id, licenses, mixing, near_dedup, neighbours, pii, suffix_dedup, url_filter, warc
 
 QUERIES = {
     "op1_hidden_markov_lm": hmm.op1_hidden_markov_lm,
@@ -17,10 +17,12 @@ QUERIES = {
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
     "op11_ns_bounds": centroids.op11_ns_bounds,
     "op12_warc": warc.op12_warc,
+    "op13_divergence": divergence.op13_divergence,
 }
 ORACLE = {
     "op2_decontamination": decontamination.ORACLE_SQL,
     "op5_url_filter": url_filter.ORACLE_SQL,
     "op11_ns_bounds": centroids.ORACLE_SQL,
     "op12_warc": warc.ORACLE_SQL,
+    "op13_divergence": divergence.ORACLE_SQL,
 }
