@@ -16,13 +16,14 @@ retracts what their previous versions contributed (``refresh_partials``).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sentiflow.schema import MUTABLE_COLUMNS
 
-def _version(order: Sequence[str], cols: Sequence[str]) -> Column:
+def version_struct(order: Sequence[str], cols: Sequence[str]) -> Column:
     """Version struct: the order columns, then one hash of all other columns as a deterministic tie-break."""
     return F.struct(*[F.col(c) for c in order], F.xxhash64(F.lit(0), *[F.col(c) for c in cols if c not in order]).alias("_tie"))
 
@@ -52,7 +53,7 @@ def current_from_log(log: DataFrame, key: str, order: Sequence[str], mutable: Se
     payload = [c for c in log.columns if c != key]
     imm = [c for c in cols if c != key and c not in mutable]
     mut = [c for c in cols if c in mutable]
-    ver = _version(list(order), payload)
+    ver = version_struct(list(order), payload)
     g = log.groupBy(key).agg(
         F.min_by(F.struct(*[F.col(c) for c in imm]), ver).alias("_i"),
         F.max_by(F.struct(*[F.col(c) for c in mut]), ver).alias("_m"),
@@ -63,7 +64,7 @@ def current_from_log(log: DataFrame, key: str, order: Sequence[str], mutable: Se
 def dedup_first(batch: DataFrame, key: str = "tweet_id", order: str = "processed_at") -> DataFrame:
     """One row per key: the first by ``order`` (then by content)."""
     cols = batch.columns
-    g = batch.groupBy(key).agg(F.min_by(F.struct(*[F.col(c) for c in cols if c != key]), _version([order], cols)).alias("_r"))
+    g = batch.groupBy(key).agg(F.min_by(F.struct(*[F.col(c) for c in cols if c != key]), version_struct([order], cols)).alias("_r"))
     return g.select(key, *[F.col(f"_r.{c}").alias(c) for c in cols if c != key]).select(*cols)
 
 
@@ -124,14 +125,20 @@ SERIES_KEYS = ("bucket", "sentiment")
 HASHTAG_KEYS = ("bucket", "hashtag", "sentiment")
 
 
-def merge_partials(*parts: DataFrame, keys: Sequence[str] = SERIES_KEYS) -> DataFrame:
-    """Sum partial sums per key (partially aggregated before the shuffle); keys that come to no rows go."""
+def merge_partials(*parts: DataFrame, keys: Sequence[str] = SERIES_KEYS, settled: bool = True) -> DataFrame:
+    """Sum partial sums per key (partially aggregated before the shuffle).
+
+    Keys that come to no rows go. What is only a change (``settled=False``) goes where all its sums are zero: a post that is
+    scored anew inside its bucket changes no row count.
+    """
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
     values = [c for c in parts[0].columns if c not in keys]
     merged = u.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in values])
-    return merged.filter(F.col(values[0]) != 0)
+    if settled:
+        return merged.filter(F.col(values[0]) != 0)
+    return merged.filter(reduce(lambda a, b: a | b, [F.col(c) != 0 for c in values]))
 
 
 def retracted(partials: DataFrame, keys: Sequence[str] = SERIES_KEYS) -> DataFrame:

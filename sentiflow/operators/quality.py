@@ -83,7 +83,8 @@ def apply_defaults(df: DataFrame, as_of=None) -> DataFrame:
     return out
 
 
-def _checks() -> list[tuple[Column, str]]:
+def row_checks() -> list[tuple[Column, str]]:
+    """(condition, reason) of every row-level constraint."""
     checks = [(F.col(c).isNull(), f"null_{c}") for c in NOT_NULL_COLUMNS]
     checks.append((F.col("sentiment").isNotNull() & ~F.col("sentiment").isin(list(SENTIMENT_CLASSES)), "bad_sentiment"))
     return checks
@@ -91,13 +92,13 @@ def _checks() -> list[tuple[Column, str]]:
 
 def violated() -> Column:
     """True when a row breaks any row-level constraint (a plain boolean, no array built)."""
-    return reduce(lambda a, b: a | b, [cond for cond, _ in _checks()])
+    return reduce(lambda a, b: a | b, [cond for cond, _ in row_checks()])
 
 
 def violations(key: str = "tweet_id") -> Column:
     """Array of constraint-violation reasons for one row (empty when valid)."""
     empty = F.array().cast("array<string>")
-    return F.concat(*[F.when(cond, F.array(F.lit(reason))).otherwise(empty) for cond, reason in _checks()])
+    return F.concat(*[F.when(cond, F.array(F.lit(reason))).otherwise(empty) for cond, reason in row_checks()])
 
 
 def quarantine(

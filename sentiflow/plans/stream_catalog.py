@@ -16,6 +16,7 @@ from sentiflow.plans.catalog import TRACKED, register
 from sentiflow.plans.inputs import posts
 from sentiflow.session import scratch_path
 from sentiflow.streaming import jobs as SJ
+from sentiflow.streaming.derive import refresh_derived
 from sentiflow.streaming.sink import PostsLogSink, compact_log, current_posts, current_series, current_snapshots
 from sentiflow.streaming.sources import write_replay_files
 
@@ -78,10 +79,11 @@ def q_stream_snapshots(spark, sf_dir):
 
 @register("stream_refresh")
 def q_stream_refresh(spark, sf_dir):
-    """The per-minute table that the sink keeps, while batches come late and the newest days come twice."""
+    """The per-minute table that the derived stream keeps, while batches come late and the newest days come twice."""
     run, stream = _replay(spark, sf_dir, duplicate_tail="3 days", shuffled=True)
     q = SJ.run_stream(stream, sink=PostsLogSink(f"{run}/store"), checkpoint=f"{run}/_ckpt_ingest", trigger="available_now")
     q.awaitTermination()
+    refresh_derived(spark, f"{run}/store", f"{run}/_ckpt_derived")
     return current_series(spark, f"{run}/store")
 
 

@@ -43,6 +43,13 @@ CANONICAL_COLUMNS = (
     "processed_at",
 )
 
+# Types of the canonical columns as stored.
+POSTS_TYPES = {
+    "tweet_id": "string", "text": "string", "author": "string", "author_followers": "bigint", "lang": "string",
+    "tweet_created_at": "timestamp_ntz", "hashtags": "array<string>", "hashtag_count": "int", "retweet_count": "bigint",
+    "like_count": "bigint", "compound_score": "double", "sentiment": "string", "source": "string", "processed_at": "timestamp_ntz",
+}
+
 # Columns a keyed upsert may change; all others keep their first-written value.
 MUTABLE_COLUMNS = ("compound_score", "sentiment", "processed_at")
 

@@ -4,13 +4,14 @@ Layout under ``root``:
   posts_log/batch_id=N/     valid posts of micro-batch N (append-only log of versions)
   manifest/recent-{0,1}.json  newest processed_at of the batches that a snapshot window can still reach (driver-written metadata)
   rejects/batch_id=N/       rows breaking a row-level constraint, with reasons
+  metrics/N.json            rows, rejects by reason and lags of micro-batch N
   snapshots/batch_id=N/     rolling window snapshot computed after batch N
-  series/, hashtags/batch_id=N/  what batch N changes in the derived per-minute and hashtag tables (partial sums)
+  series/, hashtags/batch_id=N/  changes of the derived per-minute and hashtag tables, written by ``derive.derive_stream``
 
 Every write is a dynamic partition overwrite of ``batch_id=N``, so a replayed
 micro-batch (after an executor or driver failure) rewrites exactly its own
 partition: effectively-once output without a transactional store. Nothing is
-collected to the driver; the only driver-side action is the empty-batch check.
+collected to the driver; a batch is counted by ``observe`` while its log is written.
 """
 
 from __future__ import annotations
@@ -19,37 +20,23 @@ import datetime as dt
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sentiflow.functions.expressions import ts_literal
 from sentiflow.operators.aggregates import rolling_snapshot
 from sentiflow.operators.merge import (
-    HASHTAG_KEYS,
-    SERIES_KEYS,
     current_from_log,
-    finish_hashtags,
-    finish_series,
-    hashtag_partials,
-    merge_partials,
-    retracted,
-    series_partials,
     snapshot_upsert,
 )
-from sentiflow.operators.quality import quarantine
+from sentiflow.operators.quality import quarantine, row_checks, violated
 from sentiflow.schema import CANONICAL_COLUMNS, MUTABLE_COLUMNS
+from sentiflow.streaming.derive import current_hashtags, current_series, derived_upto  # noqa: F401  (read with the sink's other tables)
+from sentiflow.streaming.files import filesystem, read_json, read_newest_json, write_partition
 from sentiflow.streaming.metrics import write_text
 
 
-def _write_partition(df: DataFrame, path: str) -> None:
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(path)
-    )
-
-
 class PostsLogSink:
     """``foreachBatch`` function: quarantine, append the batch to the log, snapshot the window.
 
@@ -66,7 +53,6 @@ class PostsLogSink:
         snapshot_width: str = "5 minutes",
         as_of: str = "max",
         snapshot_every: int = 1,
-        derived: bool = True,
     ):
         self.root = root.rstrip("/")
         self.transform = transform
@@ -74,44 +60,38 @@ class PostsLogSink:
         self.as_of = as_of
         # Refresh cadence of the derived snapshot: every N-th micro-batch (1 = every batch).
         self.snapshot_every = max(int(snapshot_every), 1)
-        # Whether each batch also refreshes the derived per-minute and hashtag tables.
-        self.derived = derived
         # batch_id -> newest processed_at of its valid rows, for the batches that can still
         # overlap a snapshot window (read from the manifest after a restart).
         self._recent: dict[int, dt.datetime] | None = None
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         posts = (self.transform(batch_df) if self.transform else batch_df).select(*CANONICAL_COLUMNS)
-        # The batch is read by several writes; keep it instead of re-reading the source.
+        # Kept for the second write that a batch with rejects needs.
         # (Lost cached blocks are recomputed from the batch's fixed source offsets.)
         posts = posts.persist()
         try:
-            if posts.isEmpty():
-                return
-            self._write(posts, batch_id)
+            self._write(posts, int(batch_id))
         finally:
             posts.unpersist()
 
     def _write(self, posts: DataFrame, batch_id: int) -> None:
+        spark, bid = posts.sparkSession, F.lit(batch_id).cast("bigint")
+        # The batch is measured while the log is written; an empty one writes nothing.
+        seen = Observation()
+        measured = posts.observe(seen, *batch_metrics(None if self.as_of == "max" else F.current_timestamp().cast("timestamp_ntz")))
         # Row-level constraints only: a key repeated within or across batches is an
         # upsert, resolved by the log's merge-on-read (first immutables, latest mutables).
-        valid, rejected = quarantine(posts, check_unique=False)
-        # The valid rows feed two writes and the clock; keep them once.
-        valid = valid.persist()
-        try:
-            self._write_split(valid, rejected, batch_id)
-        finally:
-            valid.unpersist()
-
-    def _write_split(self, valid: DataFrame, rejected: DataFrame, batch_id: int) -> None:
-        spark = valid.sparkSession
-        batch_id = int(batch_id)
-        bid = F.lit(batch_id).cast("bigint")
-        newest, rows = valid.agg(F.max("processed_at"), F.count(F.lit(1))).first()
-        if self.derived:
-            self._write_derived(valid, batch_id)
-        _write_partition(valid.withColumn("batch_id", bid), f"{self.root}/posts_log")
-        _write_partition(rejected.withColumn("batch_id", bid), f"{self.root}/rejects")
+        valid, _ = quarantine(measured, check_unique=False)
+        write_partition(valid.withColumn("batch_id", bid), f"{self.root}/posts_log")
+        metrics = seen.get
+        rows, newest = metrics["valid_rows"], metrics["newest"]
+        if metrics["input_rows"] == 0:
+            return
+        if metrics["input_rows"] > rows:
+            _, rejected = quarantine(posts, check_unique=False)
+            write_partition(rejected.withColumn("batch_id", bid), f"{self.root}/rejects")
+        entry = {"batch_id": batch_id} | {k: v if k != "newest" else v and v.isoformat(sep=" ") for k, v in metrics.items()}
+        write_text(spark, f"{self.root}/metrics/{batch_id}.json", json.dumps(entry))
         recent = self._recent_batches(spark)
         if rows:
             recent[batch_id] = newest
@@ -129,36 +109,15 @@ class PostsLogSink:
             del recent[b]
         clock = ts_literal(now)
         if needed:
-            log = spark.read.option("basePath", f"{self.root}/posts_log").parquet(
+            schema = T.StructType([*posts.schema.fields, T.StructField("batch_id", T.LongType())])
+            log = spark.read.schema(schema).option("basePath", f"{self.root}/posts_log").parquet(
                 *[f"{self.root}/posts_log/batch_id={b}" for b in needed]
             )
             window = log.filter(F.col("processed_at") >= ts_literal(lower))
         else:
-            window = valid.limit(0).withColumn("batch_id", bid)
+            window = posts.limit(0).withColumn("batch_id", bid)
         snap = rolling_snapshot(current_posts_from(window), clock, self.snapshot_width)
-        _write_partition(snap.withColumn("batch_id", bid), f"{self.root}/snapshots")
-
-    def _write_derived(self, valid: DataFrame, batch_id: int) -> None:
-        """What this batch changes in the derived tables: its posts' new contributions less those of their previous versions.
-
-        Only the keys of the batch are looked up in the earlier versions. A replayed batch sees the same
-        earlier versions and rewrites its own partition.
-        """
-        spark = valid.sparkSession
-        upto = base_version(spark, self.root)
-        if upto is not None and upto >= batch_id:
-            return  # merged into the base already, so its changes were written before
-        bid = F.lit(batch_id).cast("bigint")
-        mine, old = valid.withColumn("batch_id", bid), None
-        if _exists(spark, f"{self.root}/posts_log"):
-            earlier = posts_versions(spark, self.root).filter(F.col("batch_id") < bid).select(*mine.columns)
-            known = earlier.join(valid.select("tweet_id").distinct(), "tweet_id", "left_semi").select(*mine.columns)
-            old = current_posts_from(known)
-            mine = known.unionByName(mine)
-        new = current_posts_from(mine)
-        for name, partials, keys in (("series", series_partials, SERIES_KEYS), ("hashtags", hashtag_partials, HASHTAG_KEYS)):
-            parts = [partials(new)] if old is None else [partials(new), retracted(partials(old), keys)]
-            _write_partition(merge_partials(*parts, keys=keys).withColumn("batch_id", bid), f"{self.root}/{name}")
+        write_partition(snap.withColumn("batch_id", bid), f"{self.root}/snapshots")
 
     def _recent_batches(self, spark: SparkSession) -> dict[int, dt.datetime]:
         if self._recent is None:
@@ -166,6 +125,29 @@ class PostsLogSink:
         return self._recent
 
 
+def batch_metrics(clock: Column | None = None) -> list[Column]:
+    """Aggregates over a micro-batch of canonical posts, for ``DataFrame.observe``: rows, valid rows, rows by broken constraint, the newest
+    valid ``processed_at``, and the sum, maximum and number of the lags (creation to processing, in seconds; to ``clock`` if given)."""
+    ok = ~violated()
+    lag = F.when(ok, F.timestamp_diff("SECOND", F.col("tweet_created_at"), F.col("processed_at") if clock is None else clock))
+    return [
+        F.count(F.lit(1)).alias("input_rows"),
+        F.count_if(ok).alias("valid_rows"),
+        *[F.count_if(cond).alias(reason) for cond, reason in row_checks()],
+        F.max(F.when(ok, F.col("processed_at"))).alias("newest"),
+        F.coalesce(F.sum(lag), F.lit(0)).alias("lag_sum"),
+        F.max(lag).alias("lag_max"),
+        F.count(lag).alias("lag_rows"),
+    ]
+
+
+def sink_metrics(spark: SparkSession, root: str) -> DataFrame:
+    """One row per micro-batch: what ``PostsLogSink`` measured in its write (a batch delivered again replaces its row)."""
+    reasons = ", ".join(f"{reason} bigint" for _, reason in row_checks())
+    schema = f"batch_id bigint, input_rows bigint, valid_rows bigint, {reasons}, newest timestamp_ntz, lag_sum bigint, lag_max bigint, lag_rows bigint"
+    return spark.read.schema(schema).json(f"{root.rstrip('/')}/metrics")
+
+
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
 
@@ -183,28 +165,8 @@ def _write_recent(spark: SparkSession, folder: str, batch_id: int, recent: dict[
 
 def _read_recent(spark: SparkSession, folder: str) -> dict[int, dt.datetime]:
     """The entries of the newest whole file; its size does not depend on how many batches there were."""
-    best: dict = {"batch_id": -1, "newest": {}}
-    for path in (f"{folder}/recent-0.json", f"{folder}/recent-1.json"):
-        found = _read_json(spark, path)
-        if found and found["batch_id"] > best["batch_id"]:
-            best = found
-    return {int(b): dt.datetime.fromisoformat(t) for b, t in best["newest"].items()}
-
-
-def _read_json(spark: SparkSession, path: str) -> dict | None:
-    """A small metadata file, or None if it is absent or was cut short."""
-    if not _exists(spark, path):
-        return None
-    lines = spark.read.text(path, wholetext=True).head(1)
-    try:
-        return json.loads(lines[0][0]) if lines else None
-    except ValueError:
-        return None
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+    best = read_newest_json(spark, [f"{folder}/recent-{i}.json" for i in (0, 1)])
+    return {int(b): dt.datetime.fromisoformat(t) for b, t in best.get("newest", {}).items()}
 
 
 def current_posts_from(log: DataFrame) -> DataFrame:
@@ -212,14 +174,9 @@ def current_posts_from(log: DataFrame) -> DataFrame:
     return current_from_log(log, "tweet_id", ["batch_id", "processed_at"], MUTABLE_COLUMNS).select(*CANONICAL_COLUMNS)
 
 
-def _fs(spark: SparkSession, path: str):
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
-
-
 def base_version(spark: SparkSession, root: str) -> int | None:
     """The newest compacted base (its last merged batch id), or None."""
-    fs, base = _fs(spark, f"{root.rstrip('/')}/base")
+    fs, base = filesystem(spark, f"{root.rstrip('/')}/base")
     if not fs.exists(base):
         return None
     done = [s.getPath().getName() for s in fs.listStatus(base) if s.isDirectory()]
@@ -263,7 +220,7 @@ def compact_log(spark: SparkSession, root: str, drop_merged: bool = False) -> in
     current_posts_from(versions).write.mode("overwrite").parquet(f"{root}/base/upto={int(upto)}")
     if drop_merged:
         for name, keep in (("base", "upto"), ("posts_log", "batch_id")):
-            fs, folder = _fs(spark, f"{root}/{name}")
+            fs, folder = filesystem(spark, f"{root}/{name}")
             for st in fs.listStatus(folder):
                 kind, _, number = st.getPath().getName().partition("=")
                 if kind == keep and (int(number) < upto if name == "base" else _merged(int(number), int(upto), spark, root)):
@@ -272,8 +229,9 @@ def compact_log(spark: SparkSession, root: str, drop_merged: bool = False) -> in
 
 
 def _merged(batch_id: int, upto: int, spark: SparkSession, root: str) -> bool:
-    """A batch in the base that no snapshot window can reach any more."""
-    return batch_id < upto and batch_id not in _read_recent(spark, f"{root}/manifest")
+    """A batch in the base that no snapshot window can reach any more and that the derived tables hold, if they are kept."""
+    derived = derived_upto(spark, root)
+    return batch_id < upto and (derived is None or batch_id <= derived) and batch_id not in _read_recent(spark, f"{root}/manifest")
 
 
 def current_snapshots(spark: SparkSession, root: str) -> DataFrame:
@@ -283,17 +241,6 @@ def current_snapshots(spark: SparkSession, root: str) -> DataFrame:
     return snapshot_upsert(empty, snaps)
 
 
-def current_series(spark: SparkSession, root: str) -> DataFrame:
-    """The per-minute table kept by the sink."""
-    return finish_series(merge_partials(spark.read.parquet(f"{root.rstrip('/')}/series").drop("batch_id")))
-
-
-def current_hashtags(spark: SparkSession, root: str, since=None) -> DataFrame:
-    """Mentions and average score per hashtag kept by the sink, over all minutes or those from ``since`` on."""
-    tags = merge_partials(spark.read.parquet(f"{root.rstrip('/')}/hashtags").drop("batch_id"), keys=HASHTAG_KEYS)
-    return finish_hashtags(tags if since is None else tags.filter(F.col("bucket") >= since))
-
-
 def publish_json(df: DataFrame, key_col: str = "id", fmt: str = "kafka", path: str | None = None, **options) -> None:
     """Keyed JSON publish (batch): ``key`` = id string, ``value`` = JSON with non-ASCII kept.
 
@@ -338,7 +285,7 @@ class FeedSink:
         self.cap = cap
 
     def _pointer(self, spark: SparkSession) -> dict:
-        found = [_read_json(spark, f"{self.root}/pointer-{i}.json") for i in (0, 1)]
+        found = [read_json(spark, f"{self.root}/pointer-{i}.json") for i in (0, 1)]
         return max((p for p in found if p), key=lambda p: p["version"], default={"version": None, "previous": None})
 
     def _previous(self, spark: SparkSession, batch_id: int) -> int | None:
@@ -356,7 +303,7 @@ class FeedSink:
         merged.write.mode("overwrite").parquet(f"{self.root}/feed/v={batch_id}")
         write_text(spark, f"{self.root}/pointer-{batch_id % 2}.json", json.dumps({"version": batch_id, "previous": prev}))
         if before["version"] is not None and before["version"] < batch_id and before["previous"] is not None:
-            fs, path = _fs(spark, f"{self.root}/feed/v={before['previous']}")
+            fs, path = filesystem(spark, f"{self.root}/feed/v={before['previous']}")
             fs.delete(path, True)
 
 

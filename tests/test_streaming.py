@@ -247,26 +247,143 @@ def test_feed_sink_keeps_newest(spark):
     assert current_feed(spark, f"{run}/out").count() <= 200
 
 
-def test_sink_refreshes_derived_tables(spark):
-    """After re-scored posts, a replayed batch, a restart and a compaction the derived tables equal a recompute."""
-    import datetime as dt
-
-    from conftest import AS_OF, make_posts
+def _derived_equal_recompute(spark, root):
     from sentiflow.operators import merge as M
-    from sentiflow.streaming.sink import compact_log, current_hashtags, current_series
+    from sentiflow.streaming.sink import current_hashtags, current_series
 
-    root, h = tempfile.mkdtemp(prefix="sentiflow-test-"), dt.timedelta(minutes=7)
-    batches = [
+    now = current_posts(spark, root)
+    assert _rows(current_series(spark, root)) == _rows(M.finish_series(M.series_partials(now)))
+    assert _rows(current_hashtags(spark, root)) == _rows(M.finish_hashtags(M.hashtag_partials(now)))
+
+
+def _rescored(h):
+    from conftest import AS_OF
+
+    return [
         [dict(tweet_id=f"p{i}", hashtags=["a", f"t{i % 3}"], compound_score=0.1 * i, sentiment="positive", processed_at=AS_OF + i * h) for i in range(6)],
         [dict(tweet_id=f"p{i}", hashtags=["b"], compound_score=-0.5, sentiment="negative", processed_at=AS_OF + 9 * h) for i in (1, 4, 7)],
         [dict(tweet_id="p1", compound_score=0.0, sentiment="neutral", processed_at=AS_OF), dict(tweet_id="p8", hashtags=["t1"])],
+        [dict(tweet_id="p2", compound_score=0.9, sentiment="positive", processed_at=AS_OF + 2 * h), dict(tweet_id="p3", compound_score=0.3, sentiment="positive", processed_at=AS_OF + 3 * h)],
     ]
-    for i, rows in enumerate(batches):
+
+
+def test_derived_stream_equals_recompute(spark):
+    """After re-scored posts (also inside their bucket), a replayed batch, a restart and a compaction."""
+    import datetime as dt
+
+    from conftest import make_posts
+    from sentiflow.streaming.derive import refresh_derived
+    from sentiflow.streaming.sink import compact_log
+
+    root = tempfile.mkdtemp(prefix="sentiflow-test-")
+    for i, rows in enumerate(_rescored(dt.timedelta(minutes=7))):
         PostsLogSink(root)(make_posts(spark, rows), i)
         if i == 1:
             PostsLogSink(root)(make_posts(spark, rows), i)  # delivered again
+        refresh_derived(spark, root, f"{root}/ckpt")
+        if i == 1:
+            PostsLogSink(root)(make_posts(spark, rows), i)  # delivered again after it was read
             compact_log(spark, root, drop_merged=True)
-        now = current_posts(spark, root)
-        assert _rows(current_series(spark, root)) == _rows(M.finish_series(M.series_partials(now)))
-        assert _rows(current_hashtags(spark, root)) == _rows(M.finish_hashtags(M.hashtag_partials(now)))
-    assert len(list(pathlib.Path(f"{root}/manifest").glob("*.json"))) == 2
+        _derived_equal_recompute(spark, root)
+    assert len(list(pathlib.Path(f"{root}/manifest").glob("recent-*.json"))) == 2
+
+
+def test_derived_stream_reads_several_batches_at_once(spark):
+    """Versions of one post in several log batches of a micro-batch, and a start after the log was compacted away."""
+    import datetime as dt
+
+    from conftest import make_posts
+    from sentiflow.streaming.derive import refresh_derived
+    from sentiflow.streaming.sink import compact_log
+
+    root = tempfile.mkdtemp(prefix="sentiflow-test-")
+    batches = _rescored(dt.timedelta(minutes=7))
+    for i, rows in enumerate(batches[:3]):
+        PostsLogSink(root, snapshot_width="1 second")(make_posts(spark, rows), i)
+    compact_log(spark, root, drop_merged=True)
+    refresh_derived(spark, root, f"{root}/ckpt")
+    _derived_equal_recompute(spark, root)
+    for i in (3, 4, 5):
+        PostsLogSink(root)(make_posts(spark, batches[i - 3]), i)
+    refresh_derived(spark, root, f"{root}/ckpt")
+    _derived_equal_recompute(spark, root)
+
+
+def test_derived_replay_after_failure(spark):
+    """A micro-batch that fails after its writes is run again: nothing is counted twice."""
+    import datetime as dt
+
+    import pytest
+    from conftest import make_posts
+    from sentiflow.streaming import derive
+
+    root, failing = tempfile.mkdtemp(prefix="sentiflow-test-"), []
+    batches = _rescored(dt.timedelta(minutes=7))
+    whole = derive.DerivedSink.__call__
+
+    def breaks(self, batch, batch_id):
+        whole(self, batch, batch_id)
+        if batch_id == 2 and not failing:
+            failing.append(batch_id)
+            raise RuntimeError("lost after the write")
+
+    derive.DerivedSink.__call__ = breaks
+    try:
+        for i, rows in enumerate(batches):
+            PostsLogSink(root)(make_posts(spark, rows), i)
+            if i == 1:
+                with pytest.raises(Exception, match="lost after the write"):
+                    derive.refresh_derived(spark, root, f"{root}/ckpt")
+            derive.refresh_derived(spark, root, f"{root}/ckpt")
+            _derived_equal_recompute(spark, root)
+    finally:
+        derive.DerivedSink.__call__ = whole
+    assert failing
+
+
+def test_derived_batch_cost_does_not_grow(spark):
+    """Rows read by a micro-batch are its own and those told before it, however long the log is."""
+    from conftest import make_posts
+    from sentiflow.streaming.derive import derive_stream, drain
+
+    root, read, left = tempfile.mkdtemp(prefix="sentiflow-test-"), [], []
+    for i in range(4):
+        PostsLogSink(root)(make_posts(spark, [dict(tweet_id=f"b{i}-{j}") for j in range(20)] + [dict(tweet_id="again", compound_score=i / 10)]), i)
+        query = derive_stream(spark, root, f"{root}/ckpt", trigger="0 seconds")
+        drain(query)
+        read.append(sum(p["numInputRows"] for p in query.recentProgress))
+        left.append(len(list(pathlib.Path(f"{root}/told").glob("told_at=*"))))
+    assert read[0] == 42 and set(read[1:]) == {42}  # 21 posts of the log and 21 told
+    assert max(left) <= 2
+    _derived_equal_recompute(spark, root)
+
+
+def test_batch_metrics_come_from_the_write(spark):
+    """Rows, rejects by reason and lags of a batch are measured in its write; a batch costs few jobs, an empty one writes nothing."""
+    import datetime as dt
+
+    from conftest import AS_OF, make_posts
+    from sentiflow.streaming.sink import sink_metrics
+
+    root, jobs = tempfile.mkdtemp(prefix="sentiflow-test-"), []
+    made = AS_OF - dt.timedelta(seconds=30)
+    batches = [
+        [dict(tweet_id="a", tweet_created_at=made, processed_at=AS_OF), dict(tweet_id="b", tweet_created_at=None), dict(tweet_id="c", author=None)],
+        [],
+        [dict(tweet_id="a", tweet_created_at=made, processed_at=AS_OF + dt.timedelta(seconds=60)), dict(tweet_id="d", sentiment="odd"), dict(tweet_id=None)],
+        [dict(tweet_id="e")],
+    ]
+    tracker = spark.sparkContext.statusTracker()
+    for i, rows in enumerate(batches):
+        df = make_posts(spark, rows or [dict(tweet_id="x")]).limit(len(rows))
+        spark.sparkContext.setJobGroup(f"sink-{root}-{i}", "batch")
+        PostsLogSink(root)(df, i)
+        jobs.append(len(tracker.getJobIdsForGroup(f"sink-{root}-{i}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    got = {r["batch_id"]: r for r in sink_metrics(spark, root).collect()}
+    assert sorted(got) == [0, 2, 3]
+    assert (got[0]["input_rows"], got[0]["valid_rows"], got[0]["null_author"]) == (3, 2, 1)
+    assert (got[0]["lag_sum"], got[0]["lag_max"], got[0]["lag_rows"]) == (30, 30, 1)
+    assert (got[2]["valid_rows"], got[2]["bad_sentiment"], got[2]["null_tweet_id"], got[2]["lag_sum"]) == (1, 1, 1, 90)
+    assert got[2]["newest"] == AS_OF + dt.timedelta(seconds=60)
+    assert max(jobs) <= 8 and jobs[1] <= 2, jobs
