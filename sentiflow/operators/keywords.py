@@ -6,13 +6,17 @@ equals a lower-cased hashtag or is a substring of the lower-cased text.
 
 from __future__ import annotations
 
+from functools import reduce
+
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentiflow.functions.expressions import as_column, keyword_hits, keyword_needle
+from sentiflow.functions.expressions import as_column, keyword_needle
 
-# Length of the text grams that bring keywords and posts together.
-NGRAM = 3
+# Characters of needles in one broadcast block.
+BLOCK_CHARS = 1 << 20
 
 
 def keyword_dim(spark, keywords: list[str]) -> DataFrame:
@@ -27,36 +31,73 @@ def keyword_dim(spark, keywords: list[str]) -> DataFrame:
     return spark.createDataFrame([(k, i) for i, k in enumerate(cleaned)], "keyword string, position int")
 
 
-def keyword_matches(posts: DataFrame, keywords: DataFrame) -> DataFrame:
+class KeywordMachine:
+    """Keywords as automata over lower-cased text, in blocks of needles; one pass over each text finds every needle in it.
+
+    A block holds at most ``block_chars`` characters of needles (one needle at least) and is broadcast as strings; each task builds the
+    automaton (goto and fail links) of its blocks once. The keywords are streamed from Spark block by block. It is made once
+    and may then be used on any number of tables, micro-batches and streams.
+    """
+
+    def __init__(self, keywords: DataFrame, block_chars: int = BLOCK_CHARS):
+        needles = keywords.select("keyword").distinct().withColumn("needle", keyword_needle("keyword")).filter(F.length("needle") > 0)
+        self.blocks, held, size = [], {}, 0
+        context = keywords.sparkSession.sparkContext
+        for r in needles.orderBy("needle", "keyword").toLocalIterator():
+            new = r["needle"] not in held
+            if new and size + len(r["needle"]) > block_chars and held:
+                self.blocks.append(context.broadcast(held))
+                held, size = {}, 0
+            size += len(r["needle"]) if new else 0
+            held.setdefault(r["needle"], []).append(r["keyword"])
+        self.blocks.append(context.broadcast(held))
+
+    def matches(self, posts: DataFrame, *columns: str) -> DataFrame:
+        """``keyword`` and ``columns`` of each post row once for each distinct keyword that it matches (batch or streaming)."""
+        tags = F.transform(F.coalesce("hashtags", F.array().cast("array<string>")), lambda h: F.lower(h))
+        read = posts.select(*columns, tags.alias("_tags"), F.lower(F.coalesce(F.col("text"), F.lit(""))).alias("_text"))
+        kinds = {f.name: f.dataType.simpleString() for f in posts.schema}
+        schema = ", ".join(["keyword string", *[f"`{c}` {kinds[c]}" for c in columns]])
+        found = [read.mapInArrow(_scan(block, columns), schema) for block in self.blocks]
+        return reduce(DataFrame.unionByName, found)
+
+
+def _scan(block, columns):
+    """Rows of a batch, once for each keyword of the block that they match."""
+
+    def scan(batches):
+        keywords = block.value
+        machine = ahocorasick.Automaton()
+        for needle in keywords:
+            machine.add_word(needle, needle)
+        if keywords:
+            machine.make_automaton()
+        for batch in batches:
+            row, word = [], []
+            if keywords:
+                for i, (tags, text) in enumerate(zip(batch.column("_tags").to_pylist(), batch.column("_text").to_pylist())):
+                    hits = {needle for _, needle in machine.iter(text)}
+                    hits.update(t for t in tags if t in keywords)
+                    for needle in hits:
+                        word += keywords[needle]
+                        row += [i] * len(keywords[needle])
+            at = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(word, pa.string()), *[batch.column(c).take(at) for c in columns]], names=["keyword", *columns])
+
+    return scan
+
+
+def keyword_matches(posts: DataFrame, keywords: DataFrame | KeywordMachine) -> DataFrame:
     """``(keyword, tweet_id, processed_at)``: one row for each distinct keyword and each post row that it matches.
 
-    The same equi-joins at any size. Posts are reduced to (content hash, gram): their distinct
-    lower-cased tags, and the distinct ``NGRAM``-character grams of their text (also the shorter ones some keyword
-    needs). Joined with the keywords' tags and leading grams they give candidates, which are
-    joined back to the posts and verified with the match predicate. Texts are not multiplied: the
-    exploded side holds hashes and grams only. Keywords with an empty needle match nothing (see ``keyword_dim``).
+    Texts are read once by the keywords' automata and are not shuffled. Keywords with an empty needle match
+    nothing (see ``keyword_dim``).
     """
-    kw = keywords.select("keyword").distinct().withColumn("needle", keyword_needle("keyword")).filter(F.length("needle") > 0)
-    content = F.xxhash64("tweet_id", "processed_at", "hashtags", "text")
-    p = posts.select("tweet_id", "processed_at", "hashtags", "text", content.alias("_p"))
-    lowered = F.lower(F.coalesce(F.col("text"), F.lit("")))
-
-    def grams(n: int):
-        starts = F.sequence(F.lit(1), F.greatest(F.length(lowered) - F.lit(n - 1), F.lit(1)))
-        return F.transform(starts, lambda i: F.concat(F.lit(" "), F.substring(lowered, i, F.lit(n))))
-
-    tags = F.transform(F.coalesce("hashtags", F.array().cast("array<string>")), lambda h: F.concat(F.lit("#"), F.lower(h)))
-    needed = kw.select(F.collect_set(F.least(F.length("needle"), F.lit(NGRAM)))).first()[0]  # at most NGRAM lengths
-    keyed = p.select("_p", F.explode(F.array_distinct(F.concat(tags, *map(grams, sorted(needed))))).alias("gram"))
-    asked = kw.select("keyword", "needle", F.concat(F.lit("#"), "needle").alias("gram")).unionByName(
-        kw.select("keyword", "needle", F.concat(F.lit(" "), F.substring("needle", 1, NGRAM)).alias("gram"))
-    )
-    candidates = keyed.join(asked, "gram").select("_p", "keyword", "needle").distinct()
-    found = p.join(candidates, "_p").filter(keyword_hits(F.col("needle"), "hashtags", "text"))
-    return found.select("keyword", "tweet_id", "processed_at")
+    machine = keywords if isinstance(keywords, KeywordMachine) else KeywordMachine(keywords)
+    return machine.matches(posts, "tweet_id", "processed_at")
 
 
-def keyword_activity(posts: DataFrame, keywords: DataFrame) -> DataFrame:
+def keyword_activity(posts: DataFrame, keywords: DataFrame | KeywordMachine) -> DataFrame:
     """Per keyword: last matching ``processed_at`` and number of matching posts (absent when none)."""
     m = keyword_matches(posts, keywords)
     return m.groupBy("keyword").agg(F.max("processed_at").alias("last_seen"), F.count(F.lit(1)).alias("matches"))

@@ -562,6 +562,18 @@ gaps AS (
 )
 SELECT keyword, last_seen, last_seen + INTERVAL 3600 SECOND AS silent_at FROM gaps WHERE after >= last_seen + INTERVAL 3600 SECOND"""
 
+ORACLE["stream_silence_alerts"] = ORACLE["stream_silent_keywords"]
+# Eight replay files, two a micro-batch.
+ORACLE["stream_batch_metrics"] = with_posts("").rstrip() + """,
+r AS (
+  SELECT *, like_count % 50 <> 0 AS named, retweet_count % 40 <> 7 AS classed, date_diff('microsecond', tweet_created_at, processed_at) // 1000000 AS lag FROM posts
+)
+SELECT CAST(4 AS BIGINT) AS batches, count(*) AS input_rows, count(*) FILTER (WHERE named AND classed) AS valid_rows,
+       count(*) FILTER (WHERE NOT named) AS null_author, count(*) FILTER (WHERE NOT classed) AS bad_sentiment,
+       CAST(sum(lag) FILTER (WHERE named AND classed) AS BIGINT) AS lag_sum, count(lag) FILTER (WHERE named AND classed) AS lag_rows,
+       max(lag) FILTER (WHERE named AND classed) AS lag_max, max(processed_at) FILTER (WHERE named AND classed) AS newest
+FROM r"""
+
 # REST shape: same expected payload as the websocket shape.
 ORACLE["normalize_rest"] = ORACLE["normalize_posts"]
 sql(

@@ -17,7 +17,8 @@ from sentiflow.plans.inputs import posts
 from sentiflow.session import scratch_path
 from sentiflow.streaming import jobs as SJ
 from sentiflow.streaming.derive import refresh_derived
-from sentiflow.streaming.sink import PostsLogSink, compact_log, current_posts, current_series, current_snapshots
+from sentiflow.streaming.sink import PostsLogSink, compact_log, current_posts, current_series, current_snapshots, sink_metrics
+from sentiflow.streaming.silence import raised_alerts, silence_stream
 from sentiflow.streaming.sources import write_replay_files
 
 REPLAY_FILES = 8
@@ -89,7 +90,7 @@ def q_stream_refresh(spark, sf_dir):
 
 @register("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
-    """The newest three days come twice, and files come out of time order."""
+    """The newest three days come twice, and files come out of time order; the log itself has no repeats."""
     run, stream = _replay(spark, sf_dir, duplicate_tail="3 days", shuffled=True)
     SJ.dedup_stream(stream, run, f"{run}/_ckpt_dedup").awaitTermination()
     return SJ.deduplicated(spark, run).select("tweet_id", "processed_at")
@@ -121,6 +122,34 @@ def q_stream_silent_keywords(spark, sf_dir):
     return SJ.silent_keyword_stream(spark, run, 3600)
 
 
+@register("stream_silence_alerts")
+def q_stream_silence_alerts(spark, sf_dir):
+    """The alerts that the running stream raises by timers and gaps, files in time order."""
+    run, stream = _replay(spark, sf_dir)
+    query = silence_stream(spark, stream, keyword_dim(spark, STREAM_KEYWORDS), run, f"{run}/_ckpt_alerts", 3600, trigger="available_now")
+    query.awaitTermination()
+    return raised_alerts(spark, run)
+
+
+def broken(posts: DataFrame) -> DataFrame:
+    """Posts of which some break a constraint, by their own figures."""
+    return posts.withColumn("author", F.when(F.col("like_count") % 50 != 0, F.col("author"))).withColumn(
+        "sentiment", F.when(F.col("retweet_count") % 40 == 7, F.lit("odd")).otherwise(F.col("sentiment"))
+    )
+
+
+@register("stream_batch_metrics")
+def q_stream_batch_metrics(spark, sf_dir):
+    """What the sink measured in its writes, over all micro-batches: rows, rejects by reason, lags."""
+    run, stream = _replay(spark, sf_dir)
+    q = SJ.run_stream(stream, sink=PostsLogSink(f"{run}/store", transform=broken), checkpoint=f"{run}/_ckpt_ingest", trigger="available_now")
+    q.awaitTermination()
+    sums = ("input_rows", "valid_rows", "null_author", "bad_sentiment", "lag_sum", "lag_rows")
+    return sink_metrics(spark, f"{run}/store").agg(
+        F.count(F.lit(1)).alias("batches"), *[F.sum(c).alias(c) for c in sums], F.max("lag_max").alias("lag_max"), F.max("newest").alias("newest")
+    )
+
+
 def written_lexicon(spark: SparkSession, run: str, lexicon: DataFrame) -> DataFrame:
     """The lexicon as a table: a stream joins it in every micro-batch."""
     lexicon.write.parquet(f"{run}/lexicon")

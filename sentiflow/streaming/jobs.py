@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sentiflow.functions.expressions import as_column
-from sentiflow.operators.keywords import keyword_matches
+from sentiflow.operators.keywords import KeywordMachine, keyword_matches
 from sentiflow.operators.merge import finish_series, merge_partials, series_partials
 
 
@@ -75,14 +75,41 @@ def stop_gracefully(query: StreamingQuery, timeout_s: float = 30.0) -> bool:
     return done
 
 
+def first_deliveries(df: DataFrame, id_col: str = "tweet_id", ts_col: str = "processed_at") -> DataFrame:
+    """The rows of a stream whose id has not come before, once each, in the micro-batch in which they arrive (update mode).
+
+    A streaming aggregation keeps, per id, the first delivery (micro-batch, then time, then a hash of the row) and the newest
+    one; an id is new exactly where both are this micro-batch. The state holds every id ever seen, hashed by id in the state
+    store, so a repeat goes however late it comes and no late id is lost; a micro-batch looks up its own ids
+    only. Rows without an id are never repeats and pass by.
+    """
+    blank = F.col(id_col).isNull() | (F.col(id_col) == "")
+    rest = [c for c in df.columns if c != id_col]
+    rows = df.filter(~blank).withColumn("_batch", F.current_timestamp())  # one time a micro-batch, the same in a replay
+    order = F.struct("_batch", ts_col, F.xxhash64(*df.columns).alias("_tie"))
+    state = rows.groupBy(id_col).agg(
+        F.min_by(F.struct(*rest), order).alias("_row"), F.min("_batch").alias("_first"), F.max("_batch").alias("_last")
+    )
+    new = state.filter(F.col("_first") == F.col("_last"))
+    new = new.select(*[F.col(c) if c == id_col else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    return new.unionByName(df.filter(blank))
+
+
 def dedup_stream(df: DataFrame, root: str, checkpoint: str, id_col: str = "tweet_id", ts_col: str = "processed_at", trigger: str | None = "available_now") -> StreamingQuery:
-    """Stream into a keyed log of which ``deduplicated`` gives one row per id, however late a repeat comes."""
-    return run_stream(df, sink=BatchLog(f"{root}/seen", lambda batch: first_per_id(batch, id_col, [ts_col])), checkpoint=checkpoint, trigger=trigger)
+    """Stream each id's first delivery, as it arrives, into the log under ``root/seen``; nothing in it is repeated."""
+    from sentiflow.streaming.derive import rocksdb_state
+    from sentiflow.streaming.files import make_folder
 
+    make_folder(df.sparkSession, f"{root}/seen")
+    with rocksdb_state(df.sparkSession):
+        return run_stream(
+            first_deliveries(df, id_col, ts_col), sink=BatchLog(f"{root}/seen", lambda batch: batch), checkpoint=checkpoint, trigger=trigger, output_mode="update"
+        )
 
-def deduplicated(spark: SparkSession, root: str, id_col: str = "tweet_id", ts_col: str = "processed_at") -> DataFrame:
-    """The first delivery (micro-batch, then time) of each id; rows without an id are never repeats."""
-    return first_per_id(spark.read.parquet(f"{root}/seen"), id_col, ["batch_id", ts_col]).drop("batch_id")
+
+def deduplicated(spark: SparkSession, root: str) -> DataFrame:
+    """The log of first deliveries as it is."""
+    return spark.read.parquet(f"{root}/seen").drop("batch_id")
 
 
 def first_per_id(df: DataFrame, id_col: str, order: list[str]) -> DataFrame:
@@ -139,9 +166,11 @@ def activity_stream(
 ) -> StreamingQuery:
     """Stream into first and last match per (keyword, slice of ``idle_seconds``), and the newest post time of each batch."""
 
+    machine = KeywordMachine(keywords)
+
     def summarise(batch: DataFrame) -> DataFrame:
         second = F.unix_timestamp(F.col("processed_at").cast("timestamp"))
-        matches = keyword_matches(batch, keywords).withColumn("slice", F.floor(second / F.lit(int(idle_seconds))).cast("bigint"))
+        matches = keyword_matches(batch, machine).withColumn("slice", F.floor(second / F.lit(int(idle_seconds))).cast("bigint"))
         seen = matches.groupBy("keyword", "slice").agg(F.min("processed_at").alias("first"), F.max("processed_at").alias("last"))
         clock = batch.select(F.lit(None).cast("string").alias("keyword"), F.lit(None).cast("bigint").alias("slice"), "processed_at")
         clock = clock.groupBy("keyword", "slice").agg(F.min("processed_at").alias("first"), F.max("processed_at").alias("last"))

@@ -89,6 +89,38 @@ def test_rotation_plan_cases(spark):
     assert plan2 == {"a": "a", "b": "b", "c": "c", "d": "d"}
 
 
+def test_keyword_machine_blocks_and_overlaps(spark):
+    """Needles inside each other, shared needles, tags against texts, many blocks: as the match predicate over all pairs."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from sentiflow.functions.expressions import keyword_hits, keyword_needle
+
+    rng = random.Random(8)
+    words = ["a", "ab", "abc", "bc", "#Bc", "bc", "c", "é", "ÉA", "cab c", "##abca", "zz"]
+    rows = [dict(tweet_id=str(i), text="".join(rng.choice("abcéÉ ") for _ in range(rng.randint(0, 12))) or None, hashtags=rng.choice([None, [], ["BC", None], ["zz", "Zz"], ["xabc"]])) for i in range(150)]
+    posts = make_posts(spark, rows + rows[:9])
+    kw = KW.keyword_dim(spark, words)
+    pairs = posts.crossJoin(kw.select("keyword").distinct()).filter(keyword_hits(keyword_needle("keyword"), "hashtags", "text"))
+    wanted = sorted(tuple(r) for r in pairs.select("keyword", "tweet_id", "processed_at").collect())
+    for block in (1 << 20, 4):
+        machine = KW.KeywordMachine(kw, block)
+        assert sorted(tuple(r) for r in KW.keyword_matches(posts, machine).collect()) == wanted
+    assert len(machine.blocks) > 3
+    assert "Exchange" not in KW.keyword_matches(posts, machine)._jdf.queryExecution().executedPlan().toString()
+    assert KW.keyword_matches(posts, kw.limit(0)).count() == 0
+
+
+def test_a_hundred_thousand_keywords(spark):
+    from pyspark.sql import functions as F
+
+    kw = spark.range(100_000).select(F.concat(F.lit("word"), F.col("id").cast("string"), F.lit("x")).alias("keyword"), F.col("id").cast("int").alias("position"))
+    posts = make_posts(spark, [dict(tweet_id=str(i), text=f"says word{i * 37}x and aword{i}x!") for i in range(500)])
+    got = KW.keyword_activity(posts, kw)
+    assert got.agg(F.sum("matches")).first()[0] == 500 * 2 - 1  # the first text says one word twice
+
+
 def test_silent_keywords_seeded_clock(spark):
     df = make_posts(spark, [dict(text="click here", processed_at=AS_OF - dt.timedelta(seconds=30))])
     kw = KW.keyword_dim(spark, ["click", "never"])

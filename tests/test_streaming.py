@@ -80,6 +80,33 @@ def test_dedup_keeps_late_ids(spark):
     assert got == [("a", t0), ("late", t0 - dt.timedelta(minutes=90))]
 
 
+def test_dedup_emits_on_arrival_and_once_after_a_failure(spark):
+    """Each micro-batch's partition holds its new ids; a batch that fails after its write is run again and repeats nothing."""
+    import pytest
+
+    run, failing = tempfile.mkdtemp(prefix="sentiflow-test-"), []
+    batches = [[dict(tweet_id=i) for i in ids] for ids in ("ab", "bc", "cab", "da")]
+    whole = SJ.BatchLog.__call__
+
+    def breaks(self, batch, batch_id):
+        whole(self, batch, batch_id)
+        if batch_id == 1 and not failing:
+            failing.append(batch_id)
+            raise RuntimeError("lost after the write")
+
+    SJ.BatchLog.__call__ = breaks
+    try:
+        _feed(spark, run, batches[:1], lambda s: SJ.dedup_stream(s, run, f"{run}/ckpt"))
+        with pytest.raises(Exception, match="lost after the write"):
+            _feed(spark, run, batches[1:2], lambda s: SJ.dedup_stream(s, run, f"{run}/ckpt"))
+        _feed(spark, run, batches[2:], lambda s: SJ.dedup_stream(s, run, f"{run}/ckpt"))
+    finally:
+        SJ.BatchLog.__call__ = whole
+    got = sorted((r["tweet_id"], r["batch_id"]) for r in spark.read.parquet(f"{run}/seen").collect())
+    assert failing and [g[0] for g in got] == list("abcd")
+    assert [g[1] for g in got[:3]] == [0, 0, 1]
+
+
 def test_series_streams_hold_late_and_open_windows(spark):
     import datetime as dt
 
@@ -387,3 +414,36 @@ def test_batch_metrics_come_from_the_write(spark):
     assert (got[2]["valid_rows"], got[2]["bad_sentiment"], got[2]["null_tweet_id"], got[2]["lag_sum"]) == (1, 1, 1, 90)
     assert got[2]["newest"] == AS_OF + dt.timedelta(seconds=60)
     assert max(jobs) <= 8 and jobs[1] <= 2, jobs
+
+
+def test_silence_alerts_by_timer_and_gap(spark):
+    """Alerts equal the silences at each clock: inside a batch, between batches, by timer alone, and of a keyword that never comes."""
+    import datetime as dt
+
+    from sentiflow.operators.keywords import keyword_dim
+    from sentiflow.streaming.silence import raised_alerts, silence_stream
+
+    run = tempfile.mkdtemp(prefix="sentiflow-test-")
+    t0, h = dt.datetime(2024, 1, 1, 0, 0, 0), dt.timedelta(hours=1)
+    batches = [
+        [dict(tweet_id="a1", text="alpha one", processed_at=t0), dict(tweet_id="b1", text="beta", processed_at=t0 + h / 6)],
+        [dict(tweet_id="b2", text="beta", processed_at=t0 + 3 * h), dict(tweet_id="b3", text="BETA too", processed_at=t0 + 6 * h)],
+        [dict(tweet_id="c", text="nothing", processed_at=t0 + 6.5 * h), dict(tweet_id="b4", text="x", hashtags=["Beta"], processed_at=t0 + 6.6 * h)],
+        [dict(tweet_id="d", text="nothing", processed_at=t0 + 9 * h)],
+    ]
+    kw, seen = keyword_dim(spark, ["alpha", "#beta", "never"]), []
+
+    def start(stream):
+        return silence_stream(spark, stream, kw, run, f"{run}/ckpt", 3600, connected_at=t0 - h / 2, trigger="available_now")
+
+    from conftest import make_posts
+
+    schema = make_posts(spark, batches[0]).schema
+    for rows in batches:
+        make_posts(spark, rows).coalesce(1).write.mode("append").parquet(f"{run}/in")
+        start(spark.readStream.schema(schema).parquet(f"{run}/in")).awaitTermination()
+        seen.append(sorted(tuple(r) for r in raised_alerts(spark, run).collect()))
+    assert seen[0] == []
+    first = [("#beta", t0 + h / 6, t0 + h / 6 + h), ("#beta", t0 + 3 * h, t0 + 4 * h), ("alpha", t0, t0 + h), ("never", t0 - h / 2, t0 + h / 2)]
+    assert seen[1] == first and seen[2] == first
+    assert seen[3] == sorted([*first, ("#beta", t0 + 6.6 * h, t0 + 7.6 * h)])
