@@ -442,6 +442,31 @@ def q_insert_if_absent(spark, sf_dir):
     return M.insert_if_absent(base, batch)
 
 
+def _bucketed(spark, sf_dir, policy):
+    """The base loaded into a bucketed table, then the batch upserted."""
+    import uuid
+
+    from sentiflow.operators.bucketed import BucketedTable
+    from sentiflow.session import scratch_path
+
+    _, base, batch, _ = _base_and_batch(spark, sf_dir)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in base.schema)
+    table = BucketedTable.create(spark, scratch_path(spark, f"sentiflow-runs/{uuid.uuid4().hex}/posts"), schema, buckets=16)
+    table.upsert(base, policy)
+    table.upsert(batch, policy)
+    return table.current()
+
+
+@register("bucketed_upsert")
+def q_bucketed_upsert(spark, sf_dir):
+    return _bucketed(spark, sf_dir, "update")
+
+
+@register("bucketed_insert")
+def q_bucketed_insert(spark, sf_dir):
+    return _bucketed(spark, sf_dir, "first")
+
+
 @register("rolling_upsert")
 def q_rolling_upsert(spark, sf_dir):
     p, base, _, t2 = _base_and_batch(spark, sf_dir)

@@ -562,6 +562,8 @@ gaps AS (
 )
 SELECT keyword, last_seen, last_seen + INTERVAL 3600 SECOND AS silent_at FROM gaps WHERE after >= last_seen + INTERVAL 3600 SECOND"""
 
+ORACLE["bucketed_upsert"] = ORACLE["upsert_partial"]
+ORACLE["bucketed_insert"] = ORACLE["insert_if_absent"]
 ORACLE["stream_silence_alerts"] = ORACLE["stream_silent_keywords"]
 # Eight replay files, two a micro-batch.
 ORACLE["stream_batch_metrics"] = with_posts("").rstrip() + """,
