@@ -677,16 +677,33 @@ def q_parse_tag_list(spark, sf_dir):
     )
 
 
-@register("tag_index_search")
-def q_tag_index_search(spark, sf_dir):
+def _postings(spark, sf_dir):
+    """The posting lists of the posts, in two batches."""
     import uuid
 
-    from sentiflow.operators.tag_index import build_tag_index, tag_search
+    from sentiflow.operators.postings import Postings, append_postings
     from sentiflow.session import scratch_path
 
-    p = posts(spark, sf_dir)
-    index = build_tag_index(p, scratch_path(spark, f"sentiflow-runs/{uuid.uuid4().hex}/tag_index"), files=16)
-    return tag_search(spark, p, index, SEARCH_TAGS).select("tweet_id", "hashtags")
+    p, path = posts(spark, sf_dir), scratch_path(spark, f"sentiflow-runs/{uuid.uuid4().hex}/postings")
+    early = F.col("retweet_count") % 3 == 0
+    append_postings(p.filter(early), path, files=16, batch="0")
+    append_postings(p.filter(~early), path, files=16, batch="1")
+    return Postings(spark, path)
+
+
+@register("tag_index_search")
+def q_tag_index_search(spark, sf_dir):
+    return _postings(spark, sf_dir).rows(SEARCH_TAGS).select("tweet_id", "hashtags")
+
+
+@register("posting_feed")
+def q_posting_feed(spark, sf_dir):
+    return _postings(spark, sf_dir).search(SEARCH_TAGS, SEARCH_CLASS, SEARCH_LIMIT)["data"]
+
+
+@register("posting_counts")
+def q_posting_counts(spark, sf_dir):
+    return _postings(spark, sf_dir).search(SEARCH_TAGS, None, SEARCH_LIMIT)["summary"]
 
 
 @register("trailing_window_partitioned")

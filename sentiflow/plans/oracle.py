@@ -687,6 +687,8 @@ ORACLE["stream_ingest_documents"] = (
 )
 
 ORACLE["tag_index_search"] = ORACLE["tag_overlap"]
+ORACLE["posting_feed"] = ORACLE["search_posts"]
+ORACLE["posting_counts"] = ORACLE["search_summary"]
 
 ORACLE["trailing_window_partitioned"] = ORACLE["trailing_window"]
 
