@@ -52,27 +52,25 @@ def partition_lag(offsets: DataFrame) -> DataFrame:
     return offsets.withColumn("lag", F.greatest(F.lit(0), F.col("high") - committed).cast("bigint"))
 
 
-# Block-offset tables up to this many rows are broadcast to the per-block pass.
-MAX_BROADCAST_BLOCKS = 1_000_000
-
-
-def running_total(df: DataFrame, order_col: str, value_col: str, block_col: str, out_col: str = "cumulative") -> DataFrame:
-    """Distributed prefix sum: block totals (one row per block) get a prefix sum, then each
-    block computes its own running sum in a window partitioned by block, so no task holds
-    more than one block of rows."""
-    blocks = df.groupBy(block_col).agg(F.sum(value_col).alias("_block_total"))
-    offsets = blocks.select(
-        block_col,
-        (F.sum("_block_total").over(Window.orderBy(block_col).rowsBetween(Window.unboundedPreceding, -1))).alias("_offset"),
-    )
+def running_total(df: DataFrame, order_col: str, value_col: str, block_col: str, out_col: str = "cumulative", fan: int = 1024) -> DataFrame:
+    """Distributed prefix sum in three levels: rows inside their block, blocks inside their group of ``fan`` blocks, and groups.
+
+    ``block_col`` is a number that does not fall as ``order_col`` rises. No task holds more than one block of rows or one group of block
+    totals; only the groups' totals (a row for every ``fan`` blocks) are summed in one place.
+    """
+    before = (Window.unboundedPreceding, -1)
+
+    def ahead(total, window):
+        return F.coalesce(F.sum(total).over(window.rowsBetween(*before)), F.lit(0))
+
+    blocks = df.groupBy(block_col).agg(F.sum(value_col).alias("_total")).withColumn("_group", F.floor(F.col(block_col) / F.lit(fan)))
+    groups = blocks.groupBy("_group").agg(F.sum("_total").alias("_all"))
+    groups = groups.select("_group", ahead("_all", Window.orderBy("_group")).alias("_before_group"))
+    blocks = blocks.join(groups, "_group")
+    inside = ahead("_total", Window.partitionBy("_group").orderBy(block_col))
+    offsets = blocks.select(block_col, (F.col("_before_group") + inside).alias("_offset"))
     within = Window.partitionBy(block_col).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    if blocks.count() <= MAX_BROADCAST_BLOCKS:
-        offsets = F.broadcast(offsets)
-    return (
-        df.join(offsets, block_col)
-        .withColumn(out_col, (F.coalesce(F.col("_offset"), F.lit(0)) + F.sum(value_col).over(within)).cast("bigint"))
-        .drop("_offset")
-    )
+    return df.join(offsets, block_col).withColumn(out_col, (F.col("_offset") + F.sum(value_col).over(within)).cast("bigint")).drop("_offset")
 
 
 def batch_throughput(progress: DataFrame, block_size: int = 1024) -> DataFrame:

@@ -21,6 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sentiflow.functions.expressions import lag_seconds
 from sentiflow.schema import MUTABLE_COLUMNS
 
 def version_struct(order: Sequence[str], cols: Sequence[str]) -> Column:
@@ -99,13 +100,16 @@ def snapshot_upsert(target: DataFrame, new: DataFrame, keys: Sequence[str] = ("w
 
 
 def series_partials(posts: DataFrame, unit: str = "minute") -> DataFrame:
-    """Mergeable per-bucket partial aggregates (exact decimal score sum)."""
+    """Mergeable per-bucket partial aggregates (exact decimal sums of scores and of lags in seconds)."""
+    lag = lag_seconds("processed_at", "tweet_created_at").cast("decimal(18,6)")
     return posts.groupBy(F.date_trunc(unit, "processed_at").cast("timestamp_ntz").alias("bucket"), "sentiment").agg(
         F.count(F.lit(1)).alias("tweet_count"),
         F.sum(F.col("compound_score").cast("decimal(18,4)")).alias("score_sum"),
         F.count("compound_score").alias("score_n"),
         F.sum("retweet_count").cast("bigint").alias("total_retweets"),
         F.sum("like_count").cast("bigint").alias("total_likes"),
+        F.sum(lag).alias("lag_sum"),
+        F.count(lag).alias("lag_n"),
     )
 
 

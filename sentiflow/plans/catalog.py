@@ -6,6 +6,8 @@ parameters are the reference's defaults unless noted.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -677,6 +679,48 @@ def q_parse_tag_list(spark, sf_dir):
     )
 
 
+def _nodes(spark, sf_dir):
+    """Posts, their stored time nodes and the newest time."""
+    import uuid
+
+    from sentiflow.operators.rollup import build_nodes
+    from sentiflow.session import scratch_path
+
+    p = posts(spark, sf_dir)
+    path = build_nodes(p, scratch_path(spark, f"sentiflow-runs/{uuid.uuid4().hex}/nodes"))
+    return p, spark.read.parquet(path), p.select(F.max("processed_at")).first()[0]
+
+
+@register("node_rolling_avg")
+def q_node_rolling_avg(spark, sf_dir):
+    from sentiflow.operators.rollup import rolling_avg_from_nodes
+
+    p, nodes, now = _nodes(spark, sf_dir)
+    return rolling_avg_from_nodes(nodes, p, now, dt.timedelta(hours=1))
+
+
+@register("node_window_kpis")
+def q_node_window_kpis(spark, sf_dir):
+    """KPIs of nine days and some seconds, up to a day before the newest post."""
+    from sentiflow.operators.rollup import window_kpis
+
+    p, nodes, now = _nodes(spark, sf_dir)
+    return window_kpis(nodes, p, now, dt.timedelta(days=9, seconds=4321), now - dt.timedelta(days=1))
+
+
+@register("cuboid_kpis")
+def q_cuboid_kpis(spark, sf_dir):
+    """KPIs per hour of one language's positive and negative posts, from the smallest cuboid."""
+    import uuid
+
+    from sentiflow.operators.rollup import Cuboids, build_cuboids
+    from sentiflow.session import scratch_path
+
+    p = posts(spark, sf_dir)
+    path = build_cuboids(p, scratch_path(spark, f"sentiflow-runs/{uuid.uuid4().hex}/cuboids"))
+    return Cuboids(spark.read.parquet(path)).answer(p, {"lang": ["en"], "sentiment": ["positive", "negative"]}, ["hour"])[0]
+
+
 def _postings(spark, sf_dir):
     """The posting lists of the posts, in two batches."""
     import uuid

@@ -562,6 +562,21 @@ gaps AS (
 )
 SELECT keyword, last_seen, last_seen + INTERVAL 3600 SECOND AS silent_at FROM gaps WHERE after >= last_seen + INTERVAL 3600 SECOND"""
 
+KPI_COLUMNS = f"""count(*) AS total_tweets,
+       {cnt('positive')} AS positive_count, {cnt('negative')} AS negative_count, {cnt('neutral')} AS neutral_count,
+       {pct(cnt('positive'), 'count(*)', 2)} AS positive_pct, {avg4('compound_score')} AS avg_compound_score,
+       (round(CAST(sum({LAG_US}) AS DOUBLE) / (count({LAG_US}) * 10000)) / 100) AS avg_lag_seconds"""
+ORACLE["node_rolling_avg"] = ORACLE["rolling_1h_avg"]
+sql(
+    "node_window_kpis",
+    f"""SELECT {KPI_COLUMNS} FROM posts
+     WHERE processed_at >= {ASOF} - INTERVAL 9 DAY - INTERVAL 4321 SECOND AND processed_at <= {ASOF} - INTERVAL 1 DAY""",
+)
+sql(
+    "cuboid_kpis",
+    f"""SELECT date_trunc('hour', processed_at) AS hour, {KPI_COLUMNS} FROM posts
+     WHERE lang = 'en' AND sentiment IN ('positive', 'negative') GROUP BY 1""",
+)
 ORACLE["bucketed_upsert"] = ORACLE["upsert_partial"]
 ORACLE["bucketed_insert"] = ORACLE["insert_if_absent"]
 ORACLE["stream_silence_alerts"] = ORACLE["stream_silent_keywords"]

@@ -35,17 +35,21 @@ from sentiflow.operators.merge import (
     series_partials,
     version_struct,
 )
+from sentiflow.operators.rollup import with_levels
 from sentiflow.schema import CANONICAL_COLUMNS, MUTABLE_COLUMNS, POSTS_TYPES
 from sentiflow.streaming.files import children, delete_path, make_folder, path_exists, read_newest_json, write_partition
 from sentiflow.streaming.metrics import write_text
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Columns of a post that the derived tables are made of.
-FIRST = ("hashtags", "retweet_count", "like_count")
+FIRST = ("hashtags", "retweet_count", "like_count", "tweet_created_at")
 DERIVED = (("series", series_partials, SERIES_KEYS), ("hashtags", hashtag_partials, HASHTAG_KEYS))
 _SUMS = "score_sum decimal(38,4), score_n bigint"
 DERIVED_DDL = {
-    "series": f"bucket timestamp_ntz, sentiment string, tweet_count bigint, {_SUMS}, total_retweets bigint, total_likes bigint, batch_id bigint",
+    "series": (
+        f"level string, bucket timestamp_ntz, sentiment string, tweet_count bigint, {_SUMS}, total_retweets bigint, total_likes bigint, "
+        "lag_sum decimal(38,6), lag_n bigint, batch_id bigint"
+    ),
     "hashtags": f"bucket timestamp_ntz, hashtag string, sentiment string, mention_count bigint, {_SUMS}, batch_id bigint",
 }
 
@@ -99,6 +103,7 @@ class DerivedSink:
             new, old = rows.select("new.*"), rows.filter(F.col("told").isNotNull()).select("told.*")
             for name, partials, keys in DERIVED:
                 change = merge_partials(partials(new), retracted(partials(old), keys), keys=keys, settled=False)
+                change = with_levels(change) if name == "series" else change
                 write_partition(change.withColumn("batch_id", F.lit(batch_id).cast("bigint")), f"{self.root}/{name}")
             upto = rows.agg(F.max("upto")).first()[0]
             write_text(spark, f"{self.root}/manifest/derived-{batch_id % 2}.json", json.dumps({"batch_id": batch_id, "upto": upto}))
@@ -116,14 +121,19 @@ def derived_upto(spark: SparkSession, root: str) -> int | None:
 
 def derived_partials(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The partial sums of a derived table, all micro-batches merged."""
-    keys = next(k for n, _, k in DERIVED if n == name)
+    keys = ("level", *SERIES_KEYS) if name == "series" else HASHTAG_KEYS
     parts = spark.read.schema(DERIVED_DDL[name]).parquet(f"{root.rstrip('/')}/{name}")
     return merge_partials(parts.drop("batch_id"), keys=keys)
 
 
 def current_series(spark: SparkSession, root: str) -> DataFrame:
     """The per-minute table kept by ``derive_stream``."""
-    return finish_series(derived_partials(spark, root, "series"))
+    return finish_series(time_nodes(spark, root).filter(F.col("level") == "minute"))
+
+
+def time_nodes(spark: SparkSession, root: str) -> DataFrame:
+    """Sums per (minute | hour | day, class) kept by ``derive_stream``, for ``rollup.window_kpis``."""
+    return derived_partials(spark, root, "series")
 
 
 def current_hashtags(spark: SparkSession, root: str, since=None) -> DataFrame:
