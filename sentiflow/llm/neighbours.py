@@ -16,7 +16,8 @@ groups of about ``CELL_QUERIES``, so a part that holds a third of all rows is ma
 Defined results: vectors that are null, zero, of another length than most (the shorter of equals), or
 hold a null or a non-finite component take no part, nor do rows without an id; equal distances rank the smaller id first;
 a query with fewer than ``k`` other rows gets them all; an empty table gives no rows; other columns are
-not read.
+not read. The usual length is that of the searched table. Query rows are ranked each for itself, also those that share an id;
+of the table one row that equals the query in id and vector is left out as its own, other rows of its id are candidates.
 """
 
 from __future__ import annotations
@@ -162,12 +163,16 @@ def fit_router(x: np.ndarray, parts: int, neighbours: int = NEIGHBOURS, recall:
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id, vector array<double>) of the rows that take part."""
+    """(vec_id, vector array<double>) of the rows that may take part, of any length."""
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
     finite = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    rows = rows.where(F.col("vec_id").isNotNull() & F.coalesce(finite & F.exists("vector", lambda v: v != 0), F.lit(False)))
+    return rows.where(F.col("vec_id").isNotNull() & F.coalesce(finite & F.exists("vector", lambda v: v != 0), F.lit(False)))
+
+
+def usual_length(rows: DataFrame) -> int:
+    """The length of most vectors, the shorter of equals; 0 without vectors."""
     size = rows.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").first()
-    return rows.where(F.size("vector") == (size["size"] if size else 0))
+    return size["size"] if size else 0
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -181,7 +186,8 @@ def search(
     """(query_id, rank, vec_id, score): the ``k`` nearest found rows of each query, by Euclidean distance, itself left out."""
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vector_col)
-    asked = usable(queries, id_col, vector_col)
+    length = F.size("vector") == usual_length(rows)  # queries are held to the length of the table
+    rows, asked = rows.where(length), usable(queries, id_col, vector_col).where(length)
     distinct = rows.select("vector").distinct().orderBy(F.xxhash64("vector"), "vector").limit(sample).toArrow()
     x = matrix(distinct.column("vector").combine_chunks()) if distinct.num_rows else np.zeros((0, 1))
     parts = max(1, min(parts, len(x) // 32))
@@ -212,11 +218,13 @@ def search(
                 many = np.minimum(np.maximum(router.value.routed, (filled < k + 1).sum(axis=1) + 1), parts)
                 chosen = [o[:m].tolist() for o, m in zip(order, many)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(chosen, pa.list_(pa.int32()))], names=["vec_id", "vector", "parts"]
+                [*batch.columns, pa.array(chosen, pa.list_(pa.int32()))], names=["vec_id", "vector", "row", "parts"]
             )
 
-    routes = asked.mapInArrow(route, "vec_id long, vector array<double>, parts array<int>")
-    routes = written(routes.select("vec_id", "vector", F.explode("parts").alias("part")), "routes")
+    # query rows are numbered once, as they are written: rows that share an id are ranked apart
+    asked = asked.withColumn("row", F.monotonically_increasing_id())
+    routes = asked.mapInArrow(route, "vec_id long, vector array<double>, row long, parts array<int>")
+    routes = written(routes.select("row", "vec_id", "vector", F.explode("parts").alias("part")), "routes")
     cells = indexed.groupBy("part").agg(F.ceil(F.count("*") / CELL).cast("int").alias("cells"))
     groups = routes.groupBy("part").agg(F.ceil(F.count("*") / CELL_QUERIES).cast("int").alias("groups"))
     deal = cells.join(groups, "part")
@@ -226,29 +234,32 @@ def search(
         "part", cell.alias("cell"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group"), "vec_id", "vector"
     )
     questions = routes.join(deal, "part").select(
-        "part", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"), group.alias("group"), "vec_id", "vector"
+        "part", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"), group.alias("group"), "row", "vec_id", "vector"
     )
 
     def nearest(own: pa.Table, asked: pa.Table) -> pa.Table:
-        out = [], [], []
+        out = [], [], [], []
         if own.num_rows and asked.num_rows:
             ids = own.column("vec_id").to_numpy()
             points = matrix(own.column("vector").combine_chunks())
-            for query, vector in zip(asked.column("vec_id").to_numpy(), matrix(asked.column("vector").combine_chunks())):
+            rows = asked.column("row").to_numpy()
+            for row, query, vector in zip(rows, asked.column("vec_id").to_numpy(), matrix(asked.column("vector").combine_chunks())):
                 far = np.sqrt(((points - vector) ** 2).sum(axis=1))
-                far[ids == query] = np.inf
-                best = np.lexsort((ids, far))[:k]
-                best = best[ids[best] != query]
-                out[0].append(np.full(len(best), query))
-                out[1].append(ids[best])
-                out[2].append(far[best])
-        kinds = pa.int64(), pa.int64(), pa.float64()
+                itself = np.flatnonzero((ids == query) & (points == vector).all(axis=1))[:1]  # equal rows lie in one cell
+                far[itself] = np.inf
+                best = np.lexsort((ids, far))[: k + 1]
+                best = best[~np.isin(best, itself)][:k]
+                out[0].append(np.full(len(best), row))
+                out[1].append(np.full(len(best), query))
+                out[2].append(ids[best])
+                out[3].append(far[best])
+        kinds = pa.int64(), pa.int64(), pa.int64(), pa.float64()
         columns = [pa.array(np.concatenate(c) if c else [], t) for c, t in zip(out, kinds)]
-        return pa.Table.from_arrays(columns, names=["query_id", "vec_id", "score"])
+        return pa.Table.from_arrays(columns, names=["row", "query_id", "vec_id", "score"])
 
     keys = ["part", "cell", "group"]
-    found = candidates.groupBy(*keys).cogroup(questions.groupBy(*keys)).applyInArrow(nearest, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    found = candidates.groupBy(*keys).cogroup(questions.groupBy(*keys)).applyInArrow(nearest, "row long, query_id long, vec_id long, score double")
+    order = Window.partitionBy("row").orderBy("score", "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 

@@ -57,7 +57,29 @@ def test_odd_vectors(spark):
     assert got == {q: [(i, pytest.approx(s)) for i, s in exact(good, q)] for q in (0, 100, 200, 300)}
     assert N.search(df.limit(0), df.limit(0)).count() == 0
     twice = vectors(spark, good + good)
-    assert all(len(v) == 6 for v in found(N.search(twice, vectors(spark, good[:1]))).values())
+    assert all(len(v) == 7 for v in found(N.search(twice, vectors(spark, good[:1]))).values())
+
+
+def test_repeated_ids_are_ranked_row_by_row(spark):
+    """Rows that share an id, equal or not, as queries and as candidates: as by brute force over rows."""
+    rng = random.Random(5)
+    rows = [(i, [float(np.float32(rng.gauss(0, 1))) for _ in range(4)]) for i in range(300)]
+    rows += [(100, rows[7][1]), (100, rows[100][1]), (200, rows[200][1])]
+    queries = [r for r in rows if r[0] % 100 == 0]
+    want = []
+    for at, (query, vector) in enumerate(rows):
+        if query % 100 == 0:
+            others = rows[:at] + rows[at + 1 :]
+            far = sorted((float(np.sqrt(((np.array(v) - np.array(vector)) ** 2).sum())), i) for i, v in others)[:10]
+            want += [(query, rank, i, round(s, 9)) for rank, (s, i) in enumerate(far, 1)]
+    got = N.search(vectors(spark, rows), vectors(spark, queries), recall=1.0).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in got) == sorted(want)
+
+
+def test_queries_are_held_to_the_length_of_the_table(spark):
+    table = vectors(spark, [(i, [float(i + 1)] * 8) for i in range(20)])
+    queries = vectors(spark, [(100, [1.0] * 4), (200, [2.0] * 4), (300, [3.5] * 8)])
+    assert {r["query_id"] for r in N.search(table, queries).collect()} == {300}
 
 
 def test_parts_are_balanced_and_cut_few_edges():
