@@ -259,11 +259,11 @@ def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, b
 
 
 def mark_contamination(docs, benchmark, text_col="text", item_col="item_id", item_text_col="text", window=WINDOW, block_words=BLOCK_WORDS):
-    """All columns of ``docs`` with _text, _hit (packed flags of words), _items and _words."""
+    """(row, _text, _hit, _items, _words): each row of ``docs`` as one struct, its text, packed flags of hit words, items and number of words."""
     spark = docs.sparkSession
-    out = small_batches(docs).select("*", F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    out = small_batches(docs).select(F.struct("*").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     out = out.select("*", F.lit(None).cast("binary").alias("_hit"), F.lit(None).cast("array<string>").alias("_items"))
-    inputs = len(docs.columns)
+    inputs = 1
     done = None
     for phrases in item_blocks(benchmark, item_col, item_text_col, window, block_words):
         if done is not None:
@@ -282,7 +282,7 @@ def find_contamination(
     ``contaminated`` holds where at least a twentieth of the words, and one at least, lies in an occurrence.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    marked = mark_contamination(rows, benchmark, "text", item_col, item_text_col, window, block_words)
+    marked = mark_contamination(rows, benchmark, "text", item_col, item_text_col, window, block_words).select("row.doc_id", "_text", "_hit", "_items", "_words")
     kind = docs.schema[id_col].dataType.simpleString()
 
     def digest(batches):
@@ -310,8 +310,7 @@ def find_contamination(
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, all columns as they are."""
-    marked = mark_contamination(docs, benchmark, text_col, window=window)
-    inputs = len(docs.columns)
+    marked = mark_contamination(docs, benchmark, text_col, window=window).select("row", "_hit", "_words")
 
     def clean(batches):
         for batch in batches:
@@ -319,10 +318,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
             for flags, words in zip(batch.column("_hit").to_pylist(), batch.column("_words").to_pylist()):
                 own = int(np.unpackbits(np.frombuffer(flags, np.uint8), count=words).sum()) if flags else 0
                 keep.append(own == 0 or 20 * own < words)
-            kept = batch.filter(pa.array(keep, pa.bool_()))
-            yield pa.RecordBatch.from_arrays(kept.columns[:inputs], names=kept.schema.names[:inputs])
+            yield batch.select(["row"]).filter(pa.array(keep, pa.bool_()))
 
-    return marked.mapInArrow(clean, docs.schema)
+    return marked.mapInArrow(clean, marked.select("row").schema).select("row.*")
 
 
 def op2_decontamination(spark, sf_dir):

@@ -2,12 +2,13 @@
 
 import random
 
-COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, score string, n_words string, doc string, bucket int, term int"
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, score string, n_words string, doc string, bucket int, term int, "\
+    "_text string, _hit int, _items string, _words int, _row int, _bits string, _id int, _hash int, row int, bits int, id string, text_hash string, lang_pred int"
 
 
 def frame(spark, rows):
     """(doc_id, text, lang, source) rows as documents, with further columns whose names clash with the operators' own."""
-    full = [(d, t, la, s, None if t is None else len(t), "x", None, "y", 1, 2) for d, t, la, s in rows]
+    full = [(d, t, la, s, None if t is None else len(t), "x", None, "y", 1, 2, "a", 3, "b", 4, 5, "c", 6, 7, 8, 9, "d", "e", 10) for d, t, la, s in rows]
     return spark.createDataFrame(full, COLUMNS)
 
 
