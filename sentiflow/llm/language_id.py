@@ -45,6 +45,8 @@ LAST = 1 << 24
 #: Bytes of text taken at a time: a code length takes eight bytes a byte and language.
 SLICE_BYTES = 1 << 19
 UNKNOWN = "und"
+#: Texts shorter than this are too short to be told foreign.
+JUDGED_BYTES = 32
 LETTER_BYTES = byte_map([*range(0x61, 0x7B), *range(0x80, 0x100)])
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -301,8 +303,8 @@ def best_languages(known: list[str], lengths: list[np.ndarray | None]) -> tuple[
 
 
 def with_bits(rows: DataFrame, model: LanguageModel, text_col: str) -> DataFrame:
-    """``rows`` and ``_bits``, the code lengths by language summed over all blocks of the model: one pass a block."""
-    numbered = written(rows.withColumn("_row", F.monotonically_increasing_id()), "texts")
+    """(row, bits): each row as one struct, its code lengths by language summed over all blocks of the model: one pass a block."""
+    numbered = written(rows.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("id")), "texts")
     parts = None
     for i in range(len(model.ranges)):
         shared = rows.sparkSession.sparkContext.broadcast(model.block(i))
@@ -310,16 +312,16 @@ def with_bits(rows: DataFrame, model: LanguageModel, text_col: str) -> DataFrame
         def code(batches, shared=shared):
             for batch in by_size(batches, "text", SLICE_BYTES):
                 bits = coded(shared.value, batch.column("text").to_pylist())
-                yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(bits, pa.list_(pa.float64()))], names=["_row", "bits"])
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(bits, pa.list_(pa.float64()))], names=["id", "bits"])
 
-        part = small_batches(numbered).select("_row", F.col(text_col).alias("text")).mapInArrow(code, "_row long, bits array<double>")
-        part = written(part.where("bits is not null").select("_row", F.lit(i).alias("block"), "bits"), "bits")
+        part = small_batches(numbered).select("id", F.col("row")[text_col].alias("text")).mapInArrow(code, "id long, bits array<double>")
+        part = written(part.where("bits is not null").select("id", F.lit(i).alias("block"), "bits"), "bits")
         shared.destroy()
         parts = part if parts is None else parts.unionByName(part)
     ordered = F.transform(F.sort_array(F.collect_list(F.struct("block", "bits"))), lambda x: x["bits"])
     none = F.array_repeat(F.lit(0.0), len(model.langs))
     total = F.aggregate(ordered, none, lambda a, x: F.zip_with(a, x, lambda u, v: u + v))
-    return numbered.join(parts.groupBy("_row").agg(total.alias("_bits")), "_row", "left").drop("_row")
+    return numbered.join(parts.groupBy("id").agg(total.alias("bits")), "id", "left").select("row", "bits")
 
 
 def judged(rows: DataFrame, model: LanguageModel | None, text_col: str, finish, schema) -> DataFrame:
@@ -330,10 +332,10 @@ def judged(rows: DataFrame, model: LanguageModel | None, text_col: str, finish,
     at = rows.columns.index(text_col)
 
     def judge(batches):
-        for batch in by_size(batches, text_col, SLICE_BYTES):
+        for batch in batches if several else by_size(batches, text_col, SLICE_BYTES):
             if several:
-                lengths = [None if x is None else np.array(x) for x in batch.column("_bits").to_pylist()]
-                batch = batch.drop_columns(["_bits"])
+                lengths = [None if x is None else np.array(x) for x in batch.column("bits").to_pylist()]
+                batch = pa.RecordBatch.from_struct_array(batch.column("row"))
             elif shared.value is not None:
                 lengths = coded(shared.value, batch.column(at).to_pylist())
             else:
@@ -363,14 +365,35 @@ def identify_languages(
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are not ``und``, all columns as they are; languages that share a short text do not reject it."""
+    """The rows of ``docs`` that some language explains, all columns as they are.
+
+    ``und`` goes, and so does a text of ``JUDGED_BYTES`` or more whose shortest code takes 8 bits or more for each of its bytes: no
+    language of the model says more about it than none. Languages that share a short text do not reject it.
+    """
+    at = docs.columns.index(text_col)
 
     def kept(batch, langs, score, bits):
-        return batch.filter(pa.array([x != UNKNOWN for x in langs], pa.bool_()))
+        size = np.asarray(pc.fill_null(pc.binary_length(batch.column(at)), 0))
+        foreign = (size >= JUDGED_BYTES) & (np.nan_to_num(bits) >= 8.0 * size)
+        return batch.filter(pa.array([x != UNKNOWN and not f for x, f in zip(langs, foreign)], pa.bool_()))
 
     return judged(docs, model, text_col, kept, docs.schema)
 
 
+def keep_explained(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``keep_identified`` under models that have not seen the text: each half of the texts is judged by the model of the other.
+
+    Halves go by the hash of the text, so copies of a text do not explain each other. A half is judged by the model of all rows if the
+    other has nothing to learn from.
+    """
+    half = F.pmod(F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), F.lit(2))
+    parts = []
+    for own in (0, 1):
+        model = fit_language_model(docs.where(half != own), text_col, lang_col) or fit_language_model(docs, text_col, lang_col)
+        parts.append(keep_identified(docs.where(half == own), model, text_col))
+    return parts[0].unionByName(parts[1])
+
+
 def op4_language_id(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     model = fit_language_model(docs.where(~held_out(F.col("doc_id"), 4)))

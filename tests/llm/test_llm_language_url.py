@@ -114,6 +114,19 @@ def test_stage_keeps_short_texts_that_languages_share(spark):
     assert shared["lang_pred"] == "da" and shared["score"] < 0.5
 
 
+def test_stage_drops_what_no_language_explains(spark):
+    """Random bytes and an unlearned script go, also where their own rows are labelled; short texts and the learned languages stay."""
+    import random
+
+    rng = random.Random(3)
+    rows = corpus()
+    noise = "".join(chr(rng.randint(0x400, 0x2FFF)) for _ in range(300))
+    script = " ".join("".join(chr(rng.randint(0x10D0, 0x10F0)) for _ in range(6)) for _ in range(30))
+    odd = [(5000, noise, "en", "s"), (5001, script, "de", "s"), (5002, script, "fr", "s"), (5003, "\u10d0\u10d1", "de", "s"), (5004, "a name", None, "s")]
+    kept = {r["doc_id"] for r in corpus_pipeline.language_id(spark, frame(spark, rows + odd), None).collect()}
+    assert kept == {r[0] for r in rows} | {5003, 5004}
+
+
 def brute_rule(rules, host, path):
     fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
     return max(fits, key=lambda r: (len(r.host.split(".")), len(r.path), r.verdict), default=None)
