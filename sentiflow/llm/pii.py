@@ -157,7 +157,7 @@ def bit_map(terms: DataFrame) -> np.ndarray:
 
 def mapped_words(text: str, bits: np.ndarray) -> list[str]:
     """Distinct terms of a text whose bit is set."""
-    return mapped(list(set(TERM.findall(text.lower()))), bits)
+    return mapped(list({w.lower() for w in TERM.findall(text)}), bits)
 
 
 def mapped(words: list[str], bits: np.ndarray) -> list[str]:
