@@ -3,8 +3,8 @@
 Tokens are lower-cased words and one end a text. With counts c over the training texts, N in all and V distinct,
 a token has base probability (c+1)/(N+V+1); any unseen word is the one remaining symbol. In state k a
 token w of class C has probability q_k(C) * base(w) / base(C), so every state is a distribution over the
-same symbols. Frequent words (one in ``FREQUENT_BYTES`` bytes of text) have a class by their hash, other
-words one by the hash of their last three characters, the end and the unseen word one each; the unseen
+same symbols. Words with ``FREQUENT`` training occurrences have a class by their hash, at any size of the corpus; other
+words have too little evidence of their own and back off to one by the hash of their last three characters, the end and the unseen word one each; the unseen
 word keeps its base probability in every state, so rare spellings gain nothing from the states.
 
 Baum-Welch: forward and backward recursions over the training texts, with expected counts summed inside each task,
@@ -34,7 +34,7 @@ from sentiflow.llm.common import byte_map, held_out, read_table, small_batches,
 from sentiflow.llm.hashing import PrefixHashes, mixed
 
 CHUNK_BYTES = 16 << 20
-FREQUENT_BYTES = 1 << 19
+FREQUENT = 200
 STATES = 8
 PASSES = 3
 SEED_TEXTS = 400
@@ -51,7 +51,7 @@ def tokens_of(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(TOKEN_BYTES).split()
 
 
-def word_classes(words: list[bytes], counts: np.ndarray, frequent: float) -> np.ndarray:
+def word_classes(words: list[bytes], counts: np.ndarray, frequent: int) -> np.ndarray:
     """Class numbers of words with corpus counts."""
     if not words:
         return np.zeros(0, np.int64)
@@ -83,7 +83,7 @@ def count_chunk(table: pa.Table) -> pa.Table:
     )
 
 
-def encode_chunk(frequent: float):
+def encode_chunk(frequent: int):
     """(texts of a chunk, its dictionary) -> encoded texts, and one row with class sizes of the words it is first to hold."""
 
     def encode(docs: pa.Table, entries: pa.Table) -> pa.Table:
@@ -266,7 +266,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kind = docs.schema[id_col].dataType.simpleString()
     encoded = written(
         by_chunk.cogroup(entries.groupBy("chunk")).applyInArrow(
-            encode_chunk(size / FREQUENT_BYTES),
+            encode_chunk(FREQUENT),
             f"doc_id {kind}, held_out boolean, n_words long, n_known long, logs double, classes binary",
         ),
         "encoded",
@@ -286,7 +286,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         base = (class_counts(train) + kinds) / symbols
         base[UNSEEN] = 1 / symbols
         seeds = train.where("n_words between 50 and 5000").orderBy(F.xxhash64("doc_id", "classes"), "doc_id").limit(SEED_TEXTS)
-        seeds = class_arrays(seeds.select("classes").toArrow()) or class_arrays(train.select("classes").limit(SEED_TEXTS).toArrow())
+        seeds = class_arrays(seeds.select("classes").toArrow())
+        if not seeds:  # no text of a usual length: the shortest ones
+            shortest = train.orderBy("n_words", F.xxhash64("doc_id", "classes"), "doc_id").limit(STATES)
+            seeds = class_arrays(shortest.select("classes").toArrow())
         model = first_model(seeds, base)
         for _ in range(passes):
             start, move, emitted, _ = expectations(train, model)
