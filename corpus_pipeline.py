@@ -4,8 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes i
 checkpoint folder and reads it back as the next stage's ``docs``. All stages but the last return the
 columns they were given.
 
-* ``language_id`` learns from all labelled rows of its input and drops rows without a recognised language
-  (no text or no letter).
+* ``language_id`` judges each half of its input by what the labelled rows of the other teach, and drops rows without a language: no text,
+  no letter, or a text of 32 bytes or more that no language codes in under 8 bits a byte.
 * ``near_dedup`` keeps one row of each class of near-duplicates, that of the smallest id.
 * ``decontamination`` drops rows that the contamination rule names (a twentieth of the words in benchmark passages).
 * ``personal_data`` replaces personal data and disclosing terms in ``text``; ``n_chars`` follows.
@@ -16,14 +16,14 @@ from __future__ import annotations
 
 from sentiflow.llm.common import read_table, written
 from sentiflow.llm.decontamination import drop_contaminated
-from sentiflow.llm.language_id import fit_language_model, keep_identified
+from sentiflow.llm.language_id import keep_explained
 from sentiflow.llm.mixing import mix
 from sentiflow.llm.near_dedup import keep_one_per_class
 from sentiflow.llm.pii import sanitise
 
 
 def language_id(spark, docs, sf_dir):
-    return keep_identified(docs, fit_language_model(docs))
+    return keep_explained(docs)
 
 
 def near_dedup(spark, docs, sf_dir):
