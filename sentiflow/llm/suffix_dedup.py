@@ -19,7 +19,8 @@ settled there, so a context that a third of all rows hold travels once a task.
 
 Defined results: null text is empty; a null id sorts first; rows that share id and text are one document
 and get equal results; other rows that share an id are ordered by the md5 of their text; texts shorter than
-``length`` lose nothing; an empty table gives no rows; other columns are not read.
+``length`` lose nothing; a text of 2**28 bytes or more is scanned in pieces that share no window; an empty table gives no rows;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -64,10 +65,10 @@ def window_min(values: np.ndarray, width: int) -> np.ndarray:
 def anchors(data: np.ndarray, off: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
     """(row, anchor, first window, last window, gram hash) of every context; places within ``data``."""
     empty = tuple(np.zeros(0, np.int64) for _ in range(4)) + (np.zeros(0, np.uint64),)
-    if len(data) < length or len(data) >= 1 << PLACE_BITS:
-        if len(data) < length:
-            return empty
-        raise ValueError("one text holds more than 2**28 bytes")
+    if len(data) < length:
+        return empty
+    if len(data) >= 1 << PLACE_BITS:
+        return _anchors_of_pieces(data, off, length)
     gram = min(GRAM, length)
     hashes = PrefixHashes(data)
     start = np.arange(len(data) - gram + 1)
@@ -86,6 +87,16 @@ def anchors(data: np.ndarray, off: np.ndarray, length: int = LENGTH) -> tuple[np
     return np.searchsorted(off, place, side="right") - 1, place, first, last, grams[place]
 
 
+def _anchors_of_pieces(data: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """``anchors`` of more bytes than a place holds, from pieces that share no window; a context over a cut becomes two."""
+    step, parts = (1 << PLACE_BITS) - length, []
+    for a in range(0, len(data) - length + 1, step):
+        b = min(len(data), a + step + length - 1)
+        row, place, first, last, grams = anchors(data[a:b], np.clip(off, a, b) - a, length)
+        parts.append((row, place + a, first + a, last + a, grams))
+    return tuple(np.concatenate(c) for c in zip(*parts))
+
+
 def pack(fields, columns: dict[str, np.ndarray]) -> bytes:
     """Columns one after another, eight bytes a value by byte planes: high zero bytes then compress away."""
     n = len(columns[fields[0][0]])

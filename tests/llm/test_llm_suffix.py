@@ -75,3 +75,20 @@ def test_collisions_are_verified():
     order = S.SuffixOrder(data, 100)
     order.hashes.sums[:] = 0  # all stretches now collide
     assert order.common(np.array([0]), np.array([100])).tolist() == [0]
+
+
+def test_texts_longer_than_a_place_are_cut_into_pieces(spark, monkeypatch):
+    """With places of nine bits most texts are scanned in pieces; the result is that of brute force."""
+    monkeypatch.setattr(S, "PLACE_BITS", 9)
+    rows = planted() + odd_rows_short()
+    assert results(spark, [r[:2] for r in rows]) == wanted([r[:2] for r in rows])
+    data = np.frombuffer((prose(1, 400) * 2).encode(), np.uint8)
+    pieces = S.anchors(data, np.array([0, 700, len(data)]), 100)
+    monkeypatch.setattr(S, "PLACE_BITS", 28)
+    whole = S.anchors(data, np.array([0, 700, len(data)]), 100)
+    covered = [{(r, w, g) for r, f, x, g in zip(a[0].tolist(), a[2].tolist(), a[3].tolist(), a[4].tolist()) for w in range(f, x + 1)} for a in (pieces, whole)]
+    assert covered[0] == covered[1]
+
+
+def odd_rows_short():
+    return [(900, prose(5, 300)), (901, prose(5, 300)[500:]), (None, prose(6, 30)), (902, None), (903, "")]
