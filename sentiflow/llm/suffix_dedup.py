@@ -15,7 +15,9 @@ same document at an earlier byte. Strings are judged on the input; overlaps coun
 
 Scale: only anchors (one in about 35 bytes), the bytes of ambiguous contexts and twice the texts are
 shuffled, all in packed arrays in buckets of about ``BUCKET_BYTES`` of text. Repeats inside a task are
-settled there, so a context that a third of all rows hold travels once a task.
+settled there, so a context that a third of all rows hold travels once a task. Different contexts of one gram (a common passage in ever
+new surroundings) meet in a bucket while they are ``HOT`` at most; those of a hotter gram are cut by ranges of offsets and
+dealt by a hash of the bytes that all windows of the range share, so only contexts that agree in over ``length`` - ``OFFSETS`` bytes meet.
 
 Defined results: null text is empty; a null id sorts first; rows that share id and text are one document
 and get equal results; other rows that share an id are ordered by the md5 of their text; texts shorter than
@@ -41,13 +43,17 @@ GRAM = 32
 SLICE_BYTES = 2 << 20
 BUCKET_BYTES = 4 << 20
 FLUSH_ANCHORS = 1 << 19
-#: Windows sorted at a time; all windows of one gram stay together.
+#: Windows sorted at a time; all windows of one gram (of one part of a hot gram) stay together.
 SORT_WINDOWS = 1 << 19
 PLACE_BITS = 28
 PACKED = "bucket long, kind int, payload binary"
 ANCHOR = [("h", np.uint64), ("c", np.uint64), ("doc", np.int64), ("place", np.int64), ("before", np.int64), ("after", np.int64)]
 RUN = [("doc", np.int64), ("first", np.int64), ("last", np.int64)]
 WANTED = [("h", np.uint64), ("doc", np.int64), ("place", np.int64), ("before", np.int64), ("after", np.int64)]
+ASKED_FOR = [*WANTED, ("hot", np.int64)]
+#: The windows of a gram with more contexts than this are dealt by what they share, in ranges of so many offsets.
+HOT = 1024
+OFFSETS = 8
 FOUND, REPEATS, ASKED = 0, 1, 2
 
 
@@ -200,7 +206,7 @@ def find_anchors(length: int, buckets: int):
     return scan
 
 
-def compare_contexts(buckets: int):
+def compare_contexts(buckets: int, hot: int = HOT):
     """A bucket's packed rows -> runs that repeat, and the contexts that must be seen, by document bucket."""
 
     def compare(table: pa.Table) -> pa.Table:
@@ -213,27 +219,55 @@ def compare_contexts(buckets: int):
             new_h = np.concatenate([[True], reps["h"][1:] != reps["h"][:-1]])
             new_c = new_h | np.concatenate([[True], reps["c"][1:] != reps["c"][:-1]])
             contexts = np.bincount(np.cumsum(new_h) - 1, new_c)
-            several = (contexts > 1)[np.cumsum(new_h) - 1] & new_c
-            reps = {k: v[several] for k, v in reps.items()}
+            of = np.cumsum(new_h) - 1
+            several = (contexts > 1)[of] & new_c
+            reps = {k: v[several] for k, v in reps.items()} | {"hot": (contexts > hot)[of][several].astype(np.int64)}
+        else:
+            reps["hot"] = np.zeros(0, np.int64)
         runs = merged_runs(*(np.concatenate([r[k] for r in runs]) for k, _ in RUN))
         rows = packed_rows(RUN, runs, doc_buckets(runs["doc"], buckets), REPEATS)
-        rows += packed_rows(WANTED, reps, doc_buckets(reps["doc"], buckets), ASKED)
+        rows += packed_rows(ASKED_FOR, reps, doc_buckets(reps["doc"], buckets), ASKED)
         return pa.Table.from_batches([arrow_rows(rows)])
 
     return compare
 
 
+def dealt(want: dict[str, np.ndarray], row: np.ndarray, data: np.ndarray, off: np.ndarray, length: int) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """``want`` with the contexts of hot grams cut by ranges of offsets, under keys that hold a hash of what their windows share.
+
+    All windows of a range hold the bytes from the first start of the range's least offset to the end of its largest. Windows that are equal
+    have the same range and the same such bytes, hence the same key; contexts with other bytes there go other ways.
+    """
+    is_hot = want.pop("hot") > 0
+    if not is_hot.any():
+        return want, row
+    width = max(1, min(OFFSETS, length // 2))
+    hot = {k: v[is_hot] for k, v in want.items()}
+    low, high = hot["after"] // width, hot["before"] // width
+    many = high - low + 1
+    of = np.repeat(np.arange(len(many)), many)
+    part = low[of] + np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
+    pieces = {k: v[of] for k, v in hot.items()}
+    shared = PrefixHashes(data).of(off[row[is_hot][of]] + pieces["place"] - part * width, length - width + 1)
+    pieces["before"] = np.minimum(pieces["before"], part * width + width - 1)
+    pieces["after"] = np.maximum(pieces["after"], part * width)
+    pieces["h"] = mixed(mixed(pieces["h"] + part.astype(np.uint64)) ^ shared)
+    out = {k: np.concatenate([v[~is_hot], pieces[k]]) for k, v in want.items()}
+    return out, np.concatenate([row[~is_hot], row[is_hot][of]])
+
+
 def cut_contexts(length: int, buckets: int):
     """(documents of a bucket, contexts asked of them) -> the contexts' bytes, by gram."""
 
     def cut(docs: pa.Table, asked: pa.Table) -> pa.Table:
-        want = unpack_all(WANTED, asked.column("payload").to_pylist())
+        want = unpack_all(ASKED_FOR, asked.column("payload").to_pylist())
         if not len(want["h"]) or not docs.num_rows:
             return pa.Table.from_batches([arrow_rows([])])
         data, off = utf8_column(docs.column("text").combine_chunks())
         doc = docs.column("doc").to_numpy()
         order = np.argsort(doc, kind="stable")
         row = order[np.searchsorted(doc[order], want["doc"])]
+        want, row = dealt(want, row, data, off, length)
         start = off[row] + want["place"] - want["before"]
         size = want["before"] - want["after"] + length
         bucket = (want["h"] % np.uint64(buckets)).astype(np.int64)
@@ -349,6 +383,13 @@ def repeated_windows(data: np.ndarray, size: np.ndarray, want: dict[str, np.ndar
     several = np.bincount(segment, minlength=1)[segment] > 1
     order, segment = order[several], segment[several]
     sorter = SuffixOrder(data, length)
+    # windows whose whole hash no other of the segment has equal none and need no place in the order
+    whole = sorter.hashes.of(start[order], length)
+    by = np.lexsort((whole, segment))
+    alike = (whole[by][1:] == whole[by][:-1]) & (segment[by][1:] == segment[by][:-1])
+    kept = np.zeros(len(order), bool)
+    kept[by[1:][alike]] = kept[by[:-1][alike]] = True
+    order, segment = order[kept], segment[kept]
     ranked = order[sorter.sort(start[order], segment)]
     if not len(ranked):
         return merged_runs(*(np.zeros(0, np.int64) for _ in RUN))
@@ -436,7 +477,7 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     return keyed.join(ids, match).select("doc", "text"), ids.select("doc", "doc_id")
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans) of every row; spans are byte ranges that go."""
     spark = docs.sparkSession
     rows, ids = numbered(small_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
@@ -447,7 +488,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     compared = written(
         rows.mapInArrow(find_anchors(length, buckets), PACKED)
         .groupBy("bucket")
-        .applyInArrow(compare_contexts(buckets), PACKED),
+        .applyInArrow(compare_contexts(buckets, hot), PACKED),
         "compared",
     )
     sorted_runs = written(

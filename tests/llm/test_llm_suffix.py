@@ -92,3 +92,32 @@ def test_texts_longer_than_a_place_are_cut_into_pieces(spark, monkeypatch):
 
 def odd_rows_short():
     return [(900, prose(5, 300)), (901, prose(5, 300)[500:]), (None, prose(6, 30)), (902, None), (903, "")]
+
+
+def test_hot_grams_are_dealt_by_what_their_windows_share(spark):
+    """With every gram hot, and with a common passage in ever new surroundings: as brute force."""
+    rows = planted() + odd_rows_short()
+    pairs = [r[:2] for r in rows]
+    assert results(spark, pairs, hot=0) == wanted(pairs)
+    passage = prose(8, 40)[:95]
+    pairs = [(i, prose(1000 + i, 8) + passage + prose(2000 + i, 8)) for i in range(120)] + [(500 + i, prose(1000 + i, 8)[-4:] + passage + prose(2000 + i, 8)[:9]) for i in range(40)]
+    assert results(spark, pairs, hot=10) == wanted(pairs)
+    assert any(r[2] for r in wanted(pairs))
+
+
+def test_parts_of_a_hot_gram_hold_few_windows():
+    """Contexts around one passage: no part of the gram holds more than those that agree almost everywhere."""
+    passage = prose(8, 40)[:95]
+    texts = [(prose(1000 + i, 9) + passage + prose(9000 + i, 9)).encode() for i in range(1500)]
+    data, off = np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    row, place, first, last, grams = S.anchors(data, off, 100)
+    values, counts = np.unique(grams, return_counts=True)
+    assert counts.max() >= 1000
+    mine = grams == values[counts.argmax()]
+    want = {"h": grams[mine], "doc": row[mine], "place": (place - off[row])[mine], "before": (place - first)[mine], "after": (place - last)[mine], "hot": np.ones(mine.sum(), np.int64)}
+    windows = (want["before"] - want["after"] + 1).sum()
+    pieces, at = S.dealt(want, row[mine], data, off, 100)
+    assert (pieces["before"] - pieces["after"] + 1).sum() == windows
+    # only contexts that agree in 93 bytes meet; the passage has 95, so some agree by chance
+    sizes = np.unique(pieces["h"], return_counts=True)[1]
+    assert sizes.max() < counts.max() / 5 and len(sizes) > 0.5 * len(pieces["h"])
