@@ -10,7 +10,7 @@ four endpoint queries of the reference ran as separate snapshots).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,6 +56,23 @@ def stats_bundle(posts: DataFrame, snapshots: DataFrame, as_of, minutes: int = 6
     }
 
 
+def stats_bundle_at(spark: SparkSession, root: str, as_of=None, minutes: int = 60, version: int | None = None) -> dict[str, DataFrame]:
+    """``stats_bundle`` of a sink folder, all members as of one log batch (the newest complete one unless given).
+
+    Log, base and snapshots are read up to that batch only, so what lands while the members are read is in none of them.
+    ``as_of`` is the clock (the newest post of that version, unless given). ``compact_log(drop_merged=True)`` must not run
+    while an older version is read.
+    """
+    from sentiflow.streaming.sink import complete_version, current_snapshots, posts_as_of
+
+    version = complete_version(spark, root) if version is None else version
+    if version is None:
+        raise ValueError(f"no complete batch in {root}")
+    posts = posts_as_of(spark, root, version)
+    now = posts.agg(F.max("processed_at")).first()[0] if as_of is None else as_of
+    return stats_bundle(posts, current_snapshots(spark, root, version), now, minutes)
+
+
 def search_bundle(posts: DataFrame, tags, label=None, limit=50) -> dict[str, DataFrame]:
     """Newest matching posts, their count, and class counts of all matches."""
     res = search_posts(posts, search_tags(tags), label, limit_param(limit), RECENT_COLUMNS)

@@ -579,6 +579,7 @@ sql(
 )
 ORACLE["bucketed_upsert"] = ORACLE["upsert_partial"]
 ORACLE["bucketed_insert"] = ORACLE["insert_if_absent"]
+sql("stream_bundle_series", series_sql("minute", avg4("compound_score"), f"WHERE processed_at >= {ASOF} - INTERVAL 180 MINUTE"))
 ORACLE["stream_silence_alerts"] = ORACLE["stream_silent_keywords"]
 # Eight replay files, two a micro-batch.
 ORACLE["stream_batch_metrics"] = with_posts("").rstrip() + """,

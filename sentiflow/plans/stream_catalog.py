@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentiflow.operators.keywords import keyword_dim
+from sentiflow.plans.bundles import stats_bundle_at
 from sentiflow.plans.catalog import TRACKED, register
 from sentiflow.plans.inputs import posts
 from sentiflow.session import scratch_path
@@ -150,6 +151,15 @@ def q_stream_batch_metrics(spark, sf_dir):
     )
 
 
+@register("stream_bundle_series")
+def q_stream_bundle_series(spark, sf_dir):
+    """A member of the statistics bundle as of the last complete batch: the series of the newest three hours."""
+    run, stream = _replay(spark, sf_dir)
+    q = SJ.run_stream(stream, sink=PostsLogSink(f"{run}/store"), checkpoint=f"{run}/_ckpt_ingest", trigger="available_now")
+    q.awaitTermination()
+    return stats_bundle_at(spark, f"{run}/store", minutes=180)["timeSeries"]
+
+
 def written_lexicon(spark: SparkSession, run: str, lexicon: DataFrame) -> DataFrame:
     """The lexicon as a table: a stream joins it in every micro-batch."""
     lexicon.write.parquet(f"{run}/lexicon")

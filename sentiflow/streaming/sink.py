@@ -33,7 +33,7 @@ from sentiflow.operators.merge import (
 from sentiflow.operators.quality import quarantine, row_checks, violated
 from sentiflow.schema import CANONICAL_COLUMNS, MUTABLE_COLUMNS
 from sentiflow.streaming.derive import current_hashtags, current_series, derived_upto  # noqa: F401  (read with the sink's other tables)
-from sentiflow.streaming.files import filesystem, read_json, read_newest_json, write_partition
+from sentiflow.streaming.files import children, filesystem, path_exists, read_json, read_newest_json, write_partition
 from sentiflow.streaming.metrics import write_text
 
 
@@ -174,14 +174,17 @@ def current_posts_from(log: DataFrame) -> DataFrame:
     return current_from_log(log, "tweet_id", ["batch_id", "processed_at"], MUTABLE_COLUMNS).select(*CANONICAL_COLUMNS)
 
 
+def base_versions(spark: SparkSession, root: str) -> list[int]:
+    """The compacted bases that are whole (their last merged batch ids), ascending."""
+    root = root.rstrip("/")
+    names = [n for n in children(spark, f"{root}/base") if n.startswith("upto=")]
+    return sorted(int(n.split("=", 1)[1]) for n in names if path_exists(spark, f"{root}/base/{n}/_SUCCESS"))
+
+
 def base_version(spark: SparkSession, root: str) -> int | None:
     """The newest compacted base (its last merged batch id), or None."""
-    fs, base = filesystem(spark, f"{root.rstrip('/')}/base")
-    if not fs.exists(base):
-        return None
-    done = [s.getPath().getName() for s in fs.listStatus(base) if s.isDirectory()]
-    versions = [int(n.split("=", 1)[1]) for n in done if n.startswith("upto=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/base/{n}/_SUCCESS"))]
-    return max(versions) if versions else None
+    versions = base_versions(spark, root)
+    return versions[-1] if versions else None
 
 
 def posts_versions(spark: SparkSession, root: str) -> DataFrame:
@@ -200,6 +203,23 @@ def current_posts(spark: SparkSession, root: str) -> DataFrame:
     return current_posts_from(posts_versions(spark, root))
 
 
+def complete_version(spark: SparkSession, root: str) -> int | None:
+    """The newest batch of which everything is written (its snapshot is written last), or None."""
+    found = [int(n.split("=", 1)[1]) for n in children(spark, f"{root.rstrip('/')}/snapshots") if n.startswith("batch_id=")]
+    return max(found, default=None)
+
+
+def posts_as_of(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
+    """The current posts after log batch ``batch_id``, whatever came later: the newest base up to it and the batches between."""
+    root = root.rstrip("/")
+    bases = [b for b in base_versions(spark, root) if b <= batch_id]
+    log = spark.read.parquet(f"{root}/posts_log").filter((F.col("batch_id") <= F.lit(batch_id)) & (F.col("batch_id") >= 0))
+    if not bases:
+        return current_posts_from(log)
+    base = spark.read.parquet(f"{root}/base/upto={bases[-1]}").withColumn("batch_id", F.lit(-1).cast("bigint"))
+    return current_posts_from(base.unionByName(log.filter(F.col("batch_id") > F.lit(bases[-1]))))
+
+
 def compact_log(spark: SparkSession, root: str, drop_merged: bool = False) -> int | None:
     """Merge everything up to the newest logged batch into a new base version.
 
@@ -234,9 +254,10 @@ def _merged(batch_id: int, upto: int, spark: SparkSession, root: str) -> bool:
     return batch_id < upto and (derived is None or batch_id <= derived) and batch_id not in _read_recent(spark, f"{root}/manifest")
 
 
-def current_snapshots(spark: SparkSession, root: str) -> DataFrame:
-    """Snapshot table with the keyed-upsert semantics: latest computation per (window_end, sentiment)."""
-    snaps = spark.read.parquet(f"{root.rstrip('/')}/snapshots").drop("batch_id")
+def current_snapshots(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
+    """Snapshot table with the keyed-upsert semantics: latest computation per (window_end, sentiment), of the batches up to ``upto`` if given."""
+    snaps = spark.read.parquet(f"{root.rstrip('/')}/snapshots")
+    snaps = (snaps if upto is None else snaps.filter(F.col("batch_id") <= F.lit(upto))).drop("batch_id")
     empty = snaps.limit(0)
     return snapshot_upsert(empty, snaps)
 
