@@ -38,6 +38,7 @@ from sentiflow.operators.merge import (
 from sentiflow.operators.rollup import with_levels
 from sentiflow.schema import CANONICAL_COLUMNS, MUTABLE_COLUMNS, POSTS_TYPES
 from sentiflow.streaming.files import children, delete_path, make_folder, path_exists, read_newest_json, write_partition
+from sentiflow.streaming.levels import fold, read_levels
 from sentiflow.streaming.metrics import write_text
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -48,9 +49,9 @@ _SUMS = "score_sum decimal(38,4), score_n bigint"
 DERIVED_DDL = {
     "series": (
         f"level string, bucket timestamp_ntz, sentiment string, tweet_count bigint, {_SUMS}, total_retweets bigint, total_likes bigint, "
-        "lag_sum decimal(38,6), lag_n bigint, batch_id bigint"
+        "lag_sum decimal(38,6), lag_n bigint"
     ),
-    "hashtags": f"bucket timestamp_ntz, hashtag string, sentiment string, mention_count bigint, {_SUMS}, batch_id bigint",
+    "hashtags": f"bucket timestamp_ntz, hashtag string, sentiment string, mention_count bigint, {_SUMS}",
 }
 
 
@@ -121,9 +122,19 @@ def derived_upto(spark: SparkSession, root: str) -> int | None:
 
 def derived_partials(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The partial sums of a derived table, all micro-batches merged."""
-    keys = ("level", *SERIES_KEYS) if name == "series" else HASHTAG_KEYS
-    parts = spark.read.schema(DERIVED_DDL[name]).parquet(f"{root.rstrip('/')}/{name}")
-    return merge_partials(parts.drop("batch_id"), keys=keys)
+    return merge_partials(read_levels(spark, f"{root.rstrip('/')}/{name}", DERIVED_DDL[name]), keys=_keys(name))
+
+
+def _keys(name: str) -> tuple[str, ...]:
+    return ("level", *SERIES_KEYS) if name == "series" else HASHTAG_KEYS
+
+
+def fold_derived(spark: SparkSession, root: str) -> int:
+    """Merge the changes of whole groups of micro-batches (``levels.fold``) in both derived tables; run from time to time."""
+    return sum(
+        fold(spark, f"{root.rstrip('/')}/{name}", DERIVED_DDL[name], lambda rows, name=name: merge_partials(rows, keys=_keys(name), settled=False))
+        for name, _, _ in DERIVED
+    )
 
 
 def current_series(spark: SparkSession, root: str) -> DataFrame:

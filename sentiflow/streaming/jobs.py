@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sentiflow.functions.expressions import as_column
 from sentiflow.operators.keywords import KeywordMachine, keyword_matches
 from sentiflow.operators.merge import finish_series, merge_partials, series_partials
+from sentiflow.streaming.levels import fold, read_levels
 
 
 def run_stream(
@@ -140,8 +141,34 @@ def series_stream(df: DataFrame, root: str, checkpoint: str, unit: str = "minute
     return run_stream(df, sink=BatchLog(f"{root}/partials", lambda batch: series_partials(batch, unit)), checkpoint=checkpoint, trigger=trigger)
 
 
+PARTIALS_DDL = (
+    "bucket timestamp_ntz, sentiment string, tweet_count bigint, score_sum decimal(28,4), score_n bigint, total_retweets bigint, "
+    "total_likes bigint, lag_sum decimal(28,6), lag_n bigint"
+)
+SPANS_DDL = "keyword string, slice bigint, first timestamp_ntz, last timestamp_ntz"
+
+
 def stored_partials(spark: SparkSession, root: str) -> DataFrame:
-    return merge_partials(spark.read.parquet(f"{root}/partials").drop("batch_id"))
+    return merge_partials(read_levels(spark, f"{root}/partials", PARTIALS_DDL))
+
+
+def fold_partials(spark: SparkSession, root: str) -> int:
+    """Merge the partial sums of whole groups of micro-batches."""
+
+    def merged(rows: DataFrame) -> DataFrame:
+        kinds = {f.name: f.dataType for f in rows.schema}
+        return merge_partials(rows).select(*[F.col(c).cast(kinds[c]) for c in rows.columns])
+
+    return fold(spark, f"{root}/partials", PARTIALS_DDL, merged)
+
+
+def fold_activity(spark: SparkSession, root: str) -> int:
+    """Merge the first and last matches of whole groups of micro-batches."""
+
+    def merged(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("keyword", "slice").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+
+    return fold(spark, f"{root}/activity", SPANS_DDL, merged)
 
 
 def stream_per_bucket(spark: SparkSession, root: str) -> DataFrame:
@@ -186,7 +213,7 @@ def silent_keyword_stream(spark: SparkSession, root: str, idle_seconds: int = 60
     exact, and a keyword costs its slices, not its matches. ``as_of`` is the clock for silences that still
     last (the newest post streamed, unless given).
     """
-    log = spark.read.parquet(f"{root}/activity")
+    log = read_levels(spark, f"{root}/activity", SPANS_DDL)
     now = log.agg(F.max("last")).first()[0] if as_of is None else as_of
     slices = log.filter(F.col("keyword").isNotNull()).groupBy("keyword", "slice").agg(F.min("first").alias("first"), F.max("last").alias("last"))
     after = F.coalesce(F.lead("first").over(Window.partitionBy("keyword").orderBy("slice")), as_column(now))
