@@ -8,26 +8,27 @@ emphasis when the text mixes case, negation in the three preceding words
 re-weighting, and exclamation/question-mark emphasis; the summed valence is
 normalised by ``s / sqrt(s^2 + alpha)``.
 
-Plan shape (no per-row Python, one shuffle):
-  words per text (row-local array ops)
-  -> posexplode, inner join with the lexicon (keeps only
-     sentiment-bearing words; Spark picks the join by size)
-  -> whether each preceding word is itself a lexicon word (rules apply only to
-     non-lexicon modifiers) from the few rule words the lexicon holds
-  -> per-word adjusted valence by CASE expressions over the neighbours
-  -> union with one zero row per text (texts without lexicon words) and a
-     partially aggregated ``groupBy(id)`` sum with the punctuation counts.
+Plan shape (row-local but for the lookup):
+  words per text (array ops)
+  -> the lexicon entries of each row's words (``lookup.look_up``: the distinct words of a
+     group of rows are joined with the lexicon, whatever its size; no word row is shuffled)
+  -> adjusted valence of each entry by CASE expressions over the neighbouring words; rules
+     apply only to modifiers that are not lexicon words themselves
+  -> exact decimal sum over the row, then the punctuation emphasis.
 All word lists and constants are parameters (``RuleParams``).
 """
 
 from __future__ import annotations
 
+import string
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentiflow.functions.scoring import text_key, with_scores
+from sentiflow.functions.lookup import look_up
 
 
 # Fixed values (public rule set; configurable): constants and word lists.
@@ -67,7 +68,7 @@ class RuleParams:
 DEFAULT_PARAMS = RuleParams()
 
 # Punctuation stripped from both ends of a whitespace token.
-_EDGE_PUNCT = r"^[\p{Punct}]+|[\p{Punct}]+$"
+_EDGE_PUNCT = string.punctuation
 
 
 def _is_caps(w: Column) -> Column:
@@ -92,124 +93,116 @@ def rule_score(
     text_col: str = "text",
     params: RuleParams = DEFAULT_PARAMS,
 ) -> DataFrame:
-    """``(id, compound_score)`` for every row of ``df`` with the full rule set.
+    """``(id, compound_score)`` for every row of ``df`` with the full rule set."""
+    rows = df.select(F.col(id_col), F.col(text_col).alias("text"))
+    return with_rule_score(rows, lexicon, "text", params, key=id_col).select(id_col, "compound_score")
 
-    Rows that share id and text are one group that is given out as often as it has rows. Spark picks
-    the lexicon join by size.
-    """
-    p = params
-    lex = lexicon.select(F.lower("token").alias("token"), F.col("valence").cast("double").alias("valence"))
 
-    text = F.coalesce(F.col(text_col), F.lit(""))
+# Edge punctuation is stripped only when a word of 3+ characters remains (keeps ":)"-like tokens).
+def _strip_word(t: Column) -> Column:
+    stripped = F.btrim(t, F.lit(_EDGE_PUNCT))
+    return F.when(F.length(stripped) <= 2, t).otherwise(stripped)
 
-    # Edge punctuation is stripped only when a word of 3+ characters remains (keeps ":)"-like tokens).
-    def strip_word(t: Column) -> Column:
-        stripped = F.regexp_replace(t, _EDGE_PUNCT, "")
-        return F.when(F.length(stripped) <= 2, t).otherwise(stripped)
-
-    words = F.filter(F.transform(F.split(F.trim(text), r"\s+"), strip_word), lambda t: F.length(t) > 1)
-    row_key = F.struct(F.col(id_col).alias("id"), *text_key(text_col)).alias("_id")
-    base = df.select(row_key, words.alias("_w")).select(
-        "_id", "_w",
-        F.transform("_w", lambda w: F.lower(w)).alias("_lw"),
-        (F.exists("_w", _is_caps) & F.exists("_w", lambda w: ~_is_caps(w))).alias("_mixed"),
-    )
 
-    # Neighbour words as whole shifted arrays (slice/concat), zipped and exploded once:
-    # linear per text even where the optimizer inlines the word arrays into each use.
-    n = F.size("_lw")
+def _pieces(text: Column) -> Column:
+    return F.split(F.trim(text), r"\s+")
 
-    def back(arr: str, k: int) -> Column:
-        pad = F.array_repeat(F.lit(None).cast("string"), F.least(F.lit(k), n))
-        return F.concat(pad, F.slice(arr, 1, F.greatest(n - F.lit(k), F.lit(0))))
 
-    shifted = base.select(
-        "_id", "_mixed", F.array_position("_lw", "but").alias("_but"),
-        F.col("_lw").alias("_lwi"), F.col("_w").alias("_wi"),
-        F.concat(F.slice("_lw", 2, F.greatest(n - F.lit(1), F.lit(0))), F.array(F.lit(None).cast("string"))).alias("_next"),
-        *[back("_lw", k).alias(f"_p{k}") for k in (1, 2, 3)],
-        *[back("_w", k).alias(f"_o{k}") for k in (1, 2, 3)],
-    )
-    zipped = F.arrays_zip(*[F.col(c) for c in ("_lwi", "_wi", "_next", "_p1", "_p2", "_p3", "_o1", "_o2", "_o3")])
-    tok = shifted.select("_id", "_mixed", "_but", F.posexplode(zipped).alias("_pos", "_c")).select(
-        "_id", "_mixed", "_but", "_pos", "_c.*"
-    ).filter(F.col("_lwi").isNotNull())
-    hit = tok.join(lex.withColumnRenamed("token", "_lwi"), "_lwi", "inner")
-    # Whether a preceding word is itself a lexicon word only matters when that word is a
-    # booster, a negation or "least" (every rule below tests both), so the three joins are
-    # with the few such words that the lexicon holds.
-    rule_words = sorted(set(p.boosters_up) | set(p.boosters_down) | set(p.negations) | {"least"})
-    special = lex.filter(F.col("token").isin(rule_words) | F.col("token").contains("n't")).select("token").distinct()
-    for k in (1, 2, 3):
-        hit = hit.join(special.select(F.col("token").alias(f"_p{k}"), F.lit(True).alias(f"_in{k}")), f"_p{k}", "left")
+def _spread_words(text: Column) -> Callable[[DataFrame], DataFrame]:
+    """The distinct (_group, token) of the words of texts."""
 
-    # Adjusted valence = (valence + caps + boosters) * negation and contrast factors. Each
-    # rule is its own term, so the expression stays linear in size (no nested re-use).
-    v = F.col("valence")
-    sign = F.signum(v)
-    zero, one = F.lit(0.0), F.lit(1.0)
-    caps = F.when(_is_caps(F.col("_wi")) & F.col("_mixed"), sign * F.lit(p.caps_increment)).otherwise(zero)
+    def spread(df: DataFrame) -> DataFrame:
+        pieces = df.select("_group", F.explode(_pieces(text)).alias("_piece")).distinct()
+        stripped = pieces.select("_group", _strip_word(F.col("_piece")).alias("_word")).filter(F.length("_word") > 1)
+        return stripped.select("_group", F.lower("_word").alias("token")).distinct()
+
+    return spread
+
+
+def _ruled_words(text: Column, p: RuleParams) -> Callable[[DataFrame], DataFrame]:
+    """Adds a text's words in lower case, whether each is in capitals, whether a rule names it, whether the text mixes case, and the place
+    of its "but" (from 1)."""
+    words = F.filter(F.transform(_pieces(text), _strip_word), lambda t: F.length(t) > 1)
+    rule_words = [*p.boosters_up, *p.boosters_down, *p.negations, "never", "least", "kind"]
+
+    def add(df: DataFrame) -> DataFrame:
+        cased = df.withColumn("_cased", words).withColumn("_caps", F.transform("_cased", _is_caps))
+        lower = cased.withColumn("_words", F.transform("_cased", lambda w: F.lower(w))).drop("_cased")
+        mixed = F.exists("_caps", lambda c: c) & F.exists("_caps", lambda c: ~c)
+        named = F.transform("_words", lambda w: w.isin(rule_words) | w.contains("n't"))
+        return lower.withColumns({"_named": named, "_mixed": mixed, "_but": F.array_position("_words", "but")})
+
+    return add
+
+
+def with_rule_score(
+    df: DataFrame, lexicon: DataFrame, text_col: str = "text", params: RuleParams = DEFAULT_PARAMS, key: str | None = None
+) -> DataFrame:
+    """``df`` with the full-rule score of each row's text; ``key`` (a column, if any) deals copies of a text to several tasks."""
+    p = params
+    lex = lexicon.select(F.lower("token").alias("token"), F.col("valence").cast("double").alias("valence"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    found = look_up(df, _ruled_words(text, p), _spread_words(text), lex, text_col, [key] if key else [])
     damp = {1: 1.0, 2: 0.95, 3: 0.9}
-    boost_terms = []
-    for k in (1, 2, 3):
-        pk, ok = F.col(f"_p{k}"), F.col(f"_o{k}")
-        scalar = _booster(pk, p) * sign + F.when(_is_caps(ok) & F.col("_mixed"), sign * F.lit(p.caps_increment)).otherwise(zero)
-        applies = pk.isNotNull() & F.col(f"_in{k}").isNull() & _booster(pk, p).isNotNull()
-        boost_terms.append(F.when(applies, scalar * F.lit(damp[k])).otherwise(zero))
-    p1, p2, p3 = F.col("_p1"), F.col("_p2"), F.col("_p3")
     so_this = ["so", "this"]
-    neg = F.lit(p.negation_scalar)
-    f1 = F.when(_negated(p1, p) & F.col("_in1").isNull(), neg).otherwise(one)
-    f2 = (
-        F.when((p2 == "never") & p1.isin(so_this), F.lit(p.never_so_scalar))
-        .when(_negated(p2, p) & F.col("_in2").isNull(), neg)
-        .otherwise(one)
-    )
-    f3 = (
-        F.when((p3 == "never") & (p2.isin(so_this) | p1.isin(so_this)), F.lit(p.never_so_scalar))
-        .when(_negated(p3, p) & F.col("_in3").isNull(), neg)
-        .otherwise(one)
-    )
-    least = (p1 == "least") & F.col("_in1").isNull() & ~F.coalesce(p2.isin(["at", "very"]), F.lit(False))
-    f_least = F.when(least, neg).otherwise(one)
-    position = F.col("_pos") + 1
-    f_but = (
-        F.when((F.col("_but") > 0) & (position < F.col("_but")), F.lit(p.but_before))
-        .when((F.col("_but") > 0) & (position > F.col("_but")), F.lit(p.but_after))
-        .otherwise(one)
-    )
-    adjusted = (v + caps + boost_terms[0] + boost_terms[1] + boost_terms[2]) * f1 * f2 * f3 * f_least * f_but
-    # A booster word, or "kind" in "kind of", carries no valence of its own.
-    silent = F.col("_lwi").isin(list(p.boosters_up) + list(p.boosters_down)) | ((F.col("_lwi") == "kind") & (F.col("_next") == "of"))
-    contrib = hit.select(F.col("_id"), F.when(silent, F.lit(0.0)).otherwise(adjusted).alias("_v"),
-                         F.lit(None).cast("int").alias("_excl"), F.lit(None).cast("int").alias("_ques"), F.lit(0).alias("_row"))
-
-    # One zero row per text (texts without lexicon words still get a score); needs no word split.
-    zero = df.select(
-        row_key,
-        F.lit(0.0).alias("_v"),
+    neg, zero, one = F.lit(p.negation_scalar), F.lit(0.0), F.lit(1.0)
+
+    # Adjusted valence = (valence + caps + boosters) * negation and contrast factors. Each
+    # rule is its own term, so the expression stays linear in size (no nested re-use).
+    def adjusted(hit: Column) -> Column:
+        at, v = hit["_at"], hit["_valence"]
+        word, following = F.get("_words", at), F.get("_words", at + 1)
+        p1, p2, p3 = (F.get("_words", at - k) for k in (1, 2, 3))
+        plain = {k: ~F.coalesce(F.get("_known", at - k), F.lit(False)) for k in (1, 2, 3)}  # not a lexicon word itself
+        sign = F.signum(v)
+        caps = F.when(F.get("_caps", at) & F.col("_mixed"), sign * F.lit(p.caps_increment)).otherwise(zero)
+        boost_terms = []
+        for k, pk in ((1, p1), (2, p2), (3, p3)):
+            shout = F.when(F.get("_caps", at - k) & F.col("_mixed"), sign * F.lit(p.caps_increment)).otherwise(zero)
+            scalar = _booster(pk, p) * sign + shout
+            applies = pk.isNotNull() & plain[k] & _booster(pk, p).isNotNull()
+            boost_terms.append(F.when(applies, scalar * F.lit(damp[k])).otherwise(zero))
+        f1 = F.when(plain[1] & _negated(p1, p), neg).otherwise(one)
+        f2 = (
+            F.when((p2 == "never") & p1.isin(so_this), F.lit(p.never_so_scalar))
+            .when(plain[2] & _negated(p2, p), neg)
+            .otherwise(one)
+        )
+        f3 = (
+            F.when((p3 == "never") & (p2.isin(so_this) | p1.isin(so_this)), F.lit(p.never_so_scalar))
+            .when(plain[3] & _negated(p3, p), neg)
+            .otherwise(one)
+        )
+        least = (p1 == "least") & plain[1] & ~F.coalesce(p2.isin(["at", "very"]), F.lit(False))
+        f_least = F.when(least, neg).otherwise(one)
+        position = at + 1
+        f_but = (
+            F.when((F.col("_but") > 0) & (position < F.col("_but")), F.lit(p.but_before))
+            .when((F.col("_but") > 0) & (position > F.col("_but")), F.lit(p.but_after))
+            .otherwise(one)
+        )
+        # A booster word, or "kind" in "kind of", carries no valence of its own.
+        silent = word.isin(list(p.boosters_up) + list(p.boosters_down)) | ((word == "kind") & (following == "of"))
+        value = (v + caps + boost_terms[0] + boost_terms[1] + boost_terms[2]) * f1 * f2 * f3 * f_least * f_but
+        # Most words have no rule word at or before them and no caps to weigh: the terms above are then zeros and ones.
+        ruled = (F.get("_caps", at) & F.col("_mixed")) | reduce(lambda a, b: a | b, [F.coalesce(F.get("_named", at - k), F.lit(False)) for k in range(4)])
+        value = F.when(~ruled, v * f_but).when(silent, zero).otherwise(value)
+        return F.coalesce(value.cast("decimal(20,9)"), F.lit(0).cast("decimal(20,9)"))
+
+    total = F.aggregate(F.arrays_zip("_at", "_valence"), F.lit(0).cast("decimal(28,9)"), lambda s, hit: (s + adjusted(hit)).cast("decimal(28,9)"))
+    summed = found.select(
+        *df.columns,
+        total.cast("double").alias("_s"),
         F.least(F.length(text) - F.length(F.regexp_replace(text, "!", "")), F.lit(p.exclamation_max)).alias("_excl"),
         (F.length(text) - F.length(F.regexp_replace(text, r"\?", ""))).alias("_ques"),
-        F.lit(1).alias("_row"),
-    )
-    agg = zero.unionByName(contrib).groupBy("_id").agg(
-        F.sum("_row").cast("int").alias("_rows"),
-        (F.sum(F.col("_v").cast("decimal(20,9)")).cast("decimal(28,9)") / F.sum("_row").cast("decimal(9,0)")).cast("double").alias("_s"),
-        F.max("_excl").alias("_excl"),
-        F.max("_ques").alias("_ques"),
     )
     s = F.col("_s")
     ques = F.col("_ques")
     ep = F.col("_excl") * F.lit(p.exclamation_step) + (
         F.when(ques > 3, F.lit(p.question_max_value)).when(ques > 1, ques * F.lit(p.question_step)).otherwise(F.lit(0.0))
     )
-    total = F.when(s > 0, s + ep).when(s < 0, s - ep).otherwise(s)
+    summed = summed.withColumn("_total", F.when(s > 0, s + ep).when(s < 0, s - ep).otherwise(s))
+    total = F.col("_total")
     compound = F.round(total / F.sqrt(total * total + F.lit(p.alpha)), 4)
     compound = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), compound))
-    one = agg.select(F.col("_id.id").alias(id_col), compound.alias("compound_score"), "_rows")
-    return one.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_rows")))).drop("_copy", "_rows")
-
-
-def with_rule_score(df: DataFrame, lexicon: DataFrame, text_col: str = "text", params: RuleParams = DEFAULT_PARAMS) -> DataFrame:
-    """``df`` with the full-rule score of each row's text."""
-    return with_scores(df, lambda texts: rule_score(texts, lexicon, "_text_key", "text", params), text_col)
+    return summed.select(*df.columns, compound.alias("compound_score"))
