@@ -48,17 +48,20 @@ def upsert_partial(
     return current_from_log(u, key, ["_src", order], mutable).select(*cols)
 
 
-def current_from_log(log: DataFrame, key: str, order: Sequence[str], mutable: Sequence[str] = MUTABLE_COLUMNS) -> DataFrame:
-    """Merge-on-read of a version log: immutables from the first version, mutables from the last."""
-    cols = [c for c in log.columns if c not in order or c in mutable or c == key]
+def current_from_log(
+    log: DataFrame, key: str, order: Sequence[str], mutable: Sequence[str] = MUTABLE_COLUMNS, wanted: Sequence[str] | None = None
+) -> DataFrame:
+    """Merge-on-read of a version log: immutables from the first version, mutables from the last; of ``wanted`` columns only, if given
+    (versions are told apart by all columns, but only these are shuffled)."""
+    cols = [c for c in log.columns if (c not in order or c in mutable or c == key) and (wanted is None or c == key or c in wanted)]
     payload = [c for c in log.columns if c != key]
     imm = [c for c in cols if c != key and c not in mutable]
     mut = [c for c in cols if c in mutable]
-    ver = version_struct(list(order), payload)
-    g = log.groupBy(key).agg(
-        F.min_by(F.struct(*[F.col(c) for c in imm]), ver).alias("_i"),
-        F.max_by(F.struct(*[F.col(c) for c in mut]), ver).alias("_m"),
-    )
+    rows = log.select(*{c: None for c in (key, *cols)}, version_struct(list(order), payload).alias("_version"))
+    halves = [take(F.struct(*[F.col(c) for c in part]), "_version").alias(name) for take, part, name in ((F.min_by, imm, "_i"), (F.max_by, mut, "_m")) if part]
+    if not halves:
+        return log.select(key).distinct()
+    g = rows.groupBy(key).agg(*halves)
     return g.select(key, *[F.col(f"_i.{c}").alias(c) for c in imm], *[F.col(f"_m.{c}").alias(c) for c in mut])
 
 

@@ -193,4 +193,4 @@ def q_stream_ingest_documents(spark, sf_dir):
     lexicon = written_lexicon(spark, run, corpus_lexicon(filter_text_lang(docs, ["en"])))
     sink = PostsLogSink(f"{run}/store", transform=ingest_transform(spark, lexicon))
     SJ.run_stream(stream, sink=sink, checkpoint=f"{run}/_ckpt", trigger="available_now").awaitTermination()
-    return current_posts(spark, f"{run}/store").select("tweet_id", "lang", "compound_score", "sentiment")
+    return current_posts(spark, f"{run}/store", ("tweet_id", "lang", "compound_score", "sentiment"))

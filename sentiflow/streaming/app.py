@@ -41,7 +41,7 @@ def ingest_transform(
 
     def transform(raw: DataFrame) -> DataFrame:
         payload = decode_json(raw, value_col="value")
-        return canonical_posts(payload, lambda df: add_score(df, lexicon), processed_at, langs)
+        return canonical_posts(payload, lambda df: add_score(df, lexicon, key="id"), processed_at, langs)
 
     return transform
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -169,9 +169,9 @@ def _read_recent(spark: SparkSession, folder: str) -> dict[int, dt.datetime]:
     return {int(b): dt.datetime.fromisoformat(t) for b, t in best.get("newest", {}).items()}
 
 
-def current_posts_from(log: DataFrame) -> DataFrame:
-    """Merge-on-read of the posts log: first-written immutables, latest mutables per ``tweet_id``."""
-    return current_from_log(log, "tweet_id", ["batch_id", "processed_at"], MUTABLE_COLUMNS).select(*CANONICAL_COLUMNS)
+def current_posts_from(log: DataFrame, columns: Sequence[str] = CANONICAL_COLUMNS) -> DataFrame:
+    """Merge-on-read of the posts log: first-written immutables, latest mutables per ``tweet_id``; only ``columns`` are moved."""
+    return current_from_log(log, "tweet_id", ["batch_id", "processed_at"], MUTABLE_COLUMNS, columns).select(*columns)
 
 
 def base_versions(spark: SparkSession, root: str) -> list[int]:
@@ -198,9 +198,9 @@ def posts_versions(spark: SparkSession, root: str) -> DataFrame:
     return base.unionByName(log.filter(F.col("batch_id") > F.lit(upto)))
 
 
-def current_posts(spark: SparkSession, root: str) -> DataFrame:
-    """The current posts table of a sink folder (compacted base plus newer log batches, merged)."""
-    return current_posts_from(posts_versions(spark, root))
+def current_posts(spark: SparkSession, root: str, columns: Sequence[str] = CANONICAL_COLUMNS) -> DataFrame:
+    """The current posts table of a sink folder (compacted base plus newer log batches, merged), or ``columns`` of it."""
+    return current_posts_from(posts_versions(spark, root), columns)
 
 
 def complete_version(spark: SparkSession, root: str) -> int | None:

@@ -1,7 +1,11 @@
 """Scores over a lexicon of any size: lookups by groups of rows (functions.lookup)."""
 
+import datetime as dt
+
 import pytest
+from pyspark.sql import functions as F
 
+from conftest import AS_OF, make_posts
 from sentiflow.functions import lookup
 from sentiflow.functions.rules import rule_score
 
@@ -39,3 +43,18 @@ def test_rule_score_shuffles_no_word_rows(spark):
     joined = plan[plan.index("Join Inner") :].split("\n")[1]
     assert joined.strip(" :+-|").startswith("Aggregate [_group")
     assert scored.select("compound_score").distinct().count() == 1
+
+
+def test_current_posts_of_some_columns(spark, tmp_path):
+    from sentiflow.streaming.sink import current_posts
+
+    late = AS_OF + dt.timedelta(minutes=1)
+    for batch, rows in enumerate(([dict(tweet_id="a", lang="en"), dict(tweet_id="b", text="x")], [dict(tweet_id="a", lang="fr", compound_score=0.5, processed_at=late)])):
+        make_posts(spark, rows).withColumn("batch_id", F.lit(batch).cast("bigint")).write.mode("append").partitionBy("batch_id").parquet(f"{tmp_path}/posts_log")
+    whole = current_posts(spark, str(tmp_path))
+    for columns in (("tweet_id", "lang", "compound_score"), ("tweet_id", "lang"), ("compound_score",), ("tweet_id",)):
+        some = current_posts(spark, str(tmp_path), columns)
+        assert some.columns == list(columns)
+        assert sorted(map(tuple, some.collect())) == sorted(map(tuple, whole.select(*columns).collect()))
+    plan = current_posts(spark, str(tmp_path), ("tweet_id", "lang"))._jdf.queryExecution().executedPlan().toString()
+    assert "struct(lang" in plan and "struct(text" not in plan
