@@ -6,7 +6,9 @@ Forms of the same score:
   the join by size, AQE splits hot tokens), then sum per text with a map-side partial
   aggregate. Pure JVM, oracle-checked.
 * ``with_lexicon_score`` -- the same as a column added to the rows, for the ingest job.
-* ``lexicon_score_udf`` -- row-local Arrow UDFs over blocks of the lexicon, no shuffle.
+* ``lexicon_score_udf`` -- Arrow functions: ``rows`` scores the rows of a table group by group, each with the
+  lexicon entries of its group's words, for a lexicon of any size; called with a column it is a row-local UDF over
+  broadcast blocks, for a lexicon that every worker can hold.
 
 Every input row gets a score, rows that share an id or have none included.
 compound = s / sqrt(s^2 + alpha), s = sum of token valences (exact decimal
@@ -19,16 +21,20 @@ import math
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sentiflow.functions.lookup import Entries, look_up
+
 # Normalisation constant of the compound score and the token pattern.
 ALPHA = 15.0
 TOKEN_SPLIT = "[^a-z]+"
 
-# Entries of the lexicon that one scoring UDF holds; a larger lexicon takes several.
+# Entries of the lexicon that one scoring UDF of a column holds; a larger lexicon takes several.
 BLOCK_ENTRIES = 200_000
 
 
@@ -91,44 +97,77 @@ def with_scores(df: DataFrame, scorer: Callable[[DataFrame], DataFrame], text_co
     return df.withColumn("_text_key", key).join(scores, "_text_key", "left").drop("_text_key")
 
 
-def with_lexicon_score(df: DataFrame, lexicon: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df`` with the plain valence-sum score of each row's text."""
+def with_lexicon_score(df: DataFrame, lexicon: DataFrame, text_col: str = "text", key: str | None = None) -> DataFrame:
+    """``df`` with the plain valence-sum score of each row's text (scored once per distinct text, so no ``key`` is needed)."""
     return with_scores(df, lambda texts: lexicon_score(texts, lexicon, "_text_key"), text_col)
 
 
-def lexicon_score_udf(spark, lexicon: DataFrame, token_col: str = "token", valence_col: str = "valence", block: int = BLOCK_ENTRIES):
-    """A row-local scorer: a function from a text column to a score column.
+def valence_sums(batch: pa.RecordBatch, entries: Entries) -> dict[str, pa.Array]:
+    """``_sum``: the valences of each row's words, added exactly and rounded once."""
+    _, rows, _, valences = entries.find(batch.column("_words"))
+    values, ends = valences.to_pylist(), np.cumsum(np.bincount(rows, minlength=batch.num_rows))
+    return {"_sum": pa.array([math.fsum(filter(None, values[a:b])) for a, b in zip([0, *ends[:-1]], ends)], pa.float64())}
 
-    The lexicon is streamed in blocks of ``block`` entries, each broadcast for a UDF of its
-    own that sums the valences it knows; the sums add up, so a lexicon of any size is used whole.
-    """
-    splitter = re.compile(TOKEN_SPLIT)
-    blocks, own = [], {}
-    for token, valence in lexicon.select(token_col, F.col(valence_col).cast("double")).toLocalIterator():
-        own[token] = valence
-        if len(own) >= block:
-            blocks.append(spark.sparkContext.broadcast(own))
-            own = {}
-    blocks.append(spark.sparkContext.broadcast(own))
-
-    def summer(shared):
-        @F.pandas_udf(T.DoubleType())
-        def valence_sum(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            get = shared.value.get
-            for texts in batches:
-                yield pd.Series([math.fsum(filter(None, map(get, splitter.split(t.lower())))) if t else 0.0 for t in texts], dtype="float64")
-
-        return valence_sum
-
-    sums = [summer(b) for b in blocks]
-
-    def score(text: Column | str) -> Column:
-        total = sums[0](text)
-        for more in sums[1:]:
+
+class LexiconUdf:
+    """Scorer of :func:`lexicon_score_udf`."""
+
+    def __init__(self, spark: SparkSession, lexicon: DataFrame, token_col: str, valence_col: str, block: int):
+        self.spark, self.block = spark, block
+        self.lexicon = lexicon.select(F.col(token_col).alias("token"), F.col(valence_col).cast("double").alias("valence"))
+        self._sums: list | None = None
+
+    def rows(self, df: DataFrame, text_col: str = "text", key: str | None = None) -> DataFrame:
+        """``df`` with ``compound_score``: the entries come to the rows by ``lookup.look_up``, so neither the driver nor a worker ever
+        holds the lexicon. ``key`` (a column, if any) deals copies of a text to several tasks."""
+        words = tokens(F.coalesce(F.col(text_col), F.lit("")))
+
+        def spread(texts: DataFrame) -> DataFrame:
+            return texts.select("_group", F.explode(words).alias("token")).distinct()
+
+        summed = look_up(
+            df, lambda rows: rows.withColumn("_words", words), spread, self.lexicon, text_col, [key] if key else [], ["_words"], valence_sums, "_sum double"
+        )
+        return summed.select(*df.columns, compound_from_sum(F.col("_sum")).alias("compound_score"))
+
+    def __call__(self, text: Column | str) -> Column:
+        """Score column of a text column; the lexicon is streamed through the driver in blocks of ``block`` entries, each broadcast for
+        a UDF of its own that sums the valences it knows."""
+        if self._sums is None:
+            self._sums = [_valence_udf(b) for b in self._blocks()]
+        total = self._sums[0](text)
+        for more in self._sums[1:]:
             total = total + more(text)
         return compound_from_sum(total)
 
-    return score
+    def _blocks(self) -> Iterator:
+        own = {}
+        for token, valence in self.lexicon.toLocalIterator():
+            own[token] = valence
+            if len(own) >= self.block:
+                yield self.spark.sparkContext.broadcast(own)
+                own = {}
+        yield self.spark.sparkContext.broadcast(own)
+
+
+def _valence_udf(shared):
+    splitter = re.compile(TOKEN_SPLIT)
+
+    @F.pandas_udf(T.DoubleType())
+    def valence_sum(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        get = shared.value.get
+        for texts in batches:
+            yield pd.Series([math.fsum(filter(None, map(get, splitter.split(t.lower())))) if t else 0.0 for t in texts], dtype="float64")
+
+    return valence_sum
+
+
+def lexicon_score_udf(
+    spark: SparkSession, lexicon: DataFrame, token_col: str = "token", valence_col: str = "valence", block: int = BLOCK_ENTRIES
+) -> LexiconUdf:
+    """An Arrow scorer: ``.rows(df)`` adds the score to the rows of a table, for a lexicon of any size; as a function from a text
+    column to a score column it is row-local, for a lexicon that a worker can hold."""
+    return LexiconUdf(spark, lexicon, token_col, valence_col, block)
 
 
 def corpus_lexicon(documents: DataFrame, n: int | None = None, text_col: str = "text") -> DataFrame:

@@ -405,7 +405,7 @@ def q_score_and_label(spark, sf_dir):
 def q_lexicon_score_udf(spark, sf_dir):
     docs = _en_docs(spark, sf_dir)
     score = SC.lexicon_score_udf(spark, SC.corpus_lexicon(docs))
-    return docs.select("doc_id", score("text").alias("compound_score"))
+    return score.rows(docs, key="doc_id").select("doc_id", "compound_score")
 
 
 # ================================================================= merges

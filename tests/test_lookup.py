@@ -3,11 +3,14 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, make_posts
+from conftest import AS_OF, SF_SMALL, make_posts
 from sentiflow.functions import lookup
+from sentiflow.functions import scoring as SC
 from sentiflow.functions.rules import rule_score
+from sentiflow.plans.catalog import QUERIES
 
 LEX = [("good", 1.0), ("good", 2.5), ("Bad", -2.0), ("not", None), ("très", 3.0), (None, 1.0)]
 
@@ -33,6 +36,26 @@ def test_rule_score_entries(spark, monkeypatch, group_chars):
     assert sorted((str(r[0]), r[1]) for r in got) == sorted((str(i), _compound(want[t])) for i, t in rows)
 
 
+@pytest.mark.parametrize("group_chars", [1, 2_000_000])
+def test_udf_rows(spark, monkeypatch, group_chars):
+    monkeypatch.setattr(lookup, "GROUP_CHARS", group_chars)
+    rows = [(1, "Good, bad good"), (1, "Good, bad good"), (2, None), (None, ""), (3, "nothing")]
+    lex = spark.createDataFrame([("good", 1.9), ("bad", -2.5), ("nothing", None)], "token string, valence double")
+    got = SC.lexicon_score_udf(spark, lex).rows(spark.createDataFrame(rows, "id long, text string"), key="id").collect()
+    assert sorted((str(r["id"]), r["text"] or "", r["compound_score"]) for r in got) == sorted(
+        (str(i), t or "", _compound(1.3) if t and "bad" in t else 0.0) for i, t in rows
+    )
+
+
+def test_udf_query_collects_no_lexicon(spark, monkeypatch):
+    def refuse(*_, **__):
+        raise AssertionError("the lexicon went through the driver")
+
+    monkeypatch.setattr(DataFrame, "toLocalIterator", refuse)
+    got = {r[0]: r[1] for r in QUERIES["lexicon_score_udf"](spark, SF_SMALL).collect()}
+    assert got == {r["doc_id"]: r["compound_score"] for r in QUERIES["lexicon_score"](spark, SF_SMALL).collect()}
+
+
 def test_rule_score_shuffles_no_word_rows(spark):
     """What is joined with the lexicon are the distinct words of a group, however often they occur."""
     text = " ".join(["good bad not"] * 2000)
