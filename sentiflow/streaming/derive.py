@@ -41,7 +41,13 @@ from sentiflow.streaming.files import children, delete_path, make_folder, path_e
 from sentiflow.streaming.levels import fold, read_levels
 from sentiflow.streaming.metrics import write_text
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STORE = "spark.sql.streaming.stateStore"
+#: RocksDB; a commit saves what changed, not the whole store; a write looks up no old row just to count rows.
+STATE_CONF = {
+    f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STORE}.rocksdb.changelogCheckpointing.enabled": "true",
+    f"{_STORE}.rocksdb.trackTotalNumberOfRows": "false",
+}
 #: Columns of a post that the derived tables are made of.
 FIRST = ("hashtags", "retweet_count", "like_count", "tweet_created_at")
 DERIVED = (("series", series_partials, SERIES_KEYS), ("hashtags", hashtag_partials, HASHTAG_KEYS))
@@ -58,13 +64,14 @@ DERIVED_DDL = {
 @contextlib.contextmanager
 def rocksdb_state(spark: SparkSession):
     """Queries started inside the block keep their state in RocksDB."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STATE_CONF}
+    for key, value in STATE_CONF.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def changed_posts(log: DataFrame, told: DataFrame, key: str = "tweet_id") -> DataFrame:

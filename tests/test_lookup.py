@@ -81,3 +81,13 @@ def test_current_posts_of_some_columns(spark, tmp_path):
         assert sorted(map(tuple, some.collect())) == sorted(map(tuple, whole.select(*columns).collect()))
     plan = current_posts(spark, str(tmp_path), ("tweet_id", "lang"))._jdf.queryExecution().executedPlan().toString()
     assert "struct(lang" in plan and "struct(text" not in plan
+
+
+def test_state_settings_hold_inside_only(spark):
+    from sentiflow.streaming.derive import STATE_CONF, rocksdb_state
+
+    before = {key: spark.conf.get(key, None) for key in STATE_CONF}
+    with rocksdb_state(spark):
+        assert {key: spark.conf.get(key) for key in STATE_CONF} == STATE_CONF
+        assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled") == "true"
+    assert {key: spark.conf.get(key, None) for key in STATE_CONF} == before
